@@ -19,12 +19,44 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinweave.llm.warc import archive_pages
+
+    return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinweave.llm.urlrules import filter_urls, mine
+
+    pages = table(spark, sf_dir, "pages")
+    judged = filter_urls(pages, mine(pages, table(spark, sf_dir, "labels")))
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinweave.llm.mixing import mix
 
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinweave.llm.langid import identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    told = identify(docs, train(docs.where(~held_out)))
+    return told.withColumnRenamed("id", "doc_id").select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k and 2k + 1 are the chosen and the rejected one of pair k."""
+    from kinweave.llm.chatfmt import preference_turns
+
+    turns = table(spark, sf_dir, "conversations")
+    pairs = turns.select(F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id")).where("pair_id IS NOT NULL").distinct()
+    return preference_turns(turns, pairs.select("pair_id", (F.col("pair_id") * 2).alias("chosen"), (F.col("pair_id") * 2 + 1).alias("rejected")))
+
+
 def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinweave.llm.linededup import drop_repeated_lines
 
@@ -32,10 +64,41 @@ def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinweave.llm.quality import COUNTS, judge, train
+
+    docs = table(spark, sf_dir, "documents")
+    judged = judge(docs, train(docs, table(spark, sf_dir, "labels")))
+    return judged.select(F.col("id").alias("doc_id"), *COUNTS, "base_failed", "kept", "score")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinweave.llm.decontam import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinweave.llm.secrets import KINDS, find_secrets
+
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["rank"] < 3)
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS[:3])]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_warc": op2_warc,
+    "op3_urlfilter": op3_urlfilter,
     "op4_mixing": op4_mixing,
+    "op5_langid": op5_langid,
+    "op6_preference": op6_preference,
     "op7_linededup": op7_linededup,
+    "op8_quality": op8_quality,
+    "op9_decontamination": op9_decontamination,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {}
