@@ -42,28 +42,28 @@ def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str
               date: str = "20240101000000") -> None:
     """Write rows as ARC files: HTTP responses whose body is the column in UTF-8 (null: empty)."""
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(body_col).cast("string"), F.lit("")).alias("body"))
-    octets = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    files = max(1, -(-octets // FILE_BYTES))
+    n, octets = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("body"))).first()
+    per_file = max(1, FILE_BYTES * n // max(octets or 0, 1)) if n else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = f"{version} 0 kinweave\n{' '.join(ARC_FIELDS[version])}\n".encode()
         tail = b"200 - - 0 -" if version == 2 else b""
         head = b"filedesc://pages.arc 0.0.0.0 %s text/plain " % date.encode()
-        started = False
+        opening = head + (tail + b" " if tail else b"") + b"%d\n%s\n" % (len(block), block)
+        written = 0
         for b in batches:
             out = []
-            if not started:
-                out.append(head + (tail + b" " if tail else b"") + b"%d\n%s" % (len(block), block))
-                started = True
             for i, url, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True):
                 http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n" % len(body)
                 http += (b"X-Page-Id: %d\r\n" % i if i is not None else b"") + b"\r\n"
                 line = b" ".join([_quoted(url).encode(), b"0.0.0.0", date.encode(), b"text/html", *([tail] if tail else []), b"%d" % (len(http) + len(body))])
-                out.append(line + b"\n" + http + body)
+                # the writer begins a file every per_file rows, and each file with the version block
+                out.append((b"" if written % per_file else opening) + line + b"\n" + http + body)
+                written += 1
             yield pa.record_batch([pa.array(out, pa.binary())], ["value"])
 
-    spread = rows.repartition(files, F.coalesce("id", F.xxhash64("url")))
-    spread.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").option("compression", "gzip").text(path)
+    lines = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
+    lines.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
 def unpack(content: bytes) -> bytes:
@@ -173,7 +173,7 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).where("length > 0").select("content")
+    return spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
 
 
 def _page(header: bytes) -> int | None:
@@ -181,44 +181,42 @@ def _page(header: bytes) -> int | None:
     return int(found) if found is not None else None
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = 1000) -> None:
-    """Convert ARC files to WARC files.
+def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = 1000, per_file: int = 4096) -> None:
+    """Convert ARC files to WARC files of at most ``per_file`` records.
 
     Of records with equal payloads of at least ``least`` bytes that with the largest page number
     is a response and the others, where theirs is smaller, are revisits of it; records of equal
     number are all responses, as are those without a number. Shorter payloads are all responses.
+    Only numbers and digests are shuffled; an archive meets the list of its revisits as a file.
     """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for content in b.column(0).to_pylist():
-                rows = [(_page(header), hashlib.sha1(body).hexdigest()) for r in parse_arc(unpack(content)) for header, body in [http_parts(r.block)] if len(body) >= least]
-                yield pa.record_batch([pa.array([p for p, _ in rows], pa.int64()), pa.array([d for _, d in rows], pa.string())], ["page", "digest"])
+            for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                rows = [(r.offset, page, hashlib.sha1(body).digest()) for r in parse_arc(unpack(content)) for header, body in [http_parts(r.block)]
+                        if len(body) >= least and (page := _page(header)) is not None]
+                offsets, pages, digests = zip(*rows, strict=True) if rows else ((), (), ())
+                yield pa.record_batch(
+                    [pa.array([path] * len(rows), pa.string()), pa.array(offsets, pa.int64()), pa.array(pages, pa.int64()), pa.array(digests, pa.binary())],
+                    ["path", "at", "page", "digest"])
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for content in b.column(0).to_pylist():
-                out: list[list] = [[], [], [], []]
+            for content, at, first in zip(*(b.column(c).to_pylist() for c in ("content", "at", "first")), strict=True):
+                refers, out = dict(zip(at or (), first or (), strict=True)), []
                 for r in parse_arc(unpack(content)):
                     header, body = http_parts(r.block)
-                    for column, value in zip(out, (_page(header), hashlib.sha1(body).hexdigest(), "\n".join(f"{k} {v}" for k, v in r.fields.items()), r.block), strict=True):
-                        column.append(value)
-                kinds = (pa.int64(), pa.string(), pa.string(), pa.binary())
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["page", "digest", "fields", "block"])
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for page, digest, fields, block, first in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-                r = ArcRecord(dict(line.split(" ", 1) for line in fields.split("\n")), block, 0)
-                again = first is not None and page is not None and page < first
-                out.append(warc_record("revisit" if again else "response", r, page, digest, first if again else None))
-            yield pa.record_batch([pa.array(out, pa.binary())], ["value"])
+                    to = refers.get(r.offset)
+                    out.append(warc_record("response" if to is None else "revisit", r, _page(header), hashlib.sha1(body).hexdigest(), to))
+                yield pa.record_batch([pa.array(out, pa.binary())], ["value"])
 
     arcs = _files(spark, arc_path)
-    shared = arcs.mapInArrow(keys, "page long, digest string").groupBy("digest").agg(F.max("page").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first")
-    rows = arcs.mapInArrow(records, "page long, digest string, fields string, block binary").join(shared, "digest", "left").select("page", "digest", "fields", "block", "first")
-    rows.mapInArrow(write, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(warc_path)
+    seen = arcs.mapInArrow(keys, "path string, at long, page long, digest binary")
+    shared = seen.groupBy("digest").agg(F.max("page").alias("first"), F.min("page").alias("least")).where("least < first").select("digest", "first")
+    again = seen.join(shared, "digest").where("page < first")
+    listed = again.groupBy("path").agg(F.collect_list(F.struct("at", "first")).alias("l")).select("path", F.col("l.at").alias("at"), F.col("l.first").alias("first"))
+    records = arcs.join(listed, "path", "left").select("content", "at", "first").mapInArrow(write, "value binary").select(F.col("value").cast("string"))
+    records.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(warc_path)
 
 
 def read_warc(spark: SparkSession, path: str, blocks: bool = False) -> DataFrame:
@@ -231,7 +229,7 @@ def read_warc(spark: SparkSession, path: str, blocks: bool = False) -> DataFrame
         names = ["page_id", "target_uri", "date", "record_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "block"]
         kinds = (pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.int64(), pa.binary())
         for b in batches:
-            for content in b.column(0).to_pylist():
+            for content in b.column("content").to_pylist():
                 out: list[tuple] = []
                 for f, block in parse_warc(unpack(content)):
                     header, body = http_parts(block)
