@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Placeholder local parts, alias providers, street words.
 PLACEHOLDERS = ("noreply", "noemail", "unknown", "guest", "test")
@@ -17,7 +18,7 @@ STREET_WORDS = {"street": "st", "road": "rd", "avenue": "ave", "lane": "ln", "dr
 NON_ASCII = r"[^\x00-\x7F]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fold(values: pd.Series) -> pd.Series:
     """Compatibility form, case-folded, without combining marks, punctuation as blanks."""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinweave.functions.text import first_token
 
@@ -56,7 +57,7 @@ def osa(a: str, b: str) -> int:
     return last[-1]
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _osa(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else osa(x, y) for x, y in zip(a, b, strict=True)], dtype="Int32")
 

@@ -71,7 +71,7 @@ def knn(index: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", ve
     n_index, n_queries = (max(1, -(-d.count() // block)) for d in (index, queries))
     packed = index.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n_index))).groupBy("b").applyInArrow(_pack("b"), "b long, ids array<long>, matrix binary")
     asked = queries.withColumn("q", F.pmod(F.xxhash64("id"), F.lit(n_queries))).groupBy("q").applyInArrow(_pack("q"), "q long, ids array<long>, matrix binary")
-    asked = asked.select(F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.explode(F.sequence(F.lit(0), F.lit(n_index - 1))).cast("long").alias("b"))
+    asked = asked.select(F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_index - 1).cast("long"))).alias("b"))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

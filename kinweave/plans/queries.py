@@ -1,10 +1,8 @@
-"""Named queries of the engine and their DuckDB SQL."""
+"""All named queries of the engine and their DuckDB SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from kinweave.plans import relational, resolution
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {**relational.QUERIES, **resolution.QUERIES}
+ORACLE_SQL = {**relational.ORACLE_SQL, **resolution.ORACLE_SQL}

@@ -55,11 +55,11 @@ def guest_sql(string: str = "STRING") -> str:
       CASE WHEN ck % 3 = 0 THEN concat({s('1 + ck % 20')}, ' Market Street') END AS work_address_line1,
       CASE WHEN ck % 3 = 0 THEN 'Sydney' END AS work_suburb, CASE WHEN ck % 3 = 0 THEN 'NSW' END AS work_state, CASE WHEN ck % 3 = 0 THEN '2000' END AS work_postcode,
       CASE WHEN ck % 3 = 0 THEN 'Australia' END AS work_country, CASE WHEN ck % 3 = 0 THEN concat('Office ', {s('ck % 20')}) END AS company_name,
-      CAST(at AS TIMESTAMP) AS source_updated_at, ck AS person
-    FROM (SELECT ok, ck, at, country, g0, f0,
+      CAST(upd AS TIMESTAMP) AS source_updated_at, ck AS person
+    FROM (SELECT ok, ck, upd, country, g0, f0,
             CASE WHEN ok % 11 = 1 THEN concat(substring(g0, 1, 1), substring(g0, 3)) WHEN ok % 11 = 2 THEN gs WHEN ok % 11 = 3 THEN substring(g0, 1, 1) ELSE g0 END AS given,
             CASE WHEN ok % 13 = 1 THEN upper(f0) WHEN ok % 13 = 2 THEN concat(substring(f0, 1, 2), substring(f0, 4)) WHEN ok % 13 = 3 THEN concat(f0, ' Jones') ELSE f0 END AS family
-          FROM (SELECT o.o_orderkey AS ok, o.o_custkey AS ck, o.o_orderdate AS at, n.n_name AS country, {_pick(GIVEN, 'o.o_custkey % 16')} AS g0, {_pick(SHORT, 'o.o_custkey % 16')} AS gs,
+          FROM (SELECT o.o_orderkey AS ok, o.o_custkey AS ck, o.o_orderdate AS upd, n.n_name AS country, {_pick(GIVEN, 'o.o_custkey % 16')} AS g0, {_pick(SHORT, 'o.o_custkey % 16')} AS gs,
                   {_pick(FAMILY, 'CAST(floor(o.o_custkey / 16) AS BIGINT) % 21')} AS f0
                 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey) base) guest"""
 
