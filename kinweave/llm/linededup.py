@@ -100,7 +100,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lost = repeated_lines(docs, id_col, text_col, min_chars, min_docs)
     names = docs.columns
     at = names.index(text_col)
-    joined = docs.join(lost.select(F.col("id").alias("__id"), "h1s", "h2s"), docs[id_col] == F.col("__id"), "left").drop("__id")
+    joined = docs.join(lost.select(F.col("id").alias("__id"), F.col("h1s").alias("__h1s"), F.col("h2s").alias("__h2s")), docs[id_col] == F.col("__id"), "left").drop("__id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
