@@ -118,9 +118,9 @@ def pairs_of(records: DataFrame) -> DataFrame:
     return blocking.candidate_pairs(blocking.candidate_hits(blocking.blocking_keys(records)))
 
 
-@query(f"WITH {BASE} SELECT record_key, source_system, source_record_id, full_name, personal_email, personal_phone, date_of_birth, home_address_line1, home_postcode, company_name FROM contacts")
+@query(f"WITH {BASE} SELECT record_key, source_system, source_record_id, full_name, personal_email, personal_phone, CAST(date_of_birth AS VARCHAR) AS date_of_birth, home_address_line1, home_postcode, company_name FROM contacts")
 def guest_snapshot(spark, d):
-    return guests(spark, d).select("record_key", "source_system", "source_record_id", "full_name", "personal_email", "personal_phone", "date_of_birth", "home_address_line1", "home_postcode", "company_name")
+    return guests(spark, d).select("record_key", "source_system", "source_record_id", "full_name", "personal_email", "personal_phone", F.col("date_of_birth").cast("string").alias("date_of_birth"), "home_address_line1", "home_postcode", "company_name")
 
 
 @query(f"WITH {BASE} SELECT record_key, name_n, given_key, family_name_n, email_n, work_email_n, phone_n, work_phone_n, home_address_n, work_address_n, postcode_n FROM contacts")
@@ -128,14 +128,14 @@ def normalize_contacts(spark, d):
     return profile.normalize(guests(spark, d), unicode=False).select("record_key", "name_n", "given_key", "family_name_n", "email_n", "work_email_n", "phone_n", "work_phone_n", "home_address_n", "work_address_n", "postcode_n")
 
 
-@query(f"WITH {BASE} SELECT ds AS source_system, dd AS date_of_birth, records, round(share, 6) AS share FROM defaults")
+@query(f"WITH {BASE} SELECT ds AS source_system, CAST(dd AS VARCHAR) AS date_of_birth, records, round(share, 6) AS share FROM defaults")
 def default_dates(spark, d):
-    return profile.default_dates(profile.normalize(guests(spark, d), unicode=False)).select("source_system", "date_of_birth", "records", F.round("share", 6).alias("share"))
+    return profile.default_dates(profile.normalize(guests(spark, d), unicode=False)).select("source_system", F.col("date_of_birth").cast("string").alias("date_of_birth"), "records", F.round("share", 6).alias("share"))
 
 
-@query(f"WITH {BASE} SELECT record_key, dob_usable, dob_is_source_default, source_priority FROM base")
+@query(f"WITH {BASE} SELECT record_key, CAST(dob_usable AS VARCHAR) AS dob_usable, dob_is_source_default, source_priority FROM base")
 def usable_dates(spark, d):
-    return base_of(spark, d).select("record_key", "dob_usable", "dob_is_source_default", "source_priority")
+    return base_of(spark, d).select("record_key", F.col("dob_usable").cast("string").alias("dob_usable"), "dob_is_source_default", "source_priority")
 
 
 @query(f"WITH {PREVALENCE} SELECT * FROM prevalence")
@@ -301,7 +301,7 @@ def er_flagship_decisions(spark, d):
     """Normalise, profile, block on personal contacts, compare names, decide, count."""
     r = records_of(spark, d)
     own = r.select("record_key", "name_n", F.col("dob_usable").alias("dob"), F.explode(F.array(
-        F.struct(F.lit("e").alias("k"), "personal_email_n"), F.struct(F.lit("p"), "personal_phone_n"))).alias("c")).select("record_key", "name_n", "dob", "c.k", F.col("c.personal_email_n").alias("v")).where("v IS NOT NULL")
+        F.struct(F.lit("e").alias("k"), F.col("personal_email_n").alias("v")), F.struct(F.lit("p").alias("k"), F.col("personal_phone_n").alias("v")))).alias("c")).select("record_key", "name_n", "dob", "c.k", "c.v").where("v IS NOT NULL")
     a, b = own.alias("a"), own.alias("b")
     pairs = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.v") == F.col("b.v")) & (F.col("a.record_key") < F.col("b.record_key")))
     pairs = pairs.select(F.col("a.record_key").alias("l"), F.col("b.record_key").alias("r"), F.col("a.name_n").alias("an"), F.col("b.name_n").alias("bn"), F.col("a.dob").alias("ad"), F.col("b.dob").alias("bd")).distinct()
