@@ -101,4 +101,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+SPACE_SQL = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+#: What a learned model, a 64-bit hash, a hashed order or a spaced seed decides has no SQL and is held against brute force in the tests.
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": """
+        WITH payloads AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        tops AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM payloads),
+        judged AS (SELECT *, coalesce(payload_bytes >= 1000 AND page_id < top, false) AS again FROM tops)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN top END AS refers_to FROM judged""",
+    "op6_preference": """
+        WITH said AS (SELECT (conv_id // 2)::BIGINT AS pair_id, conv_id % 2 AS side, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+          FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+        odd AS (SELECT pair_id, turn FROM said GROUP BY pair_id, turn, role, text HAVING count(*) FILTER (WHERE side = 0) <> count(*) FILTER (WHERE side = 1)),
+        ends AS (SELECT pair_id, min(turn) AS prefix_end FROM odd GROUP BY pair_id),
+        placed AS (SELECT said.*, prefix_end, prefix_end IS NULL OR turn < prefix_end AS shared, '<|im_start|>' || role || chr(10) AS head FROM said LEFT JOIN ends USING (pair_id)),
+        parts AS (SELECT *, CASE WHEN shared THEN 'prompt' WHEN side = 0 THEN 'chosen' ELSE 'rejected' END AS part, head || text || '<|im_end|>' || chr(10) AS rendered
+          FROM placed WHERE NOT shared OR side = 0)
+        SELECT pair_id, part, turn, role, rendered,
+          CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(head) ELSE 0 END::BIGINT AS train_from,
+          CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(rendered) ELSE 0 END::BIGINT AS train_to, prefix_end FROM parts""",
+    "op7_linededup": f"""
+        WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        placed AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM cut),
+        keyed AS (SELECT *, translate(trim(line, {SPACE_SQL}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key FROM placed),
+        common AS (SELECT line_key, max(doc_id) AS holder FROM keyed WHERE length(line_key) >= 20 GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3),
+        judged AS (SELECT doc_id, line, place, coalesce(holder <> doc_id, false) AS gone FROM keyed LEFT JOIN common USING (line_key))
+        SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGINT AS n_dropped,
+          sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM judged GROUP BY doc_id""",
+}

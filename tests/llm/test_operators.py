@@ -314,3 +314,18 @@ def test_preference_turns(spark):
         (1, "rejected", 1): ("<|im_start|>assistant\nbad<|im_end|>\n", "bad<|im_end|>\n"), (1, "rejected", 2): ("<|im_start|>user\n<|im_end|>\n", ""),
         (2, "prompt", 0): ("<|im_start|>user\nsame<|im_end|>\n", ""), (3, "chosen", 0): ("<|im_start|>\nalone<|im_end|>\n", "")}
     assert chatfmt.preference_turns(frame.where("false"), pairs).collect() == []
+
+
+@pytest.mark.parametrize("name", ["op2_warc", "op6_preference", "op7_linededup"])
+def test_queries_against_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    from kinweave.llm.queries import ORACLE_SQL, QUERIES
+
+    con = duckdb.connect()
+    for source in ("documents", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {source} AS FROM read_parquet('{SF}/{source}.parquet')")
+    expect = con.execute(ORACLE_SQL[name])
+    names = [c[0] for c in expect.description]
+    got = QUERIES[name](spark, SF)
+    assert sorted(names) == sorted(got.columns)
+    assert Counter(tuple(r) for r in got.select(*names).collect()) == Counter(expect.fetchall())
