@@ -11,6 +11,9 @@ Fingerprints are 64-bit SimHashes of word shingles. Two link when they differ in
    values within the threshold; what meets is verified on all 64 bits;
 4. a bucket of many fingerprints is cut into blocks and its pairs of blocks are spread
    over tasks; a task returns a spanning forest of the links it verified, not the pairs.
+
+A wide distance finds edited copies but lets chance pairs through on 64 bits. Fingerprints of
+further seeds (``checks``) then travel along, and a link must also hold over all their bits.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ CHUNK = 1 << 15
 BLOCK = 1024
 #: Cost of shuffling one index or probe row, and of verifying one pair, in the planner.
 ROW_COST, PAIR_COST = 1.0, 0.01
+#: Texts whose five-word shingles are 0.8 similar: bits of the fingerprint, further fingerprints, bits of all of them.
+SIMILAR = {"shingle": 5, "max_distance": 14, "checks": 2, "max_total": 40}
 
 
 def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
@@ -53,15 +58,23 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``(id, fp)``: the fingerprint of every row as a signed 64-bit integer."""
+def _names(checks: int) -> list[str]:
+    """The fingerprint's column and those of further seeds."""
+    return ["fp", *(f"c{k}" for k in range(1, checks + 1))]
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, checks: int = 0) -> DataFrame:
+    """``(id, fp, c1, ...)``: the fingerprint of every row as a signed 64-bit integer, and those of the next ``checks`` seeds."""
+    names = _names(checks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [fingerprint(t, shingle, seed) for t in b.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.record_batch([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["id", "fp"])
+            texts = b.column(1).cast(pa.binary()).to_pylist()
+            fps = np.array([[fingerprint(t, shingle, seed + k) for k in range(len(names))] for t in texts], np.uint64).reshape(-1, len(names))
+            yield pa.record_batch([b.column(0), *(pa.array(fps[:, k].copy().view(np.int64)) for k in range(len(names)))], ["id", *names])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    return rows.mapInArrow(run, "id long, " + ", ".join(f"{c} long" for c in names))
 
 
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -156,23 +169,25 @@ def plan(n: int, together: np.ndarray, max_distance: int) -> list[tuple[list[int
     return best[1]
 
 
-def _entries(parts: list[tuple[list[int], int]]):
+def _entries(parts: list[tuple[list[int], int]], names: list[str]):
+    """Index and probe rows of rows ``(*names, rep)``, whose first column is the fingerprint."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp, rep = (np.ascontiguousarray(b.column(i).to_numpy(zero_copy_only=False)) for i in (0, 1))
-            u = fp.view(np.uint64)
+            kept = [np.ascontiguousarray(c.to_numpy(zero_copy_only=False)) for c in b.columns]
+            u = kept[0].view(np.uint64)
             for i, (bits, t) in enumerate(parts):
                 value = np.zeros(len(u), np.uint64)
                 for k, bit in enumerate(bits):
                     value |= ((u >> np.uint64(bit)) & np.uint64(1)) << np.uint64(k)
                 key = value | np.uint64(i << 58)
-                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(fp), pa.array(rep), pa.array(np.zeros(len(u), bool))], ["key", "fp", "rep", "probe"])
+                yield pa.record_batch([pa.array(key.view(np.int64)), *map(pa.array, kept), pa.array(np.zeros(len(u), bool))], ["key", *names, "rep", "probe"])
                 for k in range(1, t + 1):
                     for flip in combinations(range(len(bits)), k):
                         # of two values that differ in these bits exactly one has 0 in the lowest
                         own = (value >> np.uint64(flip[0])) & np.uint64(1) == 0
                         to = (key ^ np.uint64(sum(1 << x for x in flip)))[own]
-                        yield pa.record_batch([pa.array(to.view(np.int64)), pa.array(fp[own]), pa.array(rep[own]), pa.array(np.ones(len(to), bool))], ["key", "fp", "rep", "probe"])
+                        yield pa.record_batch([pa.array(to.view(np.int64)), *(pa.array(c[own]) for c in kept), pa.array(np.ones(len(to), bool))], ["key", *names, "rep", "probe"])
 
     return run
 
@@ -193,8 +208,24 @@ def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[child], nodes[root[child]]
 
 
-def _verify(max_distance: int):
-    def links(fp: np.ndarray, rep: np.ndarray, probe: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+def span(near: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links with the components of the matrix ``near`` of links between ``rows`` and ``columns``, no more than these."""
+    met = np.flatnonzero(near.any(axis=0))
+    near = near[:, met].astype(np.float32)
+    child, root = local_forest(*np.nonzero(np.triu(near @ near.T, 1)))  # rows that share a column
+    return np.concatenate([rows[near.argmax(axis=0)], rows[child]]), np.concatenate([columns[met], rows[root]])
+
+
+def _verify(max_distance: int, names: list[str], max_total: int | None):
+    def links(fps: np.ndarray, rep: np.ndarray, probe: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        fp = fps[0]
+
+        def surely(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """Of rows near on their fingerprints: those near on all bits."""
+            if max_total is None:
+                return np.ones(len(a), bool)
+            return sum(np.bitwise_count(f[a] ^ f[b]).astype(np.int16) for f in fps) <= max_total
+
         for s in np.unique(sizes[sizes > 1]):
             at = starts[sizes == s]
             if s <= 32:
@@ -203,15 +234,19 @@ def _verify(max_distance: int):
                     g = fp[rows]
                     near = np.bitwise_count(g[:, :, None] ^ g[:, None, :]) <= max_distance
                     k, i, j = np.nonzero(near & (np.arange(s)[:, None] < np.arange(s)))
-                    yield rep[rows[k, i]], rep[rows[k, j]]
+                    a, b = rows[k, i], rows[k, j]
+                    sure = surely(a, b)
+                    yield rep[a[sure]], rep[b[sure]]
             else:
                 for start in at:
                     rows = np.arange(start, start + s)
                     held = rows[~probe[rows]]
                     for lo in range(0, len(held), 256):
                         part = held[lo : lo + 256]
-                        i, j = np.nonzero(np.bitwise_count(fp[part][:, None] ^ fp[rows][None, :]) <= max_distance)
-                        yield local_forest(rep[part[i]], rep[rows[j]])
+                        near = np.bitwise_count(fp[part][:, None] ^ fp[rows][None, :]) <= max_distance
+                        i, j = np.nonzero(near)
+                        near[i, j] = surely(part[i], rows[j])
+                        yield span(near, rep[part], rep[rows])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -228,9 +263,9 @@ def _verify(max_distance: int):
             yield from emit(rest, np.array([0]), len(rest))
 
     def emit(t: pa.Table, starts: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
-        fp = np.ascontiguousarray(t.column("fp").to_numpy()).view(np.uint64)
+        fps = np.stack([t.column(c).to_numpy() for c in names]).view(np.uint64)
         rep, probe = t.column("rep").to_numpy(), t.column("probe").to_numpy()
-        found = list(links(fp, rep, probe, starts, np.diff(np.append(starts, n))))
+        found = list(links(fps, rep, probe, starts, np.diff(np.append(starts, n))))
         if found:
             a, b = local_forest(*(np.concatenate(x) for x in zip(*found, strict=True)))
             if len(a):
@@ -239,42 +274,53 @@ def _verify(max_distance: int):
     return run
 
 
-def near_links(distinct: DataFrame, max_distance: int = 3, block: int = BLOCK) -> DataFrame:
-    """``(src, dst)`` links that span the components of distinct fingerprints ``(fp, rep)`` at ``max_distance``."""
+def near_links(distinct: DataFrame, max_distance: int = 3, block: int = BLOCK, max_total: int | None = None) -> DataFrame:
+    """``(src, dst)`` links that span the components of distinct fingerprints ``(fp, rep)`` at ``max_distance``.
+
+    With ``max_total``, rows are ``(fp, c1, ..., rep)`` and links must also differ in at most so many bits of all fingerprints.
+    """
     n, together = bit_statistics(distinct)
     parts = plan(n, together, max_distance)
-    entries = distinct.select("fp", "rep").mapInArrow(_entries(parts), "key long, fp long, rep long, probe boolean")
+    names = [c for c in distinct.columns if c != "rep"]
+    entries = distinct.select(*names, "rep").mapInArrow(_entries(parts, names), "key long, " + ", ".join(f"{c} long" for c in names) + ", rep long, probe boolean")
     large = entries.groupBy("key").count().where(F.col("count") > block).select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
     dealt = (
         entries.join(large, "key", "left")
         .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64(*names), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "fp", "rep", "probe"))
+        .select("key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), *names, "rep", "probe"))
     return (dealt.repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2")
-            .mapInArrow(_verify(max_distance), "src long, dst long"))
+            .mapInArrow(_verify(max_distance, names, max_total), "src long, dst long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_distance: int = 3,
-                    shingle: int = 3, seed: int = 42, block: int = BLOCK) -> DataFrame:
+                    shingle: int = 3, seed: int = 42, block: int = BLOCK, checks: int = 0, max_total: int | None = None) -> DataFrame:
     """``(id, fp, component)`` for every row: the smallest id reachable over near fingerprints.
 
+    With ``max_total``, the fingerprints of the next ``checks`` seeds count too: a link then
+    differs in at most ``max_distance`` bits of the first and ``max_total`` of all.
+
     Equal fingerprints link at distance 0, so texts without words (null, empty, blank) form
     one group under fingerprint 0. Rows with a null id keep their fingerprint and get a null
     component. Repeated rows are all returned, in the same component. Other columns are not
     read. No rows give no rows.
     """
-    fps = materialize(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
-    distinct = materialize(fps.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("rep")), "distinct")
-    labels = connected_components(near_links(distinct, max_distance, block))
+    names = _names(checks)
+    fps = materialize(fingerprints(docs, id_col, text_col, shingle, seed, checks), "fingerprints")
+    distinct = materialize(fps.where("id IS NOT NULL").groupBy(*names).agg(F.min("id").alias("rep")), "distinct")
+    labels = connected_components(near_links(distinct, max_distance, block, max_total))
     classes = (distinct.join(labels, F.col("rep") == F.col("node"), "left")
-               .select("fp", F.coalesce("component", "rep").alias("component")))
-    return (fps.join(classes, "fp", "left")
+               .select(*names, F.coalesce("component", "rep").alias("component")))
+    return (fps.join(classes, names, "left")
             .select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component")))
 
 
-def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_distance: int = 3) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group, that with the smallest id. Rows with a null id stay."""
-    groups = near_duplicates(docs, id_col, text_col, max_distance)
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group, that with the smallest id. Rows with a null id stay.
+
+    Groups are those of ``near_duplicates`` with ``options``; without any, of ``SIMILAR`` texts.
+    """
+    groups = near_duplicates(docs, id_col, text_col, **(options or SIMILAR))
     gone = groups.where("id <> component").select(F.col("id").alias(id_col)).distinct()
     return docs.join(gone, id_col, "left_anti")

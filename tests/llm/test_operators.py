@@ -83,6 +83,52 @@ def test_near_links_find_every_component(spark, distance):
     assert {i: found.get(i, i) for i in fps} == components(fps, distance)
 
 
+@pytest.mark.parametrize("block", [8, 1024])
+def test_near_links_over_all_bits(spark, block):
+    """Edited copies at a wide distance, against brute force over the bits of all three fingerprints."""
+    rng = np.random.default_rng(block)
+    centres, rows = rng.integers(0, 2**64, (6, 3), dtype=np.uint64), []
+    for c in centres:
+        for _ in range(40):
+            flips = [sum(1 << int(b) for b in set(rng.integers(0, 64, rng.integers(0, 11)).tolist())) for _ in range(3)]
+            rows.append([int(x) ^ f for x, f in zip(c, flips, strict=True)])
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, x in enumerate(rows):
+        for j in range(i):
+            bits = [(p ^ q).bit_count() for p, q in zip(x, rows[j], strict=True)]
+            if bits[0] <= 14 and sum(bits) <= 20:
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    from kinweave.operators.components import connected_components
+
+    table = spark.createDataFrame([(*(int(np.uint64(v).astype(np.int64)) for v in x), i) for i, x in enumerate(rows)], "fp long, c1 long, c2 long, rep long")
+    links = simhash.near_links(table, 14, block=block, max_total=20)
+    found = {r.node: r.component for r in connected_components(links).collect()}
+    assert [found.get(i, i) for i in range(len(rows))] == [root(i) for i in range(len(rows))]
+    assert 6 < len(set(map(root, range(len(rows)))))
+
+
+def test_similar_texts_are_caught(spark):
+    """Copies with a few words changed are 0.8 similar and go; texts of other words stay."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(5000)]
+    own = [[words[i] for i in rng.integers(0, 5000, 400)] for _ in range(20)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(own)]
+    for i, t in enumerate(own[:10]):
+        t = list(t)
+        for at in (50, 200, 350):  # 15 of 396 shingles: similarity 0.93
+            t[at] = "changed"
+        rows.append((100 + i, " ".join(t)))
+    kept = simhash.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == set(range(20))
+
+
 def test_plan_keeps_the_pigeonhole_bound():
     rng = np.random.default_rng(1)
     bits = rng.integers(0, 2, (500, 64))

@@ -23,7 +23,7 @@ def test_stages(spark):
         if name in ("lines", "mixture"):
             assert set(after) == before
         if name == "near_copies":
-            groups = simhash.near_duplicates(docs).collect()
+            groups = simhash.near_duplicates(docs, **simhash.SIMILAR).collect()
             assert set(after) == {r.id for r in groups if r.id == r.component}
         if name == "benchmark":
             hit = {r.doc_id for r in decontam.contaminated(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
