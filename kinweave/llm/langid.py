@@ -43,9 +43,9 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed character n-grams of orders 1 to 4 of all words, and where each word's begin.
 
     A word is written ^word$, so that the n-grams which hold a mark are its affixes of up to
-    three characters. Characters after the 62nd of a word are not looked at.
+    three characters. A word of any length is read to its end.
     """
-    chars = np.frombuffer("".join(f"\x02{w[:62]}\x03" for w in words).encode("utf-32-le"), "<u4").astype(np.uint64)
+    chars = np.frombuffer("".join(f"\x02{w}\x03" for w in words).encode("utf-32-le"), "<u4").astype(np.uint64)
     owner = np.cumsum(chars == 2) - 1
     h, codes, owners = np.zeros(len(chars), np.uint64), [], []
     for k in range(1, 5):
