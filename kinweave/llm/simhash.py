@@ -39,7 +39,7 @@ BLOCK = 1024
 #: Cost of shuffling one index or probe row, and of verifying one pair, in the planner.
 ROW_COST, PAIR_COST = 1.0, 0.01
 #: Texts whose five-word shingles are 0.8 similar: bits of the fingerprint, further fingerprints, bits of all of them.
-SIMILAR = {"shingle": 5, "max_distance": 14, "checks": 2, "max_total": 40}
+SIMILAR = {"shingle": 5, "max_distance": 14, "checks": 2, "max_total": 40, "block": 1 << 14}
 
 
 def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
