@@ -14,6 +14,9 @@ Fingerprints are 64-bit SimHashes of word shingles. Two link when they differ in
 
 A wide distance finds edited copies but lets chance pairs through on 64 bits. Fingerprints of
 further seeds (``checks``) then travel along, and a link must also hold over all their bits.
+
+With ``similarity`` the bits only find candidates: inside each group they link, the sets of
+shingles themselves are compared, and only links of that Jaccard similarity make components.
 """
 
 from __future__ import annotations
@@ -38,8 +41,11 @@ CHUNK = 1 << 15
 BLOCK = 1024
 #: Cost of shuffling one index or probe row, and of verifying one pair, in the planner.
 ROW_COST, PAIR_COST = 1.0, 0.01
-#: Texts whose five-word shingles are 0.8 similar: bits of the fingerprint, further fingerprints, bits of all of them.
-SIMILAR = {"shingle": 5, "max_distance": 14, "checks": 2, "max_total": 40, "block": 1 << 14}
+#: Shingles of a block of a candidate group; a larger group is compared block by block.
+SET_BLOCK = 1 << 19
+#: Texts whose sets of five-word shingles are 0.8 similar. Candidates: bits of the fingerprint, further fingerprints, bits
+#: of all of them (at 0.8 similarity 29 of 192 are expected, with a deviation of 5).
+SIMILAR = {"shingle": 5, "max_distance": 14, "checks": 2, "max_total": 48, "block": 1 << 14, "similarity": 0.8}
 
 
 def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
@@ -58,6 +64,28 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
+def shingle_set(text: bytes | None, shingle: int = 3, seed: int = 42) -> np.ndarray:
+    """Distinct shingle hashes of a UTF-8 text, sorted. Fewer words than a shingle has are one; no words are none."""
+    words = (text or b"").lower().split()
+    if 0 < len(words) < shingle:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed)], np.uint64)
+    shingles = map(b" ".join, zip(*(islice(words, k, None) for k in range(shingle)), strict=False))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.uint64, max(0, len(words) - shingle + 1)))
+
+
+def set_fingerprint(hashes: np.ndarray, k: int = 0) -> int:
+    """SimHash of a set of hashes, each counted once; ``k`` mixes them anew, as another seed would."""
+    if k:
+        hashes = hashes + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        hashes = (hashes ^ hashes >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        hashes = (hashes ^ hashes >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        hashes = hashes ^ hashes >> np.uint64(31)
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), CHUNK):
+        ones += np.unpackbits(hashes[at : at + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
+
+
 def _names(checks: int) -> list[str]:
     """The fingerprint's column and those of further seeds."""
     return ["fp", *(f"c{k}" for k in range(1, checks + 1))]
@@ -77,6 +105,23 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "id long, " + ", ".join(f"{c} long" for c in names))
 
 
+def set_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, checks: int = 0) -> DataFrame:
+    """``(id, fp, c1, ..., digest)`` like ``fingerprints``, of the set of shingles; ``digest`` is equal where the sets are."""
+    names = _names(checks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for t in b.column(1).cast(pa.binary()).to_pylist():
+                h = shingle_set(t, shingle, seed)
+                rows.append([*(set_fingerprint(h, k) for k in range(len(names))), xxhash.xxh64_intdigest(h.tobytes(), seed)])
+            fps = np.array(rows, np.uint64).reshape(-1, len(names) + 1)
+            yield pa.record_batch([b.column(0), *(pa.array(fps[:, k].copy().view(np.int64)) for k in range(fps.shape[1]))], ["id", *names, "digest"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    return rows.mapInArrow(run, "id long, " + ", ".join(f"{c} long" for c in [*names, "digest"]))
+
+
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
     """Rows of ``fps`` and the 64 x 64 counts of bits set together (4096 numbers, whatever the input)."""
 
@@ -294,25 +339,93 @@ def near_links(distinct: DataFrame, max_distance: int = 3, block: int = BLOCK, m
             .mapInArrow(_verify(max_distance, names, max_total), "src long, dst long"))
 
 
+def similar_sets(ids: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links ``(id, root)`` that span the components of non-empty ``sets`` whose Jaccard similarity is at least ``similarity``.
+
+    Found sets are compared with what no component holds yet, so tight groups cost little more than their size.
+    """
+    sizes = np.array([len(x) for x in sets])
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    has = np.zeros(len(values), np.int32)
+    left, flat, out = np.arange(len(sets)), codes, []
+    while len(left):
+        root = left[0]
+        queue, left, flat = [root], left[1:], flat[sizes[root] :]
+        while queue and len(left):
+            i = queue.pop()
+            own = codes[ends[i] - sizes[i] : ends[i]]
+            has[own] = 1
+            n = sizes[left]
+            both = np.add.reduceat(has[flat], np.cumsum(n) - n)
+            has[own] = 0
+            near = both >= similarity * (n + sizes[i] - both) - 1e-9
+            if near.any():
+                queue.extend(left[near])
+                out.append((ids[left[near]], np.full(int(near.sum()), ids[root])))
+                left, flat = left[~near], flat[np.repeat(~near, n)]
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (none, none)
+
+
+def similar_links(docs: DataFrame, groups: DataFrame, similarity: float, id_col: str = "doc_id", text_col: str = "text",
+                  shingle: int = 3, seed: int = 42, block: int = SET_BLOCK) -> DataFrame:
+    """``(src, dst)`` links that span the components, within each candidate group ``(node, component)`` of ids, of exact similarity.
+
+    A group of more than ``block`` shingles is cut into blocks of about that size, and each pair of blocks is a task's.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                found = [shingle_set(t, shingle, seed).view(np.int64) for t in part.column(2).cast(pa.binary()).to_pylist()]
+                yield pa.record_batch([part.column(0), part.column(1), pa.array([len(h) for h in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["component", "id", "n", "set"])
+
+    def links(t: pa.Table) -> pa.Table:
+        column = t.column("set").combine_chunks()
+        src, dst = similar_sets(t.column("id").to_numpy(), [x.values.to_numpy().view(np.uint64) for x in column], similarity)
+        return pa.table({"src": src, "dst": dst})
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    held = rows.join(groups, F.col("id") == F.col("node")).select("component", "id", "t")
+    held = materialize(held.mapInArrow(sets, "component long, id long, n long, set array<long>").where("n > 0"), "sets")
+    large = held.groupBy("component").agg(F.sum("n").alias("n")).where(F.col("n") > block).select("component", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    dealt = (
+        held.join(large, "component", "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("own <> other OR blocks = 1")
+        .select("component", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "id", "set"))
+    return dealt.groupBy("component", "b1", "b2").applyInArrow(links, "src long, dst long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_distance: int = 3,
-                    shingle: int = 3, seed: int = 42, block: int = BLOCK, checks: int = 0, max_total: int | None = None) -> DataFrame:
+                    shingle: int = 3, seed: int = 42, block: int = BLOCK, checks: int = 0, max_total: int | None = None, similarity: float | None = None) -> DataFrame:
     """``(id, fp, component)`` for every row: the smallest id reachable over near fingerprints.
 
     With ``max_total``, the fingerprints of the next ``checks`` seeds count too: a link then
     differs in at most ``max_distance`` bits of the first and ``max_total`` of all.
 
+    With ``similarity``, such links only propose groups. Inside one, two texts link when the sets
+    of their shingles have that Jaccard similarity, and ``fp`` is the fingerprint of the set.
+
     Equal fingerprints link at distance 0, so texts without words (null, empty, blank) form
     one group under fingerprint 0. Rows with a null id keep their fingerprint and get a null
     component. Repeated rows are all returned, in the same component. Other columns are not
     read. No rows give no rows.
     """
     names = _names(checks)
-    fps = materialize(fingerprints(docs, id_col, text_col, shingle, seed, checks), "fingerprints")
-    distinct = materialize(fps.where("id IS NOT NULL").groupBy(*names).agg(F.min("id").alias("rep")), "distinct")
-    labels = connected_components(near_links(distinct, max_distance, block, max_total))
+    exact = similarity is not None
+    key = [*names, "digest"] if exact else names
+    fps = materialize((set_fingerprints if exact else fingerprints)(docs, id_col, text_col, shingle, seed, checks), "fingerprints")
+    distinct = materialize(fps.where("id IS NOT NULL").groupBy(*key).agg(F.min("id").alias("rep")), "distinct")
+    labels = connected_components(near_links(distinct.select(*names, "rep"), max_distance, block, max_total))
+    if exact:
+        labels = connected_components(similar_links(docs, labels, similarity, id_col, text_col, shingle, seed))
     classes = (distinct.join(labels, F.col("rep") == F.col("node"), "left")
-               .select(*names, F.coalesce("component", "rep").alias("component")))
-    return (fps.join(classes, names, "left")
+               .select(*key, F.coalesce("component", "rep").alias("component")))
+    return (fps.join(classes, key, "left")
             .select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component")))
 
 

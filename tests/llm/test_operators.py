@@ -129,6 +129,49 @@ def test_similar_texts_are_caught(spark):
     assert {r.doc_id for r in kept.collect()} == set(range(20))
 
 
+def test_near_copies_against_brute_force_jaccard(spark):
+    """Groups are the components of exact five-word similarity 0.8: pairs of 0.65 to 0.8 that the bits link stay apart."""
+    rng = np.random.default_rng(11)
+    rows, texts = [], {}
+    for c in range(12):
+        own = [f"w{i}" for i in rng.integers(0, 5000, 300)]
+        texts[10 * c] = own
+        for k, edits in enumerate((3, 6, 9, 11, 13, 15), 1):
+            t = list(own)
+            for at in rng.choice(300, edits, replace=False):
+                t[at] = f"x{rng.integers(10**6)}"
+            texts[10 * c + k] = t
+    for k, n in ((500, 40), (501, 40)):  # one shingle many times over, all others of their own
+        texts[k] = ["z"] * 3000 + [f"y{i}" for i in rng.integers(0, 10**6, n)]
+    shingles = {i: set(zip(*(t[k:] for k in range(5)))) for i, t in texts.items()}
+    parent = {i: i for i in texts}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    between = 0
+    for i in texts:
+        for j in texts:
+            if i < j:
+                both = len(shingles[i] & shingles[j])
+                like = both / (len(shingles[i]) + len(shingles[j]) - both)
+                between += 0.65 <= like < 0.8
+                if like >= 0.8:
+                    a, b = sorted((root(i), root(j)))
+                    parent[b] = a
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    got = {r.id: r.component for r in simhash.near_duplicates(frame, **simhash.SIMILAR).collect()}
+    assert got == {i: root(i) for i in texts} and between > 20 and len(set(got.values())) < len(got) - 20
+    whole = frame.select(F.col("doc_id").alias("node"), F.lit(0).cast("long").alias("component"))
+    from kinweave.operators.components import connected_components
+
+    links = simhash.similar_links(frame, whole, 0.8, shingle=5, block=3000)  # block by block
+    found = {r.node: r.component for r in connected_components(links).collect()}
+    assert {i: found.get(i, i) for i in texts} == got
+
+
 def test_plan_keeps_the_pigeonhole_bound():
     rng = np.random.default_rng(1)
     bits = rng.integers(0, 2, (500, 64))
