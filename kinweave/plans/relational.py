@@ -307,3 +307,11 @@ def connected_components(spark, d):
 
     edges = t(spark, d, "lineitem").where("l_orderkey % 50 = 0").select(F.col("l_partkey").alias("src"), (-F.col("l_suppkey")).alias("dst"))
     return cc(edges)
+
+
+@query()
+def connected_components_whole(spark, d):
+    """``connected_components`` over all edges of lineitem; a recursive query would hold every pair of a component."""
+    from kinweave.operators.components import connected_components as cc
+
+    return cc(t(spark, d, "lineitem").select(F.col("l_partkey").alias("src"), (-F.col("l_suppkey")).alias("dst")))

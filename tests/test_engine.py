@@ -168,6 +168,31 @@ def test_outbox_lands_once(spark, tmp_path):
     assert spark.read.schema(EVENT_SCHEMA).json(f"file://{tmp_path}/log").count() == 1
 
 
+@pytest.mark.parametrize("data", ["fixture", "sf"])
+def test_components_query_reads_every_edge(spark, tmp_path, data):
+    from kinweave.plans.queries import QUERIES
+
+    folder = SF
+    if data == "fixture":
+        folder = str(tmp_path)
+        rows = [(51, 1, 1), (51, 2, 1), (7, 2, 2), (50, 3, 3), (99, 4, 3), (100, 5, 4), (3, None, 9), (3, 5, 4)]
+        spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{folder}/lineitem.parquet")
+    edges = [(r[0], -r[1]) for r in spark.read.parquet(f"{folder}/lineitem.parquet").select("l_partkey", "l_suppkey").collect() if r[0] is not None and r[1] is not None]
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    got = QUERIES["connected_components_whole"](spark, folder).collect()
+    assert len(got) == len(parent) and {r.node: r.component for r in got} == {x: root(x) for x in parent}
+
+
 def test_entry_module():
     import __spark_entry__ as e
 
