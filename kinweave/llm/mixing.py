@@ -3,8 +3,10 @@
 The mix is a sequence of equal-token slots. Slot k's golden-ratio point, read through the
 cumulative weights, names its source; slots are ranked per source. Each source's documents
 are put in hashed order and cut into blocks of equal tokens, repeated at most
-``max_repeat`` times; the block of rank r fills the source's slot of rank r. Ranks and
-token positions are two-level prefix sums, so that no source is one task's work.
+``max_repeat`` times; the block of rank r fills the source's slot of rank r. The schedule
+comes within a few slots of a target: slots a source lacks follow at its end, those it has
+too many stay empty, and the last is cut to the words still owed. Ranks and token positions
+are two-level prefix sums, so that no source is one task's work.
 """
 
 from __future__ import annotations
@@ -73,7 +75,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     ``size`` counts words (0 for a null or blank text), ``target`` is the source's share in
     words, ``taken`` the words the mix takes of the row, repeats counted; at most
-    ``max_repeat * size``. Rows of no words take 0. A null source is a source. Repeated rows
+    ``max_repeat * size``. The words taken of a source are its target, rounded, whatever the
+    input's size. Rows of no words take 0. A null source is a source. Repeated rows
     are documents of their own. Reruns agree: the order is a hash of the id. Other columns
     are not read. No rows give no rows.
     """
@@ -92,9 +95,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     slots = schedule(spark, [goal[s] for s in order], ceil(total / block))
     slots = materialize(slots, "slots")
     wide = {r.src: r.n for r in slots.groupBy("src").agg(F.count(F.lit(1)).alias("n")).collect()}
+    owed = [round(goal[s]) for s in order]
+    need = [ceil(w / block) for w in owed]
+    lacking = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("src"), F.lit(wide.get(i, 0)).cast("long").alias("lo"), F.lit(n).cast("long").alias("hi")) for i, n in enumerate(need)])))
+    lacking = lacking.where("lo < hi").select("src", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("rank"))
     sources = spark.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(s).cast("string").alias("s"), F.lit(i).alias("src"), F.lit(stats[s][0]).cast("long").alias("source_size"),
-                 F.lit(goal[s]).alias("target"), F.lit(wide.get(i, 0)).cast("long").alias("n_slots")) for i, s in enumerate(order)])))
+                 F.lit(goal[s]).alias("target"), F.lit(need[i]).cast("long").alias("n_slots"), F.lit(owed[i]).cast("long").alias("owed")) for i, s in enumerate(order)])))
     known = sized.join(sources, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     bits = max(1, ceil(log2(max(2, rows / RUN))))
     keyed = known.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn("run", F.shiftrightunsigned("h", 64 - bits))
@@ -104,10 +112,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     starts = placed.where("size > 0").withColumn("start", F.explode(F.array(*[F.col("start") + e * F.col("source_size") for e in range(max_repeat)])))
     first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
     pieces = (
-        starts.withColumn("lo", first).where("lo < n_slots")
+        starts.where("start < owed").withColumn("lo", first)
         .withColumn("rank", F.explode(F.sequence("lo", F.least(last, F.col("n_slots") - 1))))
-        .withColumn("part", F.least(F.col("start") + F.col("size"), (F.col("rank") + 1) * block) - F.greatest(F.col("start"), F.col("rank") * block)))
+        .withColumn("part", F.least(F.col("start") + F.col("size"), (F.col("rank") + 1) * block, F.col("owed")) - F.greatest(F.col("start"), F.col("rank") * block)))
     key = ["src", "run", "rn", "doc_id", "source", "size", "source_size", "target"]
-    filled = pieces.join(slots.select("src", "rank"), ["src", "rank"]).select(*key, "part")
+    filled = pieces.join(slots.select("src", "rank").union(lacking), ["src", "rank"]).select(*key, "part")
     every = filled.unionByName(placed.select(*key, F.lit(0).cast("long").alias("part")))
     return every.groupBy(*key).agg(F.sum("part").alias("taken")).select("doc_id", "source", "size", "source_size", "target", "taken")

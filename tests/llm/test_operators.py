@@ -238,6 +238,20 @@ def test_mixing(spark, docs, none):
     assert all(abs(n - t) <= 12 * block for (_, t), n in taken.items())
 
 
+def test_mixing_small_sources_meet_their_targets(spark, monkeypatch):
+    """Targets below a block, as on large inputs: with 16 slots a block is about 640 words."""
+    monkeypatch.setattr(mixing, "SLOTS", 16)
+    sizes = {"a": 9000, "b": 150, "c": 90, "d": 7, "e": 700, "f": 300}
+    rows = [(100 * k + i, " ".join(["w"] * (n // 5 + (i < n % 5))), s) for k, (s, n) in enumerate(sizes.items()) for i in range(5)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, target = defaultdict(int), {}
+    for r in got:
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert len(got) == len(rows) and all(abs(taken[s] - target[s]) <= 0.5 for s in sizes) and taken["d"] == 21
+
+
 def test_language(spark, docs, none):
     d = table(spark, "documents")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
