@@ -168,6 +168,14 @@ def json_and_case(spark, d):
     return e.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), level.alias("level"))
 
 
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE WHEN value > 50 THEN 'high' WHEN value IS NULL THEN 'none' ELSE 'low' END AS level, value BETWEEN 10 AND 50 AS middling FROM events WHERE event_type LIKE '%i%'")
+def json_and_case_whole(spark, d):
+    """``json_and_case`` over all events; BETWEEN is shown on a value."""
+    level = F.when(F.col("value") > 50, "high").when(F.col("value").isNull(), "none").otherwise("low")
+    e = t(spark, d, "events").where(F.col("event_type").like("%i%"))
+    return e.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), level.alias("level"), F.col("value").between(10, 50).alias("middling"))
+
+
 @query("SELECT c_custkey, c_mktsegment, CAST(NULL AS DOUBLE) AS absent FROM customer")
 def projections(spark, d):
     c = t(spark, d, "customer")

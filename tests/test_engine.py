@@ -193,6 +193,17 @@ def test_components_query_reads_every_edge(spark, tmp_path, data):
     assert len(got) == len(parent) and {r.node: r.component for r in got} == {x: root(x) for x in parent}
 
 
+def test_json_and_case_reads_every_event(spark):
+    duckdb = pytest.importorskip("duckdb")
+    from kinweave.plans.queries import ORACLE_SQL, QUERIES
+
+    con, name = duckdb.connect(), "json_and_case_whole"
+    con.execute(f"CREATE VIEW events AS FROM read_parquet('{SF}/events.parquet')")
+    got = [tuple(r) for r in QUERIES[name](spark, SF).select("event_id", "k", "level", "middling").collect()]
+    assert sorted(got, key=str) == sorted(con.execute(ORACLE_SQL[name]).fetchall(), key=str)
+    assert len(got) == con.execute("SELECT count(*) FROM events WHERE event_type LIKE '%i%'").fetchone()[0]
+
+
 def test_entry_module():
     import __spark_entry__ as e
 
