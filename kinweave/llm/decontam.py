@@ -5,6 +5,9 @@ keeps, so two windows collide although the tokens it ignores differ. Document wi
 first looked up in a bit map of the test hashes (fixed size), then joined to them by hash;
 around every hit the item and the document are laid on each other and the overlap is
 counted token by token, substitutions included.
+
+An item too short for a stretch must agree as a whole. It is cut into one piece more than the
+tokens it may differ in, so that one piece at least is found as it stands; masks are not used.
 """
 
 from __future__ import annotations
@@ -29,32 +32,47 @@ _U = np.uint64
 
 
 def window_hashes(tokens: np.ndarray, mask: int) -> np.ndarray:
-    """Hash of the window at every position, over the positions that ``MASKS[mask]`` keeps."""
-    kept = [i for i, c in enumerate(MASKS[mask]) if c == "1"]
-    n = len(tokens) - len(MASKS[mask]) + 1
+    """Hash of the window at every position, over the positions that ``MASKS[mask]`` keeps; of -mask tokens if it is negative."""
+    kept = [i for i, c in enumerate(MASKS[mask]) if c == "1"] if mask >= 0 else range(-mask)
+    n = len(tokens) - (len(MASKS[mask]) if mask >= 0 else -mask) + 1
     if n <= 0:
         return np.zeros(0, _U)
-    h = np.full(n, mask + 1, _U)
+    h = np.full(n, mask + 1 if mask >= 0 else len(MASKS) - mask, _U)
     for i in kept:
         h = (h ^ tokens[i : i + n]) * _U(0x9E3779B97F4A7C15)
         h ^= h >> _U(29)
     return h
 
 
+def pieces(n: int, similarity: float) -> list[int]:
+    """Bounds of the pieces of an item of ``n`` tokens: one more than the tokens that may differ, as far as there are tokens."""
+    parts = min(n, int((1 - similarity) * n + 1e-9) + 1)
+    return [n * k // parts for k in range(parts + 1)] if n else [0]
+
+
 def _slots(h, bits: int):
     """Two positions in the bit map."""
     return h >> _U(64 - bits), (h * _U(0xD6E8FEB86659FD93)) >> _U(64 - bits)
 
 
-def _item_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for item, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
-            tokens = np.array([h for w in (text or b"").split() if (h := plain_hash(w))], _U)
-            h = [window_hashes(tokens, m) for m in range(len(MASKS))]
-            at = np.concatenate([np.arange(len(x), dtype=np.int32) for x in h])
-            yield pa.record_batch(
-                [pa.array([item], pa.int64()), pa.array([tokens.view(np.int64)], pa.list_(pa.int64())), pa.array([np.concatenate(h).view(np.int64)], pa.list_(pa.int64())), pa.array([at], pa.list_(pa.int32()))],
-                ["item", "tokens", "hashes", "at"])
+def _item_hashes(min_tokens: int, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                tokens = np.array([h for w in (text or b"").split() if (h := plain_hash(w))], _U)
+                if len(tokens) <= min_tokens:
+                    cut = pieces(len(tokens), similarity)
+                    h = [window_hashes(tokens[x:y], x - y) for x, y in zip(cut, cut[1:])]
+                    at = np.array(cut[:-1], np.int32)
+                else:
+                    h = [window_hashes(tokens, m) for m in range(len(MASKS))]
+                    at = np.concatenate([np.arange(len(x), dtype=np.int32) for x in h])
+                h = np.concatenate([*h, np.zeros(0, _U)])
+                yield pa.record_batch(
+                    [pa.array([item], pa.int64()), pa.array([tokens.view(np.int64)], pa.list_(pa.int64())), pa.array([h.view(np.int64)], pa.list_(pa.int64())), pa.array([at], pa.list_(pa.int32()))],
+                    ["item", "tokens", "hashes", "at"])
+
+    return run
 
 
 def bit_map(test: DataFrame) -> tuple[int, np.ndarray]:
@@ -73,8 +91,10 @@ def bit_map(test: DataFrame) -> tuple[int, np.ndarray]:
     return bits, words
 
 
-def _segments(shared, bits: int):
-    """Stretches of a document with windows that may be a test item's: their tokens, and the windows."""
+def _segments(shared, bits: int, lengths: list[int], around: int):
+    """Stretches of a document with windows that may be a test item's: their tokens, and the windows. ``lengths`` are those of pieces."""
+    kinds_of = [*range(len(MASKS)), *(-n for n in lengths)]
+    longest = max([*map(len, MASKS), *lengths])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, known = shared.value, Remember(plain_hash)
@@ -89,7 +109,7 @@ def _segments(shared, bits: int):
                 tokens = np.fromiter(map(known.__getitem__, raw), _U, len(raw))
                 tokens = tokens[tokens != 0]
                 found_at, found = [], []
-                for m in range(len(MASKS)):
+                for m in kinds_of:
                     h = window_hashes(tokens, m)
                     one, two = _slots(h, bits)
                     at = np.flatnonzero(seen(one))
@@ -101,10 +121,10 @@ def _segments(shared, bits: int):
                     continue
                 order = np.argsort(at, kind="stable")
                 at, h = at[order], np.concatenate(found)[order]
-                cuts = np.flatnonzero(np.diff(at) > AROUND) + 1
+                cuts = np.flatnonzero(np.diff(at) > around) + 1
                 for k, (a, hh) in enumerate(zip(np.split(at, cuts), np.split(h, cuts), strict=True)):
-                    start = max(0, int(a[0]) - AROUND)
-                    part = tokens[start : int(a[-1]) + AROUND + max(map(len, MASKS))]
+                    start = max(0, int(a[0]) - around)
+                    part = tokens[start : int(a[-1]) + around + longest]
                     for column, value in zip(out, (doc, k, part.view(np.int64), hh.view(np.int64), (a - start).astype(np.int32)), strict=True):
                         column.append(value)
             kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
@@ -133,13 +153,22 @@ def overlap(item: np.ndarray, doc: np.ndarray, shift: int, similarity: float) ->
     return best
 
 
+def whole(item: np.ndarray, doc: np.ndarray, shift: int, similarity: float) -> tuple[int, int]:
+    """(tokens, equal tokens) of the whole item laid on the document, if it fits and ``similarity`` of its tokens are equal."""
+    if shift < 0 or shift + len(item) > len(doc):
+        return 0, 0
+    equal = int((item == doc[shift : shift + len(item)]).sum())
+    return (len(item), equal) if equal >= similarity * len(item) - 1e-9 else (0, 0)
+
+
 def _verify(min_tokens: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
             for doc, item, shift, theirs, own in zip(*(b.column(i) for i in range(5)), strict=True):
                 test = theirs.values.to_numpy()
-                n, equal, _ = overlap(test, own.values.to_numpy(), shift.as_py(), similarity)
+                laid = whole if len(test) <= min_tokens else overlap
+                n, equal = laid(test, own.values.to_numpy(), shift.as_py(), similarity)[:2]
                 if n >= min(min_tokens, len(test)):
                     out.append((doc.as_py(), item.as_py(), n, equal))
             columns = list(zip(*out, strict=True)) or [()] * 4
@@ -154,20 +183,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Tokens are what ASCII whitespace parts, lower-cased and without outer punctuation. A
     pair overlaps if, laid on each other without gaps, a stretch of at least ``min_tokens``
-    tokens (the whole item, if it is shorter) agrees in ``similarity`` of them; n_tokens and
-    n_equal describe the longest such stretch. Items shorter than the shortest mask (6 tokens) say too
-    little and match nothing, as do null or empty texts. Rows with a null id are left out.
+    tokens agrees in ``similarity`` of them; n_tokens and n_equal describe the longest such
+    stretch, which begins and ends on equal tokens. An item of ``min_tokens`` or fewer must lie
+    in the document as a whole and agree in ``similarity`` of all its tokens, wherever it
+    differs; one of a few words may be in many documents. Items without tokens match nothing. Rows with a null id are left out.
     Repeated rows, equal items and ties give one row per pair of ids. Other columns are not
     read. An empty table on either side gives no rows.
     """
     spark = docs.sparkSession
     tests = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("t")).where("item IS NOT NULL").distinct()
-    tests = materialize(tests.mapInArrow(_item_hashes, "item long, tokens array<long>, hashes array<long>, at array<int>"), "test-items")
+    tests = materialize(tests.mapInArrow(_item_hashes(min_tokens, similarity), "item long, tokens array<long>, hashes array<long>, at array<int>"), "test-items")
     test = tests.select("item", F.explode(F.arrays_zip("hashes", "at")).alias("x")).select("item", F.col("x.hashes").alias("hash"), F.col("x.at").alias("item_at"))
+    short = [r.n for r in tests.select(F.size("tokens").alias("n")).where(F.col("n") <= min_tokens).distinct().collect()]
+    lengths = sorted({y - x for n in short for cut in [pieces(n, similarity)] for x, y in zip(cut, cut[1:])})
     bits, words = bit_map(test)
     shared = spark.sparkContext.broadcast(words)  # 2 ** MAP_BITS bits at most, whatever the benchmark
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("t"))
-    segments = materialize(rows.mapInArrow(_segments(shared, bits), "doc long, seg int, tokens array<long>, hashes array<long>, at array<int>"), "segments")
+    segments = materialize(rows.mapInArrow(_segments(shared, bits, lengths, max(AROUND, min_tokens)), "doc long, seg int, tokens array<long>, hashes array<long>, at array<int>"), "segments")
     hits = segments.select("doc", "seg", F.explode(F.arrays_zip("hashes", "at")).alias("x")).select("doc", "seg", F.col("x.hashes").alias("hash"), F.col("x.at").alias("doc_at"))
     laid = hits.join(test, "hash").select("doc", "seg", "item", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
     pairs = (

@@ -366,6 +366,23 @@ def test_decontamination(spark, docs, none):
     assert decontam.decontaminate(planted, b).count() == 3 and decontam.decontaminate(docs, b).columns == docs.columns
 
 
+@pytest.mark.parametrize("n", [1, 4, 5, 7, 10, 12])
+def test_short_items_match_whole_wherever_they_differ(spark, n):
+    """Every placement of up to three substitutions, at the edges too: found exactly if 0.8 of the item agrees."""
+    from itertools import combinations
+
+    item, rows, expect = [f"q{k}" for k in range(n)], [(0, " ".join(f"q{k}" for k in range(n - 1)), "")], set()
+    for m in range(min(n, 3) + 1):
+        for places in combinations(range(n), m):
+            words = ["other" if k in places else w for k, w in enumerate(item)]
+            rows.append((len(rows), "lead in " + " ".join(words) + " and out", ""))
+            if n - m >= 0.8 * n - 1e-9:
+                expect.add((rows[-1][0], n, n - m))
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(f"r{k}" for k in range(20))), (3, "")], "item_id long, text string")
+    got = decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string, item string"), items).collect()
+    assert {(r.doc_id, r.n_tokens, r.n_equal) for r in got} == expect and {r.item_id for r in got} == {1}
+
+
 PAGES = [(1, "http://a.com/x", "<p>1</p>" * 200), (2, "http://b.com/y z", "<p>1</p>" * 200), (3, None, None), (4, "nourl", ""), (5, "http://c.net/", "é\r\n\r\nWARC/1.1\r\n" * 120), (5, "http://c.net/", "é\r\n\r\nWARC/1.1\r\n" * 120), (None, "http://d.org/", "<p>1</p>" * 200), (6, "http://e.org", "small")]
 
 
