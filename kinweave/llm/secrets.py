@@ -4,7 +4,7 @@ Three base patterns find assigned passwords, access keys and hex strings. Beside
 long run of token characters is a candidate: a window slides over it, and the Shannon
 entropy of the window is kept up from the counts of the character that leaves and the one
 that enters. A candidate whose entropy reaches the bound of its character class is a find,
-unless the allow-list knows it or a base find already holds it.
+unless the allow-list knows it. Of a candidate that overlaps base finds, what they leave is judged.
 """
 
 from __future__ import annotations
@@ -21,15 +21,17 @@ ASSIGN = (
 ACCESS, HEX = "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}"
 WINDOW = 20
 CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}" % WINDOW
-#: Bits a window of each character class must reach. Runs of letters or digits alone are no class.
-BOUNDS = {"hex": 3.0, "alnum": 3.4, "mixed": 3.7}
-#: Identifiers, slugs, placeholders and alphabets, by regular expression.
+#: Bits a window of each character class must reach; ``letters`` and ``digits`` are runs without the other. Signs alone are no class.
+BOUNDS = {"hex": 3.0, "alnum": 3.4, "mixed": 3.7, "letters": 3.7, "digits": 2.9}
+#: A word, or several written as one with capitals: single letters only stand alone, and a word has fewer than ``WINDOW``.
+WORDS = r"(?:[A-Za-z]|(?:[A-Z]?[a-z]{2,19}(?![a-z])|[A-Z]{2,19}(?![A-Z]))+)"
+#: Identifiers, slugs and paths of words, placeholders, alphabets and rulers, by regular expression.
 ALLOWED = (
     "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    "^[A-Za-z]+([-_/][A-Za-z]+)*([-_/][0-9]{1,4})*$",
+    f"^[=_+/-]?{WORDS}([-_/]{WORDS})*([-_/][0-9]{{1,4}})*[=/]?$",
     "(?i)example|placeholder|dummy|changeme|your[-_]?(key|token)",
     "0123456789|abcdefghijkl|ABCDEFGHIJKL",
-    r"^[=_+/-]|(.)\1{7}",
+    r"^([=_+/-])\1{2}|(.)\2{7}",
 )
 KINDS = ("assign", "access", "hex", "entropy")
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int,hit:string>>"
@@ -78,7 +80,7 @@ def top_entropy(run: str, window: int = WINDOW) -> str:
 
 def bound(run: str) -> str:
     """SQL: the bits that the string's character class asks for, null if it has none."""
-    return (f"CASE WHEN NOT ({run} RLIKE '[0-9]' AND {run} RLIKE '[A-Za-z]') THEN NULL WHEN {run} RLIKE '^[0-9a-f]+$' OR {run} RLIKE '^[0-9A-F]+$' THEN {BOUNDS['hex']}D "
+    return (f"CASE WHEN NOT {run} RLIKE '[0-9A-Za-z]' THEN NULL WHEN NOT {run} RLIKE '[A-Za-z]' THEN {BOUNDS['digits']}D WHEN NOT {run} RLIKE '[0-9]' THEN {BOUNDS['letters']}D WHEN {run} RLIKE '^[0-9a-f]+$' OR {run} RLIKE '^[0-9A-F]+$' THEN {BOUNDS['hex']}D "
             f"WHEN {run} RLIKE '[a-z]' AND {run} RLIKE '[A-Z]' THEN {BOUNDS['mixed']}D ELSE {BOUNDS['alnum']}D END")
 
 
@@ -93,7 +95,16 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = rows.withColumn("base", F.concat(find("t", ASSIGN, "assign", 1, 12), find("t", ACCESS, "access"), find("t", HEX, "hex")))
     known = " OR ".join("c.hit RLIKE '" + a.replace("\\", "\\\\").replace("'", "\\'") + "'" for a in allowed) or "false"
     more = base.withColumn("more", find("t", CANDIDATE, "entropy")).drop("t")
-    more = more.withColumn("more", F.expr(f"""filter(more, c -> {bound('c.hit')} IS NOT NULL AND NOT ({known})
-        AND NOT exists(base, b -> b.start < c.end AND c.start < b.end))"""))
+    more = more.withColumn("more", F.expr(f"""flatten(transform(more, c -> CASE
+        WHEN NOT exists(base, b -> b.start < c.end AND c.start < b.end) THEN array(c)
+        ELSE filter(transform(
+          aggregate(
+            array_sort(filter(base, b -> b.start < c.end AND c.start < b.end)),
+            named_struct('at', c.start, 'free', CAST(array() AS array<struct<start:int,end:int>>)),
+            (acc, b) -> named_struct('at', greatest(acc.at, b.end), 'free', concat(acc.free, array(named_struct('start', acc.at, 'end', b.start)))),
+            acc -> concat(acc.free, array(named_struct('start', acc.at, 'end', c.end)))),
+          g -> named_struct('start', g.start, 'rank', c.rank, 'kind', c.kind, 'end', g.end, 'hit', substring(c.hit, g.start - c.start + 1, g.end - g.start))),
+          g -> g.end - g.start >= {WINDOW}) END))"""))
+    more = more.withColumn("more", F.expr(f"filter(more, c -> {bound('c.hit')} IS NOT NULL AND NOT ({known}))"))
     more = more.withColumn("more", F.expr(f"filter(more, c -> {top_entropy('c.hit')} >= {bound('c.hit')})"))
     return more.select("id", F.array_sort(F.concat("base", "more")).alias("spans"))
