@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -30,12 +33,16 @@ def session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> Spark
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (local
-    sessions, tests) a temporary folder is made and kept for the session.
+    A cluster names it in ``spark.checkpoint.dir``. Only a session of one machine may leave that
+    unset (tests); a temporary folder is then made, kept for the process and deleted at its end.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("kinweave.local.checkpoint.dir", None)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="kinweave-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="kinweave-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        named = f"file://{folder}"
         spark.conf.set("kinweave.local.checkpoint.dir", named)
     return named.rstrip("/")
 
@@ -45,6 +52,13 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/kinweave/{label}-{uuid.uuid4().hex}"
 
 
+def release_stages(spark: SparkSession) -> bool:
+    """Delete the stage tables in the shared folder, those of other sessions too; for the end of a run, when no result
+    that reads them is still needed. True if there were any."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/kinweave")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
