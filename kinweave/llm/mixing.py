@@ -5,68 +5,160 @@ cumulative weights, names its source; slots are ranked per source. Each source's
 are put in hashed order and cut into blocks of equal tokens, repeated at most
 ``max_repeat`` times; the block of rank r fills the source's slot of rank r. The schedule
 comes within a few slots of a target: slots a source lacks follow at its end, those it has
-too many stay empty, and the last is cut to the words still owed. Ranks and token positions
-are two-level prefix sums, so that no source is one task's work.
+too many stay empty, and the last is cut to the words still owed.
+
+Sources are a table, however many there are. Ranks, token positions, cumulative weights and
+the search of a point among them are running sums and maxima of several levels, so that
+neither a source nor the list of sources is one task's work.
 """
 
 from __future__ import annotations
 
 from math import ceil, log2
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.operators.skew import spread_join
 from kinweave.runtime import materialize
 
-GOLDEN = 0.6180339887498949
 WORD = r"[^\x20\x09-\x0D]+"
-#: The schedule is fine enough for about this many slots.
-SLOTS = 1 << 19
-#: Slots, and documents, of which a prefix sum is taken at once.
-RUN = 2048
-
-
-def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = (1, 2, 3), share: float = 1.0, max_repeat: float = 3) -> dict[str | None, float]:
-    """Words to take of each source. Sources by code point, null last, take ``weights`` in turn and split
-    ``share`` of all words; what a source could give only by repeating more than ``max_repeat`` times is shared
-    again among the others by weight until none is above."""
-    order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    left, free, out = share * sum(sizes.values()), list(order), dict.fromkeys(order, 0.0)
-    while free:
-        total = sum(weight[s] for s in free)
-        full = [s for s in free if left * weight[s] / total > max_repeat * sizes[s]]
-        for s in full or free:
-            out[s] = float(max_repeat * sizes[s]) if full else left * weight[s] / total
-        if not full:
-            break
-        left -= sum(out[s] for s in full)
-        free = [s for s in free if s not in full]
-    return out
-
-
-def prefix(df: DataFrame, group: list[str], run: str, order: list[str | Column], value: str, out: str) -> DataFrame:
-    """``out``: the sum of ``value`` over earlier rows of ``group``, by ``run`` and then ``order``."""
+#: Words of a slot and of a block.
+BLOCK = 4096
+#: Points are golden-ratio multiples as 60-bit fractions: two limbs of 30 bits, exact for up to 2**32 slots.
+POINT_BITS, LIMB = 60, 1 << 30
+GOLDEN_HIGH, GOLDEN_LOW = 663608942, 401909697
+#: Rows that a running sum takes at once, as a power of two.
+RUN_BITS = 9
+
+
+def running(df: DataFrame, group: list[str], run: str, order: list[str | Column], value: str, out: str, bits: int, total=F.sum) -> DataFrame:
+    """``out``: ``total`` (F.sum or F.max) of ``value`` over earlier rows of ``group``, by ``run`` (below 2 ** ``bits``) and then ``order``; null before any.
+
+    A run's rows are one window's; what the runs before it add is a running total of the runs,
+    taken the same way over runs of 2 ** ``RUN_BITS`` runs, and so on.
+    """
     own = Window.partitionBy(*group, run).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    above = Window.partitionBy(*group).orderBy(run).rowsBetween(Window.unboundedPreceding, -1)
-    totals = df.groupBy(*group, run).agg(F.sum(value).alias("__t"))
-    totals = totals.select(*group, run, F.coalesce(F.sum("__t").over(above), F.lit(0)).alias("__o"))
-    local = df.withColumn("__p", F.coalesce(F.sum(value).over(own), F.lit(0)))
-    return local.join(totals, [*group, run]).withColumn(out, F.col("__p") + F.col("__o")).drop("__p", "__o")
-
-
-def schedule(spark: SparkSession, weights: list[float], slots: int) -> DataFrame:
-    """``(slot, src, rank)``: the source (position in ``weights``) of every slot and the slot's rank in it."""
-    total, run, edges = sum(weights), 0.0, []
-    for w in weights[:-1]:
-        run += w
-        edges.append(F.lit(run / total))
-    point = (F.col("slot") + 1) * F.lit(GOLDEN)
-    point = point - F.floor(point)
-    src = sum(((point >= e).cast("int") for e in edges), F.lit(0))
-    rows = spark.range(slots).select(F.col("id").alias("slot"), F.floor(F.col("id") / RUN).alias("run"), F.lit(1).alias("one"))
-    ranked = prefix(rows.withColumn("src", src), ["src"], "run", ["slot"], "one", "rank")
-    return ranked.select("slot", "src", F.col("rank").cast("long").alias("rank"))
+    local = df.withColumn("__p", total(value).over(own))
+    if bits <= 0:
+        return local.withColumn(out, F.col("__p")).drop("__p")
+    up = f"__{run}"
+    totals = df.groupBy(*group, run).agg(total(value).alias("__t")).withColumn(up, F.shiftright(run, RUN_BITS))
+    above = running(totals, group, up, [run], "__t", "__o", bits - RUN_BITS, total)
+    above = above.select(*(F.col(c).alias(f"{c}__") for c in [*group, run]), "__o")
+    both = F.coalesce(F.col("__p") + F.col("__o"), "__p", "__o") if total is F.sum else F.greatest("__p", "__o")
+    return local.join(above, [F.col(c).eqNullSafe(F.col(f"{c}__")) for c in [*group, run]]).select(*df.columns, both.alias(out))
+
+
+def run_bits(rows: int) -> int:
+    """Bits of a run number that parts ``rows`` rows into runs of about 2 ** ``RUN_BITS``."""
+    return max(0, ceil(log2(max(1, rows))) - RUN_BITS)
+
+
+def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), share: float = 1.0, max_repeat: int = 3) -> DataFrame:
+    """``(source, src, words, weight, target)`` of sources ``(source, words)``, one row each.
+
+    Sources by code point, null last, are numbered and take ``weights`` in turn; they split ``share`` of all
+    words. What a source could give only by repeating more than ``max_repeat`` times is shared again among the others
+    by weight until none is above: with the sources by what they can give a weight, those are cut whose bound lies
+    below the level that is left for them and all after them.
+    """
+    dealt = materialize(sizes.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()), "sources")
+    n, words = dealt.agg(F.count(F.lit(1)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    parts = dealt.agg(F.coalesce(F.max("part"), F.lit(0))).first()[0] + 1
+    one = dealt.withColumn("one", F.lit(1).cast("long"))
+    numbered = running(one, [], "part", [F.col("source").asc_nulls_last()], "one", "src", ceil(log2(parts)) if parts > 1 else 0)
+    numbered = numbered.withColumn("src", F.coalesce("src", F.lit(0)).cast("long"))
+    turn = F.array(*(F.lit(float(w)) for w in weights))
+    weighed = numbered.withColumn("weight", F.element_at(turn, (F.col("src") % len(weights) + 1).cast("int")))
+    weighed = weighed.withColumn("bound", F.col("words") * float(max_repeat)).withColumn("level", F.col("bound") / F.col("weight"))
+    ranged = materialize(weighed.drop("part", "one").repartitionByRange("level", "src").withColumn("part", F.spark_partition_id()), "levels")
+    whole = ranged.agg(F.coalesce(F.sum("weight"), F.lit(0.0))).first()[0]
+    parts = ranged.agg(F.coalesce(F.max("part"), F.lit(0))).first()[0] + 1
+    bits = ceil(log2(parts)) if parts > 1 else 0
+    before = running(ranged, [], "part", ["level", "src"], "bound", "bounds", bits)
+    before = running(before, [], "part", ["level", "src"], "weight", "weights", bits)
+    left = F.lit(share * words) - F.coalesce("bounds", F.lit(0.0))
+    cut = F.col("level") < left / (F.lit(whole) - F.coalesce("weights", F.lit(0.0)))
+    told = materialize(before.withColumn("cut", cut).select("source", "src", "words", "weight", "bound", "cut"), "cut-sources")
+    gone = told.where("cut").agg(F.coalesce(F.sum("bound"), F.lit(0.0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    level = max(0.0, share * words - gone[0]) / (whole - gone[1]) if whole > gone[1] else 0.0
+    # the level that is left never exceeds a bound that is not cut, but for rounding
+    return told.select("source", "src", "words", "weight", F.when(F.col("cut"), F.col("bound")).otherwise(F.least("bound", F.lit(level) * F.col("weight"))).alias("target"))
+
+
+def point(slot: str) -> Column:
+    """The golden-ratio point of a slot, as a fraction of 2 ** ``POINT_BITS``."""
+    k = F.col(slot) + 1
+    return F.pmod(F.pmod(k * F.lit(GOLDEN_HIGH), F.lit(LIMB)) * LIMB + k * F.lit(GOLDEN_LOW), F.lit(1 << POINT_BITS))
+
+
+def schedule(sources: DataFrame, slots: int) -> DataFrame:
+    """``(slot, src, rank)``: the source of every slot and the slot's rank in it. ``sources`` is ``(src, target)``, ``src`` from 0 up."""
+    n, whole = sources.agg(F.count(F.lit(1)), F.coalesce(F.sum("target"), F.lit(0.0))).first()
+    sources = sources.withColumn("run", F.shiftright("src", RUN_BITS))
+    edges = running(sources, [], "run", ["src"], "target", "from", run_bits(n))
+    edges = edges.select(F.least(F.floor(F.coalesce("from", F.lit(0.0)) / F.lit(whole or 1.0) * float(1 << POINT_BITS)), F.lit(1 << POINT_BITS)).alias("at"), F.lit(None).cast("long").alias("slot"), "src")
+    points = sources.sparkSession.range(slots).select(point("id").alias("at"), F.col("id").alias("slot"), F.lit(None).cast("long").alias("src"))
+    # the last source that begins at or before a point has it; sources without a share begin where the next one does
+    bits = run_bits(slots)
+    lined = edges.union(points).withColumn("run", F.shiftright("at", POINT_BITS - bits)).where(F.col("at") < 1 << POINT_BITS)
+    found = running(lined, [], "run", ["at", F.col("slot").asc_nulls_first(), "src"], "src", "owner", bits, F.max).where("slot IS NOT NULL")
+    named = materialize(found.select("slot", F.col("owner").alias("src"), F.shiftright("slot", RUN_BITS).alias("run"), F.lit(1).cast("long").alias("one")), "points")
+    ranked = running(named, ["src"], "run", ["slot"], "one", "rank", bits)
+    return ranked.select("slot", "src", F.coalesce("rank", F.lit(0)).cast("long").alias("rank"))
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, share: float, max_repeat: int, seed: int) -> tuple[DataFrame, int]:
+    """Rows of ``docs`` with their source's numbers and the position of their first word among the source's, and the slots of the schedule."""
+    sized = materialize(docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+        F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sizes")
+    totals = sized.groupBy("source").agg(F.sum("size").alias("words"))
+    sources = materialize(targets(totals, weights, share, max_repeat), "targets")
+    rows = sized.count()
+    whole = sources.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
+    few = sources.select(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("void"), "src", F.col("words").alias("source_size"), "target")
+    named = sized.withColumn("s", F.coalesce("source", F.lit(""))).withColumn("void", F.col("source").isNull())
+    h = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    bits = run_bits(rows)
+    keyed = spread_join(named.withColumn("h", h), few, ["s", "void"], ["h"]).drop("s", "void")
+    keyed = keyed.withColumn("run", F.shiftright("h", 64 - bits) + (1 << bits - 1) if bits else F.lit(0).cast("long"))
+    tie = ["h", "doc_id", "size"]
+    placed = running(keyed, ["src"], "run", tie, "size", "start", bits).withColumn("start", F.coalesce("start", F.lit(0)))
+    placed = placed.withColumn("rn", F.row_number().over(Window.partitionBy("src", "run").orderBy(*tie, "start")))
+    return materialize(placed, "placed"), ceil(whole / BLOCK)
+
+
+def _blocks(placed: DataFrame, slots: int, max_repeat: int) -> DataFrame:
+    """``placed`` rows with a slot they fill in part, and that part in words."""
+    sources = placed.groupBy("src").agg(F.first("target").alias("target"))
+    sources = materialize(sources.withColumn("owed", F.rint("target").cast("long")), "shares")
+    timed = schedule(sources.select("src", "target"), slots)
+    timed = materialize(timed, "slots")
+    wide = timed.groupBy("src").agg(F.count(F.lit(1)).alias("wide"))
+    needs = sources.join(wide, "src", "left").select("src", F.coalesce("wide", F.lit(0)).alias("lo"), F.ceil(F.col("owed") / BLOCK).alias("hi"))
+    lacking = needs.where("lo < hi").select("src", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("rank"))
+    every = timed.select("src", "rank", "slot").union(lacking.select("src", "rank", (F.col("rank") + slots).alias("slot")))
+    copies = placed.withColumn("owed", F.rint("target").cast("long")).where("size > 0")
+    copies = copies.withColumn("start", F.explode(F.array(*[F.col("start") + e * F.col("source_size") for e in range(max_repeat)]))).where("start < owed")
+    end = F.least(F.col("start") + F.col("size"), F.col("owed"))
+    pieces = copies.withColumn("end", end).withColumn("rank", F.explode(F.sequence(F.floor(F.col("start") / BLOCK), F.floor((F.col("end") - 1) / BLOCK))))
+    low, high = F.greatest("start", F.col("rank") * BLOCK), F.least("end", (F.col("rank") + 1) * BLOCK)
+    pieces = pieces.withColumn("first_word", low - F.col("start")).withColumn("part", high - low)
+    return pieces.join(every, ["src", "rank"])
+
+
+def mixture_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                   weights: tuple[float, ...] = (1, 2, 3), share: float = 1.0, max_repeat: int = 3, seed: int = 7) -> DataFrame:
+    """The mix itself: ``(slot, source, doc_id, first_word, words)``, to be read by slot, source and rank of the words.
+
+    A row is a stretch of a document's words, from ``first_word``, that its source gives to the slot. Slots are ``BLOCK``
+    words, a source's last one less. Slots beyond the schedule's are those that a source lacked. Rows without words give none.
+    Edge cases are those of ``mix``.
+    """
+    placed, slots = _placed(docs, id_col, text_col, source_col, weights, share, max_repeat, seed)
+    return _blocks(placed, slots, max_repeat).select("slot", "source", "doc_id", "first_word", F.col("part").alias("words"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -74,48 +166,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """``(doc_id, source, size, source_size, target, taken)`` for every row.
 
     ``size`` counts words (0 for a null or blank text), ``target`` is the source's share in
-    words, ``taken`` the words the mix takes of the row, repeats counted; at most
+    words, ``taken`` the words of the row in ``mixture_blocks``, repeats counted; at most
     ``max_repeat * size``. The words taken of a source are its target, rounded, whatever the
     input's size. Rows of no words take 0. A null source is a source. Repeated rows
     are documents of their own. Reruns agree: the order is a hash of the id. Other columns
     are not read. No rows give no rows.
     """
-    spark = docs.sparkSession
-    sized = materialize(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sizes")
-    stats = {r.source: (r.words, r.n) for r in sized.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")).collect()}
-    goal = targets({s: w for s, (w, _) in stats.items()}, weights, share, max_repeat)
-    order = sorted(stats, key=lambda s: (s is None, s or ""))
-    total, rows = sum(goal.values()), sum(n for _, n in stats.values())
-    if not total:
-        nothing = [F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("taken")]
-        return sized.select("doc_id", "source", "size", *nothing)
-    block = ceil(total / SLOTS)
-    slots = schedule(spark, [goal[s] for s in order], ceil(total / block))
-    slots = materialize(slots, "slots")
-    wide = {r.src: r.n for r in slots.groupBy("src").agg(F.count(F.lit(1)).alias("n")).collect()}
-    owed = [round(goal[s]) for s in order]
-    need = [ceil(w / block) for w in owed]
-    lacking = spark.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("src"), F.lit(wide.get(i, 0)).cast("long").alias("lo"), F.lit(n).cast("long").alias("hi")) for i, n in enumerate(need)])))
-    lacking = lacking.where("lo < hi").select("src", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("rank"))
-    sources = spark.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(s).cast("string").alias("s"), F.lit(i).alias("src"), F.lit(stats[s][0]).cast("long").alias("source_size"),
-                 F.lit(goal[s]).alias("target"), F.lit(need[i]).cast("long").alias("n_slots"), F.lit(owed[i]).cast("long").alias("owed")) for i, s in enumerate(order)])))
-    known = sized.join(sources, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    bits = max(1, ceil(log2(max(2, rows / RUN))))
-    keyed = known.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn("run", F.shiftrightunsigned("h", 64 - bits))
-    tie = ["h", "doc_id", "size"]
-    placed = prefix(keyed, ["src"], "run", tie, "size", "start")
-    placed = materialize(placed.withColumn("rn", F.row_number().over(Window.partitionBy("src", "run").orderBy(*tie, "start"))), "placed")
-    starts = placed.where("size > 0").withColumn("start", F.explode(F.array(*[F.col("start") + e * F.col("source_size") for e in range(max_repeat)])))
-    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
-    pieces = (
-        starts.where("start < owed").withColumn("lo", first)
-        .withColumn("rank", F.explode(F.sequence("lo", F.least(last, F.col("n_slots") - 1))))
-        .withColumn("part", F.least(F.col("start") + F.col("size"), (F.col("rank") + 1) * block, F.col("owed")) - F.greatest(F.col("start"), F.col("rank") * block)))
+    placed, slots = _placed(docs, id_col, text_col, source_col, weights, share, max_repeat, seed)
     key = ["src", "run", "rn", "doc_id", "source", "size", "source_size", "target"]
-    filled = pieces.join(slots.select("src", "rank").union(lacking), ["src", "rank"]).select(*key, "part")
+    filled = _blocks(placed, slots, max_repeat).select(*key, "part")
     every = filled.unionByName(placed.select(*key, F.lit(0).cast("long").alias("part")))
     return every.groupBy(*key).agg(F.sum("part").alias("taken")).select("doc_id", "source", "size", "source_size", "target", "taken")

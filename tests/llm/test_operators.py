@@ -217,39 +217,93 @@ def test_line_index_is_exact():
     assert not LineIndex.build(h1[:0], h2[:0], h1[:0], h1[:0]).lookup(h1, h2)[0].any()
 
 
-def test_targets_by_hand():
-    assert mixing.targets({"a": 10, "b": 10, None: 40}) == {"a": 10.0, "b": 20.0, None: 30.0}
-    got = mixing.targets({"a": 1, "b": 1, "c": 98})
-    assert got["a"] == 3 and got["b"] == 3 and math.isclose(got["c"], 94) and sum(mixing.targets({"z": 0}).values()) == 0
+def shares_by_hand(sizes, weights=(1, 2, 3), most=3):
+    """Targets by repeated sharing."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    left, free, out = sum(sizes.values()), list(order), {}
+    while free:
+        total = sum(weight[s] for s in free)
+        full = [s for s in free if left * weight[s] / total > most * sizes[s]]
+        for s in full or free:
+            out[s] = most * sizes[s] if full else left * weight[s] / total
+        if not full:
+            return out
+        left -= sum(out[s] for s in full)
+        free = [s for s in free if s not in full]
+    return out
+
 
+@pytest.mark.parametrize("sizes", [{"a": 10, "b": 10, None: 40}, {"a": 1, "b": 1, "c": 98}, {"z": 0}, {}, {f"s{i}": 7 ** (i % 9) for i in range(300)}])
+def test_targets_by_hand(spark, sizes):
+    got = {r.source: r.target for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, words long")).collect()}
+    expect = shares_by_hand(sizes)
+    assert got.keys() == expect.keys() and all(math.isclose(got[s], expect[s], rel_tol=1e-9) for s in expect)
+
+
+@pytest.mark.parametrize("runs", [2, 9])
+def test_schedule_by_hand(spark, monkeypatch, runs):
+    monkeypatch.setattr(mixing, "RUN_BITS", runs)
+    goal = [0.0, 5.0, 0.0, 0.5, 20.0, 0.0, 3.0, 0.0]
+    got = {r.slot: (r.src, r.rank) for r in mixing.schedule(spark.createDataFrame(list(enumerate(goal)), "src long, target double"), 300).collect()}
+    golden, ranks, expect = (math.sqrt(5) - 1) / 2, Counter(), {}
+    for k in range(300):
+        at = (k + 1) * golden % 1 * sum(goal)
+        src = next(i for i in range(len(goal)) if sum(goal[:i]) <= at < sum(goal[: i + 1]))
+        expect[k] = (src, ranks[src])
+        ranks[src] += 1
+    assert got == expect and all(abs(ranks[i] - 300 * g / sum(goal)) <= 4 for i, g in enumerate(goal))
+
+
+def taken_by_hand(spark, rows, told):
+    """Words taken of (doc_id, text, source) rows: each source's documents in hashed order, again and again up to its target,
+    which ``told`` has but for rounding."""
+    order = {r.doc_id: r.h for r in spark.createDataFrame([(i,) for i in {r[0] for r in rows}], "doc_id long").select("doc_id", F.xxhash64(F.lit(7), "doc_id").alias("h")).collect()}
+    sized = [(order[i], i if i is not None else -(10**9), len(WORD.findall(t or "")), i, s) for i, t, s in rows]
+    held = defaultdict(list)
+    for x in sorted(sized, key=lambda x: x[:3]):
+        held[x[4]].append(x)
+    goal = shares_by_hand({s: sum(x[2] for x in mine) for s, mine in held.items()})
+    targets = {r.source: r.target for r in told}
+    assert all(math.isclose(targets[s], goal[s], rel_tol=1e-9) for s in goal)
+    out = Counter()
+    for s, mine in held.items():
+        target = targets[s]
+        owed, taken = round(target), [0] * len(mine)
+        for k in 3 * list(range(len(mine))):
+            part = min(owed, mine[k][2])
+            taken[k] += part
+            owed -= part
+        out.update((x[3], s, x[2], n) for x, n in zip(mine, taken, strict=True))
+    return out
 
-def test_mixing(spark, docs, none):
-    got = mixing.mix(docs).collect()
-    assert len(got) == len(TEXTS) and all(0 <= r.taken <= 3 * r.size for r in got)
-    assert Counter((r.doc_id, r.size) for r in got) == Counter((i, len(WORD.findall(t or ""))) for i, t in TEXTS)
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_mixing(spark, docs, none, monkeypatch, block):
+    monkeypatch.setattr(mixing, "BLOCK", block)
     assert mixing.mix(none).collect() == [] and all(r.taken == 0 for r in mixing.mix(docs.where("doc_id < 4")).collect())
-    d = table(spark, "documents")
-    one, two = mixing.mix(d).collect(), mixing.mix(d.repartition(7)).collect()
-    assert Counter(one) == Counter(two)
-    taken = defaultdict(int)
-    for r in one:
-        taken[(r.source, r.target)] += r.taken
-    block = math.ceil(sum(t for _, t in taken) / mixing.SLOTS)
-    assert all(abs(n - t) <= 12 * block for (_, t), n in taken.items())
-
-
-def test_mixing_small_sources_meet_their_targets(spark, monkeypatch):
-    """Targets below a block, as on large inputs: with 16 slots a block is about 640 words."""
-    monkeypatch.setattr(mixing, "SLOTS", 16)
-    sizes = {"a": 9000, "b": 150, "c": 90, "d": 7, "e": 700, "f": 300}
-    rows = [(100 * k + i, " ".join(["w"] * (n // 5 + (i < n % 5))), s) for k, (s, n) in enumerate(sizes.items()) for i in range(5)]
+    d = table(spark, "documents").where("n_chars < 20000") if block < 100 else table(spark, "documents")
+    for frame in (docs, d):
+        rows = [(r.doc_id, r.text, r.source) for r in frame.collect()]
+        got = mixing.mix(frame).collect()
+        assert Counter((r.doc_id, r.source, r.size, r.taken) for r in got) == taken_by_hand(spark, rows, got)
+        assert Counter(mixing.mix(frame.repartition(7)).collect()) == Counter(got)
+    blocks = mixing.mixture_blocks(d).collect()
+    filled, taken = Counter(), Counter()
+    for r in blocks:
+        filled[r.slot, r.source] += r.words
+        taken[r.doc_id] += r.words
+    assert taken == Counter({r.doc_id: r.taken for r in got if r.taken}) and max(filled.values()) == block
+    goal = {r.source: round(r.target) for r in got}
+    assert Counter(s for (_, s), n in filled.items() if n < block) <= Counter(s for s, n in goal.items() if n % block)  # the last of a source
+    assert all(sum(n for (_, x), n in filled.items() if x == s) == n for s, n in goal.items())
+
+
+def test_mixing_takes_many_sources_in_its_stride(spark):
+    """Sources are a table: a thousand times as many cost no plan a thousand times as large, and each meets its target."""
+    rows = [(i, "w " * (1 + i % 5), f"s{i % 5000:04}" if i % 3 else "hot") for i in range(15000)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
-    taken, target = defaultdict(int), {}
-    for r in got:
-        assert 0 <= r.taken <= 3 * r.size
-        taken[r.source] += r.taken
-        target[r.source] = r.target
-    assert len(got) == len(rows) and all(abs(taken[s] - target[s]) <= 0.5 for s in sizes) and taken["d"] == 21
+    assert Counter((r.doc_id, r.source, r.size, r.taken) for r in got) == taken_by_hand(spark, rows, got)
 
 
 def test_language(spark, docs, none):
