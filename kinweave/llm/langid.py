@@ -2,8 +2,9 @@
 
 A word's emission scores are the sum of learned weights of its affixes, character n-grams
 and lexicon entry (hashed); learned transitions tie neighbouring words. Forward-backward
-over each sentence gives every word a distribution over languages, so a text that switches
-language keeps its parts apart. A text's language is the one with the most word mass.
+over each whole sentence gives every word a distribution over languages, so a text that switches
+language keeps its parts apart. A text's language is the one with the most word mass. Words are
+what blanks part: a text without blanks is one word, and a sentence ends at ``. ! ?`` only.
 """
 
 from __future__ import annotations
@@ -29,8 +30,14 @@ FIT_WORDS = 150_000
 #: Frequent words of a language in its lexicon.
 LEXICON = 150
 END = frozenset(".!?")
-#: Words of a chain; a longer sentence is several chains.
+#: Languages that are learned, the most frequent ones; ties by name.
+LANGUAGES = 256
+#: Code points of a row that it is fitted on at most. Texts are predicted whole.
+FIT_CHARS = 20_000
+#: Words of a fitted sentence; a longer one teaches as several.
 CHAIN = 128
+#: Words of a stretch. A longer sentence is scored in stretches side by side, with exact messages passed between them.
+STRETCH = 128
 
 
 def letters(token: str) -> str:
@@ -94,29 +101,68 @@ def chains(lengths: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield t, order[:live], starts[:live] + t
 
 
+def messages(e: np.ndarray, a: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sentences cut into stretches: (lengths of the stretches, what reaches the first word of each from before, the last from behind).
+
+    A stretch acts on a message as the product of its words' transfer matrices, so all stretches
+    are multiplied at once and messages go from stretch to stretch. Up to its scale, a message is
+    what passing word by word gives.
+    """
+    k = len(a)
+    parts = -(-lengths // STRETCH)
+    cut = np.full(int(parts.sum()), STRETCH)
+    ends = np.cumsum(parts)
+    cut[ends[lengths > 0] - 1] = (lengths - 1)[lengths > 0] % STRETCH + 1
+    before, behind = np.repeat(first, len(cut), axis=1), np.ones((k, len(cut)))
+    long = np.flatnonzero(parts > 1)
+    if not len(long):
+        return cut, before, behind
+    held = np.concatenate([np.arange(ends[i] - parts[i], ends[i]) for i in long])
+    where = np.full(len(cut), -1)
+    where[held] = np.arange(len(held))
+    starts = (np.cumsum(cut) - cut)[held]
+    # emissions and transitions from a stretch's first word to its last, both emissions in
+    through = e[:, starts].T[:, :, None] * np.eye(k)
+    for t in range(1, STRETCH):
+        live = np.flatnonzero(cut[held] > t)
+        step = (through[live] @ a) * e[:, starts[live] + t].T[:, None, :]
+        through[live] = step / step.sum(axis=(1, 2), keepdims=True)
+    for i in long:
+        for c in range(ends[i] - parts[i] + 1, ends[i]):
+            x = before[:, c - 1] @ through[where[c - 1]] @ a
+            before[:, c] = x / x.sum()
+        for c in range(ends[i] - 1, ends[i] - parts[i], -1):
+            x = a @ (through[where[c]] @ behind[:, c])
+            behind[:, c - 1] = x / x.sum()
+    return cut, before, behind
+
+
 def forward_backward(score: np.ndarray, trans: np.ndarray, start: np.ndarray, lengths: np.ndarray, pairs: bool = False):
     """Marginals (labels x words) of every word, of all sentences at once; with ``pairs`` also the
     expected transition counts and the log-likelihood's partition sum."""
     k, n = score.shape
     top = score.max(axis=0)
     e, a, first = np.exp(score - top), np.exp(trans), np.exp(start)[:, None]
+    before = behind = None
+    if not pairs:
+        lengths, before, behind = messages(e, a, first, np.asarray(lengths))
     alpha, beta, scale = np.empty((k, n)), np.empty((k, n)), np.empty(n)
     steps = list(chains(lengths))
-    for t, _, at in steps:
-        x = e[:, at] * (first if t == 0 else a.T @ alpha[:, at - 1])
+    for t, own, at in steps:
+        x = e[:, at] * ((first if before is None else before[:, own]) if t == 0 else a.T @ alpha[:, at - 1])
         s = x.sum(axis=0)
         alpha[:, at], scale[at] = x / s, s
     later = 0
-    for t, _, at in reversed(steps):
+    for t, own, at in reversed(steps):
         if later < len(at):
-            beta[:, at[later:]] = 1.0
+            beta[:, at[later:]] = 1.0 if behind is None else behind[:, own[later:]]
         if later:
             nxt = at[:later] + 1
             beta[:, at[:later]] = a @ (e[:, nxt] * beta[:, nxt] / scale[nxt])
         later = len(at)
     marginal = alpha * beta
     if not pairs:
-        return marginal
+        return marginal / marginal.sum(axis=0)
     inner = np.ones(n, bool)
     inner[np.cumsum(lengths)[lengths > 0] - 1] = False
     i = np.flatnonzero(inner)
@@ -125,7 +171,7 @@ def forward_backward(score: np.ndarray, trans: np.ndarray, start: np.ndarray, le
 
 
 def split_words(text: str) -> tuple[list[str], list[int]]:
-    """Words of a text and the lengths of its sentences."""
+    """Words of a text and the lengths of its sentences, cut at ``CHAIN`` words."""
     words, lengths, run = [], [], 0
     for token in text.split():
         if word := letters(token):
@@ -256,10 +302,7 @@ class Tagger:
     def _run(self, scores, lengths, k):
         n = np.concatenate(lengths).astype(np.int64) if lengths else np.zeros(0, np.int64)
         score = np.concatenate(scores, axis=1) if scores else np.zeros((k, 0))
-        chains = -(-n // CHAIN)  # a sentence of n words: full chains and the rest
-        cut = np.full(int(chains.sum()), CHAIN)
-        cut[np.cumsum(chains)[n > 0] - 1] = (n - 1)[n > 0] % CHAIN + 1
-        return forward_backward(score, self.model.transitions, self.model.start, cut)
+        return forward_backward(score, self.model.transitions, self.model.start, n[n > 0])
 
     def predict(self, texts: list[str | None]) -> Iterator[tuple[str, float, list[float]]]:
         """(language, share of the word mass, shares of all) of each text."""
@@ -279,22 +322,24 @@ class Tagger:
                 yield labels[best], float(min(1.0, m[best])), [float(x) for x in m]
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = FIT_ROWS) -> Model | None:
-    """A model fitted on at most about ``per_language`` labelled rows of each language, taken by a hash of the id.
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = FIT_ROWS,
+          languages: int = LANGUAGES) -> Model | None:
+    """A model fitted on at most about ``per_language`` labelled rows of each language, taken by a hash of the id, and
+    ``FIT_CHARS`` code points of a row.
 
-    The number of rows of each language is counted over all of them; the hash then passes
-    the right share, so that nothing is ranked or sorted. Null or empty languages and null texts teach nothing.
+    The rows of each language are counted over all of them; the hash then passes the right share, so
+    that nothing is ranked or sorted. The ``languages`` most frequent are learned, so that a dirty column
+    neither floods the driver nor the model. Null or empty languages and null texts teach nothing. Repeated rows
+    teach as often as they are taken; their order does not matter.
     """
     labelled = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where("l IS NOT NULL AND l <> '' AND t IS NOT NULL")
-    counts = {r.l: r.n for r in labelled.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return None
+    counts = labelled.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(languages)
+    bounds = counts.select("l", F.least(F.lit(1 << 20), F.ceil(F.lit(per_language << 20) / F.col("n"))).alias("bound"))
     pick = F.pmod(F.xxhash64(F.lit(5), "i"), F.lit(1 << 20))
-    bound = F.lit(0)
-    for lang, n in counts.items():
-        bound = F.when(F.col("l") == lang, F.lit(min(1 << 20, -(-(per_language << 20) // n)))).otherwise(bound)
-    rows = labelled.where(pick < bound).select("t", "l").toArrow()
-    return fit(list(zip(rows.column("t").to_pylist(), rows.column("l").to_pylist(), strict=True)))
+    # at most ``languages`` rows are broadcast, and per_language * languages bounded texts come back
+    rows = labelled.join(F.broadcast(bounds), "l").where(pick < F.col("bound")).select(F.substring("t", 1, FIT_CHARS).alias("t"), "l").toArrow()
+    told = sorted(zip(rows.column("t").to_pylist(), rows.column("l").to_pylist(), strict=True))
+    return fit(told) if told else None
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

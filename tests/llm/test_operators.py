@@ -340,6 +340,100 @@ def test_forward_backward_by_enumeration():
         at += size
 
 
+def test_stretches_pass_exact_messages(monkeypatch):
+    """A sentence scored in stretches has the marginals of the whole chain."""
+    rng = np.random.default_rng(1)
+    n = np.array([1, 300, 5, 16, 17, 129])
+    score, trans, start = 3 * rng.normal(size=(4, n.sum())), rng.normal(size=(4, 4)), rng.normal(size=4)
+    whole = langid.forward_backward(score, trans, start, n)
+    for size in (1, 4, 16):
+        monkeypatch.setattr(langid, "STRETCH", size)
+        assert np.allclose(langid.forward_backward(score, trans, start, n), whole, atol=1e-9)
+
+
+def letters_by_hand(token):
+    word = token.lower().strip(langid.PUNCTUATION)
+    return word if any(c.isalpha() for c in word) else ""
+
+
+def shares_of_languages(model, text):
+    """Word mass of a text by a plain chain over its sentences: emissions n-gram by n-gram, one word after another."""
+    mask = (1 << 64) - 1
+    k, mass, sentence, total = len(model.labels), np.zeros(len(model.labels)), [], 0
+
+    def emission(word):
+        chars, out = [2, *map(ord, word), 3], np.zeros(k)
+        for size in range(1, 5):
+            for at in range(len(chars) - size + 1):
+                h = 0
+                for j in range(size):
+                    h = ((h ^ (chars[at + j] + ((j + 1) << 32))) * 0x9E3779B97F4A7C15) & mask
+                    h ^= h >> 31
+                out += model.weights[h >> (64 - langid.BITS)]
+        return out + (model.weights[(1 << langid.BITS) + model.lexicon[word]] if word in model.lexicon else 0)
+
+    def close():
+        nonlocal mass
+        e = [np.exp(emission(w)) for w in sentence]
+        a, alpha, beta = np.exp(model.transitions), [], [np.ones(k)]
+        for t, x in enumerate(e):
+            alpha.append(x * (np.exp(model.start) if t == 0 else alpha[-1] @ a))
+            alpha[-1] /= alpha[-1].sum()
+        for x in reversed(e[1:]):
+            beta.append(a @ (x * beta[-1]))
+            beta[-1] /= beta[-1].sum()
+        for p, q in zip(alpha, reversed(beta), strict=True):
+            mass += p * q / (p * q).sum()
+
+    for token in text.split():
+        if word := letters_by_hand(token):
+            sentence.append(word)
+        if sentence and set(token) & set(".!?"):
+            total += len(sentence)
+            close()
+            sentence = []
+    if sentence:
+        total += len(sentence)
+        close()
+    return mass / total if total else None
+
+
+def test_language_predictions_by_hand(spark, docs):
+    """What the query tells of texts, against a plain chain; a text that switches language keeps its parts apart."""
+    d = table(spark, "documents").where("lang IS NOT NULL")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = langid.train(d.where(~held_out))
+    some = [(r.doc_id, r.text) for r in d.where(held_out).where("n_chars < 3000").orderBy("doc_id").limit(25).collect()]
+    some += [(10**9, " ".join(x.rstrip(".!?") for _, t in some[:3] for x in t.split())), (10**9 + 1, None), (10**9 + 2, "12 34 !"), (10**9 + 2, "12 34 !")]
+    got = langid.identify(spark.createDataFrame(some, "doc_id long, text string"), model).collect()
+    assert len(got) == len(some)
+    texts = dict(some)
+    for r in got:
+        shares = shares_of_languages(model, texts[r.id] or "")
+        if shares is None:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        else:
+            assert np.allclose([r.shares[x] for x in model.labels], shares, atol=1e-4) and r.lang_pred == model.labels[int(shares.argmax())]
+    held = {x: [] for x in model.labels}
+    for r in d.where(held_out).collect():
+        if r.lang in held:
+            held[r.lang] += [w for w in (r.text or "").split() if letters_by_hand(w) and not set(w) & set(".!?")]
+    right = total = 0
+    names = [x for x in model.labels if len(held[x]) > 400][:2]
+    for turn in (5, 20):
+        words, truth = [], []
+        for k in range(20):
+            lang = names[k % 2]
+            words += held[lang][k * turn : (k + 1) * turn]
+            truth += [lang] * len(held[lang][k * turn : (k + 1) * turn])
+        told = langid.tag_words(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string"), model).first().langs
+        right += sum(x == y for x, y in zip(told, truth, strict=True))
+        total += len(truth)
+    assert right / total > 0.9
+    dirty = d.withColumn("lang", F.when(F.col("doc_id") % 10 < 3, F.concat(F.lit("junk"), F.col("doc_id").cast("string"))).otherwise(F.col("lang")))
+    assert langid.train(dirty, languages=4).labels == model.labels[:4] or len(model.labels) < 4
+
+
 def stats_by_hand(text):
     words = WORD.findall(text or "")
     windows = Counter(zip(words, words[1:], words[2:]))
