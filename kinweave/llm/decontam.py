@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.llm.tokens import Remember, plain_hash
+from kinweave.operators.skew import spread_join
 from kinweave.runtime import materialize
 
 #: 1: the token counts, 0: it is ignored.
 MASKS = ("111111", "1110111", "11011011", "110010111", "1010110011")
-#: Tokens kept on both sides of a document's hits.
-AROUND = 40
+#: Document tokens whose hits go together; bounds a row, whatever the text's length.
+STRETCH = 4096
 #: Largest bit map, in bits as a power of two (16 MB).
 MAP_BITS = 27
 _U = np.uint64
@@ -92,7 +93,11 @@ def bit_map(test: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def _segments(shared, bits: int, lengths: list[int], around: int):
-    """Stretches of a document with windows that may be a test item's: their tokens, and the windows. ``lengths`` are those of pieces."""
+    """Stretches of a document with windows that may be a test item's: their tokens, and the windows. ``lengths`` are those of pieces.
+
+    With each window come ``around`` tokens on both sides, as many as the longest item has: all that an item laid on
+    the window can cover, so that what is counted is the whole document's overlap.
+    """
     kinds_of = [*range(len(MASKS)), *(-n for n in lengths)]
     longest = max([*map(len, MASKS), *lengths])
 
@@ -121,7 +126,7 @@ def _segments(shared, bits: int, lengths: list[int], around: int):
                     continue
                 order = np.argsort(at, kind="stable")
                 at, h = at[order], np.concatenate(found)[order]
-                cuts = np.flatnonzero(np.diff(at) > around) + 1
+                cuts = np.flatnonzero((np.diff(at) > 2 * around) | (np.diff(at // STRETCH) > 0)) + 1
                 for k, (a, hh) in enumerate(zip(np.split(at, cuts), np.split(h, cuts), strict=True)):
                     start = max(0, int(a[0]) - around)
                     part = tokens[start : int(a[-1]) + around + longest]
@@ -184,7 +189,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     Tokens are what ASCII whitespace parts, lower-cased and without outer punctuation. A
     pair overlaps if, laid on each other without gaps, a stretch of at least ``min_tokens``
     tokens agrees in ``similarity`` of them; n_tokens and n_equal describe the longest such
-    stretch, which begins and ends on equal tokens. An item of ``min_tokens`` or fewer must lie
+    stretch of the whole texts, which begins and ends on equal tokens. An item of ``min_tokens`` or fewer must lie
     in the document as a whole and agree in ``similarity`` of all its tokens, wherever it
     differs; one of a few words may be in many documents. Items without tokens match nothing. Rows with a null id are left out.
     Repeated rows, equal items and ties give one row per pair of ids. Other columns are not
@@ -194,17 +199,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     tests = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("t")).where("item IS NOT NULL").distinct()
     tests = materialize(tests.mapInArrow(_item_hashes(min_tokens, similarity), "item long, tokens array<long>, hashes array<long>, at array<int>"), "test-items")
     test = tests.select("item", F.explode(F.arrays_zip("hashes", "at")).alias("x")).select("item", F.col("x.hashes").alias("hash"), F.col("x.at").alias("item_at"))
-    short = [r.n for r in tests.select(F.size("tokens").alias("n")).where(F.col("n") <= min_tokens).distinct().collect()]
+    size = F.size("tokens")
+    longest = tests.agg(F.coalesce(F.max(size), F.lit(0))).first()[0]
+    short = [r.n for r in tests.select(size.alias("n")).where(F.col("n") <= min_tokens).distinct().collect()]  # min_tokens + 1 numbers at most
     lengths = sorted({y - x for n in short for cut in [pieces(n, similarity)] for x, y in zip(cut, cut[1:])})
     bits, words = bit_map(test)
     shared = spark.sparkContext.broadcast(words)  # 2 ** MAP_BITS bits at most, whatever the benchmark
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("t"))
-    segments = materialize(rows.mapInArrow(_segments(shared, bits, lengths, max(AROUND, min_tokens)), "doc long, seg int, tokens array<long>, hashes array<long>, at array<int>"), "segments")
+    segments = materialize(rows.mapInArrow(_segments(shared, bits, lengths, longest), "doc long, seg int, tokens array<long>, hashes array<long>, at array<int>"), "segments")
     hits = segments.select("doc", "seg", F.explode(F.arrays_zip("hashes", "at")).alias("x")).select("doc", "seg", F.col("x.hashes").alias("hash"), F.col("x.at").alias("doc_at"))
-    laid = hits.join(test, "hash").select("doc", "seg", "item", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
+    laid = spread_join(hits, test, ["hash"], ["doc", "seg", "doc_at"])
+    laid = materialize(laid.select("doc", "seg", "item", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct(), "laid-items")
     pairs = (
-        laid.join(segments.select("doc", "seg", F.col("tokens").alias("own")), ["doc", "seg"])
-        .join(tests.select("item", F.col("tokens").alias("theirs")), "item")
+        spread_join(laid, tests.select("item", F.col("tokens").alias("theirs")), ["item"], ["doc", "seg", "shift"])
+        .join(segments.select("doc", "seg", F.col("tokens").alias("own")), ["doc", "seg"])
         .select("doc", "item", "shift", "theirs", "own")
         .mapInArrow(_verify(min_tokens, similarity), "doc long, item long, n long, equal long"))
     best = F.max(F.struct("n", "equal"))

@@ -503,18 +503,64 @@ def test_secrets_that_begin_with_signs_or_lack_a_class(spark):
     assert all(got[len(found) + i] == [] for i in range(len(clean)))
 
 
+def tokens_by_hand(text):
+    marks = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…–—¿¡"
+    return [x for w in re.split("[\x20\x09-\x0d]+", text or "") if (x := w.lower().strip(marks))]
+
+
+def overlap_by_hand(item, doc, least=12):
+    """(tokens, equal tokens) of the longest stretch of ``least`` or more that agrees in 0.8 of its tokens, over all ways to lay the item."""
+    best, code = (0, 0), {}
+    x, y = (np.array([code.setdefault(w, len(code)) for w in t], int) for t in (item, doc))
+    for shift in range(-len(x) + 1, len(y)) if least <= len(x) else ():
+        lo, hi = max(0, -shift), min(len(x), len(y) - shift)
+        same = x[lo:hi] == y[lo + shift : hi + shift]
+        if same.sum() < 0.8 * least:
+            continue
+        equal = np.append(0, np.cumsum(same))
+        for i in np.flatnonzero(same):
+            for j in np.flatnonzero(same) + 1:
+                if j - i >= least and 5 * (equal[j] - equal[i]) >= 4 * (j - i):
+                    best = max(best, (int(j - i), int(equal[j] - equal[i])))
+    return best if best[0] else None
+
+
+def test_long_overlaps_are_counted_whole(spark):
+    """Stretches without any window in common, of more tokens than a mask has, do not part an overlap."""
+    rng = np.random.default_rng(2)
+    item = [f"w{i}" for i in rng.permutation(250)]
+    own = list(item)
+    for at in range(110, 135):  # 25 tokens in a row
+        own[at] = f"x{at}"
+    text = [f"y{i % 77}" for i in range(9000)]
+    text[4000:4000] = own  # across the bound of a stretch
+    got = decontam.contaminated(spark.createDataFrame([(1, " ".join(own)), (2, " ".join(text)), (2, " ".join(text))], "doc_id long, text string"),
+                                spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_tokens, r.n_equal) for r in got) == [(1, 7, 250, 225), (2, 7, 250, 225)]
+
+
+@pytest.mark.parametrize("n", [13, 14, 15, 20])
+def test_masks_meet_nearly_every_substitution(n):
+    """Of all ways to replace a fifth of an item's tokens, those that leave some mask's window whole."""
+    from itertools import combinations
+
+    met = total = 0
+    for gone in combinations(range(n), n // 5):
+        total += 1
+        met += any(all(c == "0" or at + i not in gone for i, c in enumerate(m)) for m in decontam.MASKS for at in range(n - len(m) + 1))
+    assert met >= 0.99 * total
+
+
 def test_decontamination(spark, docs, none):
     d, b = table(spark, "documents"), table(spark, "benchmark")
-    tokens = lambda t: [h for w in (t or "").encode().split() if (h := decontam.plain_hash(w))]
-    items = {r.item_id: tokens(r.text) for r in b.collect()}
-    expect = set()
+    items = {r.item_id: tokens_by_hand(r.text) for r in b.collect()}
+    expect = {}
     for r in d.collect():
-        own = np.array(tokens(r.text), np.uint64)
-        for i, t in items.items():
-            test = np.array(t, np.uint64)
-            if any(decontam.overlap(test, own, s, 0.8)[0] >= min(12, len(test)) for s in range(-len(test) + 6, len(own) - 5)):
-                expect.add((r.doc_id, i))
-    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(d, b).collect()}
+        own = tokens_by_hand(r.text)
+        for i, test in items.items():
+            if best := overlap_by_hand(test, own):
+                expect[r.doc_id, i] = best
+    got = {(r.doc_id, r.item_id): (r.n_tokens, r.n_equal) for r in decontam.contaminated(d, b).collect()}
     assert got == expect and expect
     first = b.orderBy("item_id").first()
     words = first.text.split()
