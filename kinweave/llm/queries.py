@@ -122,11 +122,11 @@ ORACLE_SQL: dict[str, str] = {
           CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(head) ELSE 0 END::BIGINT AS train_from,
           CASE WHEN part <> 'prompt' AND role = 'assistant' THEN length(rendered) ELSE 0 END::BIGINT AS train_to, prefix_end FROM parts""",
     "op7_linededup": f"""
-        WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-        placed AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM cut),
+        WITH cut AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        placed AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM cut),
         keyed AS (SELECT *, translate(trim(line, {SPACE_SQL}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key FROM placed),
-        common AS (SELECT line_key, max(doc_id) AS holder FROM keyed WHERE length(line_key) >= 20 GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3),
-        judged AS (SELECT doc_id, line, place, coalesce(holder <> doc_id, false) AS gone FROM keyed LEFT JOIN common USING (line_key))
+        common AS (SELECT line_key, max(doc_id) AS holder FROM keyed WHERE length(line_key) >= 20 GROUP BY line_key HAVING count(DISTINCT r) >= 3),
+        judged AS (SELECT r, doc_id, line, place, coalesce(holder <> doc_id, false) AS gone FROM keyed LEFT JOIN common USING (line_key))
         SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGINT AS n_dropped,
-          sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM judged GROUP BY doc_id""",
+          sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM judged GROUP BY r, doc_id""",
 }

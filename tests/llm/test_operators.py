@@ -196,14 +196,31 @@ def lines_by_hand(rows):
     return out
 
 
-def test_line_dedup(spark, docs, none):
-    got = linededup.drop_repeated_lines(docs)
+@pytest.mark.parametrize("index_bytes", [linededup.INDEX_BYTES, 0])
+def test_line_dedup(spark, docs, none, index_bytes):
+    """With the shards at hand and, where they are too large for that, visited."""
+    got = linededup.drop_repeated_lines(docs, index_bytes=index_bytes)
     assert got.columns == ["doc_id", "text", "lang", "source", "h1s", "n_lines", "n_dropped"]
     assert Counter((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got.collect()) == lines_by_hand(TEXTS)
-    assert linededup.drop_repeated_lines(none).collect() == []
+    assert linededup.drop_repeated_lines(none, index_bytes=index_bytes).collect() == []
     d = table(spark, "documents")
     rows = [(r.doc_id, r.text) for r in d.collect()]
-    assert Counter((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in linededup.drop_repeated_lines(d).collect()) == lines_by_hand(rows)
+    rows += [(rows[0][0], rows[3][1]), (rows[3][0], rows[3][1]), (-5, "x\n" * 4000 + rows[5][1])]  # repeated ids, a long text
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in linededup.drop_repeated_lines(frame, index_bytes=index_bytes).collect()) == lines_by_hand(rows)
+
+
+def test_line_dedup_and_its_sql_mean_the_same_by_repeated_ids(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from kinweave.llm.queries import ORACLE_SQL, QUERIES
+
+    rows = [(1, f"{LINE}\nown"), (1, LINE), (2, f"x\n{LINE}"), (3, None), (3, ""), (3, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    expect = con.execute(ORACLE_SQL["op7_linededup"])
+    names = [c[0] for c in expect.description]
+    assert Counter(tuple(r) for r in QUERIES["op7_linededup"](spark, str(tmp_path)).select(*names).collect()) == Counter(expect.fetchall())
 
 
 def test_line_index_is_exact():
