@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.operators.skew import spread_join
+from kinweave.runtime import materialize
+
 # The largest block that makes pairs, and the nine keys.
 MAX_BLOCK = 50
 
@@ -22,9 +25,11 @@ def keys() -> dict[str, F.Column]:
 
 
 def _sized(rows: DataFrame, name: str) -> DataFrame:
-    """With the size of each row's block, by a partial aggregation (no window holds a block)."""
+    """With the size of each row's block, by one aggregation over a stage table of the rows (no window holds a block, and
+    a large block's rows are dealt over tasks)."""
+    rows = materialize(rows, "blocks")
     sizes = rows.groupBy("reason", "block").agg(F.count(F.lit(1)).alias(name))
-    return rows.join(sizes, ["reason", "block"])
+    return spread_join(rows, sizes, ["reason", "block"], ["record_key"])
 
 
 def blocking_keys(base: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
@@ -45,7 +50,7 @@ def blocking_keys(base: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
 
 def candidate_hits(blocks: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
     """Distinct ``(left_record_key, right_record_key, reason, route, scope)``; blocks are at most ``max_block`` rows."""
-    live = blocks.where(F.col("block_size").between(2, max_block)).select("reason", "block", "record_key", "source_system")
+    live = materialize(blocks.where(F.col("block_size").between(2, max_block)).select("reason", "block", "record_key", "source_system"), "live-blocks")
     a, b = live.alias("a"), live.alias("b")
     hits = a.join(b, (F.col("a.reason") == F.col("b.reason")) & (F.col("a.block") == F.col("b.block")) & (F.col("a.record_key") < F.col("b.record_key")))
     scope = F.when(F.col("a.source_system") == F.col("b.source_system"), "WITHIN_SOURCE").otherwise("CROSS_SOURCE")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.functions import text as norm
-from kinweave.functions.variants import dob_variant
+from kinweave.runtime import materialize
 
 # Role mailboxes, sentinel bounds, source priorities.
 ROLE_MAILBOX = "^(events|info|bookings|reservations|admin|office|reception)@"
@@ -50,8 +50,9 @@ def usable_dates(contacts: DataFrame, defaults: DataFrame, today: str) -> DataFr
 def prevalence(base: DataFrame) -> DataFrame:
     """Per email and phone: records, different names, and pairs of dates that can't be one person's.
 
-    Date pairs come from the distinct dates of a value, so a placeholder shared by very many
-    records costs its distinct dates only.
+    Date pairs are counted, not listed: of d distinct dates all d (d - 1) / 2 pairs clash but those that swap day
+    and month, and these are the two dates that a year and an unordered (day, month) can have. So a
+    placeholder shared by very many records is sums only. ``base`` is read twice and should be a stage table.
     """
     long = base.select(
         "record_key", "name_n", "given_key", "family_name_n", "dob_usable",
@@ -60,10 +61,11 @@ def prevalence(base: DataFrame) -> DataFrame:
     counts = long.groupBy("kind", "value").agg(
         F.count(F.lit(1)).alias("record_count"), F.countDistinct("name_n").alias("name_count"), F.countDistinct("given_key").alias("given_name_count"),
         F.countDistinct("family_name_n").alias("family_name_count"), F.countDistinct("dob_usable").alias("dob_count"))
-    dates = long.where("dob_usable IS NOT NULL").select("kind", "value", F.col("dob_usable").alias("d")).distinct()
-    pairs = dates.alias("a").join(dates.alias("b"), (F.col("a.kind") == F.col("b.kind")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.d") < F.col("b.d")))
-    off = ~dob_variant(F.col("a.d"), F.col("b.d")).isin("EXACT", "DAY_MONTH_SWAP")
-    clashes = pairs.groupBy(F.col("a.kind").alias("kind"), F.col("a.value").alias("value")).agg(F.count_if(off).alias("incompatible_dob_pairs"))
+    day, month = F.dayofmonth("dob_usable"), F.month("dob_usable")
+    either = long.where("dob_usable IS NOT NULL").groupBy("kind", "value", F.year("dob_usable").alias("y"), F.least(day, month).alias("a"), F.greatest(day, month).alias("b")).agg(
+        (F.count_if(day < month) > 0).cast("long").alias("one"), (F.count_if(day >= month) > 0).cast("long").alias("other"))
+    clashes = either.groupBy("kind", "value").agg(F.sum(F.col("one") + F.col("other")).alias("d"), F.sum(F.col("one") * F.col("other")).alias("swaps"))
+    clashes = clashes.select("kind", "value", F.expr("d * (d - 1) div 2 - swaps").alias("incompatible_dob_pairs"))
     return counts.join(clashes, ["kind", "value"], "left").withColumn("incompatible_dob_pairs", F.coalesce("incompatible_dob_pairs", F.lit(0)))
 
 
@@ -84,8 +86,8 @@ def contact_records(base: DataFrame, prevalent: DataFrame) -> DataFrame:
 
 
 def resolved_base(snapshot: DataFrame, today: str = "2026-01-01", unicode: bool = True) -> DataFrame:
-    """Snapshot to ``contact_base``."""
-    contacts = normalize(snapshot, unicode)
+    """Snapshot to ``contact_base``. The normalised snapshot becomes a stage table, so that the source is read once."""
+    contacts = materialize(normalize(snapshot, unicode), "contacts")
     return usable_dates(contacts, default_dates(contacts), today)
 
 

@@ -106,11 +106,12 @@ def guests(spark: SparkSession, d: str) -> DataFrame:
 
 
 def base_of(spark, d) -> DataFrame:
-    return profile.resolved_base(guests(spark, d), TODAY, unicode=False)
+    """``contact_base`` as a stage table: what follows reads it several times."""
+    return materialize(profile.resolved_base(guests(spark, d), TODAY), "base")
 
 
 def records_of(spark, d) -> DataFrame:
-    base = materialize(base_of(spark, d), "base")
+    base = base_of(spark, d)
     return materialize(profile.contact_records(base, profile.prevalence(base)), "records")
 
 
@@ -125,12 +126,12 @@ def guest_snapshot(spark, d):
 
 @query(f"WITH {BASE} SELECT record_key, name_n, given_key, family_name_n, email_n, work_email_n, phone_n, work_phone_n, home_address_n, work_address_n, postcode_n FROM contacts")
 def normalize_contacts(spark, d):
-    return profile.normalize(guests(spark, d), unicode=False).select("record_key", "name_n", "given_key", "family_name_n", "email_n", "work_email_n", "phone_n", "work_phone_n", "home_address_n", "work_address_n", "postcode_n")
+    return profile.normalize(guests(spark, d)).select("record_key", "name_n", "given_key", "family_name_n", "email_n", "work_email_n", "phone_n", "work_phone_n", "home_address_n", "work_address_n", "postcode_n")
 
 
 @query(f"WITH {BASE} SELECT ds AS source_system, CAST(dd AS VARCHAR) AS date_of_birth, records, round(share, 6) AS share FROM defaults")
 def default_dates(spark, d):
-    return profile.default_dates(profile.normalize(guests(spark, d), unicode=False)).select("source_system", F.col("date_of_birth").cast("string").alias("date_of_birth"), "records", F.round("share", 6).alias("share"))
+    return profile.default_dates(profile.normalize(guests(spark, d))).select("source_system", F.col("date_of_birth").cast("string").alias("date_of_birth"), "records", F.round("share", 6).alias("share"))
 
 
 @query(f"WITH {BASE} SELECT record_key, CAST(dob_usable AS VARCHAR) AS dob_usable, dob_is_source_default, source_priority FROM base")
@@ -298,18 +299,27 @@ judged AS (SELECT l, r, CASE WHEN ad <> bd AND NOT {_swap('ad', 'bd')} THEN 'REJ
 
 @query(f"WITH {_SIMPLE} SELECT decision, count(*) AS pairs, min(l) AS first_left, max(r) AS last_right, round(avg(similarity), 4) AS similarity FROM judged GROUP BY decision")
 def er_flagship_decisions(spark, d):
-    """Normalise, profile, block on personal contacts, compare names, decide, count."""
+    """Normalise, profile, block on personal contacts, compare names, decide, count.
+
+    Records of equal contacts, name and date are one class with a count, so that copies are compared once.
+    """
     r = records_of(spark, d)
-    own = r.select("record_key", "name_n", F.col("dob_usable").alias("dob"), F.explode(F.array(
-        F.struct(F.lit("e").alias("k"), F.col("personal_email_n").alias("v")), F.struct(F.lit("p").alias("k"), F.col("personal_phone_n").alias("v")))).alias("c")).select("record_key", "name_n", "dob", "c.k", "c.v").where("v IS NOT NULL")
-    a, b = own.alias("a"), own.alias("b")
-    pairs = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.v") == F.col("b.v")) & (F.col("a.record_key") < F.col("b.record_key")))
-    pairs = pairs.select(F.col("a.record_key").alias("l"), F.col("b.record_key").alias("r"), F.col("a.name_n").alias("an"), F.col("b.name_n").alias("bn"), F.col("a.dob").alias("ad"), F.col("b.dob").alias("bd")).distinct()
+    alike = r.where("personal_email_n IS NOT NULL OR personal_phone_n IS NOT NULL").groupBy(F.col("personal_email_n").alias("e"), F.col("personal_phone_n").alias("p"), "name_n", F.col("dob_usable").alias("dob")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("record_key").alias("lo"), F.max("record_key").alias("hi"))
+    alike = materialize(alike, "classes")
+    a, b = alike.alias("a"), alike.alias("b")
+    side = lambda x: [F.col(f"{x}.{c}").alias(f"{x}_{c}") for c in ("name_n", "dob", "n", "lo", "hi")]
+    met = lambda c: a.join(b, (F.col(f"a.{c}") == F.col(f"b.{c}")) & (F.col("a.lo") < F.col("b.lo"))).select(*side("a"), *side("b"))
+    # a pair of classes that shares both contacts meets twice; lo names a class
+    pairs = met("e").union(met("p")).dropDuplicates(["a_lo", "b_lo"]).select(
+        F.col("a_name_n").alias("an"), F.col("b_name_n").alias("bn"), F.col("a_dob").alias("ad"), F.col("b_dob").alias("bd"), (F.col("a_n") * F.col("b_n")).alias("n"),
+        F.least("a_lo", "b_lo").alias("l"), F.greatest("a_hi", "b_hi").alias("r"))
+    within = alike.where("n > 1").select(F.col("name_n").alias("an"), F.col("name_n").alias("bn"), F.col("dob").alias("ad"), F.col("dob").alias("bd"), F.expr("n * (n - 1) div 2").alias("n"), F.col("lo").alias("l"), F.col("hi").alias("r"))
     sim = similarity(F.col("an"), F.col("bn"))
     swap = (F.year("ad") == F.year("bd")) & (F.month("ad") == F.dayofmonth("bd")) & (F.dayofmonth("ad") == F.month("bd"))
     decision = F.when((F.col("ad") != F.col("bd")) & ~swap, "REJECT").when((sim >= 0.75) | (F.col("ad") == F.col("bd")), "AUTO_MATCH").when(sim >= 0.5, "REVIEW").otherwise("REJECT")
-    return pairs.withColumns({"decision": decision, "s": F.round(sim, 6)}).groupBy("decision").agg(
-        F.count(F.lit(1)).alias("pairs"), F.min("l").alias("first_left"), F.max("r").alias("last_right"), F.round(F.avg("s"), 4).alias("similarity"))
+    return pairs.union(within).withColumns({"decision": decision, "s": F.round(sim, 6)}).groupBy("decision").agg(
+        F.sum("n").alias("pairs"), F.min("l").alias("first_left"), F.max("r").alias("last_right"), F.round(F.sum(F.col("s") * F.col("n")) / F.sum(F.when(F.col("s").isNotNull(), F.col("n"))), 4).alias("similarity"))
 
 
 def resolved(spark, d):
@@ -352,7 +362,7 @@ picked AS (SELECT customer_id, field, value, record_key FROM (SELECT *, row_numb
 
 @query(f"WITH {SURVIVORS} SELECT * FROM picked")
 def survivorship_pick(spark, d):
-    base = materialize(base_of(spark, d), "base")
+    base = base_of(spark, d)
     picked = golden.survivors(golden.field_candidates(by_person(spark, d), base))
     return picked.where(F.col("field").isin(*[f for f, _ in _FIELDS])).select("customer_id", "field", "value", "record_key")
 
@@ -360,7 +370,7 @@ def survivorship_pick(spark, d):
 @query(f"""WITH {SURVIVORS} SELECT w.customer_id, record_count, source_systems, {', '.join(f"max(CASE WHEN field = '{f}' THEN value END) AS {f}" for f, _ in _FIELDS)} FROM
   (SELECT concat('c', CAST(person AS VARCHAR)) AS customer_id, count(*) AS record_count, string_agg(DISTINCT source_system, ',' ORDER BY source_system) AS source_systems FROM base GROUP BY 1) w LEFT JOIN picked p ON p.customer_id = w.customer_id GROUP BY 1, 2, 3""")
 def golden_profile(spark, d):
-    base, mapping = materialize(base_of(spark, d), "base"), by_person(spark, d)
+    base, mapping = base_of(spark, d), by_person(spark, d)
     return golden.golden_profiles(golden.survivors(golden.field_candidates(mapping, base)), mapping, base).select("customer_id", "record_count", "source_systems", *[f for f, _ in _FIELDS])
 
 
