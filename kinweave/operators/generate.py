@@ -49,11 +49,26 @@ def permuted(i: Column, factor: int = 386093, shift: int = 104729, modulus: int
     return F.pmod(i * factor + shift, F.lit(modulus))
 
 
-def unique_emails(people: DataFrame, key: str, local: str, domain: str) -> DataFrame:
-    """``email``: the local part as it is for the first of equals, with the key added for the others."""
-    order = F.row_number().over(Window.partitionBy(local, domain).orderBy(key))
-    address = F.when(order == 1, F.concat_ws("@", local, domain)).otherwise(F.concat(F.col(local), F.col(key).cast("string"), F.lit("@"), F.col(domain)))
-    return people.withColumn("email", address)
+def unique_emails(people: DataFrame, key: str, local: str, domain: str, second: str | None = None, fallback: str | None = None, seed: str = "") -> DataFrame:
+    """``email`` and ``bumped`` (whether the first choice was taken).
+
+    Four choices in turn: ``local``; ``second``; ``fallback`` with a number of three digits by hash; ``fallback`` without
+    dots and with the key. Of those who choose the same, whoever had it before keeps it, else the smallest key; the others go on.
+    ``second`` defaults to the local part with two digits by hash, ``fallback`` to the local part.
+    """
+    spun = lambda name, n: spin(seed, F.lit(name), key) % n
+    base = F.col(fallback) if fallback else F.col(local)
+    choices = [
+        F.col(second) if second else F.concat(F.col(local), (10 + spun("second", 90)).cast("string")),
+        F.concat(base, (100 + spun("tail", 900)).cast("string")), F.concat(F.replace(base, F.lit("."), F.lit("")), F.col(key).cast("string"))]
+    at = lambda c: F.concat(c, F.lit("@"), F.col(domain))
+    out = people.withColumn("email", at(F.col(local))).withColumn("__held", F.lit(0))
+    for i, choice in enumerate(choices):
+        first = F.row_number().over(Window.partitionBy("email").orderBy(F.desc("__held"), key)) == 1
+        out = out.withColumn("__first", first).withColumn("email", F.when(F.col("__first"), F.col("email")).otherwise(at(choice))).withColumn("__held", F.col("__first").cast("int"))
+        if i == 0:
+            out = out.withColumn("bumped", ~F.col("__first"))
+    return out.drop("__first", "__held")
 
 
 def as_of(at: Column, changed_at: Column, before: Column, after: Column) -> Column:

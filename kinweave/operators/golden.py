@@ -2,44 +2,81 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.operators.components import connected_components
-from kinweave.operators.tables import top_k
 
-# Fields of a profile, case bounds.
-FIELDS = ("given_name", "family_name", "full_name", "personal_email", "work_email", "personal_phone", "work_phone", "date_of_birth", "company_name", "home_address_json", "work_address_json")
+# Fields of a profile with the rule that picks them, case bounds, prefix and length of a component's provisional id.
+RULES = {
+    "full_name": "priority", "given_name": "priority", "family_name": "priority", "personal_email": "recent", "personal_phone": "recent", "work_email": "recent",
+    "work_phone": "recent", "dob_usable": "priority", "home_address": "recent", "work_address": "recent", "company_name": "recent"}
+ADDRESS = {"line1": "address_line1", "suburb": "suburb", "state": "state", "postcode": "postcode", "country": "country"}
 MAX_RECORDS, MAX_PAIRS = 50, 1225
+PROVISIONAL, PROVISIONAL_LENGTH = "cmp_", 28
 # End of fixed values.
+FIELDS = tuple(RULES)
+
+
+def _values() -> dict[str, F.Column]:
+    """What a contact record offers for each field. Emails and phones are the normalised ones, so that a shared or role contact
+    offers none; an address is one value, and only where its first line is usable."""
+    words = lambda c: F.when(F.trim(c) != "", F.trim(c))
+    parts = F.concat_ws(" ", "given_name", "family_name")
+    out = {c: words(c) for c in ("given_name", "family_name", "company_name")}
+    out["full_name"] = F.when(F.col("full_name") != "", F.col("full_name")).otherwise(parts)
+    out |= {c: F.col(f"{c}_n") for c in ("personal_email", "personal_phone", "work_email", "work_phone")}
+    out["dob_usable"] = F.col("dob_usable").cast("string")
+    for kind in ("home", "work"):
+        whole = F.to_json(F.struct(*[F.col(f"{kind}_{column}").alias(name) for name, column in ADDRESS.items()]))
+        out[f"{kind}_address"] = F.when(F.col(f"{kind}_address_n").isNotNull(), whole)
+    return {f: out[f] for f in FIELDS}
 
 
 def field_candidates(mapping: DataFrame, contacts: DataFrame) -> DataFrame:
-    """``(customer_id, record_key, source_system, source_updated_at, source_priority, field, value)``; an address is one value."""
-    def home(kind: str):
-        part = [F.col(f"{kind}_{c}").alias(c) for c in ("address_line1", "suburb", "state", "postcode", "country")]
-        return F.when(F.col(f"{kind}_address_line1").isNotNull(), F.to_json(F.struct(*part)))
-
-    own = contacts.withColumns({"home_address_json": home("home"), "work_address_json": home("work"), "date_of_birth": F.col("dob_usable").cast("string")})
-    rows = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in FIELDS])).alias("x")
-    long = own.join(mapping.select("record_key", "customer_id"), "record_key").select(
+    """``(customer_id, record_key, source_system, source_updated_at, source_priority, field, value)`` of contact records; blank values are left out."""
+    rows = F.inline(F.array(*[F.struct(F.lit(f).alias("field"), v.alias("value")) for f, v in _values().items()]))
+    long = contacts.join(mapping.select("record_key", "customer_id"), "record_key").select(
         "customer_id", "record_key", "source_system", "source_updated_at", "source_priority", rows)
-    return long.select("*", "x.field", "x.value").drop("x").where(F.col("value").isNotNull() & (F.trim("value") != ""))
+    return long.where("value <> ''")
+
+
+def survivorship_rules(current: DataFrame | None, spark: SparkSession) -> DataFrame:
+    """``(field, ordering)``: the given rules, and the default for every field that they lack.
+
+    Refuses a field with two rules, and an ordering that is neither ``priority`` nor ``recent``.
+    """
+    default = spark.createDataFrame(list(RULES.items()), "field string, ordering string")
+    if current is None:
+        return default
+    if not current.groupBy("field").count().where("count > 1").isEmpty():
+        raise ValueError("a field has several survivorship rules")
+    if not current.where("ordering IS NULL OR ordering NOT IN ('priority', 'recent')").isEmpty():
+        raise ValueError("a survivorship rule is neither priority nor recent")
+    return current.select("field", "ordering").unionByName(default.join(current.select("field"), "field", "left_anti"))
 
 
-def survivors(candidates: DataFrame, priority_fields: tuple[str, ...] = ()) -> DataFrame:
-    """One value for each field: by source priority where the field asks for it, then newest, priority, key."""
-    first = F.when(F.col("field").isin(*priority_fields), F.col("source_priority")).otherwise(0) if priority_fields else F.lit(0)
-    order = [first, F.desc_nulls_last("source_updated_at"), "source_priority", "record_key"]
-    return top_k(candidates, ["customer_id", "field"], order, 1).drop("rank")
+def survivors(candidates: DataFrame, rules: DataFrame) -> DataFrame:
+    """One value for each field of a customer: by source priority where the field's rule asks for it, then newest, source priority, key.
+
+    A field without a rule is left out. A maximum over structs is taken, not a window, so that a customer of very many
+    records is summed up before it is shuffled.
+    """
+    ruled = candidates.join(rules, "field")
+    first = F.when(F.col("ordering") == "priority", F.col("source_priority")).otherwise(0)
+    # the smallest is picked: later times are smaller, none at all last
+    rank = F.struct(first.alias("a"), F.coalesce(-F.unix_micros(F.col("source_updated_at")), F.lit((1 << 63) - 1)).alias("b"), F.col("source_priority").alias("c"), F.col("record_key").alias("d"))
+    best = ruled.groupBy("customer_id", "field").agg(F.min_by(F.struct("record_key", "source_system", "source_updated_at", "source_priority", "value"), rank).alias("x"))
+    return best.select("customer_id", "x.record_key", "x.source_system", "x.source_updated_at", "x.source_priority", "field", "x.value")
 
 
 def golden_profiles(picked: DataFrame, mapping: DataFrame, contacts: DataFrame) -> DataFrame:
     """A row for each customer: the surviving values, its records and systems."""
     wide = picked.groupBy("customer_id").agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in FIELDS])
     who = mapping.join(contacts.select("record_key", "source_system"), "record_key").groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("record_count"), F.array_join(F.array_sort(F.collect_set("source_system")), ",").alias("source_systems"))
-    return who.join(wide, "customer_id", "left")
+        F.count(F.lit(1)).alias("source_record_count"), F.array_sort(F.collect_set("source_system")).alias("source_systems"))
+    named = {"dob_usable": "date_of_birth", "home_address": "home_address_json", "work_address": "work_address_json"}
+    return who.join(wide, "customer_id", "left").withColumn("dob_usable", F.col("dob_usable").cast("date")).withColumnsRenamed(named)
 
 
 def touched_components(decisions: DataFrame, refused: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -91,5 +128,5 @@ def identity_links(mapping: DataFrame, decisions: DataFrame, touched: DataFrame)
 def match_evidence(decisions: DataFrame) -> DataFrame:
     """Pairs with decision, reason and the vector representations that proposed them; dynamic ``bf_`` and ``gamma_`` columns pass."""
     shown = [c for c in decisions.columns if c.startswith(("bf_", "gamma_")) and not c.endswith(("_l", "_r"))]
-    shapes = F.array_join(F.array_sort(F.transform(F.filter("candidate_reasons", lambda r: r.startswith("ANN_")), lambda r: F.lower(F.substring(r, 5, 40)))), ",")
+    shapes = F.array_join(F.array_sort(F.transform(F.filter("candidate_reasons", lambda r: r.startswith("ANN_")), lambda r: F.lower(F.substr(r, F.lit(5))))), ",")
     return decisions.select("left_record_key", "right_record_key", "decision", "reason", F.format_number("match_probability", 4).alias("probability"), shapes.alias("representations"), *shown)

@@ -53,18 +53,23 @@ def merge(edges: list[tuple[str, str, float]], dobs: dict[str, object], denied:
     return group, refused
 
 
-def constrained_components(records: DataFrame, edges: DataFrame, forbidden: DataFrame, max_size: int = MAX_COMPONENT) -> tuple[DataFrame, DataFrame]:
+def constrained_components(records: DataFrame, edges: DataFrame, forbidden: DataFrame, max_size: int = MAX_COMPONENT,
+                          max_records: int = 250_000, max_edges: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
     """(``record_key, component``, ``left_record_key, right_record_key, reason`` of refused edges).
 
     The greedy order is global, but no step looks beyond the groups it merges and these never leave a
     connected component of the edges. So components are found first and merged each in a task.
-    Edges of one component are its pairs within bounded blocks; a component is one contact cluster.
-    Records without an edge are components of their own.
+    A component of more than ``max_records`` records or ``max_edges`` edges is refused, as one task would hold it; nothing is
+    cut. Records without an edge are components of their own.
     """
     where = connected_components(edges, "left_record_key", "right_record_key")
     of = lambda c: where.select(F.col("node").alias(c), F.col("component").alias(f"{c}_cc"))
     own = edges.join(of("left_record_key"), "left_record_key").select(
         F.col("left_record_key_cc").alias("cc"), F.lit("edge").alias("kind"), F.col("left_record_key").alias("a"), F.col("right_record_key").alias("b"), F.col("score").cast("double").alias("score"), F.lit(None).cast("date").alias("dob"))
+    large = where.groupBy(F.col("component").alias("cc")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_records).select("cc").union(
+        own.groupBy("cc").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_edges).select("cc"))
+    if found := large.limit(5).collect():
+        raise ValueError(f"components beyond {max_records} records or {max_edges} edges: {[r.cc for r in found]}")
     bans = forbidden.join(of("left_record_key"), "left_record_key").join(of("right_record_key"), "right_record_key").where("left_record_key_cc = right_record_key_cc").select(
         F.col("left_record_key_cc").alias("cc"), F.lit("ban").alias("kind"), F.col("left_record_key").alias("a"), F.col("right_record_key").alias("b"), F.lit(0.0).alias("score"), F.lit(None).cast("date").alias("dob"))
     dates = records.join(where.select(F.col("node").alias("record_key"), F.col("component").alias("cc")), "record_key").where("dob_usable IS NOT NULL").select(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from kinweave.functions import text as norm
 from kinweave.functions.variants import NICKNAMES, dob_variant, family_variant, given_variant
 from kinweave.operators.profile import ROLE_MAILBOX  # noqa: F401  (part of the feature contract)
+from kinweave.runtime import materialize
 
 # Comparisons as (column, similarity levels), whether term frequency adjusts the exact level, EM settings.
 COMPARISONS = {"name_n": (0.9, 0.75), "personal_email_n": (), "personal_phone_n": (), "dob_usable": (), "home_address_n": (0.9, 0.75)}
@@ -105,18 +106,18 @@ def exact_u(records: DataFrame) -> dict[str, float]:
 
 
 def fuzzy_u(records: DataFrame, pairs: int = U_PAIRS) -> dict[str, list[float]]:
-    """Level shares of random pairs: record i of a hashed order meets record i + step of another, ``pairs`` of them at most.
-
-    The bound is ``pairs``; both sides are taken by the same hash, so the sample is reproducible.
+    """Level shares of about ``pairs`` random pairs, whatever the table's size: every record draws so many slots of about four
+    records each by hash, and meets who is there. Of a small table pairs are drawn repeatedly; of a large one a share of what
+    meets is kept. Hashes make the sample reproducible.
     """
     n = max(1, records.count())
-    per = max(1, math.ceil(pairs / n))
-    slots = max(2, n // 4)
+    per = max(1, math.ceil(pairs / (4 * n)))
+    slots = max(1, n // 4)
     base = records.select(*COMPARISONS, "record_key")
-    a = base.select(*[F.col(c).alias(f"{c}_l") for c in COMPARISONS], F.col("record_key").alias("kl"), F.explode(F.sequence(F.lit(1), F.lit(min(per, 16)))).alias("t"))
+    a = base.select(*[F.col(c).alias(f"{c}_l") for c in COMPARISONS], F.col("record_key").alias("kl"), F.explode(F.sequence(F.lit(1), F.lit(per))).alias("t"))
     a = a.withColumn("slot", F.pmod(F.xxhash64(F.lit("u"), "kl", "t"), F.lit(slots)))
     b = base.select(*[F.col(c).alias(f"{c}_r") for c in COMPARISONS], F.col("record_key").alias("kr")).withColumn("slot", F.pmod(F.xxhash64(F.lit("v"), "kr"), F.lit(slots)))
-    met = a.join(b, "slot").where("kl <> kr").where(F.pmod(F.xxhash64("kl", "kr", "t"), F.lit(1 << 20)) < min(1 << 20, int((1 << 20) * pairs / (n * min(per, 16) * 4.0)) + 1))
+    met = a.join(b, "slot").where("kl <> kr").where(F.pmod(F.xxhash64("kl", "kr", "t"), F.lit(1 << 20)) < min(1 << 20, int((1 << 20) * pairs / (n * per * 4.0)) + 1))
     sums = met.agg(*[F.sum((gamma(c, F.col(f"{c}_l"), F.col(f"{c}_r")) == k).cast("long")).alias(f"{c}:{k}") for c in COMPARISONS for k in range(levels(c))]).first()
     out = {}
     for c in COMPARISONS:
@@ -134,8 +135,22 @@ def prior_pairs(records: DataFrame) -> int:
     return int(pairs("personal_email_n", *core) + pairs("personal_phone_n", *core) - pairs("personal_email_n", "personal_phone_n", *core))
 
 
-def fit(records: DataFrame, compared: DataFrame) -> Model:
-    """Prior by sure rules, u by random pairs and value counts, m by EM in three blocked sessions, smoothed."""
+def session_patterns(records: DataFrame, block: tuple[str, ...]) -> DataFrame:
+    """``patterns`` of all pairs of records that agree on the columns ``block``.
+
+    Records alike in all comparisons are a class with a count; classes are compared, so that frequent values are in it
+    at the cost of their different records.
+    """
+    alike = records.where(" AND ".join(f"{c} IS NOT NULL" for c in block)).groupBy(*COMPARISONS).agg(F.count(F.lit(1)).alias("n"), F.min("record_key").alias("k"))
+    alike = materialize(alike, "alike")
+    side = lambda s: alike.select(*block, *[F.col(c).alias(f"{c}_{s}") for c in COMPARISONS], F.col("n").alias(f"n_{s}"), F.col("k").alias(f"k_{s}"))
+    met = side("l").join(side("r"), list(block)).where("k_l <= k_r").withColumn("pairs", F.when(F.col("k_l") == F.col("k_r"), F.expr("n_l * (n_l - 1) div 2")).otherwise(F.col("n_l") * F.col("n_r")))
+    levelled = met.where("pairs > 0").select("pairs", *[gamma(c, F.col(f"{c}_l"), F.col(f"{c}_r")).alias(f"gamma_{c}") for c in COMPARISONS])
+    return levelled.groupBy(*[f"gamma_{c}" for c in COMPARISONS]).agg(F.sum("pairs").alias("pairs"))
+
+
+def fit(records: DataFrame) -> Model:
+    """Prior by sure rules, u by random pairs and value counts, m by EM in three sessions over all pairs of a blocking rule, smoothed."""
     n = records.count()
     total = n * (n - 1) / 2
     prior = min(0.5, max(1e-12, prior_pairs(records) / RECALL / max(total, 1)))
@@ -147,10 +162,7 @@ def fit(records: DataFrame, compared: DataFrame) -> Model:
     u = {c: smooth([min(1.0, max(0.0, x)) for x in p], U_PAIRS) for c, p in u.items()}
     found: dict[str, list[list[float]]] = {c: [] for c in COMPARISONS}
     for block in SESSIONS:
-        agreed = compared
-        for c in block:
-            agreed = agreed.where(F.col(f"gamma_{c}") == levels(c) - 1)
-        rows = [(tuple(r)[:-1], r.pairs) for r in patterns(agreed).collect()]
+        rows = [(tuple(r)[:-1], r.pairs) for r in session_patterns(records, block).collect()]  # few, see ``patterns``
         if rows:
             for c, p in em(rows, u, block).items():
                 found[c].append(p)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Lean weights and bounds, reason precedence, truth-like flags, masked fields.
@@ -95,16 +95,36 @@ def partition_problem(members: Column, groups: Column, action: Column) -> Column
 
 
 def latest_overrides(events: DataFrame) -> DataFrame:
-    """``(record_key, customer_id, case_id, event_id)`` of each case's newest decision; deferrals change nothing, repeated events count once."""
-    once = events.dropDuplicates(["event_id"])
-    rank = F.row_number().over(Window.partitionBy("case_id").orderBy(F.desc("applied_case_version"), "event_id"))
-    last = once.where("action <> 'DEFER'").withColumn("rn", rank).where("rn = 1")
-    return last.select("case_id", "event_id", F.explode("memberships").alias("m")).select("m.record_key", "m.customer_id", "case_id", "event_id")
+    """``(source_run_id, record_key, customer_id, case_id, event_id, applied_case_version)`` of each case's newest decision in a release.
+
+    Deferrals change nothing, repeated events count once. What ``event_problems`` and ``overlapping`` tell is not judged here.
+    """
+    last = events.where("action <> 'DEFER'").groupBy("source_run_id", "case_id").agg(F.max_by(F.struct("event_id", "applied_case_version", "memberships"), F.struct("applied_case_version", "event_id")).alias("e"))
+    return last.select("source_run_id", "case_id", "e.event_id", "e.applied_case_version", F.explode("e.memberships").alias("m")).select(
+        "source_run_id", "m.record_key", "m.customer_id", "case_id", "event_id", "applied_case_version")
+
+
+def event_problems(events: DataFrame) -> DataFrame:
+    """``(problem, what)``: event ids that came with several contents, and case versions that several events claim."""
+    seen = events.groupBy("event_id").agg(F.countDistinct(F.coalesce("content_digest", F.lit(""))).alias("n")).where("n > 1")
+    claimed = events.groupBy("source_run_id", "case_id", "applied_case_version").agg(F.countDistinct("event_id").alias("n")).where("n > 1")
+    return seen.select(F.lit("event id with other content").alias("problem"), F.col("event_id").alias("what")).union(
+        claimed.select(F.lit("several events for a case version"), F.concat_ws("/", "source_run_id", "case_id", F.col("applied_case_version").cast("string"))))
 
 
 def overlapping(overrides: DataFrame) -> DataFrame:
-    """Records that two cases decide, which is an error."""
-    return overrides.groupBy("record_key").agg(F.countDistinct("case_id").alias("cases")).where("cases > 1")
+    """Records of a release that two cases decide, which is an error."""
+    return overrides.groupBy("source_run_id", "record_key").agg(F.countDistinct("case_id").alias("cases")).where("cases > 1")
+
+
+def checked_overrides(events: DataFrame) -> DataFrame:
+    """``latest_overrides`` of events that have no problem; the first few problems are named in the error."""
+    out = latest_overrides(events)
+    wrong = [f"{r.problem}: {r.what}" for r in event_problems(events).limit(5).collect()]
+    wrong += [f"record in several cases: {r.record_key}" for r in overlapping(out).limit(5).collect()]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    return out
 
 
 def reviewed_links(links: DataFrame, overrides: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kinweave.operators import tables as T
 from kinweave.operators import vectors as V
 from kinweave.operators.generate import WHEEL, apportion, as_of, gate, permuted, spin, unique_emails, weighted_pick
-from kinweave.operators.golden import top_k
+from kinweave.operators.tables import top_k
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -161,16 +161,8 @@ def union_distinct(spark, d):
     return n.select(F.col("n_nationkey").alias("k")).union(r.select("r_regionkey")).union(s.select("s_nationkey")).distinct()
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE WHEN value > 50 THEN 'high' WHEN value IS NULL THEN 'none' ELSE 'low' END AS level FROM events WHERE event_type LIKE '%i%' AND event_id BETWEEN 10 AND 5000")
-def json_and_case(spark, d):
-    level = F.when(F.col("value") > 50, "high").when(F.col("value").isNull(), "none").otherwise("low")
-    e = t(spark, d, "events").where(F.col("event_type").like("%i%") & F.col("event_id").between(10, 5000))
-    return e.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), level.alias("level"))
-
-
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE WHEN value > 50 THEN 'high' WHEN value IS NULL THEN 'none' ELSE 'low' END AS level, value BETWEEN 10 AND 50 AS middling FROM events WHERE event_type LIKE '%i%'")
-def json_and_case_whole(spark, d):
-    """``json_and_case`` over all events; BETWEEN is shown on a value."""
+def json_and_case(spark, d):
     level = F.when(F.col("value") > 50, "high").when(F.col("value").isNull(), "none").otherwise("low")
     e = t(spark, d, "events").where(F.col("event_type").like("%i%"))
     return e.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), level.alias("level"), F.col("value").between(10, 50).alias("middling"))
@@ -273,11 +265,19 @@ def asof_attribute(spark, d):
     return t(spark, d, "events").select("event_id", as_of(F.col("ts"), changed, F.lit("before"), F.lit("after")).alias("attribute"), permuted(F.col("event_id")).alias("permuted"))
 
 
-@query("""SELECT c_custkey, CASE WHEN row_number() OVER (PARTITION BY c_mktsegment, c_nationkey ORDER BY c_custkey) = 1 THEN concat(lower(c_mktsegment), '@n', CAST(c_nationkey AS VARCHAR))
-  ELSE concat(lower(c_mktsegment), CAST(c_custkey AS VARCHAR), '@n', CAST(c_nationkey AS VARCHAR)) END AS email FROM customer""")
+@query("""WITH people AS (SELECT c_custkey AS k, lower(c_mktsegment) AS first_choice, concat(lower(c_mktsegment), '.', CAST(c_nationkey % 5 AS VARCHAR)) AS second_choice,
+    concat(lower(c_mktsegment), '.x') AS third, concat('n', CAST(c_nationkey AS VARCHAR)) AS dm, CAST(concat('0x', substring(sha256(concat('mail|tail|', CAST(c_custkey AS VARCHAR))), 1, 13)) AS BIGINT) % 10000000 % 900 + 100 AS tail FROM customer),
+  one AS (SELECT *, concat(first_choice, '@', dm) AS e1, row_number() OVER (PARTITION BY first_choice, dm ORDER BY k) = 1 AS ok1 FROM people),
+  two AS (SELECT *, CASE WHEN ok1 THEN e1 ELSE concat(second_choice, '@', dm) END AS e2 FROM one),
+  kept2 AS (SELECT *, row_number() OVER (PARTITION BY e2 ORDER BY CASE WHEN ok1 THEN 0 ELSE 1 END, k) = 1 AS ok2 FROM two),
+  three AS (SELECT *, CASE WHEN ok2 THEN e2 ELSE concat(third, CAST(tail AS VARCHAR), '@', dm) END AS e3 FROM kept2),
+  kept3 AS (SELECT *, row_number() OVER (PARTITION BY e3 ORDER BY CASE WHEN ok2 THEN 0 ELSE 1 END, k) = 1 AS ok3 FROM three)
+  SELECT k AS c_custkey, CASE WHEN ok3 THEN e3 ELSE concat(replace(third, '.', ''), CAST(k AS VARCHAR), '@', dm) END AS email, NOT ok1 AS bumped FROM kept3""")
 def unique_email(spark, d):
-    c = t(spark, d, "customer").select("c_custkey", F.lower("c_mktsegment").alias("l"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("dm"))
-    return unique_emails(c, "c_custkey", "l", "dm").select("c_custkey", "email")
+    segment, nation = F.lower("c_mktsegment"), F.col("c_nationkey")
+    c = t(spark, d, "customer").select(
+        "c_custkey", segment.alias("l"), F.concat(segment, F.lit("."), (nation % 5).cast("string")).alias("second"), F.concat(segment, F.lit(".x")).alias("third"), F.concat(F.lit("n"), nation.cast("string")).alias("dm"))
+    return unique_emails(c, "c_custkey", "l", "dm", "second", "third", "mail").select("c_custkey", "email", "bumped")
 
 
 @query("""SELECT 'open_share' AS gate, round(avg(CASE WHEN o_orderstatus = 'O' THEN 1.0E0 ELSE 0.0E0 END), 6) AS value, 0.1E0 AS lo, 0.9E0 AS hi, avg(CASE WHEN o_orderstatus = 'O' THEN 1.0E0 ELSE 0.0E0 END) BETWEEN 0.1 AND 0.9 AS passed FROM orders
@@ -308,18 +308,15 @@ def weighted_sample(spark, d):
     return t(spark, d, "customer").select("c_custkey", F.array_join(sample_without_replacement(options, "s", F.col("c_custkey"), 3), ",").alias("picked"))
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS a, -l_suppkey AS b FROM lineitem WHERE l_orderkey % 50 = 0), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-  r AS (SELECT a AS node, a AS seen FROM s UNION SELECT r.node, s.b FROM r JOIN s ON r.seen = s.a) SELECT node, min(seen) AS component FROM r GROUP BY node""")
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS a, -l_suppkey AS b FROM lineitem),
+  s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+  cc(node, component) USING KEY (node) AS (
+    SELECT DISTINCT a, a FROM s
+    UNION (SELECT DISTINCT ON (own.node) own.node, other.component FROM recurring.cc AS own JOIN s ON s.a = own.node JOIN cc AS other ON other.node = s.b
+      WHERE other.component < own.component ORDER BY own.node, other.component))
+  SELECT node, component FROM cc""")
 def connected_components(spark, d):
-    from kinweave.operators.components import connected_components as cc
-
-    edges = t(spark, d, "lineitem").where("l_orderkey % 50 = 0").select(F.col("l_partkey").alias("src"), (-F.col("l_suppkey")).alias("dst"))
-    return cc(edges)
-
-
-@query()
-def connected_components_whole(spark, d):
-    """``connected_components`` over all edges of lineitem; a recursive query would hold every pair of a component."""
+    """Parts and suppliers that lineitem connects, over all its rows."""
     from kinweave.operators.components import connected_components as cc
 
     return cc(t(spark, d, "lineitem").select(F.col("l_partkey").alias("src"), (-F.col("l_suppkey")).alias("dst")))

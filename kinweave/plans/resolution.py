@@ -199,7 +199,7 @@ def scored_pairs(spark, d, learned: bool = False):
     """(records, decided pairs) with the whole evidence."""
     r = records_of(spark, d)
     compared = materialize(matching.compare(pairs_of(r), r), "compared")
-    model = matching.fit(r, compared) if learned else FIXED
+    model = matching.fit(r) if learned else FIXED
     keep = ["left_record_key", "right_record_key", "candidate_reasons", "match_probability", "match_weight"] + [f"{p}_{c}" for p in ("gamma", "bf", "tf") for c in matching.COMPARISONS]
     features = matching.pair_features(matching.score(compared, r, model).select(*keep), r)
     decided = features.withColumn("__d", policy.decide(policy.rules())).withColumns({"decision": F.col("__d.decision"), "reason": F.col("__d.reason")}).drop("__d")
@@ -209,7 +209,7 @@ def scored_pairs(spark, d, learned: bool = False):
 @query()
 def learned_model(spark, d):
     r = records_of(spark, d)
-    model = matching.fit(r, materialize(matching.compare(pairs_of(r), r), "compared"))
+    model = matching.fit(r)
     rows = [(c, k, float(model.m[c][k]), float(model.u[c][k])) for c in matching.COMPARISONS for k in range(matching.levels(c))]
     return spark.createDataFrame(rows, "comparison string, level int, m double, u double")
 
@@ -355,23 +355,46 @@ def by_person(spark, d) -> DataFrame:
     return g.select(F.sha2(F.concat_ws("|", "source_system", "source_record_id"), 256).alias("record_key"), F.concat(F.lit("c"), F.col("person").cast("string")).alias("customer_id"))
 
 
-_FIELDS = (("given_name", "given_name"), ("full_name", "full_name"), ("personal_email", "personal_email"), ("personal_phone", "personal_phone"), ("date_of_birth", "CAST(dob_usable AS VARCHAR)"), ("company_name", "company_name"))
-SURVIVORS = f"""{BASE}, fields AS ({' UNION ALL '.join(f"SELECT concat('c', CAST(person AS VARCHAR)) AS customer_id, record_key, source_updated_at, source_priority, '{f}' AS field, {e} AS value FROM base" for f, e in _FIELDS)}),
-picked AS (SELECT customer_id, field, value, record_key FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, field ORDER BY source_updated_at DESC NULLS LAST, source_priority, record_key) AS rn FROM fields WHERE value IS NOT NULL AND trim(value) <> '') x WHERE rn = 1)"""
+def _line(kind: str) -> str:
+    part = lambda name, column: f"CASE WHEN {kind}_{column} IS NULL THEN '' ELSE concat('\"{name}\":\"', {kind}_{column}, '\",') END"
+    return f"CASE WHEN {kind}_address_n IS NOT NULL THEN concat('{{', rtrim(concat({', '.join(part(n, c) for n, c in golden.ADDRESS.items())}), ','), '}}') END"
+
+
+# what each field may take, the rule that picks it, and the profile's name of it
+_FIELDS = (
+    ("full_name", "coalesce(nullif(full_name, ''), concat_ws(' ', given_name, family_name))", 1, "full_name"), ("given_name", "nullif(trim(given_name), '')", 1, "given_name"),
+    ("family_name", "nullif(trim(family_name), '')", 1, "family_name"), ("personal_email", "personal_email_n", 0, "personal_email"), ("personal_phone", "personal_phone_n", 0, "personal_phone"),
+    ("work_email", "work_email_n", 0, "work_email"), ("work_phone", "work_phone_n", 0, "work_phone"), ("dob_usable", "CAST(dob_usable AS VARCHAR)", 1, "date_of_birth"),
+    ("home_address", _line("home"), 0, "home_address_json"), ("work_address", _line("work"), 0, "work_address_json"), ("company_name", "nullif(trim(company_name), '')", 0, "company_name"))
+_EACH = " UNION ALL ".join(
+    f"SELECT concat('c', CAST(person AS VARCHAR)) AS customer_id, record_key, source_system, source_updated_at, source_priority, {p} AS by_priority, '{f}' AS field, {e} AS value FROM records" for f, e, p, _ in _FIELDS)
+SURVIVORS = f"""{PREVALENCE},
+fields AS ({_EACH}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY customer_id, field
+    ORDER BY by_priority * source_priority, source_updated_at DESC NULLS LAST, source_priority, record_key) AS rn
+  FROM fields WHERE value IS NOT NULL AND value <> ''),
+picked AS (SELECT customer_id, field, value, record_key, source_system FROM ranked WHERE rn = 1)"""
+
+
+def picked_fields(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(picked values, mapping by the guest table's person, contact records)."""
+    records, mapping = records_of(spark, d), by_person(spark, d)
+    return golden.survivors(golden.field_candidates(mapping, records), golden.survivorship_rules(None, spark)), mapping, records
 
 
 @query(f"WITH {SURVIVORS} SELECT * FROM picked")
 def survivorship_pick(spark, d):
-    base = base_of(spark, d)
-    picked = golden.survivors(golden.field_candidates(by_person(spark, d), base))
-    return picked.where(F.col("field").isin(*[f for f, _ in _FIELDS])).select("customer_id", "field", "value", "record_key")
+    return picked_fields(spark, d)[0].select("customer_id", "field", "value", "record_key", "source_system")
 
 
-@query(f"""WITH {SURVIVORS} SELECT w.customer_id, record_count, source_systems, {', '.join(f"max(CASE WHEN field = '{f}' THEN value END) AS {f}" for f, _ in _FIELDS)} FROM
-  (SELECT concat('c', CAST(person AS VARCHAR)) AS customer_id, count(*) AS record_count, string_agg(DISTINCT source_system, ',' ORDER BY source_system) AS source_systems FROM base GROUP BY 1) w LEFT JOIN picked p ON p.customer_id = w.customer_id GROUP BY 1, 2, 3""")
+@query(f"""WITH {SURVIVORS},
+  who AS (SELECT concat('c', CAST(person AS VARCHAR)) AS customer_id, count(*) AS source_record_count, string_agg(DISTINCT source_system, ',' ORDER BY source_system) AS source_systems FROM records GROUP BY 1)
+  SELECT who.customer_id, source_record_count, source_systems, {', '.join(f"max(CASE WHEN field = '{f}' THEN value END) AS {name}" for f, _, _, name in _FIELDS)}
+  FROM who LEFT JOIN picked ON picked.customer_id = who.customer_id GROUP BY 1, 2, 3""")
 def golden_profile(spark, d):
-    base, mapping = base_of(spark, d), by_person(spark, d)
-    return golden.golden_profiles(golden.survivors(golden.field_candidates(mapping, base)), mapping, base).select("customer_id", "record_count", "source_systems", *[f for f, _ in _FIELDS])
+    picked, mapping, records = picked_fields(spark, d)
+    wide = golden.golden_profiles(picked, mapping, records)
+    return wide.withColumns({"source_systems": F.array_join("source_systems", ","), "date_of_birth": F.col("date_of_birth").cast("string")})
 
 
 def simple_decisions(spark, d) -> DataFrame:
@@ -438,28 +461,24 @@ def case_lean(spark, d):
 
 
 def steward_events(spark, d) -> DataFrame:
+    """Decisions on made-up cases: a user is a case in each of two releases, and holds one record there."""
     e = spark.read.parquet(f"{d}/events.parquet")
-    key = F.concat(F.lit("r"), F.col("user_id").cast("string"))
+    user, k = F.col("user_id").cast("string"), F.col("event_id")
     return e.select(
-        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"), F.concat(F.lit("case"), F.col("user_id").cast("string")).alias("case_id"), F.col("event_id").alias("applied_case_version"),
-        F.when(F.col("event_id") % 5 == 0, "DEFER").otherwise("MERGE").alias("action"), F.array(F.struct(key.alias("record_key"), F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("customer_id"))).alias("memberships"))
+        F.concat(F.lit("e"), k.cast("string")).alias("event_id"), F.concat(F.lit("run"), (k % 2).cast("string")).alias("source_run_id"), F.concat(F.lit("case"), user).alias("case_id"),
+        k.alias("applied_case_version"), F.when(k % 5 == 0, "DEFER").otherwise("MERGE").alias("action"), F.lit("d").alias("content_digest"),
+        F.array(F.struct(F.concat(F.lit("r"), user).alias("record_key"), F.concat(F.lit("s"), k.cast("string")).alias("customer_id"))).alias("memberships"))
 
 
-OVERRIDES = "o AS (SELECT concat('r', CAST(user_id AS VARCHAR)) AS record_key, concat('s', CAST(max(event_id) AS VARCHAR)) AS customer_id, concat('case', CAST(user_id AS VARCHAR)) AS case_id, concat('e', CAST(max(event_id) AS VARCHAR)) AS event_id FROM events WHERE event_id % 5 <> 0 GROUP BY user_id)"
+OVERRIDES = """o AS (SELECT concat('run', CAST(event_id % 2 AS VARCHAR)) AS source_run_id, concat('r', CAST(user_id AS VARCHAR)) AS record_key, concat('s', CAST(max(event_id) AS VARCHAR)) AS customer_id,
+  concat('case', CAST(user_id AS VARCHAR)) AS case_id, concat('e', CAST(max(event_id) AS VARCHAR)) AS event_id, max(event_id) AS applied_case_version
+  FROM events WHERE event_id % 5 <> 0 GROUP BY user_id, event_id % 2)"""
 
 
 @query(f"WITH {OVERRIDES} SELECT * FROM o")
 def override_compaction(spark, d):
     e = steward_events(spark, d)
-    return review.latest_overrides(e.union(e))
-
-
-@query(f"""WITH {OVERRIDES} SELECT k AS record_key, coalesce(o.customer_id, concat('p', CAST(c_custkey AS VARCHAR))) AS customer_id, CASE WHEN o.customer_id IS NOT NULL THEN 'STEWARD_RESOLVED' WHEN c_custkey % 4 = 0 THEN 'REQUIRES_REVIEW' ELSE 'PIPELINE_RESOLVED' END AS resolution_status
-  FROM (SELECT c_custkey, concat('r', CAST(c_custkey AS VARCHAR)) AS k FROM customer) c LEFT JOIN o ON o.record_key = k""")
-def reviewed_links(spark, d):
-    k = F.col("c_custkey")
-    links = spark.read.parquet(f"{d}/customer.parquet").select(F.concat(F.lit("r"), k.cast("string")).alias("record_key"), F.concat(F.lit("p"), k.cast("string")).alias("customer_id"), F.when(k % 4 == 0, "REQUIRES_REVIEW").otherwise("AUTO_RESOLVED").alias("mapping_status"))
-    return review.reviewed_links(links, review.latest_overrides(steward_events(spark, d)))
+    return review.checked_overrides(e.union(e))
 
 
 @query("""SELECT least(CAST(q AS VARCHAR), CAST(n AS VARCHAR)) AS left_record_key, greatest(CAST(q AS VARCHAR), CAST(n AS VARCHAR)) AS right_record_key, max(s) AS ann_name_score, min(rank) AS ann_name_rank FROM (SELECT q, n, s, row_number() OVER (PARTITION BY q ORDER BY s DESC, n) AS rank

@@ -78,7 +78,9 @@ def truth_like(columns: list[str]) -> list[str]:
 
 
 def snapshot(df: DataFrame) -> DataFrame:
-    """The contract's columns only, cast and trimmed, with ``record_key`` and ``source_hash``. Refuses truth-like columns in the contract's place."""
+    """The contract's columns only, cast and trimmed, with ``record_key`` and ``source_hash``. Refuses a table that lacks one, or that has columns which look like answers."""
+    if told := truth_like(df.columns):
+        raise ValueError(f"columns that look like answers: {told}")
     missing = [c for c in COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")

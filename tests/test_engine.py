@@ -165,7 +165,15 @@ def test_outbox_lands_once(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / "in" / f"{name}.json").write_text(json.dumps(event) + "\n")
         land_once(read_outbox(spark, f"file://{tmp_path}/in"), f"file://{tmp_path}/log", f"file://{tmp_path}/cp").awaitTermination(60)
-    assert spark.read.schema(EVENT_SCHEMA).json(f"file://{tmp_path}/log").count() == 1
+    assert spark.read.schema(EVENT_SCHEMA).parquet(f"file://{tmp_path}/log").count() == 1
+    both = [event | {"event_id": "e2"}, event | {"event_id": "e2", "content_digest": None}]
+    for name, rows in (("c", [event | {"content_digest": None}]), ("d", both)):  # other content in the log, and in one batch
+        folder = tmp_path / f"in-{name}"
+        folder.mkdir()
+        (folder / "x.json").write_text("\n".join(map(json.dumps, rows)))
+        with pytest.raises(Exception, match="other content"):
+            land_once(read_outbox(spark, f"file://{folder}"), f"file://{tmp_path}/log", f"file://{tmp_path}/cp-{name}").awaitTermination(60)
+    assert spark.read.schema(EVENT_SCHEMA).parquet(f"file://{tmp_path}/log").count() == 1
 
 
 @pytest.mark.parametrize("data", ["fixture", "sf"])
@@ -189,7 +197,7 @@ def test_components_query_reads_every_edge(spark, tmp_path, data):
     for a, b in edges:
         a, b = sorted((root(a), root(b)))
         parent[b] = a
-    got = QUERIES["connected_components_whole"](spark, folder).collect()
+    got = QUERIES["connected_components"](spark, folder).collect()
     assert len(got) == len(parent) and {r.node: r.component for r in got} == {x: root(x) for x in parent}
 
 
@@ -197,7 +205,7 @@ def test_json_and_case_reads_every_event(spark):
     duckdb = pytest.importorskip("duckdb")
     from kinweave.plans.queries import ORACLE_SQL, QUERIES
 
-    con, name = duckdb.connect(), "json_and_case_whole"
+    con, name = duckdb.connect(), "json_and_case"
     con.execute(f"CREATE VIEW events AS FROM read_parquet('{SF}/events.parquet')")
     got = [tuple(r) for r in QUERIES[name](spark, SF).select("event_id", "k", "level", "middling").collect()]
     assert sorted(got, key=str) == sorted(con.execute(ORACLE_SQL[name]).fetchall(), key=str)
