@@ -93,24 +93,22 @@ def component_pairs(decisions: DataFrame, mapping: DataFrame) -> DataFrame:
     return both.groupBy(F.least("left_c", "right_c").alias("left_component"), F.greatest("left_c", "right_c").alias("right_component")).agg(F.count(F.lit(1)).alias("pairs"))
 
 
-def steward_cases(mapping: DataFrame, refused: DataFrame, review: DataFrame, decisions: DataFrame, max_records: int = MAX_RECORDS, max_pairs: int = MAX_PAIRS) -> DataFrame:
+def steward_cases(mapping: DataFrame, touched: DataFrame, decisions: DataFrame, max_records: int = MAX_RECORDS, max_pairs: int = MAX_PAIRS) -> DataFrame:
     """``(case_component, component, records, pairs, deferred)``: components that a steward sees together.
 
-    Seeds are the components of refused edges; a refused edge, or a REVIEW pair that touches a seed, joins two
-    components. A case beyond the bounds is deferred whole, not cut.
+    Seeds are the ``touched`` components. A REVIEW pair between two components joins them if either is a seed; no other
+    pair does. ``pairs`` counts the decisions within the case. One beyond the bounds is deferred whole, not cut.
     """
-    side = lambda s: mapping.select(F.col("record_key").alias(f"{s}_record_key"), F.col("component").alias(f"{s}_c"))
-    at = lambda p: p.select("left_record_key", "right_record_key").join(side("left"), "left_record_key").join(side("right"), "right_record_key").select("left_c", "right_c").distinct()
-    hard, soft = at(refused), at(review)
-    seeds = hard.select(F.col("left_c").alias("c")).union(hard.select(F.col("right_c").alias("c"))).distinct()
-    l, r = seeds.select(F.col("c").alias("left_c"), F.lit(True).alias("ls")), seeds.select(F.col("c").alias("right_c"), F.lit(True).alias("rs"))  # noqa: E741
-    crossing = soft.where("left_c <> right_c").join(l, "left_c", "left").join(r, "right_c", "left").where("ls OR rs").select("left_c", "right_c")
-    links = hard.union(crossing).union(seeds.select("c", F.col("c").alias("d")))
-    cases = connected_components(links, "left_c", "right_c").select(F.col("node").alias("component"), F.col("component").alias("case_component"))
+    seeds = touched.select(F.col("component").alias("c")).distinct()
+    review = component_pairs(decisions.where("decision = 'REVIEW'"), mapping).where("left_component <> right_component")
+    left, right = seeds.select(F.col("c").alias("left_component"), F.lit(True).alias("ls")), seeds.select(F.col("c").alias("right_component"), F.lit(True).alias("rs"))
+    crossing = review.join(left, "left_component", "left").join(right, "right_component", "left").where("ls OR rs").select("left_component", "right_component")
+    cases = connected_components(crossing.union(seeds.select("c", F.col("c").alias("d"))), "left_component", "right_component").select(
+        F.col("node").alias("component"), F.col("component").alias("case_component"))
     sizes = mapping.groupBy("component").agg(F.count(F.lit(1)).alias("n")).join(cases, "component").groupBy("case_component").agg(F.sum("n").alias("records"))
-    within = component_pairs(decisions, mapping)
-    lc, rc = cases.select(F.col("component").alias("left_component"), F.col("case_component").alias("lcase")), cases.select(F.col("component").alias("right_component"), F.col("case_component").alias("rcase"))
-    pairs = within.join(lc, "left_component").join(rc, "right_component").where("lcase = rcase").groupBy(F.col("lcase").alias("case_component")).agg(F.sum("pairs").alias("pairs"))
+    at = lambda side: cases.select(F.col("component").alias(f"{side}_component"), F.col("case_component").alias(f"{side}_case"))
+    within = component_pairs(decisions, mapping).join(at("left"), "left_component").join(at("right"), "right_component").where("left_case = right_case")
+    pairs = within.groupBy(F.col("left_case").alias("case_component")).agg(F.sum("pairs").alias("pairs"))
     out = cases.join(sizes, "case_component").join(pairs, "case_component", "left").withColumn("pairs", F.coalesce("pairs", F.lit(0)))
     return out.withColumn("deferred", (F.col("records") > max_records) | (F.col("pairs") > max_pairs))
 

@@ -127,13 +127,6 @@ def checked_overrides(events: DataFrame) -> DataFrame:
     return out
 
 
-def reviewed_links(links: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Links with the stewards' word over the pipeline's."""
-    o = overrides.select("record_key", F.col("customer_id").alias("__c"))
-    status = F.when(F.col("__c").isNotNull(), "STEWARD_RESOLVED").when(F.col("mapping_status") == "REQUIRES_REVIEW", "REQUIRES_REVIEW").otherwise("PIPELINE_RESOLVED")
-    return links.join(o, "record_key", "left").select("record_key", F.coalesce("__c", "customer_id").alias("customer_id"), status.alias("resolution_status"))
-
-
 def masked(df: DataFrame, on: bool = True) -> DataFrame:
     """Personal fields hidden where they have a value."""
     if not on:

@@ -434,7 +434,7 @@ def component_pair_counts(spark, d):
 @query()
 def steward_cases(spark, d):
     _, decided, mapping, refused = resolved(spark, d)
-    return golden.steward_cases(mapping, refused, decided.where("decision = 'REVIEW'"), decided)
+    return golden.steward_cases(mapping, golden.touched_components(decided, refused, mapping), decided)
 
 
 @query()
