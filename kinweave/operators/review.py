@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,44 +32,10 @@ def case_signals(members: DataFrame, refused: DataFrame, review: DataFrame) -> D
     return own.join(held, "case_id", "left").join(low, "case_id", "left")
 
 
-def reason_codes(links: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(case_id, codes)``: graph reasons in their precedence, then review rules by count (down) and name."""
-    rank = F.array_position(F.array(*[F.lit(r) for r in GRAPH_REASONS]), F.col("reason"))
-    graph = links.select("case_id", "reason").distinct().select("case_id", rank.cast("long").alias("o"), F.lit(0).cast("long").alias("n"), F.col("reason").alias("code"))
-    rules = pairs.groupBy("case_id", "reason").agg(F.count(F.lit(1)).alias("n")).select("case_id", F.lit(99).cast("long").alias("o"), (-F.col("n")).alias("n"), F.col("reason").alias("code"))
-    listed = graph.unionByName(rules).groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("o", "n", "code"))).alias("x"))
-    return listed.select("case_id", F.transform("x", lambda e: e["code"]).alias("codes"))
-
-
-def tags(codes: Column) -> Column:
-    """At most two codes for the queue."""
-    return F.slice(codes, 1, 2)
-
-
 def probability_text(p: Column) -> Column:
     return F.when(p > 0.999, ">99.9%").otherwise(F.concat(F.format_number(p * 100, 1), F.lit("%")))
 
 
-def queue_page(cases: DataFrame, status: str, sort: str = "oldest", search: str = "", offset: int = 0, limit: int = 50) -> DataFrame:
-    order = ["created_at", "case_id"] if sort == "oldest" else [F.desc_nulls_last("confidence"), "case_id"]
-    found = cases.where(F.col("status") == status)
-    if search:
-        found = found.where(F.contains(F.lower("title"), F.lit(search.lower())))
-    return found.orderBy(*order).offset(offset).limit(limit)
-
-
-def pair_violations(pairs: DataFrame, flags: list[str], similarities: list[str]) -> DataFrame:
-    """Pairs with a flag that isn't 0 or 1, a similarity that isn't a number in [0, 1], or a contradiction beside an equal or default date."""
-    bad = F.lit(False)
-    for f in flags:
-        bad = bad | F.col(f).isNull() | ~F.col(f).cast("int").isin(0, 1)
-    for s in similarities:
-        bad = bad | (F.col(s).isNotNull() & (F.isnan(s) | ~F.col(s).between(0, 1)))
-    if {"valid_dob_conflict", "dob_agreement"} <= set(flags):
-        bad = bad | ((F.col("valid_dob_conflict").cast("int") == 1) & (F.col("dob_agreement").cast("int") == 1))
-    return pairs.where(bad)
-
-
 def comparison_weights(scored: DataFrame, comparisons: list[str]) -> DataFrame:
     """Per pair the rounded weight of every comparison, and the prior as what is left of the match weight."""
     own = {c: F.round(F.log2(F.col(f"bf_{c}") * F.col(f"tf_{c}")), 6) for c in comparisons}
@@ -146,11 +109,6 @@ def golden_default(chosen: Column, members: Column) -> Column:
     return F.coalesce(F.get(own, F.lit(0))["value"], F.get(full, F.lit(0))["value"])
 
 
-def digest(value: object) -> str:
-    """Hash of a value's canonical JSON."""
-    return hashlib.sha256(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
-
-
 def parse_manifest(value: dict, allowed: dict[str, str]) -> dict:
     """A release manifest: exactly the expected tables, all in one schema, with version and row count. All problems in one error."""
     import re

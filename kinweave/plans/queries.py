@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinweave.plans import publication, relational, resolution
+from kinweave.plans import publication, relational, resolution, steward
 
-QUERIES = {**relational.QUERIES, **resolution.QUERIES, **publication.QUERIES}
-ORACLE_SQL = {**relational.ORACLE_SQL, **resolution.ORACLE_SQL, **publication.ORACLE_SQL}
+QUERIES = {**relational.QUERIES, **resolution.QUERIES, **publication.QUERIES, **steward.QUERIES}
+ORACLE_SQL = {**relational.ORACLE_SQL, **resolution.ORACLE_SQL, **publication.ORACLE_SQL, **steward.ORACLE_SQL}
