@@ -35,7 +35,7 @@ def weighted_pick(df: DataFrame, wheel: DataFrame, seed: str, keys: list[str], o
 
 def sample_without_replacement(options: Column, seed: str, key: Column, k: int) -> Column:
     """``k`` names out of array<struct<name,weight>>, likelier by weight: the smallest exponential draws."""
-    draw = lambda o: -F.ln((F.pmod(F.xxhash64(F.lit(seed), key, o["name"]), F.lit(1 << 40)) + 1) / float((1 << 40) + 1)) / o["weight"]
+    draw = lambda o: -F.ln((spin(seed, key, o["name"]) + 0.5) / float(WHEEL)) / o["weight"]
     return F.transform(F.slice(F.array_sort(F.transform(options, lambda o: F.struct(draw(o).alias("d"), o["name"].alias("name")))), 1, k), lambda x: x["name"])
 
 
@@ -90,7 +90,7 @@ def slip(c: Column, kind: Column, at: Column) -> Column:
 
 def owner_key(n: Column, owners: int) -> Column:
     """Position of the owning row of an activity fact."""
-    return F.pmod(F.xxhash64(n), F.lit(owners))
+    return spin("owner", n) % owners
 
 
 def split_of(key: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a key that are never worth splitting.
 LEAST = 64
+#: Rows of two numbers that every executor can hold: some 16 MB.
+FEW = 1 << 19
 
 
 def spread_join(many: DataFrame, few: DataFrame, on: list[str], salt: list[str], how: str = "inner", counted: DataFrame | None = None) -> DataFrame:
@@ -36,3 +38,8 @@ def spread_join(many: DataFrame, few: DataFrame, on: list[str], salt: list[str],
     dealt = many.join(F.broadcast(hot), on, "left").withColumn("__s", own).drop("__k")
     copies = few.join(F.broadcast(hot), on, "left").withColumn("__s", F.explode(F.sequence(F.lit(0), F.coalesce("__k", F.lit(1)) - 1))).drop("__k")
     return dealt.join(copies, [*on, "__s"], how).drop("__s")
+
+
+def bounded(few: DataFrame, rows: int = FEW) -> DataFrame:
+    """``few``, a stage table of few columns of fixed width, to be broadcast if it has at most ``rows`` rows; a larger one is joined by a shuffle."""
+    return F.broadcast(few) if few.count() <= rows else few

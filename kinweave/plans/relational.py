@@ -300,14 +300,6 @@ def slot_explosion(spark, d):
     return slots(o, "n").groupBy("o_custkey").agg(F.sum("slot").alias("slots"))
 
 
-@query()
-def weighted_sample(spark, d):
-    from kinweave.operators.generate import sample_without_replacement
-
-    options = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(w)).alias("weight")) for n, w in (("web", 5), ("app", 3), ("pos", 2), ("mail", 1), ("fax", 0.1))])
-    return t(spark, d, "customer").select("c_custkey", F.array_join(sample_without_replacement(options, "s", F.col("c_custkey"), 3), ",").alias("picked"))
-
-
 @query("""WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS a, -l_suppkey AS b FROM lineitem),
   s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
   cc(node, component) USING KEY (node) AS (
