@@ -2,7 +2,8 @@
 
 URLs that no given rule fits are judged by association rules: FP-growth mines combinations
 of URL tokens that go with a "block" label, confidence and support prune them, and an
-inverted index from each rule's rarest token finds the rules a URL may meet.
+inverted index from each rule's rarest token finds the rules a URL may meet. A token of very
+many URLs, a frequent URL and null URLs are dealt over tasks.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.operators.skew import spread_join
 from kinweave.runtime import materialize
 
 #: (host, path, verdict); a rule fits its host and all subdomains if the path starts with its path; the longest wins.
@@ -80,10 +82,11 @@ def filter_urls(pages: DataFrame, mined: DataFrame, id_col: str = "page_id", url
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("u"), host.alias("host"), path.alias("path"))
     rule, verdict = given_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("given", verdict)
-    open_urls = rows.where("rule IS NULL AND u IS NOT NULL").select("u").distinct().withColumn("t", tokens("u"))
-    index = mined.select(F.col("rarest").alias("token"), F.col("rule").alias("r"), "antecedent", "confidence")
-    met = open_urls.withColumn("token", F.explode("t")).join(index, "token").where(F.size(F.array_except("antecedent", "t")) == 0)
+    open_urls = materialize(rows.where("rule IS NULL AND u IS NOT NULL").select("u").distinct().withColumn("t", tokens("u")), "open-urls")
+    index = materialize(mined.select(F.col("rarest").alias("token"), F.col("rule").alias("r"), "antecedent", "confidence"), "rule-index")
+    posted = open_urls.withColumn("token", F.explode("t"))
+    met = spread_join(posted, index, ["token"], ["u"]).where(F.size(F.array_except("antecedent", "t")) == 0)
     best = met.groupBy("u").agg(F.min(F.struct(-F.col("confidence"), F.col("r").alias("r"))).alias("b")).select("u", F.col("b.r").alias("mined"))
-    told = rows.join(best, "u", "left").withColumn("mined", F.when(F.col("rule").isNull(), F.col("mined")))
+    told = spread_join(rows, best, ["u"], ["id"], "left").withColumn("mined", F.when(F.col("rule").isNull(), F.col("mined")))
     final = F.coalesce("given", F.when(F.col("mined").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
     return told.select("id", "host", "path", "rule", final.alias("verdict"), "mined")
