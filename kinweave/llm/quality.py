@@ -150,16 +150,19 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: fl
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
           label_col: str = "quality", fit_rows: int = FIT_ROWS) -> Trees:
-    """Trees fitted on about ``fit_rows`` labelled rows at most, taken by a hash of the id. Null labels and ids teach nothing."""
+    """Trees fitted on about ``fit_rows`` labelled rows at most, taken by a hash of the id. Null labels and ids teach nothing.
+
+    Of labels that disagree about an id the lowest counts. Repeated documents each teach; the order of rows does not matter.
+    """
     rows = labels.select(F.col(label_id_col).cast("long").alias("__i"), F.col(label_col).cast("int").alias("__y")).where("__i IS NOT NULL AND __y IS NOT NULL")
     n = max(1, rows.count())
     part = min(1 << 20, -(-(fit_rows << 20) // n))
-    rows = rows.where(F.pmod(F.xxhash64(F.lit(11), "__i"), F.lit(1 << 20)) < part).dropDuplicates(["__i"])
+    rows = rows.where(F.pmod(F.xxhash64(F.lit(11), "__i"), F.lit(1 << 20)) < part).groupBy("__i").agg(F.min("__y").alias("__y"))
     texts = docs.select(F.col(id_col).cast("long").alias("__i"), F.col(text_col).cast("string").alias("t"))
     # about fit_rows rows of two numbers, whatever the input
-    found = texts.join(F.broadcast(rows), "__i").mapInArrow(_fit_rows, "id long, y int, x array<double>").toArrow().sort_by("id")
-    x = np.array(found.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
-    return fit(x, (found.column("y").to_numpy() > 0).astype(float))
+    found = texts.join(F.broadcast(rows), "__i").mapInArrow(_fit_rows, "id long, y int, x array<double>").toArrow()
+    told = sorted(zip(*(found.column(c).to_pylist() for c in ("id", "x", "y")), strict=True))
+    return fit(np.array([x for _, x, _ in told], float).reshape(-1, len(FEATURES)), np.array([float(y > 0) for *_, y in told]))
 
 
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
