@@ -1,5 +1,7 @@
 """The pipeline's stages: what each keeps, and the columns it returns."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
 from kinweave.llm import decontam, simhash
 from kinweave.runtime import materialize
@@ -30,3 +32,12 @@ def test_stages(spark):
             assert set(after) == before - hit
         docs = out
     assert [n for n, _ in cp.STAGES] == ["language", "lines", "near_copies", "benchmark", "mixture"] and cp.ORACLE_SQL is None
+
+
+def test_stages_without_rows_and_with_other_columns(spark):
+    """No rows give none; columns with names that the stages use themselves pass through or are left."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({c: F.lit(1) for c in ("n_dropped", "component", "start", "src", "h1s")})
+    for name, stage in cp.STAGES:
+        assert stage(spark, docs.where("false"), SF).collect() == []
+        some = stage(spark, docs.limit(40), SF)
+        assert "doc_id" in some.columns and some.count() <= 40, name
