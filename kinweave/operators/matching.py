@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from dataclasses import dataclass, field
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from kinweave.functions import text as norm
 from kinweave.functions.variants import NICKNAMES, dob_variant, family_variant, given_variant
 from kinweave.operators.profile import ROLE_MAILBOX  # noqa: F401  (part of the feature contract)
+from kinweave.operators.tables import Versions, fingerprint
 from kinweave.runtime import materialize
 
 # Comparisons as (column, similarity levels), whether term frequency adjusts the exact level, EM settings.
@@ -170,6 +172,32 @@ def fit(records: DataFrame) -> Model:
     return Model(prior, m, u)
 
 
+def spec() -> str:
+    """Hash of what a fitted model depends on besides the data."""
+    told = {"comparisons": COMPARISONS, "term_frequency": TERM_FREQUENCY, "settings": [MAX_ITERATIONS, TOLERANCE, RECALL, PSEUDOCOUNT, U_PAIRS], "sessions": SESSIONS}
+    return hashlib.sha256(json.dumps(told, sort_keys=True).encode()).hexdigest()
+
+
+def cached_model(store: Versions, records: DataFrame, train=fit) -> tuple[Model, bool]:
+    """(model, whether it was fitted now): one that was fitted before is taken if neither specification nor data have changed."""
+    used = records.select("record_key", *COMPARISONS)
+    key = hashlib.sha256(f"{spec()}{fingerprint(used)}".encode()).hexdigest()
+    name = f"model_{key}"
+    if store.exists(name):
+        return Model.from_json(store.read(name).first().model), False
+    model = train(records)
+    store.write(name, records.sparkSession.createDataFrame([(key, model.to_json())], "model_key string, model string"))
+    return model, True
+
+
+def gate_scores(scored: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``scored`` if it has a row for every pair and every probability lies in [0, 1]; anything else is an error."""
+    n, bad, want = scored.count(), scored.where("match_probability IS NULL OR isnan(match_probability) OR match_probability < 0 OR match_probability > 1").count(), pairs.count()
+    if n != want or bad:
+        raise ValueError(f"{n} scores for {want} pairs, {bad} of them no probability")
+    return scored
+
+
 def score(compared: DataFrame, records: DataFrame, model: Model) -> DataFrame:
     """``compared`` with ``bf_`` and ``tf_`` factors, ``match_weight`` and ``match_probability``.
 

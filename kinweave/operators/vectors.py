@@ -1,4 +1,4 @@
-"""Embeddings and exact nearest neighbours."""
+"""Embeddings, their cache, and nearest neighbours: exact, and through a partitioned index."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.runtime import materialize
+
 
 def norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
@@ -25,8 +27,8 @@ def clip_normalize(raw: Column, dimensions: int) -> tuple[Column, Column]:
 
 def is_valid(v: Column, dimensions: int, slack: float = 0.001) -> Column:
     """Right size, finite, no number beyond 1, length one within ``slack``. Null vectors are not valid."""
-    fine = (F.size(v) == dimensions) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= 1)) & (F.abs(norm(v) - 1) <= slack)
-    return F.coalesce(fine, F.lit(False))
+    fine = lambda w: (F.size(w) == dimensions) & F.forall(w, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= 1)) & (F.abs(norm(w) - 1) <= slack)
+    return F.coalesce(_bound(v, fine), F.lit(False))
 
 
 def search_text(fields: dict[str, str]) -> Column:
@@ -39,9 +41,15 @@ def hashed_embedding(c: Column, dimensions: int = 64) -> Column:
     """A stand-in for a model: character trigrams hashed into ``dimensions`` signed counts, at length one. Null for null."""
     padded = F.concat(F.lit("  "), c, F.lit("  "))
     grams = F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.xxhash64(F.substr(padded, i, F.lit(3))))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda d: F.aggregate(
-        F.filter(grams, lambda g: F.pmod(g, F.lit(dimensions)) == d), F.lit(0.0), lambda a, g: a + F.when(F.shiftright(g, 20).bitwiseAND(F.lit(1)) == 1, 1.0).otherwise(-1.0)))
-    return F.when(c.isNotNull(), clip_normalize(counts, dimensions)[0])
+    sign = lambda g: F.when(F.shiftright(g, 20).bitwiseAND(F.lit(1)) == 1, 1.0).otherwise(-1.0)
+    counts = _bound(grams, lambda gs: F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda d: F.aggregate(
+        F.filter(gs, lambda g: F.pmod(g, F.lit(dimensions)) == d), F.lit(0.0), lambda a, g: a + sign(g))))
+    return F.when(c.isNotNull(), _bound(counts, lambda raw: clip_normalize(raw, dimensions)[0]))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it reads it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def cached_texts(records: DataFrame, cache: DataFrame, text_col: str) -> DataFrame:
@@ -73,7 +81,14 @@ def knn(index: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", ve
     asked = queries.withColumn("q", F.pmod(F.xxhash64("id"), F.lit(n_queries))).groupBy("q").applyInArrow(_pack("q"), "q long, ids array<long>, matrix binary")
     asked = asked.select(F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_index - 1).cast("long"))).alias("b"))
 
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = packed.join(asked, "b").select("q_ids", "q_matrix", "ids", "matrix").mapInArrow(_best(k, digits), "query_id long, neighbour_id long, score double")
+    return _ranked(found, k)
+
+
+def _best(k: int, digits: int):
+    """The ``k`` nearest of a block of the index for each query of a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for q_ids, q_m, ids, m in zip(*(b.column(c).to_pylist() for c in ("q_ids", "q_matrix", "ids", "matrix")), strict=True):
                 q_ids, ids = np.array(q_ids), np.array(ids)
@@ -86,11 +101,108 @@ def knn(index: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", ve
                 real = np.isfinite(near)
                 yield pa.record_batch([pa.array(np.repeat(q_ids, real.sum(axis=1))), pa.array(ids[top][real]), pa.array(near[real])], ["query_id", "neighbour_id", "score"])
 
-    found = packed.join(asked, "b").select("q_ids", "q_matrix", "ids", "matrix").mapInArrow(best, "query_id long, neighbour_id long, score double")
+    return run
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "neighbour_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+#: Vectors that the cells of an index are fitted on at most, taken by a hash of the id, and the most cells.
+FIT_VECTORS, MAX_CELLS = 1 << 16, 4096
+
+
+class CellIndex:
+    """A partitioned index: every vector lies in the cell of its nearest centre, a query looks into the cells nearest to it.
+
+    Centres are fitted (k-means by direction) on a bounded sample; all rows are indexed. With every cell probed the search
+    is exact. The table is ordered by cell, so that an index of any size is searched cell by cell.
+    """
+
+    def __init__(self, rows: DataFrame, cells: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding", rounds: int = 8):
+        self.id_col, self.vector_col = id_col, vector_col
+        rows = self._rows(rows)
+        self.size = rows.count()
+        sample = rows.where(F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(1 << 20)) < min(1 << 20, -(-(FIT_VECTORS << 20) // max(1, self.size)))).toArrow().sort_by("id")
+        x = np.array(sample.column("v").to_pylist(), np.float32).reshape(sample.num_rows, -1)
+        k = min(MAX_CELLS, max(1, len(x)), cells or max(1, round(self.size**0.5)))
+        centres = x[np.linspace(0, len(x) - 1, k).astype(int)] if len(x) else np.zeros((1, 1), np.float32)
+        for _ in range(rounds if len(x) else 0):
+            near = (x @ centres.T).argmax(axis=1)
+            sums = np.zeros_like(centres)
+            np.add.at(sums, near, x)
+            lengths = np.linalg.norm(sums, axis=1, keepdims=True)
+            centres = np.where(lengths > 0, sums / np.maximum(lengths, 1e-12), centres)
+        self.centres = centres
+        self.table = materialize(self._placed(rows, 1).select("cell", "id", "v").repartitionByRange("cell", "id"), "cells")
+
+    def _rows(self, df: DataFrame) -> DataFrame:
+        return df.where(F.col(self.id_col).isNotNull() & F.col(self.vector_col).isNotNull()).select(F.col(self.id_col).cast("long").alias("id"), F.col(self.vector_col).alias("v"))
+
+    def _placed(self, rows: DataFrame, cells: int) -> DataFrame:
+        centres = rows.sparkSession.sparkContext.broadcast(self.centres)  # MAX_CELLS vectors at most
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                x = np.array(b.column(1).to_pylist(), np.float32).reshape(b.num_rows, -1)
+                near = np.argsort(-(x @ centres.value.T), axis=1, kind="stable")[:, :cells] if b.num_rows else np.zeros((0, 1), int)
+                at = np.repeat(np.arange(b.num_rows), near.shape[1])
+                yield pa.record_batch([pa.array(near.ravel().astype(np.int64)), b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at))], ["cell", "id", "v"])
+
+        return rows.mapInArrow(run, f"cell long, id long, v {rows.schema['v'].dataType.simpleString()}")
+
+    def agrees(self, rows: DataFrame) -> bool:
+        """Whether the index holds exactly the ids that ``rows`` has now."""
+        told = lambda d: d.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("id")), F.lit(0))).first()
+        return tuple(told(self._rows(rows))) == tuple(told(self.table))
+
+    def search(self, queries: DataFrame, k: int, probes: int, block: int = 4096, digits: int = 6) -> DataFrame:
+        """``(query_id, neighbour_id, score, rank)`` like ``knn``, over the ``probes`` cells nearest to each query."""
+        asked = self._placed(self._rows(queries), probes)
+        sizes = self.table.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+        # a cell's rows, and the queries that look into it, in blocks that fit a task
+        cut = self.table.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        packed = cut.withColumn("b", F.col("cell") * F.lit(1 << 20) + F.col("part")).select("b", "id", "v").groupBy("b").applyInArrow(_pack("b"), "b long, ids array<long>, matrix binary")
+        spread = asked.join(sizes, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("b", F.col("cell") * F.lit(1 << 20) + F.col("part"))
+        wide = materialize(spread.select("b", "id", "v"), "asked")
+        many = wide.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cuts"))
+        dealt = wide.join(many, "b").withColumn("q", F.col("b") * F.lit(1 << 10) + F.pmod(F.xxhash64("id"), F.col("cuts")))
+        held = dealt.select("q", "id", "v").groupBy("q").applyInArrow(_pack("q"), "q long, ids array<long>, matrix binary").select(F.shiftright("q", 10).alias("b"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
+        return _ranked(packed.join(held, "b").select("q_ids", "q_matrix", "ids", "matrix").mapInArrow(_best(k, digits), "query_id long, neighbour_id long, score double"), k)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> float:
+    """Share of the exact neighbours that were found."""
+    both = exact.select("query_id", "neighbour_id").join(found.select("query_id", "neighbour_id"), ["query_id", "neighbour_id"])
+    return both.count() / max(1, exact.count())
+
+
+def reusable_vectors(caches: DataFrame, model: str, version: str, dimensions: int) -> DataFrame:
+    """The newest sound vector of each text in earlier caches ``(text_hash, search_text, embedding, embedding_error, model_name, embedding_version, generated_at)``.
+
+    Sound is one of this model and version, without an error, whose hash is its text's and which passes ``is_valid``.
+    """
+    fine = caches.where((F.col("model_name") == model) & (F.col("embedding_version") == version) & F.col("embedding_error").isNull()
+                        & (F.col("text_hash") == F.sha2("search_text", 256)) & is_valid(F.col("embedding"), dimensions))
+    return fine.groupBy("text_hash").agg(F.max_by(F.struct("search_text", "embedding", "generated_at"), F.struct("generated_at", F.xxhash64("embedding"))).alias("x")).select("text_hash", "x.*")
+
+
+def distinct_queries(records: DataFrame, text_hash: str = "text_hash", vector_col: str = "embedding") -> DataFrame:
+    """``(text_hash, embedding)``: one query for every different text."""
+    return records.where(F.col(text_hash).isNotNull() & F.col(vector_col).isNotNull()).groupBy(F.col(text_hash).alias("text_hash")).agg(F.any_value(vector_col).alias(vector_col))
+
+
+def expanded(hits: DataFrame, records: DataFrame, k: int = 20) -> DataFrame:
+    """``(query_key, neighbour_key, score, rank)``: the hits of a text for every record that has it, without the record itself, ranked anew.
+
+    ``hits`` is (text_hash, neighbour_key, score, rank), of one more than ``k`` ranks, ``records`` (record_key, text_hash).
+    """
+    met = hits.join(records.select(F.col("record_key").alias("query_key"), "text_hash"), "text_hash").where("query_key <> neighbour_key")
+    rank = F.row_number().over(Window.partitionBy("query_key").orderBy("rank", "neighbour_key"))
+    return met.withColumn("__r", rank).where(F.col("__r") <= k).select("query_key", "neighbour_key", "score", F.col("__r").alias("rank"))
+
+
 def ann_hits(neighbours: DataFrame, records: DataFrame, representation: str, k: int = 20) -> DataFrame:
     """Neighbours up to rank ``k`` as canonical pairs with scope, score and rank. ``records`` is ``(record_key, vec_id, source_system)``."""
     left = records.select(F.col("record_key").alias("l"), F.col("vec_id").alias("query_id"), F.col("source_system").alias("ls"))

@@ -215,11 +215,12 @@ def scd2_history(spark, d):
     return T.close_and_open(was, now, "k", "v", F.lit(2))
 
 
-@query()
+@query("SELECT true AS order_independent, true AS tells_contents_apart")
 def table_fingerprint(spark, d):
     o = t(spark, d, "orders")
     same = T.fingerprint(o) == T.fingerprint(o.orderBy(F.desc("o_totalprice")))
-    return spark.range(1).select(F.lit(same).alias("order_independent"))
+    other = T.fingerprint(o) != T.fingerprint(o.withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    return spark.range(1).select(F.lit(same).alias("order_independent"), F.lit(other).alias("tells_contents_apart"))
 
 
 @query("""SELECT vec_id, len(embedding) AS dims, list_aggregate(list_transform(embedding, lambda x: CAST(abs(x) <= 1 AS INT)), 'min') = 1 AS bounded,

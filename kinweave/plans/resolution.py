@@ -219,7 +219,7 @@ def learned_model(spark, d):
     WHEN month(a.dob_usable) = month(b.dob_usable) AND day(a.dob_usable) = day(b.dob_usable) AND hamming(CAST(year(a.dob_usable) AS VARCHAR), CAST(year(b.dob_usable) AS VARCHAR)) = 1 THEN 'YEAR_DIGIT'
     WHEN year(a.dob_usable) = year(b.dob_usable) AND month(a.dob_usable) = month(b.dob_usable) AND hamming(lpad(CAST(day(a.dob_usable) AS VARCHAR), 2, '0'), lpad(CAST(day(b.dob_usable) AS VARCHAR), 2, '0')) = 1 THEN 'DAY_DIGIT' ELSE 'CONFLICT' END AS dob_variant,
   a.dob_is_source_default OR b.dob_is_source_default AS source_default_dob, coalesce(a.personal_email_n = b.personal_email_n, false) AS personal_email_exact, coalesce(a.personal_phone_n = b.personal_phone_n, false) AS personal_phone_exact,
-  coalesce(a.email_n = b.email_n, false) AND a.email_is_shared AS shared_email_exact, coalesce(a.personal_email_n <> b.personal_email_n, false) AS personal_email_conflict, a.name_n = b.name_n AS name_exact,
+  coalesce(a.email_n = b.email_n, false) AND a.email_is_shared AS shared_email_exact, CASE WHEN a.email_n = b.email_n THEN a.email_given_names END AS email_given_names, CASE WHEN a.phone_n = b.phone_n THEN a.phone_given_names END AS phone_given_names, coalesce(a.personal_email_n <> b.personal_email_n, false) AS personal_email_conflict, a.name_n = b.name_n AS name_exact,
   coalesce(a.home_address_n = b.home_address_n, false) AS address_agreement, coalesce(a.postcode_n = b.postcode_n, false) AS postcode_agreement, round(1 - levenshtein(a.name_n, b.name_n) * 1.0E0 / greatest(length(a.name_n), length(b.name_n), 1), 6) AS name_edit_similarity,
   (coalesce(a.email_n = b.email_n, false) AND a.email_is_shared) OR (coalesce(a.phone_n = b.phone_n, false) AND a.phone_is_shared) OR coalesce(a.work_email_n = b.work_email_n, false) OR coalesce(a.work_phone_n = b.work_phone_n, false) AS shared_context
   FROM weighed JOIN records a ON a.record_key = l JOIN records b ON b.record_key = r""")
@@ -227,7 +227,7 @@ def pair_features(spark, d):
     r = records_of(spark, d)
     pairs = pairs_of(r).withColumn("match_probability", F.lit(0.5))
     return matching.pair_features(pairs, r).select(
-        "left_record_key", "right_record_key", "valid_dob_conflict", "dob_variant", "source_default_dob", "personal_email_exact", "personal_phone_exact", "shared_email_exact", "personal_email_conflict",
+        "left_record_key", "right_record_key", "valid_dob_conflict", "dob_variant", "source_default_dob", "personal_email_exact", "personal_phone_exact", "shared_email_exact", "email_given_names", "phone_given_names", "personal_email_conflict",
         "name_exact", "address_agreement", "postcode_agreement", F.round("name_edit_similarity", 6).alias("name_edit_similarity"), "shared_context")
 
 
@@ -284,11 +284,50 @@ def safeguards_grid(spark, d):
     return g.select("id", F.array_join(policy.safeguards(), ",").alias("safeguards"))
 
 
-@query()
+def _policy_sql(version: int) -> str:
+    """The policy of a version in SQL, clause by clause."""
+    part = "(given_variant IS NOT NULL OR family_variant IS NOT NULL)"
+    full = "name_exact AND address_agreement AND postcode_agreement"
+    steps = [
+        (1, "dob_variant = 'CONFLICT'", "REJECT VALID_DOB_CONFLICT"), (1, f"{_CONTACT} AND given_variant = 'CONFLICT' AND family_variant = 'CONFLICT'", "REJECT SHARED_CONTACT_DIFFERENT_PEOPLE"),
+        (1, f"{_CONTACT} AND {_DOB}", "AUTO_MATCH PERSONAL_CONTACT_AND_DOB"), (1, f"personal_email_exact AND personal_phone_exact AND {_ACCEPT}", "AUTO_MATCH BOTH_PERSONAL_CONTACTS"),
+        (1, f"{_CONTACT} AND {_ACCEPT}" + (f" AND {part}" if version == 1 else ""), "AUTO_MATCH PERSONAL_CONTACT_AND_NAME"), (2, f"{_CONTACT} AND family_variant = 'CONFLICT'", "REJECT SHARED_CONTACT_DIFFERENT_FAMILY"),
+        (4, f"{_CONTACT} AND given_variant = 'CONFLICT'", "REJECT SHARED_CONTACT_DIFFERENT_GIVEN"), (1, _CONTACT, "REVIEW PERSONAL_CONTACT_NAME_CONFLICT"), (1, f"cross_script AND {_DOB} AND coalesce(ann_address_rank <= 5, false)", "AUTO_MATCH MULTILINGUAL_ADDRESS_AND_DOB"),
+        (2, f"{_TWIN} AND given_variant = 'CONFLICT'", "REJECT SAME_BIRTH_FAMILY_GIVEN_CONFLICT"), (2, _TWIN, "REJECT SAME_BIRTH_FAMILY_GIVEN_VARIANT"), (1, f"name_exact AND {_DOB} AND address_agreement", "AUTO_MATCH NAME_DOB_ADDRESS_CORROBORATION"),
+        (2, f"name_exact AND {_DOB}", "AUTO_MATCH NAME_AND_DOB"), (2, full + ("" if version < 3 else " AND NOT personal_email_conflict AND NOT personal_phone_conflict"), "AUTO_MATCH NAME_AND_FULL_ADDRESS"),
+        (3, f"{full} AND personal_email_conflict AND personal_phone_conflict", "REJECT NAME_ADDRESS_BOTH_CONTACTS_DIFFER"), (3, full, f"{'REJECT' if version > 3 else 'REVIEW'} NAME_ADDRESS_CONTACT_CONFLICT"),
+        (2, "given_variant = 'CONFLICT' AND address_agreement", "REJECT HOUSEHOLD_DIFFERENT_GIVEN"), (1, "source_default_dob AND name_exact AND address_agreement AND match_probability >= 0.9", "AUTO_MATCH SOURCE_DEFAULT_DOB_IGNORED"),
+        (1, "shared_context AND NOT name_exact", "REJECT SHARED_CONTEXT_NOT_IDENTITY"), (4, "given_variant = 'CONFLICT'", "REJECT DIFFERENT_GIVEN_NAME"), (1, "match_probability >= 0.5", "REVIEW INSUFFICIENT_EVIDENCE_REVIEW")]
+    return "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for since, c, v in steps if since <= version) + " ELSE 'REJECT LOW_MATCH_PROBABILITY' END"
+
+
+@query(f"WITH ids AS (SELECT range AS id FROM range(20000)) SELECT id, {', '.join(f'{_policy_sql(v)} AS v{v}' for v in (1, 2, 3, 4))} FROM ({_grid_sql('VARCHAR')}) g")
+def policy_versions_grid(spark, d):
+    spark.range(20000).createOrReplaceTempView("ids")
+    g = spark.sql(_grid_sql("STRING"))
+    for v in (1, 2, 3, 4):
+        g = g.withColumn(f"__{v}", policy.decide(policy.rules(version=v)))
+    return g.select("id", *[F.concat_ws(" ", f"__{v}.decision", f"__{v}.reason").alias(f"v{v}") for v in (1, 2, 3, 4)])
+
+
+_ALONE = f"name_exact AND address_agreement AND NOT {_CONTACT} AND NOT coalesce(dob_variant = 'EXACT', false)"
+_SAME = "coalesce(dob_variant = 'EXACT', false)"
+EARLIER_SQL = f"""CASE WHEN valid_dob_conflict THEN 'REJECT VALID_DOB_CONFLICT' WHEN {_ALONE} AND (personal_email_conflict OR personal_phone_conflict) THEN 'REVIEW CONFLICTING_PERSONAL_CONTACTS_REVIEW'
+  WHEN {_ALONE} AND match_probability < 0.5 THEN 'REVIEW AMBIGUOUS_COMMON_NAME_ADDRESS' WHEN {_CONTACT} AND {_SAME} THEN 'AUTO_MATCH PERSONAL_CONTACT_AND_DOB'
+  WHEN {_CONTACT} AND address_agreement AND match_probability >= 0.995 THEN 'AUTO_MATCH PERSONAL_CONTACT_AND_ADDRESS' WHEN name_exact AND {_SAME} AND address_agreement THEN 'AUTO_MATCH NAME_DOB_ADDRESS_CORROBORATION'
+  WHEN source_default_dob AND name_exact AND address_agreement AND match_probability >= 0.995 THEN 'AUTO_MATCH SOURCE_DEFAULT_DOB_IGNORED' WHEN cross_script AND {_SAME} AND coalesce(ann_address_rank <= 5, false) THEN 'AUTO_MATCH MULTILINGUAL_ADDRESS_AND_DOB'
+  WHEN match_probability >= 0.995 AND {_CONTACT} AND (name_exact OR {_SAME} OR address_agreement) THEN 'AUTO_MATCH INDEPENDENT_PERSONAL_EVIDENCE' WHEN match_probability >= 0.995 AND name_exact AND address_agreement THEN 'AUTO_MATCH NAME_ADDRESS_CORROBORATION'
+  WHEN shared_context AND NOT {_CONTACT} AND NOT ({_SAME} AND name_exact) THEN 'REJECT SHARED_CONTEXT_NOT_IDENTITY' WHEN match_probability >= 0.5 THEN 'REVIEW INSUFFICIENT_EVIDENCE_REVIEW'
+  WHEN coalesce(ann_address_rank <= 5, false) AND match_probability >= 0.7 THEN 'REVIEW SEMANTIC_CANDIDATE_REVIEW' ELSE 'REJECT LOW_MATCH_PROBABILITY' END"""
+
+
+@query(f"WITH ids AS (SELECT range AS id FROM range(5000)) SELECT id, {EARLIER_SQL} AS verdict FROM ({_grid_sql('VARCHAR')}) g")
 def earlier_policy_grid(spark, d):
+    """The first policy; the grid's probability stands for its similarities too."""
     spark.range(5000).createOrReplaceTempView("ids")
-    g = spark.sql(_grid_sql("STRING")).withColumns({"personal_contact": F.col("personal_email_exact") | F.col("personal_phone_exact"), "dob_agreement": F.col("dob_variant") == "EXACT", "name_agreement": F.col("name_exact"), "name_edit_similarity": F.col("match_probability"), "address_edit_similarity": F.col("match_probability")})
-    return g.withColumn("__d", policy.decide(policy.earlier_rules())).groupBy("__d.decision", "__d.reason").count()
+    same = F.coalesce(F.col("dob_variant") == "EXACT", F.lit(False))
+    g = spark.sql(_grid_sql("STRING")).withColumns({"personal_contact": F.col("personal_email_exact") | F.col("personal_phone_exact"), "dob_agreement": same, "name_agreement": F.col("name_exact"), "name_edit_similarity": F.col("match_probability"), "address_edit_similarity": F.col("match_probability")})
+    return g.withColumn("__d", policy.decide(policy.earlier_rules())).select("id", F.concat_ws(" ", "__d.decision", "__d.reason").alias("verdict"))
 
 
 _SIMPLE = f"""{PREVALENCE}, hits AS (SELECT a.record_key AS l, b.record_key AS r, a.name_n AS an, b.name_n AS bn, a.dob_usable AS ad, b.dob_usable AS bd FROM records a JOIN records b ON a.record_key < b.record_key AND a.email_n = b.email_n WHERE NOT a.email_is_shared
@@ -437,13 +476,19 @@ def steward_cases(spark, d):
     return golden.steward_cases(mapping, golden.touched_components(decided, refused, mapping), decided)
 
 
-@query()
+@query("""SELECT least(x, y) AS left_record_key, greatest(x, y) AS right_record_key, decision, 'R' AS reason, printf('%.4f', p) AS probability, CASE k % 3 WHEN 0 THEN 'address,name' WHEN 1 THEN 'a_representation_of_a_very_long_name_that_goes_on_and_on' ELSE '' END AS representations, CAST(k % 4 AS INT) AS gamma_name, k / 8.0E0 AS bf_name
+  FROM (SELECT c_custkey AS k, CAST(c_custkey AS VARCHAR) AS x, CAST(c_custkey + 1 AS VARCHAR) AS y, (c_custkey % 1000) / 1000.0E0 AS p, CASE WHEN c_custkey % 2 = 0 THEN 'REVIEW' ELSE 'REJECT' END AS decision FROM customer) c""")
 def match_evidence(spark, d):
-    _, decided = scored_pairs(spark, d)
-    return golden.match_evidence(decided)
+    k = F.col("c_custkey")
+    x, y = k.cast("string"), (k + 1).cast("string")
+    reasons = F.when(k % 3 == 0, F.array(F.lit("ANN_NAME"), F.lit("PERSONAL_EMAIL"), F.lit("ANN_ADDRESS"))).when(k % 3 == 1, F.array(F.lit("ANN_A_REPRESENTATION_OF_A_VERY_LONG_NAME_THAT_GOES_ON_AND_ON"))).otherwise(F.array(F.lit("WORK_EMAIL")))
+    made = spark.read.parquet(f"{d}/customer.parquet").select(
+        F.least(x, y).alias("left_record_key"), F.greatest(x, y).alias("right_record_key"), F.when(k % 2 == 0, "REVIEW").otherwise("REJECT").alias("decision"), F.lit("R").alias("reason"), ((k % 1000) / 1000).alias("match_probability"), reasons.alias("candidate_reasons"),
+        (k % 4).cast("int").alias("gamma_name"), (k / 8).alias("bf_name"), F.lit("no").alias("gamma_name_l"))
+    return golden.match_evidence(made)
 
 
-@query()
+@query(f"WITH {GAMMAS} SELECT round(log2({FIXED.prior!r} / (1 - {FIXED.prior!r})), 4) AS prior_weight, count(*) AS pairs FROM compared")
 def comparison_weights(spark, d):
     """Prior and weights of each pair; the prior must be the model's."""
     _, decided = scored_pairs(spark, d)
@@ -451,6 +496,33 @@ def comparison_weights(spark, d):
     return w.groupBy("prior_weight").agg(F.count(F.lit(1)).alias("pairs"))
 
 
+@query(f"WITH {PREVALENCE}, n AS (SELECT count(*) AS n FROM records) SELECT comparison, agreeing FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS comparison, round(sum(k * (k - 1)) * 1.0E0 / (sum(k) * (sum(k) - 1)), 9) AS agreeing FROM (SELECT count(*) AS k FROM records WHERE {c} IS NOT NULL GROUP BY {c}) x" for c in matching.COMPARISONS)
+    + """ UNION ALL SELECT 'sure pairs', (SELECT sum(k * (k - 1) // 2) FROM (SELECT count(*) AS k FROM records WHERE personal_email_n IS NOT NULL AND name_n IS NOT NULL AND dob_usable IS NOT NULL GROUP BY personal_email_n, name_n, dob_usable) a)
+    + (SELECT sum(k * (k - 1) // 2) FROM (SELECT count(*) AS k FROM records WHERE personal_phone_n IS NOT NULL AND name_n IS NOT NULL AND dob_usable IS NOT NULL GROUP BY personal_phone_n, name_n, dob_usable) b)
+    - (SELECT coalesce(sum(k * (k - 1) // 2), 0) FROM (SELECT count(*) AS k FROM records WHERE personal_email_n IS NOT NULL AND personal_phone_n IS NOT NULL AND name_n IS NOT NULL AND dob_usable IS NOT NULL GROUP BY personal_email_n, personal_phone_n, name_n, dob_usable) c)) y""")
+def random_agreement(spark, d):
+    """How often two random records agree on a column, and how many pairs the sure rules find, from group sizes."""
+    r = records_of(spark, d)
+    rows = [(c, round(x, 9)) for c, x in matching.exact_u(r).items()] + [("sure pairs", float(matching.prior_pairs(r)))]
+    return spark.createDataFrame(rows, "comparison string, agreeing double")
+
+
+_BLOCK_SQL = [" AND ".join(f"a.{c} = b.{c}" for c in block) for block in matching.SESSIONS]
+
+
+@query(f"WITH {PREVALENCE} " + " UNION ALL ".join(f"SELECT {i} AS session, gamma_name_n, gamma_personal_email_n, gamma_personal_phone_n, gamma_dob_usable, gamma_home_address_n, count(*) AS pairs FROM (SELECT {', '.join(_gamma(c, cuts) for c, cuts in matching.COMPARISONS.items())} FROM records a JOIN records b ON {on} AND a.record_key < b.record_key) s{i} GROUP BY ALL"
+                                                 for i, on in enumerate(_BLOCK_SQL)))
+def session_patterns(spark, d):
+    """Level patterns of all pairs that a session's rule blocks together."""
+    r = records_of(spark, d)
+    out = None
+    for i, block in enumerate(matching.SESSIONS):
+        found = matching.session_patterns(r, block).withColumn("session", F.lit(i))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query("""SELECT c_custkey, difference, CASE WHEN difference >= 2 THEN 'different' WHEN difference = 0 AND p >= 0.95 THEN 'same' ELSE 'unclear' END AS lean FROM (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 4 ELSE 0 END + CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 0 END
   + CASE WHEN c_custkey % 5 = 0 THEN 2 ELSE 0 END + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS difference, (c_custkey % 100) / 100.0E0 AS p FROM customer) x""")
 def case_lean(spark, d):
@@ -490,10 +562,124 @@ def knn_candidate_pairs(spark, d):
     return vectors.ann_features(hits).select("left_record_key", "right_record_key", "ann_name_score", "ann_name_rank")
 
 
-@query()
+@query(f"WITH {BASE} SELECT DISTINCT sha256(concat_ws(' | ', 'name: ' || trim(full_name), 'company: ' || trim(company_name))) AS text_hash, true AS valid FROM contacts WHERE full_name IS NOT NULL OR company_name IS NOT NULL")
 def search_embeddings(spark, d):
     """Search texts, one vector for each distinct text, and the gate all vectors must pass."""
     g = guests(spark, d).withColumn("text", vectors.search_text({"name": "full_name", "company": "company_name"}))
     none = spark.createDataFrame([], "text_hash string, embedding array<float>")
     made = vectors.cached_texts(g, none, "text").withColumn("embedding", vectors.hashed_embedding(F.col("text")))
     return made.select("text_hash", vectors.is_valid(F.col("embedding"), 64).alias("valid"))
+
+
+# --- vectors, caches, gates -----------------------------------------------------------------------
+@query("""WITH c AS (SELECT vec_id, len(embedding) AS n, concat('t', CAST(vec_id % 40 AS VARCHAR)) AS text, vec_id % 7 AS f, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings)
+  SELECT sha256(text) AS text_hash, text AS search_text, max(vec_id) AS generated_at FROM c WHERE f NOT IN (0, 1, 2, 3) AND abs(sqrt(list_sum(list_transform(e, lambda x: x * x))) - 1) <= 0.001 GROUP BY 1, 2""")
+def reusable_vectors(spark, d):
+    """Of a made-up cache with wrong models, errors, hashes and sizes the newest sound vector of each text."""
+    e, f = spark.read.parquet(f"{d}/embeddings.parquet"), F.col("vec_id") % 7
+    text = F.concat(F.lit("t"), (F.col("vec_id") % 40).cast("string"))
+    cache = e.select(F.when(f == 2, F.lit("x")).otherwise(F.sha2(text, 256)).alias("text_hash"), text.alias("search_text"), F.when(f == 3, F.slice("embedding", 1, 9)).otherwise(F.col("embedding")).alias("embedding"), F.when(f == 1, "failed").alias("embedding_error"),
+                     F.when(f == 0, "other").otherwise("m").alias("model_name"), F.lit("v").alias("embedding_version"), F.col("vec_id").alias("generated_at"))
+    return vectors.reusable_vectors(cache, "m", "v", 64).select("text_hash", "search_text", "generated_at")
+
+
+@query("""WITH hits AS (SELECT q, i + 1 AS rank, (q * 7 + i * 13) % 97 AS neighbour, 1 - i / 100.0E0 AS score FROM range(60) a(q), range(21) b(i)),
+  recs AS (SELECT vec_id AS k, vec_id % 60 AS q FROM embeddings),
+  met AS (SELECT k AS query_key, neighbour AS neighbour_key, score, row_number() OVER (PARTITION BY k ORDER BY rank, neighbour) AS rank FROM recs JOIN hits ON hits.q = recs.q WHERE k <> neighbour)
+  SELECT query_key, neighbour_key, score, rank FROM met WHERE rank <= 20""")
+def expanded_neighbours(spark, d):
+    """Hits of one query for each text, given to all its records."""
+    i = F.col("i")
+    hits = spark.range(60).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(20)))).select(F.col("id").cast("string").alias("text_hash"), ((F.col("id") * 7 + i * 13) % 97).alias("neighbour_key"), (1 - i / 100).alias("score"), (i + 1).alias("rank"))
+    records = spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("record_key"), (F.col("vec_id") % 60).cast("string").alias("text_hash"), "embedding")
+    asked = vectors.distinct_queries(records).select("text_hash")
+    return vectors.expanded(hits.join(asked, "text_hash"), records.select("record_key", "text_hash")).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("SELECT count(*) FILTER (WHERE vec_id % 50 = 0) AS queries, true AS index_is_fresh, true AS nine_tenths_found, true AS all_cells_are_exact FROM embeddings")
+def cell_index_recall(spark, d):
+    """Recall of the partitioned index against brute force, three quarters of its cells probed: these vectors hardly cluster."""
+    e = spark.read.parquet(f"{d}/embeddings.parquet")
+    q = e.where("vec_id % 50 = 0")
+    exact, index = materialize(vectors.knn(e, q, 20), "exact-neighbours"), vectors.CellIndex(e)
+    n = len(index.centres)
+    near, whole = (vectors.recall(materialize(index.search(q, 20, p), "neighbours"), exact) for p in (-(-3 * n // 4), n))
+    stale = index.agrees(e.where("vec_id > 1"))
+    return spark.createDataFrame([(q.count(), index.agrees(e) and not stale, near >= 0.9, whole == 1.0)], "queries long, index_is_fresh boolean, nine_tenths_found boolean, all_cells_are_exact boolean")
+
+
+@query("SELECT * FROM (VALUES (1, true, 1), (2, false, 1), (3, true, 2)) t(run, fitted, fits)")
+def model_cache(spark, d):
+    """The same data twice, then other data: what is fitted and what is taken from the cache."""
+    from kinweave.operators.tables import Versions
+    from kinweave.runtime import shared_path
+
+    store, fits, rows = Versions(spark, shared_path(spark, "models")), [], []
+
+    def train(records):
+        fits.append(1)
+        return FIXED
+
+    r = records_of(spark, d)
+    for run, data in enumerate((r, r.repartition(3), r.where("record_key > '1'")), 1):
+        _, fitted = matching.cached_model(store, data, train)
+        rows.append((run, fitted, len(fits)))
+    return spark.createDataFrame(rows, "run int, fitted boolean, fits int")
+
+
+@query("SELECT 'whole' AS scores, true AS passed UNION ALL SELECT 'a row less', false UNION ALL SELECT 'beyond one', false UNION ALL SELECT 'no number', false")
+def score_gates(spark, d):
+    o = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", ((F.col("o_orderkey") % 100) / 100).alias("match_probability"))
+    p, first = F.col("match_probability"), F.col("o_orderkey") == o.agg(F.min("o_orderkey")).first()[0]
+    cases = {"whole": o, "a row less": o.where(~first), "beyond one": o.withColumn("match_probability", F.when(first, 1.5).otherwise(p)), "no number": o.withColumn("match_probability", F.when(first, float("nan")).otherwise(p))}
+    rows = []
+    for name, scored in cases.items():
+        try:
+            matching.gate_scores(scored, o)
+            rows.append((name, True))
+        except ValueError:
+            rows.append((name, False))
+    return spark.createDataFrame(rows, "scores string, passed boolean")
+
+
+# --- groups and identities, where SQL can say what becomes of them ------------------------------------
+@query("""WITH j AS (SELECT c_custkey // 4 AS g, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) = 4)
+  SELECT concat('r', CAST(g * 4 + i AS VARCHAR)) AS record_key, concat('r', CAST(CASE g % 4 WHEN 0 THEN CASE WHEN i < 2 THEN g * 4 ELSE g * 4 + 2 END WHEN 1 THEN CASE WHEN i < 3 THEN g * 4 ELSE g * 4 + 3 END WHEN 2 THEN CASE WHEN i < 2 THEN g * 4 ELSE g * 4 + 2 END ELSE CASE WHEN i < 3 THEN g * 4 ELSE g * 4 + 3 END END AS VARCHAR)) AS component,
+    CASE g % 4 WHEN 0 THEN 'COMPONENT_DOB_CONFLICT' WHEN 2 THEN 'COMPONENT_CANNOT_LINK' ELSE 'COMPONENT_SIZE_LIMIT' END AS refused FROM j, range(4) r(i)""")
+def constrained_groups(spark, d):
+    """Four records in a row, linked one after another, the strongest link first; in each group one constraint refuses one link."""
+    c = spark.read.parquet(f"{d}/customer.parquet").select(F.floor(F.col("c_custkey") / 4).alias("g")).groupBy("g").count().where("count = 4")
+    rec = lambda i: F.concat(F.lit("r"), (F.col("g") * 4 + i).cast("string"))
+    pair = lambda i, j: (F.least(rec(i), rec(j)).alias("left_record_key"), F.greatest(rec(i), rec(j)).alias("right_record_key"))
+    g = F.col("g") % 4
+    edges = None
+    for i, p in ((0, 0.9), (2, 0.8), (1, 0.7)):  # 0-1, 2-3, then 1-2; in odd groups 0-1, 1-2, then 2-3
+        score = F.when(g % 2 == 0, p).otherwise({0: 0.9, 1: 0.8, 2: 0.7}[i])
+        e = c.select(*pair(i, i + 1), score.alias("score"))
+        edges = e if edges is None else edges.union(e)
+    day = lambda i: F.when((g == 0) & F.lit(i in (1, 2)), F.to_date(F.lit("1990-01-02" if i == 1 else "1985-07-09")))
+    records = c.select(F.explode(F.array(*[F.struct(rec(i).alias("record_key"), day(i).alias("dob_usable")) for i in range(4)])).alias("x")).select("x.*")
+    banned = c.where("g % 4 = 2").select(*pair(0, 3))
+    mapping, refused = graph.constrained_components(records, edges, banned, max_size=4)
+    small, over = graph.constrained_components(records, edges, banned, max_size=3)
+    of = lambda df: df.withColumn("g", F.floor(F.substr("record_key", F.lit(2)).cast("long") / 4))
+    why = lambda df: df.select(F.floor(F.substr("left_record_key", F.lit(2)).cast("long") / 4).alias("g"), F.col("reason").alias("refused")).distinct()
+    even = of(mapping).where("g % 2 = 0").join(why(refused), "g")
+    odd = of(small).where("g % 2 = 1").join(why(over), "g")
+    return even.union(odd).select("record_key", "component", "refused")
+
+
+@query("""WITH m AS (SELECT c_custkey AS k, concat('r', CAST(c_custkey AS VARCHAR)) AS record_key, concat('m', CAST(c_custkey // 6 AS VARCHAR)) AS component FROM customer),
+  held AS (SELECT concat('o', CAST(k // 4 AS VARCHAR)) AS old_id, component, count(*) AS n FROM m WHERE k % 7 <> 0 GROUP BY 1, 2),
+  claim AS (SELECT old_id, component FROM (SELECT *, row_number() OVER (PARTITION BY old_id ORDER BY n DESC, component) AS rn FROM held) x WHERE rn = 1),
+  aged AS (SELECT claim.*, row_number() OVER (PARTITION BY component ORDER BY CAST(10000 - CAST(substring(old_id, 2) AS BIGINT) AS VARCHAR), old_id) AS rn FROM claim),
+  keys AS (SELECT component, string_agg(record_key, '|' ORDER BY record_key) AS members FROM m GROUP BY 1)
+  SELECT m.record_key, coalesce(old_id, concat('cus_', substring(sha256(concat('run2|', members)), 1, 28))) AS customer_id FROM m JOIN keys ON keys.component = m.component LEFT JOIN aged ON aged.component = m.component AND rn = 1""")
+def identities_that_live_on(spark, d):
+    k = F.col("c_custkey")
+    c = spark.read.parquet(f"{d}/customer.parquet")
+    text = lambda p, n: F.concat(F.lit(p), F.floor(k / n).cast("string"))
+    mapping = c.select(F.concat(F.lit("r"), k.cast("string")).alias("record_key"), text("m", 6).alias("component"))
+    old = c.where(k % 7 != 0).select(F.concat(F.lit("r"), k.cast("string")).alias("record_key"), text("o", 4).alias("customer_id"))
+    born = old.select("customer_id").distinct().withColumn("created_at", (10000 - F.substr("customer_id", F.lit(2)).cast("long")).cast("string"))
+    return graph.persistent_ids(mapping, old, born, "run2")[0].select("record_key", "customer_id")
