@@ -80,9 +80,9 @@ def _archives(records: Iterator[bytes], sep: bytes, file_bytes: int) -> Iterator
 
 
 def _write(archives: DataFrame, path: str, end: str) -> None:
-    """A gzip file of each row of ``value``."""
+    """A gzip file of each row of ``value``, at the fastest level: compressing takes most of the time, and the best level saves an eighth."""
     text = archives.select(F.col("value").cast("string"))
-    text.write.option("lineSep", end).option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
+    text.write.option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", 1).text(path)
 
 
 def unpack(content: bytes) -> bytes:
