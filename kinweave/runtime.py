@@ -10,6 +10,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of stage tables that are marked for deletion.
+_KNOWN: set[str] = set()
+
 
 def session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A local session with the settings the engine expects (UTC, AQE on)."""
@@ -48,14 +51,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/kinweave/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's part of the shared folder, which is deleted when the application ends."""
+    own = f"{shared_dir(spark)}/kinweave/{spark.sparkContext.applicationId}"
+    if own not in _KNOWN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _KNOWN.add(own)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 def release_stages(spark: SparkSession) -> bool:
-    """Delete the stage tables in the shared folder, those of other sessions too; for the end of a run, when no result
-    that reads them is still needed. True if there were any."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/kinweave")
+    """Delete the application's stage tables now, when no result that reads them is still needed. True if there were any."""
+    own = f"{shared_dir(spark)}/kinweave/{spark.sparkContext.applicationId}"
+    _KNOWN.discard(own)
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
