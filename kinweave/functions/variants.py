@@ -89,13 +89,13 @@ def related(a: Column, b: Column, nicknames=NICKNAMES) -> Column:
 def given_variant(left: Column, right: Column, nicknames=NICKNAMES) -> Column:
     """EXACT, NICKNAME, INITIAL, PREFIX, TYPO or CONFLICT of normalised given names; null if either is."""
     a, b = first_token(left), first_token(right)
-    short, long = F.when(F.length(a) <= F.length(b), a).otherwise(b), F.when(F.length(a) <= F.length(b), b).otherwise(a)
-    return (
-        F.when(a.isNull() | b.isNull(), F.lit(None).cast("string"))
-        .when(a == b, "EXACT").when(related(a, b, nicknames), "NICKNAME")
-        .when((F.length(short) == 1) & F.startswith(long, short), "INITIAL")
-        .when((F.length(short) >= 3) & F.startswith(long, short), "PREFIX")
-        .when(typo(a, b), "TYPO").otherwise("CONFLICT"))
+    # one opens with the other; how far, the shorter tells
+    opens, letters = F.startswith(a, b) | F.startswith(b, a), F.least(F.length(a), F.length(b))
+    told = [(a == b, "EXACT"), (related(a, b, nicknames), "NICKNAME"), (opens & (letters == 1), "INITIAL"), (opens & (letters >= 3), "PREFIX"), (typo(a, b), "TYPO")]
+    answer = F.lit("CONFLICT")
+    for holds, name in reversed(told):
+        answer = F.when(holds, name).otherwise(answer)
+    return F.when(a.isNotNull() & b.isNotNull(), answer)
 
 
 def family_variant(left: Column, right: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -34,7 +35,8 @@ def merge(edges: list[tuple[str, str, float]], dobs: dict[str, object], denied:
     members = {k: [k] for k in group}
     dates = {k: {dobs[k]} if dobs.get(k) is not None else set() for k in group}
     refused = []
-    for a, b, _ in sorted(edges, key=lambda e: (-e[2], e[0], e[1])):
+    by_key = sorted(edges, key=itemgetter(0, 1))
+    for a, b, _ in sorted(by_key, key=itemgetter(2), reverse=True):  # stable: keys decide among equals
         keep, gone = sorted((group[a], group[b]))
         if keep == gone:
             continue

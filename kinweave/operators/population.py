@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.operators.generate import STEP, spin
+from kinweave.operators.generate import STEP, WHEEL, spin
 from kinweave.operators.tables import range_bucket_join
 
 # How a hundred people live together (archetype, households, people in each, roles by place), cohorts of persons by index with a
@@ -274,3 +274,76 @@ def cased(c: Column) -> Column:
     parts = lambda v, sign: F.array_join(F.transform(F.split(v, sign), lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.substr(x, F.lit(2)))), sign)
     mc = lambda w: F.when(w.rlike("^Mc[a-z]"), F.concat(F.lit("Mc"), F.upper(F.substring(w, 3, 1)), F.substr(w, F.lit(4)))).otherwise(w)
     return F.array_join(F.transform(F.split(parts(parts(words, "-"), "'"), " "), mc), " ")
+
+
+# --- records as systems hold them, truth, facts, gates ---------------------------------------------------
+# Kinds of noise with their share of ten thousand, activity tables with their key, place of the time and value range, bands of a population.
+NOISE = {"given_slip": 250, "family_slip": 250, "street_slip": 150, "upper": 200, "swapped": 60, "domain_slip": 120, "postcode_off": 80}
+FACTS = {
+    "sevenrooms_reservations": ("reservation_id", 120_000), "me_and_u_orders": ("order_id", 200_000), "moshtix_tickets": ("ticket_id", 80_000), "momentus_bookings": ("booking_id", 30_000),
+    "pos_transactions": ("transaction_id", 500_000), "tokenized_payment_events": ("payment_event_id", 400_000)}
+# End of fixed values.
+
+
+def capture_noise(records: DataFrame, key: str, chance: Chance, nicknames: DataFrame) -> DataFrame:
+    """Records as a hurried clerk would key them, and ``noise``, the kinds that struck, in the order of ``NOISE``.
+
+    Slips of given, family and street names, names in capitals, given and family name swapped, an email domain one letter short, a
+    postcode one off. ``nicknames`` is (given_name, nickname): a tenth of the persons that have one use it first.
+    """
+    from kinweave.operators.generate import slip
+
+    strike = {k: chance(k, key, 10_000) < share for k, share in NOISE.items()}
+    at = lambda c, purpose: (1 + chance(f"{purpose}_at", key, WHEEL) % F.greatest(F.length(c) - 1, F.lit(1))).cast("int")
+    known = records.join(nicknames, "given_name", "left").withColumn("given_name", F.when(F.col("nickname").isNotNull() & (chance("nickname", key, 100) < 10), F.col("nickname")).otherwise(F.col("given_name"))).drop("nickname")
+    noisy = known.withColumn("noise", F.filter(F.array(*[F.when(hit, F.lit(k)) for k, hit in strike.items()]), lambda k: k.isNotNull()))
+    for column, purpose in (("given_name", "given_slip"), ("family_name", "family_slip"), ("street", "street_slip")):
+        kind = 1 + chance(f"{purpose}_kind", key, 3)
+        noisy = noisy.withColumn(column, F.when(strike[purpose], slip(F.col(column), kind, at(F.col(column), purpose))).otherwise(F.col(column)))
+    for column in ("given_name", "family_name"):
+        noisy = noisy.withColumn(column, F.when(strike["upper"], F.upper(column)).otherwise(F.col(column)))
+    given, family = F.when(strike["swapped"], F.col("family_name")).otherwise(F.col("given_name")), F.when(strike["swapped"], F.col("given_name")).otherwise(F.col("family_name"))
+    short = F.concat(F.substring_index("email", "@", 1), F.lit("@"), F.substr(F.substring_index("email", "@", -1), F.lit(2)))
+    off = F.lpad(((F.col("postcode").cast("int") + 1) % 10000).cast("string"), 4, "0")
+    return noisy.withColumns({"given_name": given, "family_name": family, "email": F.when(strike["domain_slip"], short).otherwise(F.col("email")), "postcode": F.when(strike["postcode_off"], off).otherwise(F.col("postcode"))})
+
+
+def truth_tables(records: DataFrame, person: str) -> tuple[DataFrame, DataFrame]:
+    """(``identity_record_id, truth_person_id, source_system, evaluation_split, include_in_benchmark``, ``identity_record_id, cohort_name, cohort_value``).
+
+    ``records`` is (record_key, source_system, corruption_tags and the person's column). A person's records share one split; a record without a
+    person is in no benchmark. Cohorts are the system and every corruption, or ``none``.
+    """
+    from kinweave.operators.generate import split_of
+
+    truth = records.select(F.col("record_key").alias("identity_record_id"), F.col(person).cast("string").alias("truth_person_id"), "source_system", split_of(F.col(person)).alias("evaluation_split"), F.col(person).isNotNull().alias("include_in_benchmark"))
+    struck = F.when(F.size("corruption_tags") > 0, F.col("corruption_tags")).otherwise(F.array(F.lit("none")))
+    cohort = lambda name, values: F.transform(values, lambda v: F.struct(F.lit(name).alias("cohort_name"), v.alias("cohort_value")))
+    cohorts = records.select(F.col("record_key").alias("identity_record_id"), F.inline(F.concat(cohort("source_system", F.array("source_system")), cohort("corruption", struck))))
+    return truth, cohorts
+
+
+def activity(spark: SparkSession, table: str, owners: DataFrame, chance: Chance, share: float = 1.0) -> DataFrame:
+    """``(<key>, source_record_id, at, value_aud)`` of an activity table: each fact belongs to the owner at a hashed place. ``owners`` is
+    (place, source_record_id) with places from 0 up."""
+    key, rows = FACTS[table]
+    n = owners.count()
+    facts = spark.range(int(rows * share)).select(F.col("id").alias(key), chance(f"{table}_owner", "id", max(1, n)).alias("place"), (F.lit(1546300800) + chance(f"{table}_at", "id", WHEEL) * 20).alias("secs"),
+                                                  ((500 + chance(f"{table}_value", "id", 45_000)) / 100).cast("decimal(12,2)").alias("value_aud"))
+    return facts.join(owners, "place").select(key, "source_record_id", F.timestamp_seconds("secs").alias("at"), "value_aud")
+
+
+def contract_gates(records: DataFrame, systems: tuple[str, ...]) -> DataFrame:
+    """``(gate, value, lo, hi, passed)`` of a table under the source contract: ids whole and unique, systems known, contacts and dates in form, shares in their bands."""
+    from kinweave.operators.generate import gate
+
+    bad = lambda condition: F.count_if(F.coalesce(condition, F.lit(False)))
+    rate = lambda condition: F.avg(F.when(condition, 1.0).otherwise(0.0))
+    key = F.struct("source_system", "source_record_id")
+    return gate(records, {
+        "rows": (F.count(F.lit(1)), 1, 1e15), "repeated_ids": (F.count(F.lit(1)) - F.countDistinct(key), 0, 0), "missing_ids": (bad(F.col("source_system").isNull() | F.col("source_record_id").isNull()), 0, 0),
+        "unknown_systems": (bad(~F.col("source_system").isin(*systems)), 0, 0), "systems": (F.countDistinct("source_system"), len(systems), len(systems)),
+        "emails_without_at": (bad(~F.col("personal_email").contains("@")), 0, 0), "phones_with_letters": (bad(F.col("personal_phone").rlike("[A-Za-z]")), 0, 0),
+        "born_too_early": (bad(F.col("date_of_birth") < F.lit("1900-01-01").cast("date")), 0, 0), "born_too_late": (bad(F.col("date_of_birth") > F.lit(AS_OF).cast("date")), 0, 0),
+        "address_without_postcode": (rate(F.col("home_address_line1").isNotNull() & F.col("home_postcode").isNull()), 0, 0.2), "with_email": (rate(F.col("personal_email").isNotNull()), 0.5, 1), "with_phone": (rate(F.col("personal_phone").isNotNull()), 0.5, 1),
+        "with_birth_date": (rate(F.col("date_of_birth").isNotNull()), 0.5, 1), "full_name_whole": (rate(F.col("full_name") == F.concat_ws(" ", "given_name", "family_name")), 0.99, 1)})

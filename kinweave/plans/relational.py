@@ -51,7 +51,8 @@ def left_join_with_filter(spark, d):
     return j.groupBy("n_name").agg(F.count("o_orderkey").alias("big_orders"), F.count(F.lit(1)).alias("rows_out"))
 
 
-@query("""SELECT c_custkey, band FROM customer JOIN (VALUES ('pinned', 7, 0, 0), ('negative', -1, -100000, 0), ('small', -1, 0, 3000), ('large', -1, 3000, 100000)) b(band, pin, lo, hi)
+@query("""SELECT c_custkey, band FROM customer JOIN (VALUES ('pinned', 7, 0, 0), ('negative', -1, -100000, 0), ('small', -1, 0, 3000), ('large', -1, 3000,
+      100000)) b(band, pin, lo, hi)
   ON (c_custkey = pin) OR (c_custkey <> 7 AND pin = -1 AND c_acctbal >= lo AND c_acctbal < hi)""")
 def or_branch_join(spark, d):
     c = t(spark, d, "customer")
@@ -61,7 +62,8 @@ def or_branch_join(spark, d):
     return pinned.unionByName(picked)
 
 
-@query("""SELECT count(*) AS pairs FROM (SELECT nullif(c_mktsegment, 'BUILDING') AS s, c_nationkey FROM customer) a JOIN (SELECT DISTINCT nullif(c_mktsegment, 'BUILDING') AS s, c_nationkey FROM customer) b
+@query("""SELECT count(*) AS pairs FROM (SELECT nullif(c_mktsegment, 'BUILDING') AS s, c_nationkey FROM customer) a
+      JOIN (SELECT DISTINCT nullif(c_mktsegment, 'BUILDING') AS s, c_nationkey FROM customer) b
   ON a.s IS NOT DISTINCT FROM b.s AND a.c_nationkey = b.c_nationkey""")
 def null_safe_join(spark, d):
     a = t(spark, d, "customer").select(F.nullif("c_mktsegment", F.lit("BUILDING")).alias("s"), "c_nationkey")
@@ -75,14 +77,16 @@ def anti_join(spark, d):
     return c.join(o.where("o_totalprice > 350000"), c.c_custkey == o.o_custkey, "left_anti").select("c_custkey", "c_name")
 
 
-@query("""SELECT p_partkey FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49) OR p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_discount > 0.09)""")
+@query("""SELECT p_partkey FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49) OR p_partkey IN (SELECT l_partkey
+      FROM lineitem WHERE l_discount > 0.09)""")
 def semi_join_either(spark, d):
     p, li = t(spark, d, "part", "lineitem")
     keys = li.where("l_quantity > 49").select("l_partkey").union(li.where("l_discount > 0.09").select("l_partkey")).distinct()
     return p.join(keys, p.p_partkey == keys.l_partkey, "left_semi").select("p_partkey")
 
 
-@query("""SELECT o_orderpriority, count(*) AS n, round(count(*) * 1.0E0 / (SELECT count(*) FROM orders), 6) AS share, round(avg(o_totalprice) / (SELECT avg(o_totalprice) FROM orders), 6) AS relative
+@query("""SELECT o_orderpriority, count(*) AS n, round(count(*) * 1.0E0 / (SELECT count(*)
+      FROM orders), 6) AS share, round(avg(o_totalprice) / (SELECT avg(o_totalprice) FROM orders), 6) AS relative
   FROM orders GROUP BY o_orderpriority""")
 def scalar_subquery_share(spark, d):
     o = t(spark, d, "orders")
@@ -91,7 +95,8 @@ def scalar_subquery_share(spark, d):
     return each.join(F.broadcast(whole)).select("o_orderpriority", "n", F.round(F.col("n") / F.col("all"), 6).alias("share"), F.round(F.col("m") / F.col("mean"), 6).alias("relative"))
 
 
-@query("""SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT CASE WHEN l_quantity > 40 THEN l_orderkey END) AS large_orders,
+@query("""SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT CASE
+      WHEN l_quantity > 40 THEN l_orderkey END) AS large_orders,
   count(*) FILTER (WHERE l_discount > 0.05) AS discounted FROM lineitem GROUP BY l_returnflag""")
 def distinct_multi(spark, d):
     return t(spark, d, "lineitem").groupBy("l_returnflag").agg(
@@ -99,7 +104,8 @@ def distinct_multi(spark, d):
         F.countDistinct(F.when(F.col("l_quantity") > 40, F.col("l_orderkey"))).alias("large_orders"), F.count_if(F.col("l_discount") > 0.05).alias("discounted"))
 
 
-@query("""SELECT o_custkey, max(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS f, max(CASE WHEN o_orderstatus = 'O' THEN o_totalprice END) AS o, max(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END) AS p
+@query("""SELECT o_custkey, max(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS f, max(CASE
+      WHEN o_orderstatus = 'O' THEN o_totalprice END) AS o, max(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END) AS p
   FROM orders GROUP BY o_custkey""")
 def conditional_pivot(spark, d):
     return t(spark, d, "orders").groupBy("o_custkey").agg(*[F.max(F.when(F.col("o_orderstatus") == s, F.col("o_totalprice"))).alias(s.lower()) for s in "FOP"])
@@ -110,7 +116,8 @@ def collect_sorted_set(spark, d):
     return t(spark, d, "events").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("types"), F.count(F.lit(1)).alias("events"))
 
 
-@query("""SELECT n_regionkey, max(n) AS most, min(n) AS least, round(avg(n), 6) AS mean FROM (SELECT n_regionkey, n_nationkey, count(c_custkey) AS n FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_regionkey, n_nationkey) x
+@query("""SELECT n_regionkey, max(n) AS most, min(n) AS least, round(avg(n), 6) AS mean FROM (SELECT n_regionkey, n_nationkey, count(c_custkey) AS n
+      FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_regionkey, n_nationkey) x
   GROUP BY n_regionkey HAVING max(n) > 1""")
 def two_level_aggregate(spark, d):
     n, c = t(spark, d, "nation", "customer")
@@ -118,25 +125,30 @@ def two_level_aggregate(spark, d):
     return each.groupBy("n_regionkey").agg(F.max("n").alias("most"), F.min("n").alias("least"), F.round(F.avg("n"), 6).alias("mean")).where("most > 1")
 
 
-@query("""SELECT k, max(v) AS strongest, count(*) AS ends FROM (SELECT l_partkey AS k, l_extendedprice AS v FROM lineitem UNION ALL SELECT l_suppkey, l_extendedprice FROM lineitem) x GROUP BY k""")
+@query("""SELECT k, max(v) AS strongest, count(*) AS ends FROM (SELECT l_partkey AS k, l_extendedprice AS v FROM lineitem
+      UNION ALL SELECT l_suppkey, l_extendedprice FROM lineitem) x GROUP BY k""")
 def stacked_directions(spark, d):
     li = t(spark, d, "lineitem")
     both = li.select(F.col("l_partkey").alias("k"), F.col("l_extendedprice").alias("v")).union(li.select("l_suppkey", "l_extendedprice"))
     return both.groupBy("k").agg(F.max("v").alias("strongest"), F.count(F.lit(1)).alias("ends"))
 
 
-@query("""SELECT o_custkey, o_orderkey, rank FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) x WHERE rank <= 3""")
+@query("""SELECT o_custkey, o_orderkey, rank FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC,
+      o_orderkey) AS rank FROM orders) x WHERE rank <= 3""")
 def topk_orders_per_customer(spark, d):
     return top_k(t(spark, d, "orders"), ["o_custkey"], [F.desc("o_totalprice"), "o_orderkey"], 3).select("o_custkey", "o_orderkey", "rank")
 
 
-@query("""SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS rn FROM events) x WHERE rn = 1""")
+@query("""SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS rn
+      FROM events) x WHERE rn = 1""")
 def latest_event_per_user(spark, d):
     return top_k(t(spark, d, "events"), ["user_id", "event_type"], [F.desc("ts"), "event_id"], 1).select("event_id", "user_id", "event_type")
 
 
-@query("""SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey) AS own, first_value(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS first_order,
-  lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_order, lead(o_orderkey, 2) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS after_next,
+@query("""SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey) AS own, first_value(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate,
+      o_orderkey) AS first_order,
+  lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_order, lead(o_orderkey,
+    2) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS after_next,
   row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS position FROM orders""")
 def window_functions(spark, d):
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
@@ -185,7 +197,8 @@ def json_rows(spark, d):
 @query("""WITH old AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN 'old' ELSE c_mktsegment END AS v FROM customer WHERE c_custkey % 5 <> 0),
   new AS (SELECT c_custkey AS k, c_mktsegment AS v FROM customer WHERE c_custkey % 7 <> 0)
   SELECT coalesce(old.k, new.k) AS k, CASE WHEN new.k IS NULL THEN old.v ELSE new.v END AS v,
-    CASE WHEN old.k IS NULL THEN 'INSERT' WHEN new.k IS NULL THEN 'DELETE' WHEN old.v IS NOT DISTINCT FROM new.v THEN 'SAME' ELSE 'UPDATE' END AS change
+    CASE WHEN old.k IS NULL THEN 'INSERT' WHEN new.k IS NULL THEN 'DELETE' WHEN old.v IS NOT DISTINCT
+      FROM new.v THEN 'SAME' ELSE 'UPDATE' END AS change
   FROM old FULL JOIN new ON old.k = new.k""")
 def sync_table(spark, d):
     c = t(spark, d, "customer")
@@ -230,8 +243,10 @@ def vector_norm_gate(spark, d):
     return e.select("vec_id", F.size("embedding").cast("long").alias("dims"), F.forall("embedding", lambda x: F.abs(x) <= 1).alias("bounded"), (F.abs(V.norm(F.col("embedding")) - 1) <= 0.001).alias("unit"))
 
 
-@query("""SELECT query_id, neighbour_id, score, rank FROM (SELECT a.vec_id AS query_id, b.vec_id AS neighbour_id, s AS score, row_number() OVER (PARTITION BY a.vec_id ORDER BY s DESC, b.vec_id) AS rank
-  FROM (SELECT a.vec_id, b.vec_id AS bid, round(list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS s FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) a JOIN embeddings b ON b.vec_id = a.bid) x WHERE rank <= 20""")
+@query("""SELECT query_id, neighbour_id, score, rank FROM (SELECT a.vec_id AS query_id, b.vec_id AS neighbour_id, s AS score,
+      row_number() OVER (PARTITION BY a.vec_id ORDER BY s DESC, b.vec_id) AS rank
+  FROM (SELECT a.vec_id, b.vec_id AS bid, round(list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS s
+    FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) a JOIN embeddings b ON b.vec_id = a.bid) x WHERE rank <= 20""")
 def knn_top20(spark, d):
     e = t(spark, d, "embeddings")
     return V.knn(e, e, 20)
@@ -244,9 +259,12 @@ def wheel(spark):
     return apportion(spark.sql("SELECT * FROM VALUES ('a', 5.0E0), ('b', 2.0E0), ('c', 1.0E0), ('d', 0.5E0), ('e', 0.25E0) AS w(name, weight)"), "weight", "name")
 
 
-WHEEL_CTE = f"""parts AS (SELECT name, floor(weight * {WHEEL} / sum(weight) OVER ()) AS f, weight * {WHEEL} / sum(weight) OVER () - floor(weight * {WHEEL} / sum(weight) OVER ()) AS r FROM {WEIGHTS_SQL}),
-  given AS (SELECT name, f + CASE WHEN row_number() OVER (ORDER BY round(r, 9) DESC, name) <= {WHEEL} - sum(f) OVER () THEN 1 ELSE 0 END AS n FROM parts),
-  wheel AS (SELECT name, CAST(sum(n) OVER (ORDER BY name ROWS UNBOUNDED PRECEDING) - n AS BIGINT) AS lo, CAST(sum(n) OVER (ORDER BY name ROWS UNBOUNDED PRECEDING) AS BIGINT) AS hi FROM given)"""
+WHEEL_CTE = f"""parts AS (SELECT name, floor(weight * {WHEEL} / sum(weight) OVER ()) AS f,
+      weight * {WHEEL} / sum(weight) OVER () - floor(weight * {WHEEL} / sum(weight) OVER ()) AS r FROM {WEIGHTS_SQL}),
+  given AS (SELECT name, f + CASE WHEN row_number() OVER (ORDER BY round(r, 9) DESC, name) <= {WHEEL} - sum(f) OVER () THEN 1 ELSE 0 END AS n
+    FROM parts),
+  wheel AS (SELECT name, CAST(sum(n) OVER (ORDER BY name ROWS UNBOUNDED PRECEDING) - n AS BIGINT) AS lo,
+    CAST(sum(n) OVER (ORDER BY name ROWS UNBOUNDED PRECEDING) AS BIGINT) AS hi FROM given)"""
 
 
 @query(f"WITH {WHEEL_CTE} SELECT name, lo, hi FROM wheel")
@@ -254,26 +272,31 @@ def apportioned_wheel(spark, d):
     return wheel(spark).select("name", "lo", "hi")
 
 
-@query(f"""WITH {WHEEL_CTE}, spun AS (SELECT c_custkey, CAST(concat('0x', substring(sha256(concat('pick|', CAST(c_custkey AS VARCHAR))), 1, 13)) AS BIGINT) % {WHEEL} AS s FROM customer)
+@query(f"""WITH {WHEEL_CTE}, spun AS (SELECT c_custkey, CAST(concat('0x', substring(sha256(concat('pick|', CAST(c_custkey AS VARCHAR))), 1,
+      13)) AS BIGINT) % {WHEEL} AS s FROM customer)
   SELECT c_custkey, name FROM spun JOIN wheel ON s >= lo AND s < hi""")
 def weighted_range_pick(spark, d):
     return weighted_pick(t(spark, d, "customer"), wheel(spark), "pick", ["c_custkey"]).select("c_custkey", "name")
 
 
-@query("""SELECT event_id, CASE WHEN user_id % 2 = 0 AND ts < TIMESTAMP '2024-01-15' THEN 'before' ELSE 'after' END AS attribute, CAST((event_id * 386093 + 104729) % 1000000 AS BIGINT) AS permuted FROM events""")
+@query("""SELECT event_id, CASE WHEN user_id % 2 = 0 AND ts < TIMESTAMP '2024-01-15' THEN 'before'
+      ELSE 'after' END AS attribute, CAST((event_id * 386093 + 104729) % 1000000 AS BIGINT) AS permuted FROM events""")
 def asof_attribute(spark, d):
     changed = F.when(F.col("user_id") % 2 == 0, F.lit("2024-01-15").cast("timestamp_ntz"))
     return t(spark, d, "events").select("event_id", as_of(F.col("ts"), changed, F.lit("before"), F.lit("after")).alias("attribute"), permuted(F.col("event_id")).alias("permuted"))
 
 
-@query("""WITH people AS (SELECT c_custkey AS k, lower(c_mktsegment) AS first_choice, concat(lower(c_mktsegment), '.', CAST(c_nationkey % 5 AS VARCHAR)) AS second_choice,
-    concat(lower(c_mktsegment), '.x') AS third, concat('n', CAST(c_nationkey AS VARCHAR)) AS dm, CAST(concat('0x', substring(sha256(concat('mail|tail|', CAST(c_custkey AS VARCHAR))), 1, 13)) AS BIGINT) % 10000000 % 900 + 100 AS tail FROM customer),
+@query("""WITH people AS (SELECT c_custkey AS k, lower(c_mktsegment) AS first_choice, concat(lower(c_mktsegment), '.',
+      CAST(c_nationkey % 5 AS VARCHAR)) AS second_choice,
+    concat(lower(c_mktsegment), '.x') AS third, concat('n', CAST(c_nationkey AS VARCHAR)) AS dm, CAST(concat('0x',
+      substring(sha256(concat('mail|tail|', CAST(c_custkey AS VARCHAR))), 1, 13)) AS BIGINT) % 10000000 % 900 + 100 AS tail FROM customer),
   one AS (SELECT *, concat(first_choice, '@', dm) AS e1, row_number() OVER (PARTITION BY first_choice, dm ORDER BY k) = 1 AS ok1 FROM people),
   two AS (SELECT *, CASE WHEN ok1 THEN e1 ELSE concat(second_choice, '@', dm) END AS e2 FROM one),
   kept2 AS (SELECT *, row_number() OVER (PARTITION BY e2 ORDER BY CASE WHEN ok1 THEN 0 ELSE 1 END, k) = 1 AS ok2 FROM two),
   three AS (SELECT *, CASE WHEN ok2 THEN e2 ELSE concat(third, CAST(tail AS VARCHAR), '@', dm) END AS e3 FROM kept2),
   kept3 AS (SELECT *, row_number() OVER (PARTITION BY e3 ORDER BY CASE WHEN ok2 THEN 0 ELSE 1 END, k) = 1 AS ok3 FROM three)
-  SELECT k AS c_custkey, CASE WHEN ok3 THEN e3 ELSE concat(replace(third, '.', ''), CAST(k AS VARCHAR), '@', dm) END AS email, NOT ok1 AS bumped FROM kept3""")
+  SELECT k AS c_custkey, CASE WHEN ok3 THEN e3 ELSE concat(replace(third, '.', ''), CAST(k AS VARCHAR), '@', dm) END AS email, NOT ok1 AS bumped
+    FROM kept3""")
 def unique_email(spark, d):
     segment, nation = F.lower("c_mktsegment"), F.col("c_nationkey")
     c = t(spark, d, "customer").select(
@@ -281,8 +304,11 @@ def unique_email(spark, d):
     return unique_emails(c, "c_custkey", "l", "dm", "second", "third", "mail").select("c_custkey", "email", "bumped")
 
 
-@query("""SELECT 'open_share' AS gate, round(avg(CASE WHEN o_orderstatus = 'O' THEN 1.0E0 ELSE 0.0E0 END), 6) AS value, 0.1E0 AS lo, 0.9E0 AS hi, avg(CASE WHEN o_orderstatus = 'O' THEN 1.0E0 ELSE 0.0E0 END) BETWEEN 0.1 AND 0.9 AS passed FROM orders
-  UNION ALL SELECT 'customers', CAST(count(DISTINCT o_custkey) AS DOUBLE), 1.0E0, 1000000000.0E0, count(DISTINCT o_custkey) BETWEEN 1 AND 1000000000 FROM orders""")
+@query("""SELECT 'open_share' AS gate, round(avg(CASE WHEN o_orderstatus = 'O' THEN 1.0E0
+      ELSE 0.0E0 END), 6) AS value, 0.1E0 AS lo, 0.9E0 AS hi, avg(CASE WHEN o_orderstatus = 'O' THEN 1.0E0
+      ELSE 0.0E0 END) BETWEEN 0.1 AND 0.9 AS passed FROM orders
+  UNION ALL SELECT 'customers', CAST(count(DISTINCT o_custkey) AS DOUBLE), 1.0E0, 1000000000.0E0, count(DISTINCT o_custkey) BETWEEN 1 AND 1000000000
+    FROM orders""")
 def realism_gate(spark, d):
     return gate(t(spark, d, "orders"), {"open_share": (F.avg(F.when(F.col("o_orderstatus") == "O", 1.0).otherwise(0.0)), 0.1, 0.9), "customers": (F.countDistinct("o_custkey"), 1, 1e9)})
 
@@ -293,7 +319,8 @@ def event_windows(spark, d):
     return e.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "total")
 
 
-@query("""SELECT o_custkey, sum(slot) AS slots FROM (SELECT o_custkey, o_orderkey, unnest(range(1, CAST(1 + o_orderkey % 3 AS BIGINT) + 1)) AS slot FROM orders) x GROUP BY o_custkey""")
+@query("""SELECT o_custkey, sum(slot) AS slots FROM (SELECT o_custkey, o_orderkey, unnest(range(1, CAST(1 + o_orderkey % 3 AS BIGINT) + 1)) AS slot
+      FROM orders) x GROUP BY o_custkey""")
 def slot_explosion(spark, d):
     from kinweave.operators.generate import slots
 
@@ -305,7 +332,8 @@ def slot_explosion(spark, d):
   s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
   cc(node, component) USING KEY (node) AS (
     SELECT DISTINCT a, a FROM s
-    UNION (SELECT DISTINCT ON (own.node) own.node, other.component FROM recurring.cc AS own JOIN s ON s.a = own.node JOIN cc AS other ON other.node = s.b
+    UNION (SELECT DISTINCT ON (own.node) own.node, other.component FROM recurring.cc AS own JOIN s ON s.a = own.node
+      JOIN cc AS other ON other.node = s.b
       WHERE other.component < own.component ORDER BY own.node, other.component))
   SELECT node, component FROM cc""")
 def connected_components(spark, d):

@@ -39,8 +39,10 @@ def _address(x: str) -> str:
 
 def _email(x: str) -> str:
     v = f"lower(trim({x}))"
-    return rf"""CASE WHEN regexp_matches({v}, '^[^@\s]+@[^@\s]+\.[^@\s]+$') AND NOT regexp_matches(split_part({v}, '@', 1), '^(noreply|noemail|unknown|guest|test)([+._-]|$)')
-      THEN CASE WHEN split_part({v}, '@', 2) IN ('gmail.com', 'googlemail.com') THEN concat(replace(split_part(split_part({v}, '@', 1), '+', 1), '.', ''), '@gmail.com') ELSE {v} END END"""
+    return rf"""CASE WHEN regexp_matches({v}, '^[^@\s]+@[^@\s]+\.[^@\s]+$')
+      AND NOT regexp_matches(split_part({v}, '@', 1), '^(noreply|noemail|unknown|guest|test)([+._-]|$)')
+      THEN CASE WHEN split_part({v}, '@', 2) IN ('gmail.com', 'googlemail.com') THEN concat(replace(split_part(split_part({v}, '@', 1), '+', 1), '.',
+        ''), '@gmail.com') ELSE {v} END END"""
 
 
 def _phone(x: str) -> str:
@@ -54,39 +56,55 @@ def _swap(a: str, b: str) -> str:
 
 
 BASE = f"""guests AS ({guest_sql('VARCHAR')}),
-contacts AS (SELECT *, sha256(concat(source_system, '|', source_record_id)) AS record_key, {_text('full_name')} AS name_n, {_text('given_name')} AS given_name_n, {_text('family_name')} AS family_name_n,
-  split_part({_text('given_name')}, ' ', 1) AS given_key, {_email('personal_email')} AS email_n, {_email('work_email')} AS work_email_n, {_phone('personal_phone')} AS phone_n, {_phone('work_phone')} AS work_phone_n,
-  {_address('home_address_line1')} AS home_address_n, {_address('work_address_line1')} AS work_address_n, nullif(trim(home_postcode), '') AS postcode_n FROM guests),
+contacts AS (SELECT *, sha256(concat(source_system, '|', source_record_id)) AS record_key, {_text('full_name')} AS name_n,
+  {_text('given_name')} AS given_name_n, {_text('family_name')} AS family_name_n,
+  split_part({_text('given_name')}, ' ', 1) AS given_key, {_email('personal_email')} AS email_n, {_email('work_email')} AS work_email_n,
+    {_phone('personal_phone')} AS phone_n, {_phone('work_phone')} AS work_phone_n,
+  {_address('home_address_line1')} AS home_address_n, {_address('work_address_line1')} AS work_address_n, nullif(trim(home_postcode),
+    '') AS postcode_n FROM guests),
 defaults AS (SELECT source_system AS ds, date_of_birth AS dd, count(*) AS records, count(*) * 1.0E0 / any_value(n) AS share
-  FROM contacts JOIN (SELECT source_system AS s, count(*) AS n FROM contacts GROUP BY 1) t ON s = source_system WHERE date_of_birth IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 25 AND count(*) * 1.0E0 / any_value(n) >= 0.005),
-base AS (SELECT contacts.*, ds IS NOT NULL AS dob_is_source_default, CASE WHEN ds IS NULL AND date_of_birth BETWEEN DATE '1900-01-01' AND DATE '{TODAY}' THEN date_of_birth END AS dob_usable,
+  FROM contacts JOIN (SELECT source_system AS s, count(*) AS n
+    FROM contacts GROUP BY 1) t ON s = source_system WHERE date_of_birth IS NOT NULL
+    GROUP BY 1, 2 HAVING count(*) >= 25 AND count(*) * 1.0E0 / any_value(n) >= 0.005),
+base AS (SELECT contacts.*, ds IS NOT NULL AS dob_is_source_default, CASE
+  WHEN ds IS NULL AND date_of_birth BETWEEN DATE '1900-01-01' AND DATE '{TODAY}' THEN date_of_birth END AS dob_usable,
   CASE source_system WHEN 'sevenrooms' THEN 10 WHEN 'momentus' THEN 20 WHEN 'me_and_u' THEN 30 ELSE 40 END AS source_priority
   FROM contacts LEFT JOIN defaults ON ds = source_system AND dd = date_of_birth)"""
 PREVALENCE = f"""{BASE},
 long AS (SELECT 'email' AS kind, email_n AS value, name_n, given_key, family_name_n, dob_usable FROM base WHERE email_n IS NOT NULL UNION ALL
   SELECT 'phone', phone_n, name_n, given_key, family_name_n, dob_usable FROM base WHERE phone_n IS NOT NULL),
 days AS (SELECT DISTINCT kind, value, dob_usable AS d FROM long WHERE dob_usable IS NOT NULL),
-clash AS (SELECT a.kind AS ck, a.value AS cv, sum(CASE WHEN {_swap('a.d', 'b.d')} THEN 0 ELSE 1 END) AS n FROM days a JOIN days b ON a.kind = b.kind AND a.value = b.value AND a.d < b.d GROUP BY 1, 2),
-prevalence AS (SELECT kind, value, record_count, name_count, given_name_count, family_name_count, dob_count, CAST(coalesce(n, 0) AS BIGINT) AS incompatible_dob_pairs
-  FROM (SELECT kind, value, count(*) AS record_count, count(DISTINCT name_n) AS name_count, count(DISTINCT given_key) AS given_name_count, count(DISTINCT family_name_n) AS family_name_count, count(DISTINCT dob_usable) AS dob_count FROM long GROUP BY 1, 2) p
+clash AS (SELECT a.kind AS ck, a.value AS cv, sum(CASE WHEN {_swap('a.d', 'b.d')} THEN 0 ELSE 1 END) AS n FROM days a
+  JOIN days b ON a.kind = b.kind AND a.value = b.value AND a.d < b.d GROUP BY 1, 2),
+prevalence AS (SELECT kind, value, record_count, name_count, given_name_count, family_name_count, dob_count, CAST(coalesce(n,
+  0) AS BIGINT) AS incompatible_dob_pairs
+  FROM (SELECT kind, value, count(*) AS record_count, count(DISTINCT name_n) AS name_count, count(DISTINCT given_key) AS given_name_count,
+    count(DISTINCT family_name_n) AS family_name_count, count(DISTINCT dob_usable) AS dob_count FROM long GROUP BY 1, 2) p
   LEFT JOIN clash ON ck = kind AND cv = value),
-shared AS (SELECT *, incompatible_dob_pairs > 0 OR (kind = 'email' AND regexp_matches(value, '^(events|info|bookings|reservations|admin|office|reception)@')) AS is_shared FROM prevalence),
-records AS (SELECT base.*, coalesce(e.is_shared, false) AS email_is_shared, coalesce(p.is_shared, false) AS phone_is_shared, CASE WHEN NOT e.is_shared THEN email_n END AS personal_email_n, CASE WHEN NOT p.is_shared THEN phone_n END AS personal_phone_n,
-  e.record_count AS email_record_count, p.record_count AS phone_record_count, e.given_name_count AS email_given_names, p.given_name_count AS phone_given_names
+shared AS (SELECT *, incompatible_dob_pairs > 0 OR (kind = 'email'
+  AND regexp_matches(value, '^(events|info|bookings|reservations|admin|office|reception)@')) AS is_shared FROM prevalence),
+records AS (SELECT base.*, coalesce(e.is_shared, false) AS email_is_shared, coalesce(p.is_shared, false) AS phone_is_shared, CASE
+  WHEN NOT e.is_shared THEN email_n END AS personal_email_n, CASE WHEN NOT p.is_shared THEN phone_n END AS personal_phone_n,
+  e.record_count AS email_record_count, p.record_count AS phone_record_count, e.given_name_count AS email_given_names,
+    p.given_name_count AS phone_given_names
   FROM base LEFT JOIN shared e ON e.kind = 'email' AND e.value = email_n LEFT JOIN shared p ON p.kind = 'phone' AND p.value = phone_n)"""
 _KEYS = (("email_n", "PERSONAL_EMAIL"), ("phone_n", "PERSONAL_PHONE"), ("work_email_n", "WORK_EMAIL"), ("work_phone_n", "WORK_PHONE"), ("home_address_n", "HOME_ADDRESS"), ("work_address_n", "WORK_ADDRESS"),
          ("family_name_n || '|' || CAST(dob_usable AS VARCHAR)", "FAMILY_DOB"), ("family_name_n || '|' || substring(given_name_n, 1, 1) || '|' || postcode_n", "FAMILY_INITIAL_POSTCODE"), ("right(phone_n, 6)", "PHONE_SUFFIX"))
 BLOCKS = f"""{PREVALENCE},
 k0 AS ({' UNION ALL '.join(f"SELECT record_key, source_system, family_name_n, substring(given_name_n, 1, 1) AS initial, '{r}' AS reason, {e} AS block FROM base" for e, r in _KEYS)}),
 k1 AS (SELECT *, count(*) OVER (PARTITION BY reason, block) AS original_block_size FROM k0 WHERE block IS NOT NULL),
-k2 AS (SELECT record_key, source_system, family_name_n, initial, reason, CASE WHEN original_block_size <= 50 THEN block ELSE block || '#' || family_name_n END AS block, original_block_size FROM k1),
+k2 AS (SELECT record_key, source_system, family_name_n, initial, reason, CASE WHEN original_block_size <= 50 THEN block
+  ELSE block || '#' || family_name_n END AS block, original_block_size FROM k1),
 k3 AS (SELECT *, count(*) OVER (PARTITION BY reason, block) AS refined FROM k2 WHERE block IS NOT NULL),
-k4 AS (SELECT record_key, source_system, reason, CASE WHEN refined <= 50 THEN block ELSE block || '#' || initial END AS block, original_block_size FROM k3),
+k4 AS (SELECT record_key, source_system, reason, CASE WHEN refined <= 50 THEN block ELSE block || '#' || initial END AS block, original_block_size
+  FROM k3),
 blocks AS (SELECT *, count(*) OVER (PARTITION BY reason, block) AS block_size FROM k4 WHERE block IS NOT NULL)"""
 PAIRS = f"""{BLOCKS},
-hits AS (SELECT DISTINCT a.record_key AS l, b.record_key AS r, a.reason, CASE WHEN a.source_system = b.source_system THEN 'WITHIN_SOURCE' ELSE 'CROSS_SOURCE' END AS scope
+hits AS (SELECT DISTINCT a.record_key AS l, b.record_key AS r, a.reason, CASE WHEN a.source_system = b.source_system THEN 'WITHIN_SOURCE'
+  ELSE 'CROSS_SOURCE' END AS scope
   FROM blocks a JOIN blocks b ON a.reason = b.reason AND a.block = b.block AND a.record_key < b.record_key WHERE a.block_size BETWEEN 2 AND 50),
-pairs AS (SELECT l, r, string_agg(DISTINCT reason, ',' ORDER BY reason) AS reasons, string_agg(DISTINCT scope, ',' ORDER BY scope) AS scopes FROM hits GROUP BY l, r)"""
+pairs AS (SELECT l, r, string_agg(DISTINCT reason, ',' ORDER BY reason) AS reasons, string_agg(DISTINCT scope, ',' ORDER BY scope) AS scopes
+  FROM hits GROUP BY l, r)"""
 
 
 def _gamma(c: str, cuts: tuple[float, ...]) -> str:
@@ -96,7 +114,8 @@ def _gamma(c: str, cuts: tuple[float, ...]) -> str:
 
 
 GAMMAS = f"""{PAIRS},
-compared AS (SELECT l, r, {', '.join(_gamma(c, cuts) for c, cuts in matching.COMPARISONS.items())}, a.name_n AS nl, a.home_address_n AS hl, a.personal_email_n AS el, a.personal_phone_n AS pl
+compared AS (SELECT l, r, {', '.join(_gamma(c, cuts) for c, cuts in matching.COMPARISONS.items())}, a.name_n AS nl, a.home_address_n AS hl,
+  a.personal_email_n AS el, a.personal_phone_n AS pl
   FROM pairs JOIN records a ON a.record_key = l JOIN records b ON b.record_key = r)"""
 
 
@@ -215,13 +234,23 @@ def learned_model(spark, d):
 
 
 @query(f"""WITH {WEIGHTS} SELECT l AS left_record_key, r AS right_record_key, coalesce(a.dob_usable <> b.dob_usable, false) AS valid_dob_conflict,
-  CASE WHEN a.dob_usable IS NULL OR b.dob_usable IS NULL THEN NULL WHEN a.dob_usable = b.dob_usable THEN 'EXACT' WHEN {_swap('a.dob_usable', 'b.dob_usable')} THEN 'DAY_MONTH_SWAP'
-    WHEN month(a.dob_usable) = month(b.dob_usable) AND day(a.dob_usable) = day(b.dob_usable) AND hamming(CAST(year(a.dob_usable) AS VARCHAR), CAST(year(b.dob_usable) AS VARCHAR)) = 1 THEN 'YEAR_DIGIT'
-    WHEN year(a.dob_usable) = year(b.dob_usable) AND month(a.dob_usable) = month(b.dob_usable) AND hamming(lpad(CAST(day(a.dob_usable) AS VARCHAR), 2, '0'), lpad(CAST(day(b.dob_usable) AS VARCHAR), 2, '0')) = 1 THEN 'DAY_DIGIT' ELSE 'CONFLICT' END AS dob_variant,
-  a.dob_is_source_default OR b.dob_is_source_default AS source_default_dob, coalesce(a.personal_email_n = b.personal_email_n, false) AS personal_email_exact, coalesce(a.personal_phone_n = b.personal_phone_n, false) AS personal_phone_exact,
-  coalesce(a.email_n = b.email_n, false) AND a.email_is_shared AS shared_email_exact, CASE WHEN a.email_n = b.email_n THEN a.email_given_names END AS email_given_names, CASE WHEN a.phone_n = b.phone_n THEN a.phone_given_names END AS phone_given_names, coalesce(a.personal_email_n <> b.personal_email_n, false) AS personal_email_conflict, a.name_n = b.name_n AS name_exact,
-  coalesce(a.home_address_n = b.home_address_n, false) AS address_agreement, coalesce(a.postcode_n = b.postcode_n, false) AS postcode_agreement, round(1 - levenshtein(a.name_n, b.name_n) * 1.0E0 / greatest(length(a.name_n), length(b.name_n), 1), 6) AS name_edit_similarity,
-  (coalesce(a.email_n = b.email_n, false) AND a.email_is_shared) OR (coalesce(a.phone_n = b.phone_n, false) AND a.phone_is_shared) OR coalesce(a.work_email_n = b.work_email_n, false) OR coalesce(a.work_phone_n = b.work_phone_n, false) AS shared_context
+  CASE WHEN a.dob_usable IS NULL OR b.dob_usable IS NULL THEN NULL WHEN a.dob_usable = b.dob_usable THEN 'EXACT'
+    WHEN {_swap('a.dob_usable', 'b.dob_usable')} THEN 'DAY_MONTH_SWAP'
+    WHEN month(a.dob_usable) = month(b.dob_usable) AND day(a.dob_usable) = day(b.dob_usable)
+      AND hamming(CAST(year(a.dob_usable) AS VARCHAR), CAST(year(b.dob_usable) AS VARCHAR)) = 1 THEN 'YEAR_DIGIT'
+    WHEN year(a.dob_usable) = year(b.dob_usable) AND month(a.dob_usable) = month(b.dob_usable)
+      AND hamming(lpad(CAST(day(a.dob_usable) AS VARCHAR), 2, '0'), lpad(CAST(day(b.dob_usable) AS VARCHAR), 2, '0')) = 1 THEN 'DAY_DIGIT'
+      ELSE 'CONFLICT' END AS dob_variant,
+  a.dob_is_source_default OR b.dob_is_source_default AS source_default_dob, coalesce(a.personal_email_n = b.personal_email_n,
+    false) AS personal_email_exact, coalesce(a.personal_phone_n = b.personal_phone_n, false) AS personal_phone_exact,
+  coalesce(a.email_n = b.email_n, false) AND a.email_is_shared AS shared_email_exact, CASE
+    WHEN a.email_n = b.email_n THEN a.email_given_names END AS email_given_names, CASE
+    WHEN a.phone_n = b.phone_n THEN a.phone_given_names END AS phone_given_names, coalesce(a.personal_email_n <> b.personal_email_n,
+    false) AS personal_email_conflict, a.name_n = b.name_n AS name_exact,
+  coalesce(a.home_address_n = b.home_address_n, false) AS address_agreement, coalesce(a.postcode_n = b.postcode_n, false) AS postcode_agreement,
+    round(1 - levenshtein(a.name_n, b.name_n) * 1.0E0 / greatest(length(a.name_n), length(b.name_n), 1), 6) AS name_edit_similarity,
+  (coalesce(a.email_n = b.email_n, false) AND a.email_is_shared) OR (coalesce(a.phone_n = b.phone_n, false)
+    AND a.phone_is_shared) OR coalesce(a.work_email_n = b.work_email_n, false) OR coalesce(a.work_phone_n = b.work_phone_n, false) AS shared_context
   FROM weighed JOIN records a ON a.record_key = l JOIN records b ON b.record_key = r""")
 def pair_features(spark, d):
     r = records_of(spark, d)
@@ -258,14 +287,25 @@ _ACCEPT = "(given_variant IS NULL OR given_variant <> 'CONFLICT') AND (family_va
 _CONTACT = "(personal_email_exact OR personal_phone_exact)"
 _DOB = "coalesce(dob_variant IN ('EXACT', 'DAY_MONTH_SWAP'), false)"
 _TWIN = "coalesce(dob_variant = 'EXACT' AND family_variant = 'EXACT' AND given_variant <> 'EXACT', false)"
-POLICY_SQL = f"""CASE WHEN dob_variant = 'CONFLICT' THEN 'REJECT VALID_DOB_CONFLICT' WHEN {_CONTACT} AND given_variant = 'CONFLICT' AND family_variant = 'CONFLICT' THEN 'REJECT SHARED_CONTACT_DIFFERENT_PEOPLE'
-  WHEN {_CONTACT} AND {_DOB} THEN 'AUTO_MATCH PERSONAL_CONTACT_AND_DOB' WHEN personal_email_exact AND personal_phone_exact AND {_ACCEPT} THEN 'AUTO_MATCH BOTH_PERSONAL_CONTACTS'
-  WHEN {_CONTACT} AND {_ACCEPT} THEN 'AUTO_MATCH PERSONAL_CONTACT_AND_NAME' WHEN {_CONTACT} AND family_variant = 'CONFLICT' THEN 'REJECT SHARED_CONTACT_DIFFERENT_FAMILY' WHEN {_CONTACT} THEN 'REJECT SHARED_CONTACT_DIFFERENT_GIVEN'
-  WHEN cross_script AND {_DOB} AND coalesce(ann_address_rank <= 5, false) THEN 'AUTO_MATCH MULTILINGUAL_ADDRESS_AND_DOB' WHEN {_TWIN} AND given_variant = 'CONFLICT' THEN 'REJECT SAME_BIRTH_FAMILY_GIVEN_CONFLICT' WHEN {_TWIN} THEN 'REJECT SAME_BIRTH_FAMILY_GIVEN_VARIANT'
-  WHEN name_exact AND {_DOB} AND address_agreement THEN 'AUTO_MATCH NAME_DOB_ADDRESS_CORROBORATION' WHEN name_exact AND {_DOB} THEN 'AUTO_MATCH NAME_AND_DOB'
-  WHEN name_exact AND address_agreement AND postcode_agreement THEN CASE WHEN personal_email_conflict AND personal_phone_conflict THEN 'REJECT NAME_ADDRESS_BOTH_CONTACTS_DIFFER' WHEN personal_email_conflict OR personal_phone_conflict THEN 'REJECT NAME_ADDRESS_CONTACT_CONFLICT' ELSE 'AUTO_MATCH NAME_AND_FULL_ADDRESS' END
-  WHEN given_variant = 'CONFLICT' AND address_agreement THEN 'REJECT HOUSEHOLD_DIFFERENT_GIVEN' WHEN source_default_dob AND name_exact AND address_agreement AND match_probability >= 0.9 THEN 'AUTO_MATCH SOURCE_DEFAULT_DOB_IGNORED'
-  WHEN shared_context AND NOT name_exact THEN 'REJECT SHARED_CONTEXT_NOT_IDENTITY' WHEN given_variant = 'CONFLICT' THEN 'REJECT DIFFERENT_GIVEN_NAME' WHEN match_probability >= 0.5 THEN 'REVIEW INSUFFICIENT_EVIDENCE_REVIEW' ELSE 'REJECT LOW_MATCH_PROBABILITY' END"""
+POLICY_SQL = f"""CASE WHEN dob_variant = 'CONFLICT' THEN 'REJECT VALID_DOB_CONFLICT'
+      WHEN {_CONTACT} AND given_variant = 'CONFLICT' AND family_variant = 'CONFLICT' THEN 'REJECT SHARED_CONTACT_DIFFERENT_PEOPLE'
+  WHEN {_CONTACT} AND {_DOB} THEN 'AUTO_MATCH PERSONAL_CONTACT_AND_DOB'
+    WHEN personal_email_exact AND personal_phone_exact AND {_ACCEPT} THEN 'AUTO_MATCH BOTH_PERSONAL_CONTACTS'
+  WHEN {_CONTACT} AND {_ACCEPT} THEN 'AUTO_MATCH PERSONAL_CONTACT_AND_NAME'
+    WHEN {_CONTACT} AND family_variant = 'CONFLICT' THEN 'REJECT SHARED_CONTACT_DIFFERENT_FAMILY'
+    WHEN {_CONTACT} THEN 'REJECT SHARED_CONTACT_DIFFERENT_GIVEN'
+  WHEN cross_script AND {_DOB} AND coalesce(ann_address_rank <= 5, false) THEN 'AUTO_MATCH MULTILINGUAL_ADDRESS_AND_DOB'
+    WHEN {_TWIN} AND given_variant = 'CONFLICT' THEN 'REJECT SAME_BIRTH_FAMILY_GIVEN_CONFLICT'
+    WHEN {_TWIN} THEN 'REJECT SAME_BIRTH_FAMILY_GIVEN_VARIANT'
+  WHEN name_exact AND {_DOB} AND address_agreement THEN 'AUTO_MATCH NAME_DOB_ADDRESS_CORROBORATION'
+    WHEN name_exact AND {_DOB} THEN 'AUTO_MATCH NAME_AND_DOB'
+  WHEN name_exact AND address_agreement AND postcode_agreement THEN CASE
+    WHEN personal_email_conflict AND personal_phone_conflict THEN 'REJECT NAME_ADDRESS_BOTH_CONTACTS_DIFFER'
+    WHEN personal_email_conflict OR personal_phone_conflict THEN 'REJECT NAME_ADDRESS_CONTACT_CONFLICT' ELSE 'AUTO_MATCH NAME_AND_FULL_ADDRESS' END
+  WHEN given_variant = 'CONFLICT' AND address_agreement THEN 'REJECT HOUSEHOLD_DIFFERENT_GIVEN'
+    WHEN source_default_dob AND name_exact AND address_agreement AND match_probability >= 0.9 THEN 'AUTO_MATCH SOURCE_DEFAULT_DOB_IGNORED'
+  WHEN shared_context AND NOT name_exact THEN 'REJECT SHARED_CONTEXT_NOT_IDENTITY' WHEN given_variant = 'CONFLICT' THEN 'REJECT DIFFERENT_GIVEN_NAME'
+    WHEN match_probability >= 0.5 THEN 'REVIEW INSUFFICIENT_EVIDENCE_REVIEW' ELSE 'REJECT LOW_MATCH_PROBABILITY' END"""
 
 
 @query(f"WITH ids AS (SELECT range AS id FROM range(30000)) SELECT id, {POLICY_SQL} AS verdict FROM ({_grid_sql('VARCHAR')}) g")
@@ -275,8 +315,11 @@ def policy_grid(spark, d):
     return g.select("id", F.concat_ws(" ", "__d.decision", "__d.reason").alias("verdict"))
 
 
-@query(f"""WITH ids AS (SELECT range AS id FROM range(5000)) SELECT id, concat_ws(',', CASE WHEN valid_dob_conflict AND dob_variant = 'CONFLICT' THEN 'VALID_DOB_CONFLICT' END, CASE WHEN dob_variant IN ('DAY_MONTH_SWAP', 'YEAR_DIGIT', 'DAY_DIGIT') THEN 'DOB_ENTRY_VARIANT' END,
-  CASE WHEN source_default_dob THEN 'IGNORE_SOURCE_DEFAULT_DOB' END, CASE WHEN shared_context THEN 'SHARED_CONTEXT_NOT_IDENTITY' END, CASE WHEN cross_script AND ann_address_rank <= 5 THEN 'MULTILINGUAL_ANN_ADDRESS' END,
+@query(f"""WITH ids AS (SELECT range AS id FROM range(5000)) SELECT id, concat_ws(',', CASE
+      WHEN valid_dob_conflict AND dob_variant = 'CONFLICT' THEN 'VALID_DOB_CONFLICT' END, CASE
+      WHEN dob_variant IN ('DAY_MONTH_SWAP', 'YEAR_DIGIT', 'DAY_DIGIT') THEN 'DOB_ENTRY_VARIANT' END,
+  CASE WHEN source_default_dob THEN 'IGNORE_SOURCE_DEFAULT_DOB' END, CASE WHEN shared_context THEN 'SHARED_CONTEXT_NOT_IDENTITY' END, CASE
+    WHEN cross_script AND ann_address_rank <= 5 THEN 'MULTILINGUAL_ANN_ADDRESS' END,
   CASE WHEN {POLICY_SQL} LIKE 'REVIEW%' THEN 'INSUFFICIENT_EVIDENCE_REVIEW' END) AS safeguards FROM ({_grid_sql('VARCHAR')}) g""")
 def safeguards_grid(spark, d):
     spark.range(5000).createOrReplaceTempView("ids")
@@ -312,13 +355,20 @@ def policy_versions_grid(spark, d):
 
 _ALONE = f"name_exact AND address_agreement AND NOT {_CONTACT} AND NOT coalesce(dob_variant = 'EXACT', false)"
 _SAME = "coalesce(dob_variant = 'EXACT', false)"
-EARLIER_SQL = f"""CASE WHEN valid_dob_conflict THEN 'REJECT VALID_DOB_CONFLICT' WHEN {_ALONE} AND (personal_email_conflict OR personal_phone_conflict) THEN 'REVIEW CONFLICTING_PERSONAL_CONTACTS_REVIEW'
-  WHEN {_ALONE} AND match_probability < 0.5 THEN 'REVIEW AMBIGUOUS_COMMON_NAME_ADDRESS' WHEN {_CONTACT} AND {_SAME} THEN 'AUTO_MATCH PERSONAL_CONTACT_AND_DOB'
-  WHEN {_CONTACT} AND address_agreement AND match_probability >= 0.995 THEN 'AUTO_MATCH PERSONAL_CONTACT_AND_ADDRESS' WHEN name_exact AND {_SAME} AND address_agreement THEN 'AUTO_MATCH NAME_DOB_ADDRESS_CORROBORATION'
-  WHEN source_default_dob AND name_exact AND address_agreement AND match_probability >= 0.995 THEN 'AUTO_MATCH SOURCE_DEFAULT_DOB_IGNORED' WHEN cross_script AND {_SAME} AND coalesce(ann_address_rank <= 5, false) THEN 'AUTO_MATCH MULTILINGUAL_ADDRESS_AND_DOB'
-  WHEN match_probability >= 0.995 AND {_CONTACT} AND (name_exact OR {_SAME} OR address_agreement) THEN 'AUTO_MATCH INDEPENDENT_PERSONAL_EVIDENCE' WHEN match_probability >= 0.995 AND name_exact AND address_agreement THEN 'AUTO_MATCH NAME_ADDRESS_CORROBORATION'
-  WHEN shared_context AND NOT {_CONTACT} AND NOT ({_SAME} AND name_exact) THEN 'REJECT SHARED_CONTEXT_NOT_IDENTITY' WHEN match_probability >= 0.5 THEN 'REVIEW INSUFFICIENT_EVIDENCE_REVIEW'
-  WHEN coalesce(ann_address_rank <= 5, false) AND match_probability >= 0.7 THEN 'REVIEW SEMANTIC_CANDIDATE_REVIEW' ELSE 'REJECT LOW_MATCH_PROBABILITY' END"""
+EARLIER_SQL = f"""CASE WHEN valid_dob_conflict THEN 'REJECT VALID_DOB_CONFLICT'
+      WHEN {_ALONE} AND (personal_email_conflict OR personal_phone_conflict) THEN 'REVIEW CONFLICTING_PERSONAL_CONTACTS_REVIEW'
+  WHEN {_ALONE} AND match_probability < 0.5 THEN 'REVIEW AMBIGUOUS_COMMON_NAME_ADDRESS'
+    WHEN {_CONTACT} AND {_SAME} THEN 'AUTO_MATCH PERSONAL_CONTACT_AND_DOB'
+  WHEN {_CONTACT} AND address_agreement AND match_probability >= 0.995 THEN 'AUTO_MATCH PERSONAL_CONTACT_AND_ADDRESS'
+    WHEN name_exact AND {_SAME} AND address_agreement THEN 'AUTO_MATCH NAME_DOB_ADDRESS_CORROBORATION'
+  WHEN source_default_dob AND name_exact AND address_agreement AND match_probability >= 0.995 THEN 'AUTO_MATCH SOURCE_DEFAULT_DOB_IGNORED'
+    WHEN cross_script AND {_SAME} AND coalesce(ann_address_rank <= 5, false) THEN 'AUTO_MATCH MULTILINGUAL_ADDRESS_AND_DOB'
+  WHEN match_probability >= 0.995 AND {_CONTACT} AND (name_exact OR {_SAME} OR address_agreement) THEN 'AUTO_MATCH INDEPENDENT_PERSONAL_EVIDENCE'
+    WHEN match_probability >= 0.995 AND name_exact AND address_agreement THEN 'AUTO_MATCH NAME_ADDRESS_CORROBORATION'
+  WHEN shared_context AND NOT {_CONTACT} AND NOT ({_SAME} AND name_exact) THEN 'REJECT SHARED_CONTEXT_NOT_IDENTITY'
+    WHEN match_probability >= 0.5 THEN 'REVIEW INSUFFICIENT_EVIDENCE_REVIEW'
+  WHEN coalesce(ann_address_rank <= 5, false) AND match_probability >= 0.7 THEN 'REVIEW SEMANTIC_CANDIDATE_REVIEW'
+    ELSE 'REJECT LOW_MATCH_PROBABILITY' END"""
 
 
 @query(f"WITH ids AS (SELECT range AS id FROM range(5000)) SELECT id, {EARLIER_SQL} AS verdict FROM ({_grid_sql('VARCHAR')}) g")
@@ -330,9 +380,13 @@ def earlier_policy_grid(spark, d):
     return g.withColumn("__d", policy.decide(policy.earlier_rules())).select("id", F.concat_ws(" ", "__d.decision", "__d.reason").alias("verdict"))
 
 
-_SIMPLE = f"""{PREVALENCE}, hits AS (SELECT a.record_key AS l, b.record_key AS r, a.name_n AS an, b.name_n AS bn, a.dob_usable AS ad, b.dob_usable AS bd FROM records a JOIN records b ON a.record_key < b.record_key AND a.email_n = b.email_n WHERE NOT a.email_is_shared
-  UNION SELECT a.record_key, b.record_key, a.name_n, b.name_n, a.dob_usable, b.dob_usable FROM records a JOIN records b ON a.record_key < b.record_key AND a.phone_n = b.phone_n WHERE NOT a.phone_is_shared),
-judged AS (SELECT l, r, CASE WHEN ad <> bd AND NOT {_swap('ad', 'bd')} THEN 'REJECT' WHEN 1 - levenshtein(an, bn) * 1.0E0 / greatest(length(an), length(bn), 1) >= 0.75 THEN 'AUTO_MATCH' WHEN ad = bd THEN 'AUTO_MATCH' WHEN 1 - levenshtein(an, bn) * 1.0E0 / greatest(length(an), length(bn), 1) >= 0.5 THEN 'REVIEW' ELSE 'REJECT' END AS decision,
+_SIMPLE = f"""{PREVALENCE}, hits AS (SELECT a.record_key AS l, b.record_key AS r, a.name_n AS an, b.name_n AS bn, a.dob_usable AS ad, b.dob_usable AS bd
+      FROM records a JOIN records b ON a.record_key < b.record_key AND a.email_n = b.email_n WHERE NOT a.email_is_shared
+  UNION SELECT a.record_key, b.record_key, a.name_n, b.name_n, a.dob_usable, b.dob_usable FROM records a
+    JOIN records b ON a.record_key < b.record_key AND a.phone_n = b.phone_n WHERE NOT a.phone_is_shared),
+judged AS (SELECT l, r, CASE WHEN ad <> bd AND NOT {_swap('ad', 'bd')} THEN 'REJECT'
+  WHEN 1 - levenshtein(an, bn) * 1.0E0 / greatest(length(an), length(bn), 1) >= 0.75 THEN 'AUTO_MATCH' WHEN ad = bd THEN 'AUTO_MATCH'
+  WHEN 1 - levenshtein(an, bn) * 1.0E0 / greatest(length(an), length(bn), 1) >= 0.5 THEN 'REVIEW' ELSE 'REJECT' END AS decision,
   round(1 - levenshtein(an, bn) * 1.0E0 / greatest(length(an), length(bn), 1), 6) AS similarity FROM hits)"""
 
 
@@ -427,8 +481,10 @@ def survivorship_pick(spark, d):
 
 
 @query(f"""WITH {SURVIVORS},
-  who AS (SELECT concat('c', CAST(person AS VARCHAR)) AS customer_id, count(*) AS source_record_count, string_agg(DISTINCT source_system, ',' ORDER BY source_system) AS source_systems FROM records GROUP BY 1)
-  SELECT who.customer_id, source_record_count, source_systems, {', '.join(f"max(CASE WHEN field = '{f}' THEN value END) AS {name}" for f, _, _, name in _FIELDS)}
+  who AS (SELECT concat('c', CAST(person AS VARCHAR)) AS customer_id, count(*) AS source_record_count, string_agg(DISTINCT source_system,
+    ',' ORDER BY source_system) AS source_systems FROM records GROUP BY 1)
+  SELECT who.customer_id, source_record_count, source_systems,
+    {', '.join(f"max(CASE WHEN field = '{f}' THEN value END) AS {name}" for f, _, _, name in _FIELDS)}
   FROM who LEFT JOIN picked ON picked.customer_id = who.customer_id GROUP BY 1, 2, 3""")
 def golden_profile(spark, d):
     picked, mapping, records = picked_fields(spark, d)
@@ -451,14 +507,21 @@ def simple_mapping(spark, d) -> DataFrame:
     return spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").cast("string").alias("record_key"), key.alias("component"), key.alias("customer_id"))
 
 
-_DECIDED = """m AS (SELECT CAST(o_orderkey AS VARCHAR) AS record_key, concat('m', CAST(CAST(floor(o_custkey / 2) AS BIGINT) AS VARCHAR)) AS component FROM orders),
-dec AS (SELECT l, r, p, CASE WHEN p >= 0.9 THEN 'AUTO_MATCH' WHEN p >= 0.85 THEN 'REVIEW' ELSE 'REJECT' END AS decision FROM (SELECT CAST(a.o_orderkey AS VARCHAR) AS l, CAST(b.o_orderkey AS VARCHAR) AS r, round(((a.o_orderkey * 31 + b.o_orderkey) % 100) / 100.0E0, 2) AS p
+_DECIDED = """m AS (SELECT CAST(o_orderkey AS VARCHAR) AS record_key, concat('m', CAST(CAST(floor(o_custkey / 2) AS BIGINT) AS VARCHAR)) AS component
+      FROM orders),
+dec AS (SELECT l, r, p, CASE WHEN p >= 0.9 THEN 'AUTO_MATCH' WHEN p >= 0.85 THEN 'REVIEW' ELSE 'REJECT' END AS decision
+  FROM (SELECT CAST(a.o_orderkey AS VARCHAR) AS l, CAST(b.o_orderkey AS VARCHAR) AS r, round(((a.o_orderkey * 31 + b.o_orderkey) % 100) / 100.0E0,
+  2) AS p
   FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND CAST(a.o_orderkey AS VARCHAR) < CAST(b.o_orderkey AS VARCHAR)) x),
-touched AS (SELECT DISTINCT component FROM m JOIN (SELECT l AS k FROM dec WHERE decision = 'REVIEW' UNION SELECT r FROM dec WHERE decision = 'REVIEW') t ON k = record_key)"""
+touched AS (SELECT DISTINCT component FROM m JOIN (SELECT l AS k FROM dec WHERE decision = 'REVIEW' UNION SELECT r
+  FROM dec WHERE decision = 'REVIEW') t ON k = record_key)"""
 
 
-@query(f"""WITH {_DECIDED} SELECT m.record_key, m.component AS customer_id, CASE WHEN t.component IS NULL THEN 'AUTO_RESOLVED' ELSE 'REQUIRES_REVIEW' END AS mapping_status, best AS strongest_edge_score
-  FROM m LEFT JOIN touched t ON t.component = m.component LEFT JOIN (SELECT k, max(p) AS best FROM (SELECT l AS k, p FROM dec WHERE decision = 'AUTO_MATCH' UNION ALL SELECT r, p FROM dec WHERE decision = 'AUTO_MATCH') e GROUP BY k) b ON b.k = m.record_key""")
+@query(f"""WITH {_DECIDED} SELECT m.record_key, m.component AS customer_id, CASE WHEN t.component IS NULL THEN 'AUTO_RESOLVED'
+      ELSE 'REQUIRES_REVIEW' END AS mapping_status, best AS strongest_edge_score
+  FROM m LEFT JOIN touched t ON t.component = m.component
+    LEFT JOIN (SELECT k, max(p) AS best FROM (SELECT l AS k, p FROM dec WHERE decision = 'AUTO_MATCH'
+    UNION ALL SELECT r, p FROM dec WHERE decision = 'AUTO_MATCH') e GROUP BY k) b ON b.k = m.record_key""")
 def identity_links_strongest(spark, d):
     dec, m = simple_decisions(spark, d), simple_mapping(spark, d)
     none = spark.createDataFrame([], "left_record_key string, right_record_key string, reason string")
@@ -476,8 +539,11 @@ def steward_cases(spark, d):
     return golden.steward_cases(mapping, golden.touched_components(decided, refused, mapping), decided)
 
 
-@query("""SELECT least(x, y) AS left_record_key, greatest(x, y) AS right_record_key, decision, 'R' AS reason, printf('%.4f', p) AS probability, CASE k % 3 WHEN 0 THEN 'address,name' WHEN 1 THEN 'a_representation_of_a_very_long_name_that_goes_on_and_on' ELSE '' END AS representations, CAST(k % 4 AS INT) AS gamma_name, k / 8.0E0 AS bf_name
-  FROM (SELECT c_custkey AS k, CAST(c_custkey AS VARCHAR) AS x, CAST(c_custkey + 1 AS VARCHAR) AS y, (c_custkey % 1000) / 1000.0E0 AS p, CASE WHEN c_custkey % 2 = 0 THEN 'REVIEW' ELSE 'REJECT' END AS decision FROM customer) c""")
+@query("""SELECT least(x, y) AS left_record_key, greatest(x, y) AS right_record_key, decision, 'R' AS reason, printf('%.4f', p) AS probability, CASE k % 3
+      WHEN 0 THEN 'address,name' WHEN 1 THEN 'a_representation_of_a_very_long_name_that_goes_on_and_on'
+      ELSE '' END AS representations, CAST(k % 4 AS INT) AS gamma_name, k / 8.0E0 AS bf_name
+  FROM (SELECT c_custkey AS k, CAST(c_custkey AS VARCHAR) AS x, CAST(c_custkey + 1 AS VARCHAR) AS y, (c_custkey % 1000) / 1000.0E0 AS p, CASE
+    WHEN c_custkey % 2 = 0 THEN 'REVIEW' ELSE 'REJECT' END AS decision FROM customer) c""")
 def match_evidence(spark, d):
     k = F.col("c_custkey")
     x, y = k.cast("string"), (k + 1).cast("string")
@@ -498,9 +564,14 @@ def comparison_weights(spark, d):
 
 @query(f"WITH {PREVALENCE}, n AS (SELECT count(*) AS n FROM records) SELECT comparison, agreeing FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS comparison, round(sum(k * (k - 1)) * 1.0E0 / (sum(k) * (sum(k) - 1)), 9) AS agreeing FROM (SELECT count(*) AS k FROM records WHERE {c} IS NOT NULL GROUP BY {c}) x" for c in matching.COMPARISONS)
-    + """ UNION ALL SELECT 'sure pairs', (SELECT sum(k * (k - 1) // 2) FROM (SELECT count(*) AS k FROM records WHERE personal_email_n IS NOT NULL AND name_n IS NOT NULL AND dob_usable IS NOT NULL GROUP BY personal_email_n, name_n, dob_usable) a)
-    + (SELECT sum(k * (k - 1) // 2) FROM (SELECT count(*) AS k FROM records WHERE personal_phone_n IS NOT NULL AND name_n IS NOT NULL AND dob_usable IS NOT NULL GROUP BY personal_phone_n, name_n, dob_usable) b)
-    - (SELECT coalesce(sum(k * (k - 1) // 2), 0) FROM (SELECT count(*) AS k FROM records WHERE personal_email_n IS NOT NULL AND personal_phone_n IS NOT NULL AND name_n IS NOT NULL AND dob_usable IS NOT NULL GROUP BY personal_email_n, personal_phone_n, name_n, dob_usable) c)) y""")
+    + """ UNION ALL SELECT 'sure pairs', (SELECT sum(k * (k - 1) // 2) FROM (SELECT count(*) AS k
+   FROM records WHERE personal_email_n IS NOT NULL AND name_n IS NOT NULL AND dob_usable IS NOT NULL GROUP BY personal_email_n, name_n, dob_usable) a)
+    + (SELECT sum(k * (k - 1) // 2) FROM (SELECT count(*) AS k
+      FROM records WHERE personal_phone_n IS NOT NULL AND name_n IS NOT NULL AND dob_usable IS NOT NULL
+      GROUP BY personal_phone_n, name_n, dob_usable) b)
+    - (SELECT coalesce(sum(k * (k - 1) // 2), 0) FROM (SELECT count(*) AS k
+      FROM records WHERE personal_email_n IS NOT NULL AND personal_phone_n IS NOT NULL AND name_n IS NOT NULL AND dob_usable IS NOT NULL
+      GROUP BY personal_email_n, personal_phone_n, name_n, dob_usable) c)) y""")
 def random_agreement(spark, d):
     """How often two random records agree on a column, and how many pairs the sure rules find, from group sizes."""
     r = records_of(spark, d)
@@ -523,8 +594,10 @@ def session_patterns(spark, d):
     return out
 
 
-@query("""SELECT c_custkey, difference, CASE WHEN difference >= 2 THEN 'different' WHEN difference = 0 AND p >= 0.95 THEN 'same' ELSE 'unclear' END AS lean FROM (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 4 ELSE 0 END + CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 0 END
-  + CASE WHEN c_custkey % 5 = 0 THEN 2 ELSE 0 END + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS difference, (c_custkey % 100) / 100.0E0 AS p FROM customer) x""")
+@query("""SELECT c_custkey, difference, CASE WHEN difference >= 2 THEN 'different' WHEN difference = 0 AND p >= 0.95 THEN 'same' ELSE 'unclear' END AS lean
+      FROM (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 4 ELSE 0 END + CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 0 END
+  + CASE WHEN c_custkey % 5 = 0 THEN 2 ELSE 0 END + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN c_custkey % 7 = 0 THEN 1
+    ELSE 0 END AS difference, (c_custkey % 100) / 100.0E0 AS p FROM customer) x""")
 def case_lean(spark, d):
     c = spark.read.parquet(f"{d}/customer.parquet")
     k = F.col("c_custkey")
@@ -542,7 +615,8 @@ def steward_events(spark, d) -> DataFrame:
         F.array(F.struct(F.concat(F.lit("r"), user).alias("record_key"), F.concat(F.lit("s"), k.cast("string")).alias("customer_id"))).alias("memberships"))
 
 
-OVERRIDES = """o AS (SELECT concat('run', CAST(event_id % 2 AS VARCHAR)) AS source_run_id, concat('r', CAST(user_id AS VARCHAR)) AS record_key, concat('s', CAST(max(event_id) AS VARCHAR)) AS customer_id,
+OVERRIDES = """o AS (SELECT concat('run', CAST(event_id % 2 AS VARCHAR)) AS source_run_id, concat('r', CAST(user_id AS VARCHAR)) AS record_key, concat('s',
+      CAST(max(event_id) AS VARCHAR)) AS customer_id,
   concat('case', CAST(user_id AS VARCHAR)) AS case_id, concat('e', CAST(max(event_id) AS VARCHAR)) AS event_id, max(event_id) AS applied_case_version
   FROM events WHERE event_id % 5 <> 0 GROUP BY user_id, event_id % 2)"""
 
@@ -553,8 +627,10 @@ def override_compaction(spark, d):
     return review.checked_overrides(e.union(e))
 
 
-@query("""SELECT least(CAST(q AS VARCHAR), CAST(n AS VARCHAR)) AS left_record_key, greatest(CAST(q AS VARCHAR), CAST(n AS VARCHAR)) AS right_record_key, max(s) AS ann_name_score, min(rank) AS ann_name_rank FROM (SELECT q, n, s, row_number() OVER (PARTITION BY q ORDER BY s DESC, n) AS rank
-  FROM (SELECT a.vec_id AS q, b.vec_id AS n, round(list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS s FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) x) y WHERE rank <= 20 GROUP BY 1, 2""")
+@query("""SELECT least(CAST(q AS VARCHAR), CAST(n AS VARCHAR)) AS left_record_key, greatest(CAST(q AS VARCHAR), CAST(n AS VARCHAR)) AS right_record_key,
+      max(s) AS ann_name_score, min(rank) AS ann_name_rank FROM (SELECT q, n, s, row_number() OVER (PARTITION BY q ORDER BY s DESC, n) AS rank
+  FROM (SELECT a.vec_id AS q, b.vec_id AS n, round(list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS s
+    FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) x) y WHERE rank <= 20 GROUP BY 1, 2""")
 def knn_candidate_pairs(spark, d):
     e = spark.read.parquet(f"{d}/embeddings.parquet")
     who = e.select(F.col("vec_id").cast("string").alias("record_key"), "vec_id", F.col("label").cast("string").alias("source_system"))
@@ -572,8 +648,10 @@ def search_embeddings(spark, d):
 
 
 # --- vectors, caches, gates -----------------------------------------------------------------------
-@query("""WITH c AS (SELECT vec_id, len(embedding) AS n, concat('t', CAST(vec_id % 40 AS VARCHAR)) AS text, vec_id % 7 AS f, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings)
-  SELECT sha256(text) AS text_hash, text AS search_text, max(vec_id) AS generated_at FROM c WHERE f NOT IN (0, 1, 2, 3) AND abs(sqrt(list_sum(list_transform(e, lambda x: x * x))) - 1) <= 0.001 GROUP BY 1, 2""")
+@query("""WITH c AS (SELECT vec_id, len(embedding) AS n, concat('t', CAST(vec_id % 40 AS VARCHAR)) AS text, vec_id % 7 AS f, list_transform(embedding,
+      lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings)
+  SELECT sha256(text) AS text_hash, text AS search_text, max(vec_id) AS generated_at
+    FROM c WHERE f NOT IN (0, 1, 2, 3) AND abs(sqrt(list_sum(list_transform(e, lambda x: x * x))) - 1) <= 0.001 GROUP BY 1, 2""")
 def reusable_vectors(spark, d):
     """Of a made-up cache with wrong models, errors, hashes and sizes the newest sound vector of each text."""
     e, f = spark.read.parquet(f"{d}/embeddings.parquet"), F.col("vec_id") % 7
@@ -585,7 +663,8 @@ def reusable_vectors(spark, d):
 
 @query("""WITH hits AS (SELECT q, i + 1 AS rank, (q * 7 + i * 13) % 97 AS neighbour, 1 - i / 100.0E0 AS score FROM range(60) a(q), range(21) b(i)),
   recs AS (SELECT vec_id AS k, vec_id % 60 AS q FROM embeddings),
-  met AS (SELECT k AS query_key, neighbour AS neighbour_key, score, row_number() OVER (PARTITION BY k ORDER BY rank, neighbour) AS rank FROM recs JOIN hits ON hits.q = recs.q WHERE k <> neighbour)
+  met AS (SELECT k AS query_key, neighbour AS neighbour_key, score, row_number() OVER (PARTITION BY k ORDER BY rank, neighbour) AS rank FROM recs
+    JOIN hits ON hits.q = recs.q WHERE k <> neighbour)
   SELECT query_key, neighbour_key, score, rank FROM met WHERE rank <= 20""")
 def expanded_neighbours(spark, d):
     """Hits of one query for each text, given to all its records."""
@@ -644,8 +723,11 @@ def score_gates(spark, d):
 
 # --- groups and identities, where SQL can say what becomes of them ------------------------------------
 @query("""WITH j AS (SELECT c_custkey // 4 AS g, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) = 4)
-  SELECT concat('r', CAST(g * 4 + i AS VARCHAR)) AS record_key, concat('r', CAST(CASE g % 4 WHEN 0 THEN CASE WHEN i < 2 THEN g * 4 ELSE g * 4 + 2 END WHEN 1 THEN CASE WHEN i < 3 THEN g * 4 ELSE g * 4 + 3 END WHEN 2 THEN CASE WHEN i < 2 THEN g * 4 ELSE g * 4 + 2 END ELSE CASE WHEN i < 3 THEN g * 4 ELSE g * 4 + 3 END END AS VARCHAR)) AS component,
-    CASE g % 4 WHEN 0 THEN 'COMPONENT_DOB_CONFLICT' WHEN 2 THEN 'COMPONENT_CANNOT_LINK' ELSE 'COMPONENT_SIZE_LIMIT' END AS refused FROM j, range(4) r(i)""")
+  SELECT concat('r', CAST(g * 4 + i AS VARCHAR)) AS record_key, concat('r', CAST(CASE g % 4 WHEN 0 THEN CASE WHEN i < 2 THEN g * 4
+    ELSE g * 4 + 2 END WHEN 1 THEN CASE WHEN i < 3 THEN g * 4 ELSE g * 4 + 3 END WHEN 2 THEN CASE WHEN i < 2 THEN g * 4 ELSE g * 4 + 2 END
+    ELSE CASE WHEN i < 3 THEN g * 4 ELSE g * 4 + 3 END END AS VARCHAR)) AS component,
+    CASE g % 4 WHEN 0 THEN 'COMPONENT_DOB_CONFLICT' WHEN 2 THEN 'COMPONENT_CANNOT_LINK' ELSE 'COMPONENT_SIZE_LIMIT' END AS refused
+      FROM j, range(4) r(i)""")
 def constrained_groups(spark, d):
     """Four records in a row, linked one after another, the strongest link first; in each group one constraint refuses one link."""
     c = spark.read.parquet(f"{d}/customer.parquet").select(F.floor(F.col("c_custkey") / 4).alias("g")).groupBy("g").count().where("count = 4")
@@ -669,12 +751,16 @@ def constrained_groups(spark, d):
     return even.union(odd).select("record_key", "component", "refused")
 
 
-@query("""WITH m AS (SELECT c_custkey AS k, concat('r', CAST(c_custkey AS VARCHAR)) AS record_key, concat('m', CAST(c_custkey // 6 AS VARCHAR)) AS component FROM customer),
+@query("""WITH m AS (SELECT c_custkey AS k, concat('r', CAST(c_custkey AS VARCHAR)) AS record_key, concat('m', CAST(c_custkey // 6 AS VARCHAR)) AS component
+      FROM customer),
   held AS (SELECT concat('o', CAST(k // 4 AS VARCHAR)) AS old_id, component, count(*) AS n FROM m WHERE k % 7 <> 0 GROUP BY 1, 2),
-  claim AS (SELECT old_id, component FROM (SELECT *, row_number() OVER (PARTITION BY old_id ORDER BY n DESC, component) AS rn FROM held) x WHERE rn = 1),
-  aged AS (SELECT claim.*, row_number() OVER (PARTITION BY component ORDER BY CAST(10000 - CAST(substring(old_id, 2) AS BIGINT) AS VARCHAR), old_id) AS rn FROM claim),
+  claim AS (SELECT old_id, component FROM (SELECT *, row_number() OVER (PARTITION BY old_id ORDER BY n DESC, component) AS rn
+    FROM held) x WHERE rn = 1),
+  aged AS (SELECT claim.*, row_number() OVER (PARTITION BY component ORDER BY CAST(10000 - CAST(substring(old_id, 2) AS BIGINT) AS VARCHAR),
+    old_id) AS rn FROM claim),
   keys AS (SELECT component, string_agg(record_key, '|' ORDER BY record_key) AS members FROM m GROUP BY 1)
-  SELECT m.record_key, coalesce(old_id, concat('cus_', substring(sha256(concat('run2|', members)), 1, 28))) AS customer_id FROM m JOIN keys ON keys.component = m.component LEFT JOIN aged ON aged.component = m.component AND rn = 1""")
+  SELECT m.record_key, coalesce(old_id, concat('cus_', substring(sha256(concat('run2|', members)), 1, 28))) AS customer_id FROM m
+    JOIN keys ON keys.component = m.component LEFT JOIN aged ON aged.component = m.component AND rn = 1""")
 def identities_that_live_on(spark, d):
     k = F.col("c_custkey")
     c = spark.read.parquet(f"{d}/customer.parquet")

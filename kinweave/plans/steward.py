@@ -49,22 +49,30 @@ def made_evidence(spark, d) -> DataFrame:
 _SQL_FLAGS = ", ".join([f"CASE WHEN c_custkey % {m} IN ({', '.join(map(str, r))}) THEN 1 ELSE 0 END AS {n}" for n, (m, r) in _FLAGS.items()]
                        + [f"CASE WHEN c_custkey % 13 <> 0 THEN CASE WHEN c_custkey % {m} IN ({', '.join(map(str, r))}) THEN 1 ELSE 0 END END AS {n}" for n, (m, r) in _OWN.items()])
 EVIDENCE = f"""
-  ev AS (SELECT c_custkey AS k, concat('case', CAST(c_custkey // 6 AS VARCHAR)) AS case_id, concat('r', CAST(c_custkey AS VARCHAR)) AS l, concat('r', CAST(c_custkey + 1 AS VARCHAR)) AS r,
+  ev AS (SELECT c_custkey AS k, concat('case', CAST(c_custkey // 6 AS VARCHAR)) AS case_id, concat('r', CAST(c_custkey AS VARCHAR)) AS l, concat('r',
+    CAST(c_custkey + 1 AS VARCHAR)) AS r,
     CASE c_custkey % 3 WHEN 0 THEN 'REVIEW' WHEN 1 THEN 'REJECT' ELSE 'AUTO_MATCH' END AS decision,
-    CASE c_custkey % 9 WHEN 0 THEN 'AMBIGUOUS_COMMON_NAME_ADDRESS' WHEN 3 THEN 'MADE_UP_RULE' ELSE 'INSUFFICIENT_EVIDENCE_REVIEW' END AS rule, (c_custkey * 37 % 100) / 100.0E0 AS p,
-    CASE c_custkey % 3 WHEN 0 THEN 0.95 WHEN 1 THEN 0.8 END AS name_similarity, CASE WHEN c_custkey % 8 IN (1, 2) THEN 0.92 WHEN c_custkey % 8 = 3 THEN 0.5 END AS address_similarity,
+    CASE c_custkey % 9 WHEN 0 THEN 'AMBIGUOUS_COMMON_NAME_ADDRESS' WHEN 3 THEN 'MADE_UP_RULE'
+      ELSE 'INSUFFICIENT_EVIDENCE_REVIEW' END AS rule, (c_custkey * 37 % 100) / 100.0E0 AS p,
+    CASE c_custkey % 3 WHEN 0 THEN 0.95 WHEN 1 THEN 0.8 END AS name_similarity, CASE WHEN c_custkey % 8 IN (1, 2) THEN 0.92
+      WHEN c_custkey % 8 = 3 THEN 0.5 END AS address_similarity,
     CASE WHEN c_custkey % 9 = 0 THEN 'Missing' WHEN c_custkey % 9 < 5 THEN 'Level 1' END AS dob_level, {_SQL_FLAGS} FROM customer)"""
 _NAME = "CASE WHEN name_exact = 1 THEN {0} WHEN coalesce(name_similarity >= 0.9, false) THEN {1} WHEN given_name_exact = 1 THEN {2} WHEN family_name_exact = 1 THEN {3} END"
 _OWN_CONTACT, _OTHERS = "(coalesce(rare_email_exact, 0) = 1 OR coalesce(rare_phone_exact, 0) = 1)", "(shared_email_exact = 1 OR shared_phone_exact = 1)"
 FACTS = f"""
-  facts AS (SELECT *, list_filter([{_NAME.format("'exact name'", "'close name spelling'", "'given name'", "'family name'")}, CASE WHEN valid_dob_exact = 1 THEN 'birth date' END,
-      CASE WHEN home_address_exact = 1 THEN 'home address' WHEN coalesce(address_similarity >= 0.9, false) THEN 'similar home address' WHEN home_postcode_exact = 1 THEN 'postcode' END,
-      CASE WHEN coalesce(rare_email_exact, 0) = 1 THEN 'personal email' WHEN coalesce(rare_phone_exact, 0) = 1 THEN 'personal phone' END], lambda x: x IS NOT NULL) AS agrees,
+  facts AS (SELECT *, list_filter([{_NAME.format("'exact name'", "'close name spelling'", "'given name'", "'family name'")}, CASE
+    WHEN valid_dob_exact = 1 THEN 'birth date' END,
+      CASE WHEN home_address_exact = 1 THEN 'home address' WHEN coalesce(address_similarity >= 0.9, false) THEN 'similar home address'
+        WHEN home_postcode_exact = 1 THEN 'postcode' END,
+      CASE WHEN coalesce(rare_email_exact, 0) = 1 THEN 'personal email'
+        WHEN coalesce(rare_phone_exact, 0) = 1 THEN 'personal phone' END], lambda x: x IS NOT NULL) AS agrees,
     list_filter([{_NAME.format("NULL", "'NAME_NOT_EXACT'", "'NAME_DIFFERS'", "'NAME_DIFFERS'")},
-      CASE WHEN valid_dob_exact = 1 THEN NULL WHEN valid_dob_contradiction = 1 THEN 'DOB_CONFLICT' WHEN left_dob_is_default = 1 OR right_dob_is_default = 1 THEN 'DOB_DEFAULT' WHEN dob_level = 'Missing' THEN 'DOB_MISSING'
+      CASE WHEN valid_dob_exact = 1 THEN NULL WHEN valid_dob_contradiction = 1 THEN 'DOB_CONFLICT'
+        WHEN left_dob_is_default = 1 OR right_dob_is_default = 1 THEN 'DOB_DEFAULT' WHEN dob_level = 'Missing' THEN 'DOB_MISSING'
         WHEN dob_level IS NOT NULL THEN 'DOB_DIFFERS' ELSE 'DOB_UNCONFIRMED' END,
       CASE WHEN {_OWN_CONTACT} THEN NULL WHEN {_OTHERS} THEN 'CONTACT_NOT_PERSONAL' ELSE 'NO_PERSONAL_CONTACT' END,
-      CASE WHEN personal_email_disagrees = 1 THEN 'EMAIL_DIFFERS' END, CASE WHEN personal_phone_disagrees = 1 THEN 'PHONE_DIFFERS' END], lambda x: x IS NOT NULL) AS gaps FROM ev)"""
+      CASE WHEN personal_email_disagrees = 1 THEN 'EMAIL_DIFFERS' END, CASE
+        WHEN personal_phone_disagrees = 1 THEN 'PHONE_DIFFERS' END], lambda x: x IS NOT NULL) AS gaps FROM ev)"""
 
 
 @query(f"WITH {EVIDENCE}, {FACTS} SELECT l AS left_record_key, array_to_string(agrees, '|') AS agrees, array_to_string(gaps, '|') AS gaps FROM facts")
@@ -77,16 +85,27 @@ _CONTACT = "CASE WHEN coalesce(rare_{0}_exact, 0) = 1 THEN 'Personal {0}=Same, u
 
 
 @query(f"""WITH {EVIDENCE}, contact AS (SELECT *, {_CONTACT.format('email')} AS mail, {_CONTACT.format('phone')} AS tel FROM ev)
-  SELECT l AS left_record_key, array_to_string(list_filter([mail, tel, CASE WHEN mail IS NULL AND tel IS NULL AND rare_email_exact IS NOT NULL THEN 'Personal contact=No personal email or phone in common=against' END,
-    CASE WHEN name_exact = 1 THEN 'Name=Exact=for' WHEN name_similarity IS NOT NULL THEN concat('Name=', concat_ws(', ', concat(CAST(CAST(round(name_similarity * 100) AS INT) AS VARCHAR), '% similar'), CASE WHEN given_name_exact = 1 THEN 'given name exact' END,
-      CASE WHEN family_name_exact = 1 THEN 'family name exact' END), '=', CASE WHEN name_similarity >= 0.9 THEN 'for' ELSE 'info' END) WHEN given_name_exact = 1 THEN 'Name=Given name exact=info' WHEN family_name_exact = 1 THEN 'Name=Family name exact=info' END,
+  SELECT l AS left_record_key, array_to_string(list_filter([mail, tel, CASE
+    WHEN mail IS NULL AND tel IS NULL AND rare_email_exact IS NOT NULL THEN 'Personal contact=No personal email or phone in common=against' END,
+    CASE WHEN name_exact = 1 THEN 'Name=Exact=for' WHEN name_similarity IS NOT NULL THEN concat('Name=', concat_ws(', ',
+      concat(CAST(CAST(round(name_similarity * 100) AS INT) AS VARCHAR), '% similar'), CASE WHEN given_name_exact = 1 THEN 'given name exact' END,
+      CASE WHEN family_name_exact = 1 THEN 'family name exact' END), '=', CASE WHEN name_similarity >= 0.9 THEN 'for'
+        ELSE 'info' END) WHEN given_name_exact = 1 THEN 'Name=Given name exact=info'
+        WHEN family_name_exact = 1 THEN 'Name=Family name exact=info' END,
     CASE WHEN multilingual_name_pair = 1 THEN 'Name script=Written in different scripts=info' END,
-    CASE WHEN valid_dob_exact = 1 THEN 'Birth date=Same=for' WHEN valid_dob_contradiction = 1 THEN 'Birth date=Conflict=against' WHEN left_dob_is_default = 1 OR right_dob_is_default = 1 THEN
-      concat('Birth date=Source default on ', concat_ws(' and ', CASE WHEN left_dob_is_default = 1 THEN l END, CASE WHEN right_dob_is_default = 1 THEN r END), ', ignored=info')
-      WHEN dob_level = 'Missing' THEN 'Birth date=Missing on at least one record=info' WHEN dob_level IS NOT NULL THEN 'Birth date=Different=against' END,
-    CASE WHEN home_address_exact = 1 THEN 'Home address=Same=for' WHEN address_similarity > 0 THEN concat('Home address=', CAST(CAST(round(address_similarity * 100) AS INT) AS VARCHAR), '% similar', CASE WHEN home_postcode_exact = 1 THEN ', postcode same' ELSE '' END, '=',
+    CASE WHEN valid_dob_exact = 1 THEN 'Birth date=Same=for' WHEN valid_dob_contradiction = 1 THEN 'Birth date=Conflict=against'
+      WHEN left_dob_is_default = 1 OR right_dob_is_default = 1 THEN
+      concat('Birth date=Source default on ', concat_ws(' and ', CASE WHEN left_dob_is_default = 1 THEN l END, CASE
+        WHEN right_dob_is_default = 1 THEN r END), ', ignored=info')
+      WHEN dob_level = 'Missing' THEN 'Birth date=Missing on at least one record=info'
+        WHEN dob_level IS NOT NULL THEN 'Birth date=Different=against' END,
+    CASE WHEN home_address_exact = 1 THEN 'Home address=Same=for'
+      WHEN address_similarity > 0 THEN concat('Home address=', CAST(CAST(round(address_similarity * 100) AS INT) AS VARCHAR), '% similar', CASE
+      WHEN home_postcode_exact = 1 THEN ', postcode same' ELSE '' END, '=',
       CASE WHEN address_similarity >= 0.9 THEN 'for' ELSE 'info' END) WHEN home_postcode_exact = 1 THEN 'Home address=Postcode same=info' END,
-    CASE WHEN company_exact = 1 THEN 'Workplace=Same company, same work address (not personal evidence)=info' WHEN work_address_exact = 1 THEN 'Workplace=same work address (not personal evidence)=info' END], lambda x: x IS NOT NULL), '; ') AS checks FROM contact""")
+    CASE WHEN company_exact = 1 THEN 'Workplace=Same company, same work address (not personal evidence)=info'
+      WHEN work_address_exact = 1 THEN 'Workplace=same work address (not personal evidence)=info' END], lambda x: x IS NOT NULL), '; ') AS checks
+      FROM contact""")
 def rule_checks(spark, d):
     told = F.transform(steward.rule_checks(), lambda c: F.concat_ws("=", c["check"], c["result"], c["tone"]))
     return made_evidence(spark, d).select("left_record_key", F.array_join(told, "; ").alias("checks"))
@@ -107,13 +126,19 @@ def made_cases(spark, d) -> DataFrame:
 
 
 REASONS = f"""{EVIDENCE}, {FACTS},
-  cases AS (SELECT c_custkey AS k, concat('case', CAST(c_custkey // 6 AS VARCHAR)) AS case_id, CASE WHEN c_custkey % 30 = 0 THEN 'RESOLVED' WHEN c_custkey % 42 = 0 THEN 'DEFERRED' ELSE 'REVIEW' END AS status, c_custkey % 97 AS imported_at,
-    c_name AS search_text, CASE WHEN c_custkey % 4 = 0 THEN 'same' WHEN c_custkey % 9 = 0 THEN 'different' ELSE 'unclear' END AS lean, CAST(c_custkey % 8 AS INT) AS difference FROM customer WHERE c_custkey % 6 = 0),
-  links AS (SELECT DISTINCT concat('case', CAST(c_custkey // 6 AS VARCHAR)) AS case_id, CASE c_custkey % 4 WHEN 0 THEN 'COMPONENT_SIZE_LIMIT' WHEN 1 THEN 'COMPONENT_DOB_CONFLICT' ELSE 'COMPONENT_CANNOT_LINK' END AS code FROM customer WHERE c_custkey % 10 < 4),
+  cases AS (SELECT c_custkey AS k, concat('case', CAST(c_custkey // 6 AS VARCHAR)) AS case_id, CASE WHEN c_custkey % 30 = 0 THEN 'RESOLVED'
+    WHEN c_custkey % 42 = 0 THEN 'DEFERRED' ELSE 'REVIEW' END AS status, c_custkey % 97 AS imported_at,
+    c_name AS search_text, CASE WHEN c_custkey % 4 = 0 THEN 'same' WHEN c_custkey % 9 = 0 THEN 'different'
+      ELSE 'unclear' END AS lean, CAST(c_custkey % 8 AS INT) AS difference FROM customer WHERE c_custkey % 6 = 0),
+  links AS (SELECT DISTINCT concat('case', CAST(c_custkey // 6 AS VARCHAR)) AS case_id, CASE c_custkey % 4 WHEN 0 THEN 'COMPONENT_SIZE_LIMIT'
+    WHEN 1 THEN 'COMPONENT_DOB_CONFLICT' ELSE 'COMPONENT_CANNOT_LINK' END AS code FROM customer WHERE c_custkey % 10 < 4),
   rules AS (SELECT case_id, rule, count(*) AS n, arg_max(gaps, struct_pack(p, l, r)) AS gaps FROM facts WHERE decision = 'REVIEW' GROUP BY 1, 2),
-  said AS (SELECT case_id, CASE code WHEN 'COMPONENT_DOB_CONFLICT' THEN 1 WHEN 'COMPONENT_CANNOT_LINK' THEN 2 ELSE 3 END AS o, 0 AS n, code, CAST([] AS VARCHAR[]) AS gaps FROM links
+  said AS (SELECT case_id, CASE code WHEN 'COMPONENT_DOB_CONFLICT' THEN 1 WHEN 'COMPONENT_CANNOT_LINK' THEN 2
+    ELSE 3 END AS o, 0 AS n, code, CAST([] AS VARCHAR[]) AS gaps FROM links
     UNION ALL SELECT case_id, 9, -n, rule, gaps FROM rules),
-  codes AS (SELECT cases.case_id, CASE WHEN count(code) = 0 THEN ['UNSPECIFIED'] ELSE list_concat(list(code ORDER BY o, n, code), flatten(list(gaps ORDER BY o, n, code))) END AS codes FROM cases LEFT JOIN said ON said.case_id = cases.case_id GROUP BY 1)"""
+  codes AS (SELECT cases.case_id, CASE WHEN count(code) = 0 THEN ['UNSPECIFIED']
+    ELSE list_concat(list(code ORDER BY o, n, code), flatten(list(gaps ORDER BY o, n, code))) END AS codes FROM cases
+    LEFT JOIN said ON said.case_id = cases.case_id GROUP BY 1)"""
 
 
 def codes_of(spark, d) -> DataFrame:
@@ -130,7 +155,8 @@ _TAGS = " ".join(f"WHEN '{c}' THEN '{t}'" for c, t in (steward.GAP_TAGS | stewar
 QUEUE = f"""{REASONS},
   asked AS (SELECT case_id, min(p) AS pipeline_confidence FROM ev WHERE decision = 'REVIEW' GROUP BY 1),
   named AS (SELECT case_id, codes, list_transform(codes, lambda c: CASE c {_TAGS} ELSE 'Resolver review' END) AS t FROM codes),
-  queue AS (SELECT cases.*, pipeline_confidence, CASE WHEN pipeline_confidence IS NULL THEN 'evidence_score' ELSE 'match_probability' END AS confidence_kind, codes,
+  queue AS (SELECT cases.*, pipeline_confidence, CASE WHEN pipeline_confidence IS NULL THEN 'evidence_score'
+    ELSE 'match_probability' END AS confidence_kind, codes,
       list_filter(t, lambda x, i: list_position(t, x) = i)[1:2] AS tags
     FROM cases LEFT JOIN asked ON asked.case_id = cases.case_id LEFT JOIN named ON named.case_id = cases.case_id)"""
 
@@ -155,21 +181,26 @@ def queue_lean_counts(spark, d):
     return steward.lean_counts(queue_of(spark, d), "REVIEW")
 
 
-@query(f"""WITH {QUEUE} SELECT concat('run', CAST(max(n_nationkey) FILTER (WHERE n_nationkey = 7) AS VARCHAR)) AS source_run_id, count(*) FILTER (WHERE n_nationkey <> 7) AS archived_releases,
-  any_value((SELECT count(*) FROM queue WHERE status = 'REVIEW')) AS review_cases, any_value((SELECT count(*) FROM queue WHERE status = 'RESOLVED')) AS resolved_cases, any_value((SELECT count(*) FROM queue WHERE status = 'DEFERRED')) AS deferred_cases FROM nation""")
+@query(f"""WITH {QUEUE} SELECT concat('run', CAST(max(n_nationkey) FILTER (WHERE n_nationkey = 7) AS VARCHAR)) AS source_run_id,
+      count(*) FILTER (WHERE n_nationkey <> 7) AS archived_releases,
+  any_value((SELECT count(*) FROM queue WHERE status = 'REVIEW')) AS review_cases, any_value((SELECT count(*)
+    FROM queue WHERE status = 'RESOLVED')) AS resolved_cases, any_value((SELECT count(*) FROM queue WHERE status = 'DEFERRED')) AS deferred_cases
+    FROM nation""")
 def review_summary(spark, d):
     releases = spark.read.parquet(f"{d}/nation.parquet").select(F.concat(F.lit("run"), F.col("n_nationkey").cast("string")).alias("source_run_id"), (F.col("n_nationkey") == 7).alias("active"), F.col("n_nationkey").alias("created_at"))
     return steward.summary(made_cases(spark, d), releases)
 
 
-@query(f"""WITH {EVIDENCE}, ranked AS (SELECT case_id, l, row_number() OVER (PARTITION BY case_id ORDER BY CASE WHEN decision = 'REVIEW' THEN 0 ELSE 1 END, p, l, r) AS rank FROM ev)
+@query(f"""WITH {EVIDENCE}, ranked AS (SELECT case_id, l, row_number() OVER (PARTITION BY case_id ORDER BY CASE WHEN decision = 'REVIEW' THEN 0
+      ELSE 1 END, p, l, r) AS rank FROM ev)
   SELECT case_id, l AS left_record_key, rank FROM ranked WHERE rank <= 4""")
 def pairs_in_full(spark, d):
     return steward.full_detail(made_evidence(spark, d), 4).select("case_id", "left_record_key", F.col("rank").cast("long").alias("rank"))
 
 
 # --- checks and adapters ---------------------------------------------------------------------------------
-@query("""SELECT unnest([concat('sources: columns that look like answers: Scenario_x, truth_id'), concat('sources: ', count(*), ' rows, the manifest declares ', count(*) + 1), 'sources: required columns missing: source_system',
+@query("""SELECT unnest([concat('sources: columns that look like answers: Scenario_x, truth_id'), concat('sources: ', count(*),
+      ' rows, the manifest declares ', count(*) + 1), 'sources: required columns missing: source_system',
   'decisions: the version is not in the table''s history']) AS problem FROM customer""")
 def preflight_report(spark, d):
     c = customers(spark, d)
@@ -180,7 +211,8 @@ def preflight_report(spark, d):
     return spark.createDataFrame([(p,) for p in found], "problem string")
 
 
-@query("""SELECT * FROM (VALUES ('model', 'read', 'match_probability'), ('model', 'read', 'decision_reason'), ('model', 'read', 'bf_name_n'), ('model', 'read', 'bf_tf_adj_name_n'), ('model', 'read', 'gamma_name_n'), ('model', 'null', 'name_similarity'),
+@query("""SELECT * FROM (VALUES ('model', 'read', 'match_probability'), ('model', 'read', 'decision_reason'), ('model', 'read', 'bf_name_n'), ('model',
+      'read', 'bf_tf_adj_name_n'), ('model', 'read', 'gamma_name_n'), ('model', 'null', 'name_similarity'),
   ('rule_features', 'none', NULL)) t(profile, kind, name)""")
 def evidence_profiles(spark, d):
     profile, read, null = steward.evidence_profile(["left_record_key", "match_probability", "decision_reason", "bf_name_n", "bf_tf_adj_name_n", "gamma_name_n", "name_exact"], ("name_exact", "name_similarity", "valid_dob_exact"))
@@ -192,7 +224,9 @@ def evidence_profiles(spark, d):
 _LINE = "nullif(concat_ws(', ', {})".format(", ".join(f"nullif(trim({{0}}_{c}), '')" for c in ("address_line1", "suburb", "state", "postcode", "country"))) + ", '')"
 
 
-@query(f"""WITH {BASE} SELECT record_key, source_system, source_record_id, full_name AS name, personal_email AS email, CAST(date_of_birth AS VARCHAR) AS date_of_birth, company_name, {_LINE.format('home')} AS address, {_LINE.format('work')} AS work_address FROM contacts""")
+@query(f"""WITH {BASE} SELECT record_key, source_system, source_record_id, full_name AS name, personal_email AS email,
+      CAST(date_of_birth AS VARCHAR) AS date_of_birth, company_name, {_LINE.format('home')} AS address, {_LINE.format('work')} AS work_address
+      FROM contacts""")
 def adapted_records(spark, d):
     return steward.adapt_records(guests(spark, d)).select("record_key", "source_system", "source_record_id", "name", "email", "date_of_birth", "company_name", "address", "work_address")
 
@@ -200,9 +234,14 @@ def adapted_records(spark, d):
 _FAULTS = ("left_dob_is_default", "right_dob_is_default", "valid_dob_exact", "valid_dob_contradiction", "name_exact")
 
 
-@query(f"""WITH {EVIDENCE}, faulty AS (SELECT *, CASE WHEN k % 31 = 0 THEN 'other' ELSE '{RUN}' END AS run, CASE WHEN k % 29 = 0 THEN 2 ELSE name_exact END AS flag, CASE WHEN k % 23 = 0 THEN NULL ELSE valid_dob_exact END AS same, CASE WHEN k % 6 = 1 AND k % 4 = 1 THEN 1 ELSE left_dob_is_default END AS ld FROM ev)
-  SELECT l AS left_record_key, CASE WHEN run = 'other' THEN 'another run''s evidence' WHEN NOT l < r THEN 'keys are not canonical' WHEN flag = 2 THEN 'a flag that is neither 0 nor 1' WHEN k % 37 = 0 THEN 'a similarity that is no number' WHEN same IS NULL THEN 'flags on birth dates are missing'
-    WHEN valid_dob_contradiction = 1 AND (ld = 1 OR right_dob_is_default = 1 OR same = 1) THEN 'flags on birth dates contradict' WHEN k % 41 = 0 THEN 'no score' END AS problem FROM faulty""")
+@query(f"""WITH {EVIDENCE}, faulty AS (SELECT *, CASE WHEN k % 31 = 0 THEN 'other' ELSE '{RUN}' END AS run, CASE WHEN k % 29 = 0 THEN 2
+      ELSE name_exact END AS flag, CASE WHEN k % 23 = 0 THEN NULL ELSE valid_dob_exact END AS same, CASE WHEN k % 6 = 1 AND k % 4 = 1 THEN 1
+      ELSE left_dob_is_default END AS ld FROM ev)
+  SELECT l AS left_record_key, CASE WHEN run = 'other' THEN 'another run''s evidence' WHEN NOT l < r THEN 'keys are not canonical'
+    WHEN flag = 2 THEN 'a flag that is neither 0 nor 1' WHEN k % 37 = 0 THEN 'a similarity that is no number'
+    WHEN same IS NULL THEN 'flags on birth dates are missing'
+    WHEN valid_dob_contradiction = 1 AND (ld = 1 OR right_dob_is_default = 1 OR same = 1) THEN 'flags on birth dates contradict'
+      WHEN k % 41 = 0 THEN 'no score' END AS problem FROM faulty""")
 def pair_problems(spark, d):
     k = F.col("k")
     e = made_evidence(spark, d).withColumns({
@@ -211,9 +250,12 @@ def pair_problems(spark, d):
     return e.select("left_record_key", steward.pair_problem(_FAULTS, ("name_similarity", "address_similarity"), RUN).alias("problem"))
 
 
-@query("""WITH g AS (SELECT c_custkey AS k, CAST(c_custkey % 6 - 1 AS INT) AS gamma, CASE WHEN c_custkey % 2 = 0 THEN 'name_n' ELSE 'dob_usable' END AS comparison FROM customer)
-  SELECT k, CASE WHEN gamma = -1 THEN 'Missing' WHEN gamma = 0 THEN 'Different' WHEN comparison = 'dob_usable' THEN CASE WHEN gamma = 1 THEN 'Exact' END
-    WHEN gamma = 1 THEN 'Similar spelling (75%+ similar)' WHEN gamma = 2 THEN 'Close spelling (90%+ similar)' WHEN gamma = 3 THEN 'Exact' END AS label FROM g""")
+@query("""WITH g AS (SELECT c_custkey AS k, CAST(c_custkey % 6 - 1 AS INT) AS gamma, CASE WHEN c_custkey % 2 = 0 THEN 'name_n'
+      ELSE 'dob_usable' END AS comparison FROM customer)
+  SELECT k, CASE WHEN gamma = -1 THEN 'Missing' WHEN gamma = 0 THEN 'Different' WHEN comparison = 'dob_usable' THEN CASE
+    WHEN gamma = 1 THEN 'Exact' END
+    WHEN gamma = 1 THEN 'Similar spelling (75%+ similar)' WHEN gamma = 2 THEN 'Close spelling (90%+ similar)' WHEN gamma = 3 THEN 'Exact' END AS label
+      FROM g""")
 def level_labels(spark, d):
     comparison = F.when(F.col("k") % 2 == 0, "name_n").otherwise("dob_usable")
     return customers(spark, d).select("k", steward.level_label(comparison, (F.col("k") % 6 - 1).cast("int"))["label"].alias("label"))
@@ -228,7 +270,8 @@ def made_weights(spark, d) -> DataFrame:
 _W = ["(c_custkey * 3) % 19 - 9", "(c_custkey * 4) % 19 - 9", "(c_custkey * 5) % 19 - 9"]
 
 
-@query(f"""WITH w AS (SELECT c_custkey AS k, CAST(c_custkey % 11 - 4 AS DOUBLE) AS m, CAST({_W[0]} AS DOUBLE) AS a, CAST({_W[1]} AS DOUBLE) AS b, CAST({_W[2]} AS DOUBLE) AS c FROM customer),
+@query(f"""WITH w AS (SELECT c_custkey AS k, CAST(c_custkey % 11 - 4 AS DOUBLE) AS m, CAST({_W[0]} AS DOUBLE) AS a, CAST({_W[1]} AS DOUBLE) AS b,
+      CAST({_W[2]} AS DOUBLE) AS c FROM customer),
   scales AS (SELECT k // 6 AS cs, greatest(1.0, max(greatest(abs(a), abs(b), abs(c)))) AS scale FROM w GROUP BY 1)
   SELECT k, m - a - b - c AS prior, m - b - c AS first, m - c AS second, m AS third, scale FROM w JOIN scales ON cs = k // 6""")
 def weight_traces(spark, d):
@@ -240,19 +283,24 @@ def weight_traces(spark, d):
 # --- cases and graph links -------------------------------------------------------------------------------
 FORMED = f"""{WITH},
   own AS (SELECT component, min(record_key) AS own, max(CAST(cluster_requires_review AS INT)) = 1 AS seed, count(*) AS n FROM oper GROUP BY 1),
-  between2 AS (SELECT x.own AS a, y.own AS b, bool_or(x.seed) AS sa, bool_or(y.seed) AS sb, count(*) AS pairs, count(*) FILTER (WHERE decision = 'REVIEW') AS asked FROM raw
+  between2 AS (SELECT x.own AS a, y.own AS b, bool_or(x.seed) AS sa, bool_or(y.seed) AS sb, count(*) AS pairs,
+    count(*) FILTER (WHERE decision = 'REVIEW') AS asked FROM raw
     JOIN dec ON dec.k = raw.k AND dec.n = raw.n JOIN own x ON x.component = raw.xc JOIN own y ON y.component = raw.yc GROUP BY 1, 2),
   tie AS (SELECT a, b FROM between2 WHERE asked > 0 AND a <> b AND (sa OR sb)),
   both2 AS (SELECT a, b FROM tie UNION SELECT b, a FROM tie),
   start_nodes AS (SELECT own AS node FROM own WHERE seed UNION SELECT a FROM both2),
   roots(node, root) USING KEY (node) AS (
     SELECT node, node FROM start_nodes
-    UNION (SELECT DISTINCT ON (one.node) one.node, other.root FROM recurring.roots AS one JOIN both2 ON both2.a = one.node JOIN roots AS other ON other.node = both2.b WHERE other.root < one.root ORDER BY one.node, other.root)),
+    UNION (SELECT DISTINCT ON (one.node) one.node, other.root FROM recurring.roots AS one JOIN both2 ON both2.a = one.node
+      JOIN roots AS other ON other.node = both2.b WHERE other.root < one.root ORDER BY one.node, other.root)),
   people AS (SELECT root, record_key, customer_id FROM oper JOIN own ON own.component = oper.component JOIN roots ON node = own.own),
   counts AS (SELECT root, count(*) AS records, list(record_key ORDER BY record_key) AS keys FROM people GROUP BY 1),
-  held2 AS (SELECT x.root, sum(pairs) AS pairs, sum(asked) AS review_pairs FROM between2 JOIN roots x ON x.node = a JOIN roots y ON y.node = b WHERE x.root = y.root GROUP BY 1),
-  formed AS (SELECT counts.root, records, CAST(coalesce(pairs, 0) AS BIGINT) AS pairs, CAST(coalesce(review_pairs, 0) AS BIGINT) AS review_pairs, records > {RECORDS} OR coalesce(pairs, 0) > {PAIRS} AS oversized, keys FROM counts LEFT JOIN held2 ON held2.root = counts.root),
-  ready AS (SELECT *, CASE WHEN NOT oversized THEN concat('review-', substring(sha256(concat('{{"records":["', array_to_string(keys, '","'), '"],"run":"{RUN}"}}')), 1, 32)) END AS case_id FROM formed)"""
+  held2 AS (SELECT x.root, sum(pairs) AS pairs, sum(asked) AS review_pairs FROM between2 JOIN roots x ON x.node = a
+    JOIN roots y ON y.node = b WHERE x.root = y.root GROUP BY 1),
+  formed AS (SELECT counts.root, records, CAST(coalesce(pairs, 0) AS BIGINT) AS pairs, CAST(coalesce(review_pairs, 0) AS BIGINT) AS review_pairs,
+    records > {RECORDS} OR coalesce(pairs, 0) > {PAIRS} AS oversized, keys FROM counts LEFT JOIN held2 ON held2.root = counts.root),
+  ready AS (SELECT *, CASE WHEN NOT oversized THEN concat('review-',
+    substring(sha256(concat('{{"records":["', array_to_string(keys, '","'), '"],"run":"{RUN}"}}')), 1, 32)) END AS case_id FROM formed)"""
 
 
 def formed(spark, d) -> tuple[Made, DataFrame, DataFrame]:
@@ -277,9 +325,11 @@ def links_at_cases(spark, d) -> DataFrame:
 
 LINKED = f"""{FORMED},
   place AS (SELECT people.record_key, case_id FROM people JOIN ready ON ready.root = people.root WHERE NOT oversized),
-  late AS (SELECT people.record_key FROM people JOIN ready ON ready.root = people.root WHERE oversized UNION SELECT record_key FROM m JOIN deferred ON deferred.component = m.component),
+  late AS (SELECT people.record_key FROM people JOIN ready ON ready.root = people.root WHERE oversized UNION SELECT record_key FROM m
+    JOIN deferred ON deferred.component = m.component),
   sides AS (SELECT l AS x, r AS y, p FROM refused UNION ALL SELECT r, l, p FROM refused),
-  linked AS (SELECT h.case_id, x AS record_key, y AS other_record_key, 'COMPONENT_SIZE_LIMIT' AS reason, p AS match_probability, t.case_id AS other_case_id, y IN (SELECT record_key FROM late) AS other_deferred
+  linked AS (SELECT h.case_id, x AS record_key, y AS other_record_key, 'COMPONENT_SIZE_LIMIT' AS reason, p AS match_probability,
+    t.case_id AS other_case_id, y IN (SELECT record_key FROM late) AS other_deferred
     FROM sides JOIN place h ON h.record_key = x LEFT JOIN place t ON t.record_key = y)"""
 
 
@@ -322,9 +372,13 @@ def made_requests(spark, d) -> tuple[DataFrame, DataFrame]:
 
 
 OUTCOMES = """
-  req AS (SELECT c_custkey AS k, c_custkey // 3 % 11 AS n, concat('q', t, CAST(c_custkey AS VARCHAR)) AS request_id, concat('case', CAST(c_custkey AS VARCHAR)) AS case_id, t FROM customer, (VALUES ('a'), ('b')) v(t) WHERE c_custkey % 3 = 0 AND (t = 'a' OR c_custkey % 2 = 0)),
-  judged AS (SELECT *, CASE WHEN k % 39 = 0 AND n <> 8 THEN 'not what was confirmed' WHEN n = 3 THEN 'the case has changed' WHEN n = 4 THEN 'the evidence has changed' WHEN n = 7 THEN 'a rationale and an actor are needed' WHEN n = 8 THEN 'only a traced agent''s proposal is applied by itself'
-    WHEN n = 10 THEN 'no such action' WHEN n = 9 THEN NULL WHEN n IN (1, 2) THEN 'not every record exactly once' WHEN n = 5 THEN 'a merge has one group' WHEN n = 6 THEN 'a separation has single records' END AS refused FROM req),
+  req AS (SELECT c_custkey AS k, c_custkey // 3 % 11 AS n, concat('q', t, CAST(c_custkey AS VARCHAR)) AS request_id, concat('case',
+    CAST(c_custkey AS VARCHAR)) AS case_id, t FROM customer, (VALUES ('a'), ('b')) v(t) WHERE c_custkey % 3 = 0 AND (t = 'a' OR c_custkey % 2 = 0)),
+  judged AS (SELECT *, CASE WHEN k % 39 = 0 AND n <> 8 THEN 'not what was confirmed' WHEN n = 3 THEN 'the case has changed'
+    WHEN n = 4 THEN 'the evidence has changed' WHEN n = 7 THEN 'a rationale and an actor are needed'
+    WHEN n = 8 THEN 'only a traced agent''s proposal is applied by itself'
+    WHEN n = 10 THEN 'no such action' WHEN n = 9 THEN NULL WHEN n IN (1, 2) THEN 'not every record exactly once'
+      WHEN n = 5 THEN 'a merge has one group' WHEN n = 6 THEN 'a separation has single records' END AS refused FROM req),
   outcomes AS (SELECT *, coalesce(refused, CASE WHEN t = 'a' THEN 'applied' ELSE 'the case has changed' END) AS outcome FROM judged)"""
 
 
@@ -353,7 +407,8 @@ def decision_replay(spark, d):
     return again.join(first, "request_id").groupBy(told.alias("outcome")).agg(F.count(F.lit(1)).alias("requests"))
 
 
-@query(f"""WITH {OUTCOMES} SELECT concat('case', CAST(c_custkey AS VARCHAR)) AS case_id, CASE WHEN outcome IS NULL THEN 'REVIEW' WHEN n = 9 THEN 'DEFERRED' ELSE 'RESOLVED' END AS status, CASE WHEN outcome IS NULL THEN 1 ELSE 2 END AS version,
+@query(f"""WITH {OUTCOMES} SELECT concat('case', CAST(c_custkey AS VARCHAR)) AS case_id, CASE WHEN outcome IS NULL THEN 'REVIEW' WHEN n = 9 THEN 'DEFERRED'
+      ELSE 'RESOLVED' END AS status, CASE WHEN outcome IS NULL THEN 1 ELSE 2 END AS version,
     CASE WHEN outcome IS NULL OR n = 9 THEN 'SEPARATE' WHEN n = 0 THEN 'MERGE' ELSE 'PARTITION' END AS shape
   FROM customer LEFT JOIN outcomes ON k = c_custkey AND outcome = 'applied' WHERE c_custkey % 3 = 0""")
 def case_states(spark, d):
@@ -369,10 +424,14 @@ def archive_digest(spark, d):
 
 
 # --- smaller things --------------------------------------------------------------------------------------
-@query("""WITH s AS (SELECT c_custkey // 4 AS cs, count(*) AS records, count(DISTINCT c_nationkey) > 1 AS emails, count(DISTINCT c_mktsegment) > 1 AS birth_dates, count(DISTINCT c_custkey % 2) > 1 AS first_names FROM customer GROUP BY 1),
-  g AS (SELECT c_custkey // 4 AS cs, max(CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END) = 1 AS cannot_link, max(CASE WHEN c_custkey % 5 = 1 THEN 1 ELSE 0 END) = 1 AS graph_dob FROM customer WHERE c_custkey % 5 < 2 GROUP BY 1),
-  r AS (SELECT c_custkey // 4 AS cs, min((c_custkey % 100) / 100.0E0) AS lowest_probability, count(*) AS review_pairs FROM customer WHERE c_custkey % 3 = 0 GROUP BY 1)
-  SELECT s.cs AS case_id, records, emails, birth_dates, first_names, cannot_link, graph_dob, lowest_probability, review_pairs FROM s LEFT JOIN g ON g.cs = s.cs LEFT JOIN r ON r.cs = s.cs""")
+@query("""WITH s AS (SELECT c_custkey // 4 AS cs, count(*) AS records, count(DISTINCT c_nationkey) > 1 AS emails,
+      count(DISTINCT c_mktsegment) > 1 AS birth_dates, count(DISTINCT c_custkey % 2) > 1 AS first_names FROM customer GROUP BY 1),
+  g AS (SELECT c_custkey // 4 AS cs, max(CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END) = 1 AS cannot_link, max(CASE WHEN c_custkey % 5 = 1 THEN 1
+    ELSE 0 END) = 1 AS graph_dob FROM customer WHERE c_custkey % 5 < 2 GROUP BY 1),
+  r AS (SELECT c_custkey // 4 AS cs, min((c_custkey % 100) / 100.0E0) AS lowest_probability, count(*) AS review_pairs
+    FROM customer WHERE c_custkey % 3 = 0 GROUP BY 1)
+  SELECT s.cs AS case_id, records, emails, birth_dates, first_names, cannot_link, graph_dob, lowest_probability, review_pairs FROM s
+    LEFT JOIN g ON g.cs = s.cs LEFT JOIN r ON r.cs = s.cs""")
 def case_signals(spark, d):
     k = F.col("k")
     c = customers(spark, d)
@@ -381,8 +440,10 @@ def case_signals(spark, d):
     return review.case_signals(members, refused, c.where("k % 3 = 0").select(record(k).alias("left_record_key"), ((k % 100) / 100).alias("match_probability")))
 
 
-@query("""SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN '[masked]' END AS full_name, c_mktsegment, CASE WHEN p > 0.999 THEN '>99.9%' ELSE concat(printf('%.1f', p * 100), '%') END AS said,
-  CASE WHEN c_custkey % 3 > 0 THEN 'compared' WHEN c_custkey % 2 = 0 OR c_custkey % 5 = 0 THEN 'excluded' ELSE 'no value' END AS fact FROM (SELECT *, CASE WHEN c_custkey % 10 = 0 THEN 0.9995E0 ELSE (c_custkey % 100) / 100.0E0 END AS p FROM customer) x""")
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN '[masked]' END AS full_name, c_mktsegment, CASE WHEN p > 0.999 THEN '>99.9%'
+      ELSE concat(printf('%.1f', p * 100), '%') END AS said,
+  CASE WHEN c_custkey % 3 > 0 THEN 'compared' WHEN c_custkey % 2 = 0 OR c_custkey % 5 = 0 THEN 'excluded' ELSE 'no value' END AS fact
+    FROM (SELECT *, CASE WHEN c_custkey % 10 = 0 THEN 0.9995E0 ELSE (c_custkey % 100) / 100.0E0 END AS p FROM customer) x""")
 def shown_to_stewards(spark, d):
     """Masked fields, probabilities as text, and why a comparison is missing."""
     k = F.col("c_custkey")
@@ -391,7 +452,8 @@ def shown_to_stewards(spark, d):
     return review.masked(c).withColumns({"said": review.probability_text(p), "fact": review.record_facts(k % 2 == 0, F.when(k % 5 == 0, True), (k % 3 - 1).cast("int"))})
 
 
-@query("""SELECT c_custkey // 3 AS g, CASE WHEN bool_or(c_custkey % 3 = 1 AND c_custkey % 4 <> 0) THEN max(c_name) FILTER (WHERE c_custkey % 3 = 1) ELSE arg_min(c_name, c_custkey) FILTER (WHERE c_custkey % 4 <> 0) END AS picked FROM customer GROUP BY 1""")
+@query("""SELECT c_custkey // 3 AS g, CASE WHEN bool_or(c_custkey % 3 = 1 AND c_custkey % 4 <> 0) THEN max(c_name) FILTER (WHERE c_custkey % 3 = 1)
+      ELSE arg_min(c_name, c_custkey) FILTER (WHERE c_custkey % 4 <> 0) END AS picked FROM customer GROUP BY 1""")
 def golden_default(spark, d):
     k = F.col("k")
     held = customers(spark, d).groupBy(F.floor(k / 3).alias("g")).agg(F.array_sort(F.collect_list(F.struct("k", F.struct(record(k).alias("record_key"), F.when(k % 4 != 0, F.col("c_name")).otherwise(" ").alias("value")).alias("m")))).alias("x"))

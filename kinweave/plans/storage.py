@@ -74,8 +74,10 @@ def source_views(spark, d):
     return out
 
 
-@query("""SELECT * FROM (VALUES ('exists before', 0), ('exists after', 1), ('latest', 1), ('versions', 2), ('frozen again', 0), ('other content refused', 1), ('wrong count refused', 1), ('missing version refused', 1)) a(what, n)
-  UNION ALL SELECT 'rows of 0', count(*) FROM customer UNION ALL SELECT 'rows of 1', count(*) FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT 'published', count(*) FROM customer""")
+@query("""SELECT * FROM (VALUES ('exists before', 0), ('exists after', 1), ('latest', 1), ('versions', 2), ('frozen again', 0), ('other content refused', 1),
+      ('wrong count refused', 1), ('missing version refused', 1)) a(what, n)
+  UNION ALL SELECT 'rows of 0', count(*) FROM customer UNION ALL SELECT 'rows of 1', count(*) FROM customer WHERE c_custkey % 2 = 0
+    UNION ALL SELECT 'published', count(*) FROM customer""")
 def versioned_tables(spark, d):
     """Existence, history, time travel, freezing and pinned publication."""
     v, c = tables.Versions(spark, shared_path(spark, "versions")), t(spark, d, "customer")
@@ -169,7 +171,8 @@ def outbox_log(spark, d):
 
 
 # --- checks --------------------------------------------------------------------------------------------
-@query("""SELECT * FROM (VALUES ('gate holds', true), ('gate fails', false), ('no rows are none', true), ('keys are unique', true), ('keys repeat', false)) a(what, passed)
+@query("""SELECT * FROM (VALUES ('gate holds', true), ('gate fails', false), ('no rows are none', true), ('keys are unique', true), ('keys repeat',
+      false)) a(what, passed)
   UNION ALL SELECT 'truth-like columns', list_contains(['truth_id', 'Expected_x'], 'truth_id')""")
 def assertions(spark, d):
     """Checks that stop a query, checks that stop a run, emptiness."""
@@ -190,7 +193,8 @@ def assertions(spark, d):
     return spark.createDataFrame(rows, "what string, passed boolean")
 
 
-@query("""SELECT * FROM (VALUES ('sound', NULL), ('negative', 'links: version -1'), ('other schema', 'several schemas: [''a.b'', ''a.c'']'), ('unknown', 'more: unexpected, missing or malformed')) t(name, problem)""")
+@query("""SELECT * FROM (VALUES ('sound', NULL), ('negative', 'links: version -1'), ('other schema', 'several schemas: [''a.b'', ''a.c'']'), ('unknown',
+      'more: unexpected, missing or malformed')) t(name, problem)""")
 def manifest_problems(spark, d):
     entry = lambda **k: {"table": "a.b.links", "version": 1, "row_count": 2} | k
     allowed = {"links": r"a\.[bc]\.[a-z]+", "maps": r"a\.[bc]\.[a-z]+"}
@@ -205,7 +209,9 @@ def manifest_problems(spark, d):
     return spark.createDataFrame(rows, "name string, problem string")
 
 
-@query("""SELECT * FROM (VALUES ('first', 'import'), ('again', 'replay'), ('next', 'replace'), ('changed', 'this release was imported with other content'), ('archived', 'this release is archived'), ('foreign', 'the queue holds cases of a release that is not active'), ('two', 'several active releases')) t(name, outcome)""")
+@query("""SELECT * FROM (VALUES ('first', 'import'), ('again', 'replay'), ('next', 'replace'), ('changed', 'this release was imported with other content'),
+      ('archived', 'this release is archived'), ('foreign', 'the queue holds cases of a release that is not active'), ('two',
+      'several active releases')) t(name, outcome)""")
 def import_outcomes(spark, d):
     schema = "source_run_id string, content_digest string, active boolean"
     ledger = lambda *rows: spark.createDataFrame(list(rows), schema)
@@ -221,7 +227,9 @@ def import_outcomes(spark, d):
     return spark.createDataFrame(rows, "name string, outcome string")
 
 
-@query("""SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN 'empty group' WHEN 1 THEN 'not every record exactly once' WHEN 2 THEN 'a merge has one group' WHEN 3 THEN 'a separation has single records' WHEN 4 THEN 'a partition has between one and all' WHEN 5 THEN 'no such action' END AS problem FROM customer""")
+@query("""SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN 'empty group' WHEN 1 THEN 'not every record exactly once' WHEN 2 THEN 'a merge has one group'
+      WHEN 3 THEN 'a separation has single records' WHEN 4 THEN 'a partition has between one and all' WHEN 5 THEN 'no such action' END AS problem
+      FROM customer""")
 def partition_problems(spark, d):
     n = F.col("c_custkey") % 7
     one, two = F.array(F.array(F.lit("a"), F.lit("b"), F.lit("c"))), F.array(F.array(F.lit("a")), F.array(F.lit("b"), F.lit("c")))
@@ -231,8 +239,10 @@ def partition_problems(spark, d):
 
 
 # --- functions -------------------------------------------------------------------------------------------
-@query("""SELECT o_orderkey, CAST(CAST(day + to_months(CAST(o_orderkey % 30 AS INT)) AS DATE) AS VARCHAR) AS later, date_diff('day', DATE '1995-01-31', day) AS days, CAST(make_date(year(day), month(day), 1) AS VARCHAR) AS first,
-  date_diff('year', day, DATE '2025-12-31') AS years, CAST(last_day(day) AS VARCHAR) AS last, strftime(day, '%Y-%m') AS month FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders) o""")
+@query("""SELECT o_orderkey, CAST(CAST(day + to_months(CAST(o_orderkey % 30 AS INT)) AS DATE) AS VARCHAR) AS later, date_diff('day', DATE '1995-01-31',
+      day) AS days, CAST(make_date(year(day), month(day), 1) AS VARCHAR) AS first,
+  date_diff('year', day, DATE '2025-12-31') AS years, CAST(last_day(day) AS VARCHAR) AS last, strftime(day, '%Y-%m') AS month
+    FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders) o""")
 def date_functions(spark, d):
     day = F.col("o_orderdate").cast("date")
     years = F.floor(F.months_between(F.lit("2025-12-31").cast("date"), day) / 12).cast("long")
@@ -241,7 +251,8 @@ def date_functions(spark, d):
                     F.make_date(F.year(day), F.month(day), F.lit(1)).cast("string").alias("first"), years.alias("years"), F.last_day(day).cast("string").alias("last"), F.date_format(day, "yyyy-MM").alias("month"))
 
 
-@query("""SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY 1 HAVING count(*) FILTER (WHERE c_acctbal < 0) * 10 > count(*) AND min(c_acctbal) < 0""")
+@query("""SELECT c_nationkey, count(*) AS customers FROM customer
+      GROUP BY 1 HAVING count(*) FILTER (WHERE c_acctbal < 0) * 10 > count(*) AND min(c_acctbal) < 0""")
 def having_conditional(spark, d):
     return t(spark, d, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"), F.count_if(F.col("c_acctbal") < 0).alias("low"), F.min("c_acctbal").alias("least")).where("low * 10 > customers AND least < 0").select("c_nationkey", "customers")
 
@@ -251,7 +262,8 @@ def listed_options(spark, d):
     return t(spark, d, "nation").groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("names"), F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM orders) x WHERE rn = 1""")
+@query("""SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn
+      FROM orders) x WHERE rn = 1""")
 def latest_rows(spark, d):
     return profile.latest(t(spark, d, "orders"), ["o_custkey"], [F.desc("o_orderdate"), "o_orderkey"]).select("o_custkey", "o_orderkey")
 
@@ -290,7 +302,8 @@ def date_variant_cases(spark, d):
     return frame.select("l", "r", variants.dob_variant(a, b).alias("variant"), F.when(a.isNotNull() & b.isNotNull(), variants.dob_compatible(a, b)).alias("compatible"))
 
 
-@query("""SELECT a.n_name AS l, b.n_name AS r, abs(length(a.n_name) - length(b.n_name)) <= 8 AND damerau_levenshtein(lower(a.n_name), lower(b.n_name)) <= 1 AS near FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey""")
+@query("""SELECT a.n_name AS l, b.n_name AS r, abs(length(a.n_name) - length(b.n_name)) <= 8
+      AND damerau_levenshtein(lower(a.n_name), lower(b.n_name)) <= 1 AS near FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey""")
 def typo_pairs(spark, d):
     """Pairs of names that one slip parts at most; for so few the two edit distances with swaps agree."""
     n = t(spark, d, "nation")
