@@ -28,6 +28,8 @@ BLOCK = 4096
 #: Points are golden-ratio multiples as 60-bit fractions: two limbs of 30 bits, exact for up to 2**32 slots.
 POINT_BITS, LIMB = 60, 1 << 30
 GOLDEN_HIGH, GOLDEN_LOW = 663608942, 401909697
+#: Bits of the hash that orders documents.
+HASH_BITS = 60
 #: Rows that a running sum takes at once, as a power of two.
 RUN_BITS = 9
 
@@ -120,10 +122,11 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weight
     whole = sources.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
     few = sources.select(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("void"), "src", F.col("words").alias("source_size"), "target")
     named = sized.withColumn("s", F.coalesce("source", F.lit(""))).withColumn("void", F.col("source").isNull())
-    h = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    bits = run_bits(rows)
+    # 60 bits of a SHA-256, which SQL can repeat
+    h = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string")), 256), 1, HASH_BITS // 4), 16, 10).cast("long")
+    bits = min(HASH_BITS, run_bits(rows))
     keyed = spread_join(named.withColumn("h", h), few, ["s", "void"], ["h"]).drop("s", "void")
-    keyed = keyed.withColumn("run", F.shiftright("h", 64 - bits) + (1 << bits - 1) if bits else F.lit(0).cast("long"))
+    keyed = keyed.withColumn("run", F.shiftright("h", HASH_BITS - bits) if bits else F.lit(0).cast("long"))
     tie = ["h", "doc_id", "size"]
     placed = running(keyed, ["src"], "run", tie, "size", "start", bits).withColumn("start", F.coalesce("start", F.lit(0)))
     placed = placed.withColumn("rn", F.row_number().over(Window.partitionBy("src", "run").orderBy(*tie, "start")))

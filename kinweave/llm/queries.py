@@ -103,8 +103,51 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SPACE_SQL = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
-#: What a learned model, a 64-bit hash, a hashed order or a spaced seed decides has no SQL and is held against brute force in the tests.
+
+def _given(url_rules) -> tuple[str, str]:
+    """CASE branches for the given rules, the longest first: (rule, verdict)."""
+    fits = [(f"(host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}')", h + p, v) for h, p, v in sorted(url_rules, key=lambda r: -len(r[0] + r[1]))]
+    return tuple(" ".join(f"WHEN {c} THEN '{x[i]}'" for c, *x in fits) for i in (0, 1))
+
+
+_RULE, _VERDICT = _given((("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")))
+_AFTER = "CASE WHEN instr(u, '://') > 0 THEN substring(u, instr(u, '://') + 3) ELSE '' END"
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+#: What a learned model, a 64-bit hash or a spaced seed decides has no SQL and is held against brute force in the tests.
 ORACLE_SQL: dict[str, str] = {
+    # every token combination of every page is counted: a page has few tokens
+    "op3_urlfilter": f"""
+        WITH raw AS (SELECT page_id, coalesce(url, '') AS u FROM pages),
+        cut AS (SELECT page_id, u, translate(regexp_extract({_AFTER}, '^([^/?#]*)', 1), {_LOWER}) AS host, regexp_extract({_AFTER}, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(u, '\\?([^#]*)', 1) AS q FROM raw),
+        marked AS (SELECT *, list_sort(list_distinct(list_concat(
+            list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'h:' || x), list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: 'p:' || x),
+            list_transform(list_filter(string_split(q, '&'), lambda x: x <> ''), lambda x: 'q:' || split_part(x, '=', 1))))) AS t FROM cut),
+        marks AS (SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+        baskets AS (SELECT row_number() OVER () AS b, t, bad FROM marked JOIN marks ON doc_id = page_id),
+        n AS (SELECT ceil(0.005 * count(*)) AS least FROM baskets),
+        parts AS (SELECT bad, list_filter(t, lambda x, i: (m >> (i - 1)) & 1 = 1) AS items FROM (SELECT t, bad, unnest(range(1, (1 << len(t))::BIGINT)) AS m FROM baskets) x),
+        counts AS (SELECT items, count(*) AS whole, sum(bad) AS hit FROM parts GROUP BY 1),
+        rules AS (SELECT items FROM counts, n WHERE hit >= least AND hit / whole >= 0.8),
+        urls AS (SELECT DISTINCT u, t FROM marked WHERE u <> ''),
+        caught AS (SELECT DISTINCT u FROM (SELECT u, list_filter(t, lambda x, i: (m >> (i - 1)) & 1 = 1) AS items FROM (SELECT u, t, unnest(range(1, (1 << len(t))::BIGINT)) AS m FROM urls) x) y JOIN rules USING (items)),
+        told AS (SELECT page_id, host, path, CASE {_RULE} END AS rule, CASE {_VERDICT} END AS given, caught.u IS NOT NULL AS met FROM marked LEFT JOIN caught ON caught.u = marked.u)
+        SELECT page_id, host, path, rule, coalesce(given, CASE WHEN met THEN 'block' ELSE 'allow' END) AS verdict FROM told""",
+    "op4_mixing": f"""
+        WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORDS}')), 0)::BIGINT AS size, CAST(concat('0x', substring(sha256(concat('7|', CAST(doc_id AS VARCHAR))), 1, 15)) AS BIGINT) AS h FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS words FROM d GROUP BY 1),
+        w AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS src FROM s),
+        b AS (SELECT *, CAST(1 + src % 3 AS DOUBLE) AS weight, 3.0E0 * words AS bound FROM w),
+        t AS (SELECT sum(words)::DOUBLE AS total, sum(weight) AS whole FROM b),
+        c AS (SELECT b.*, bound / weight < (total - coalesce(sum(bound) OVER earlier, 0)) / (whole - coalesce(sum(weight) OVER earlier, 0)) AS cut
+          FROM b, t WINDOW earlier AS (ORDER BY bound / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        g AS (SELECT greatest(0, any_value(total) - coalesce(sum(bound) FILTER (WHERE cut), 0)) / nullif(any_value(whole) - coalesce(sum(weight) FILTER (WHERE cut), 0), 0) AS level FROM c, t),
+        goals AS (SELECT source, words, CASE WHEN cut THEN bound ELSE least(bound, coalesce(level, 0) * weight) END AS target FROM c, g),
+        placed AS (SELECT d.*, words, target, round_even(target, 0)::BIGINT AS owed,
+            coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM d JOIN goals ON goals.source IS NOT DISTINCT FROM d.source)
+        SELECT doc_id, source, size, words AS source_size, target,
+          (greatest(0, least(start + size, owed) - start) + greatest(0, least(start + words + size, owed) - start - words) + greatest(0, least(start + 2 * words + size, owed) - start - 2 * words))::BIGINT AS taken FROM placed""",
     "op2_warc": """
         WITH payloads AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
         tops AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM payloads),

@@ -275,7 +275,7 @@ def test_schedule_by_hand(spark, monkeypatch, runs):
 def taken_by_hand(spark, rows, told):
     """Words taken of (doc_id, text, source) rows: each source's documents in hashed order, again and again up to its target,
     which ``told`` has but for rounding."""
-    order = {r.doc_id: r.h for r in spark.createDataFrame([(i,) for i in {r[0] for r in rows}], "doc_id long").select("doc_id", F.xxhash64(F.lit(7), "doc_id").alias("h")).collect()}
+    order = {i: hashlib.sha256(("7" if i is None else f"7|{i}").encode()).hexdigest()[:15] for i in {r[0] for r in rows}}
     sized = [(order[i], i if i is not None else -(10**9), len(WORD.findall(t or "")), i, s) for i, t, s in rows]
     held = defaultdict(list)
     for x in sorted(sized, key=lambda x: x[:3]):
@@ -740,6 +740,16 @@ def test_preference_pairs_gather_turns(spark):
     assert [r.chosen[a:b] for a, b in r.chosen_spans] == ["good<|im_end|>\n"] and [r.rejected[a:b] for a, b in r.rejected_spans] == ["bad<|im_end|>\n", "é" * 50000 + "<|im_end|>\n"]
 
 
+def test_preference_turns_with_repeated_numbers(spark):
+    """Turns of one number are a multiset: in any order they agree, and a repeated one is one more."""
+    rows = [(2, 0, "user", "hi"), (2, 0, "user", "again"), (3, 0, "user", "again"), (3, 0, "user", "hi"), (2, 1, "assistant", "x"), (2, 1, "assistant", "x"), (3, 1, "assistant", "x"), (2, 2, None, None), (3, 2, "", "")]
+    pairs = spark.createDataFrame([(1, 2, 3)], "pair_id long, chosen long, rejected long")
+    got = Counter((r.part, r.turn, r.rendered, r.prefix_end) for r in chatfmt.preference_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), pairs).collect())
+    said = lambda role, text: f"<|im_start|>{role}\n{text}<|im_end|>\n"
+    assert got == Counter({("prompt", 0, said("user", "hi"), 1): 1, ("prompt", 0, said("user", "again"), 1): 1, ("chosen", 1, said("assistant", "x"), 1): 2, ("rejected", 1, said("assistant", "x"), 1): 1,
+                           ("chosen", 2, said("", ""), 1): 1, ("rejected", 2, said("", ""), 1): 1})
+
+
 def test_fingerprints_by_hand(spark, docs):
     """The query's fingerprints, bit by bit."""
     import xxhash
@@ -808,13 +818,13 @@ def test_preference_turns(spark):
     assert chatfmt.preference_turns(frame.where("false"), pairs).collect() == []
 
 
-@pytest.mark.parametrize("name", ["op2_warc", "op6_preference", "op7_linededup"])
+@pytest.mark.parametrize("name", ["op2_warc", "op3_urlfilter", "op4_mixing", "op6_preference", "op7_linededup"])
 def test_queries_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     from kinweave.llm.queries import ORACLE_SQL, QUERIES
 
     con = duckdb.connect()
-    for source in ("documents", "pages", "conversations"):
+    for source in ("documents", "pages", "conversations", "labels"):
         con.execute(f"CREATE VIEW {source} AS FROM read_parquet('{SF}/{source}.parquet')")
     expect = con.execute(ORACLE_SQL[name])
     names = [c[0] for c in expect.description]
