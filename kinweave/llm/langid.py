@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.tokens import PUNCTUATION, REMEMBER
+from kinweave.llm.tokens import PUNCTUATION
 
 #: Hashed feature weights as a power of two; the model's size doesn't depend on the input.
 BITS = 16
@@ -36,6 +36,8 @@ LANGUAGES = 256
 FIT_CHARS = 20_000
 #: Words of a fitted sentence; a longer one teaches as several.
 CHAIN = 128
+#: Words that a worker remembers the scores of, and words scored at once; both bound its memory, the results don't depend on them.
+TAGGED, AT_ONCE = 1 << 17, 100_000
 #: Words of a stretch. A longer sentence is scored in stretches side by side, with exact messages passed between them.
 STRETCH = 128
 
@@ -239,13 +241,13 @@ class Tagger:
 
     def __init__(self, model: Model):
         self.model, k = model, len(model.labels)
-        self.scores = np.zeros((REMEMBER, k), np.float32)
+        self.scores = np.zeros((TAGGED, k), np.float32)
         self.tokens: dict[str, int] = {}
         self.words: dict[str, int] = {}
         # codes: 2 * word + 1 at the end of a sentence; no word: -1 or, at an end, -2
 
     def _learn(self, tokens: list[str]) -> None:
-        if len(self.words) + len(tokens) >= REMEMBER or len(self.tokens) + len(tokens) >= 2 * REMEMBER:
+        if len(self.words) + len(tokens) >= TAGGED or len(self.tokens) + len(tokens) >= 2 * TAGGED:
             self.tokens.clear()
             self.words.clear()
         first, fresh = len(self.words), []
@@ -271,7 +273,7 @@ class Tagger:
             self._learn(tokens)
             return np.fromiter(map(self.tokens.__getitem__, tokens), np.int64, len(tokens))
 
-    def marginals(self, texts: list[str | None], block: int = REMEMBER // 4) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def marginals(self, texts: list[str | None], block: int = TAGGED // 4) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per group of texts: (marginals, labels x words; the number of words of each text)."""
         k = len(self.model.labels)
         scores, lengths, counts, size = [], [], [], 0
@@ -293,7 +295,7 @@ class Tagger:
                 lengths.append(np.array([run]))
             counts.append(own)
             size += own
-            if size >= 400_000:
+            if size >= AT_ONCE:
                 yield self._run(scores, lengths, k), np.array(counts)
                 scores, lengths, counts, size = [], [], [], 0
         if counts:
