@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.llm.tokens import Remember, plain_hash
-from kinweave.operators.skew import spread_join
+from kinweave.operators.skew import bounded, spread_join
 from kinweave.runtime import materialize
 
 #: 1: the token counts, 0: it is ignored.
@@ -222,5 +222,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without those that overlap a test item. Rows with a null id stay."""
-    gone = contaminated(docs, benchmark, id_col, **options).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    gone = materialize(contaminated(docs, benchmark, id_col, **options).select(F.col("doc_id").alias(id_col)).distinct(), "contaminated")
+    return docs.join(bounded(gone), id_col, "left_anti")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.operators.components import connected_components
-from kinweave.operators.skew import spread_join
+from kinweave.operators.skew import bounded, spread_join
 from kinweave.runtime import materialize
 
 BITS = 64
@@ -41,15 +41,18 @@ BITS = 64
 CHUNK = 1 << 15
 #: Fingerprints of a bucket's block; a larger bucket is compared block by block.
 BLOCK = 1024
-#: Cost of shuffling one index or probe row, and of verifying one pair, in the planner.
-ROW_COST, PAIR_COST = 1.0, 0.01
+#: Cost of shuffling one index or probe row, and of verifying one pair, in the planner: 1.4 ns a pair and 5 to 8 us a row, sort and hand-over to Python
+#: in them, were measured.
+ROW_COST, PAIR_COST = 1.0, 0.0002
+#: Rows compared at once with a block; their distances fit a processor's cache.
+SLICE = 32
 #: Shingles of a block of a candidate group; a larger group is compared block by block.
 SET_BLOCK = 1 << 19
 #: Texts whose sets of five-word shingles are 0.8 similar. Candidates: bits of the fingerprint, further fingerprints, bits
 #: of all of them (at 0.8 similarity 29 of 192 are expected, with a deviation of 5).
 #: ``searches``: fingerprints whose near values propose candidates. One finds about 0.95 of the pairs of just 0.8 (9.7 of 64 bits
 #: are expected to differ, with a deviation of 2.9), two nearly all.
-SIMILAR = {"shingle": 5, "max_distance": 14, "checks": 2, "max_total": 48, "block": 1 << 14, "similarity": 0.8, "searches": 2}
+SIMILAR = {"shingle": 5, "max_distance": 14, "checks": 2, "max_total": 48, "block": 1 << 16, "similarity": 0.8, "searches": 2}
 
 
 def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
@@ -199,8 +202,8 @@ def within(chance: np.ndarray, covariance: np.ndarray, t: int) -> float:
     return float(sum(math.comb(w, k) * math.exp(beta(k + a, w - k + b) - beta(a, b)) for k in range(t + 1)))
 
 
-def allocate(costs: list[list[float]], budget: int) -> tuple[float, list[int]]:
-    """Thresholds of least total cost. ``costs[i][t + 1]`` is the cost of threshold t (-1: unused); the t + 1 sum to ``budget``."""
+def allocate(costs: list[list[float]], budget: int) -> tuple[float, list[int]] | None:
+    """Thresholds of least total cost. ``costs[i][t + 1]`` is the cost of threshold t (-1: unused); the t + 1 sum to ``budget``. None if none do."""
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
     for row in costs:
         nxt: dict[int, tuple[float, list[int]]] = {}
@@ -209,11 +212,11 @@ def allocate(costs: list[list[float]], budget: int) -> tuple[float, list[int]]:
                 if used + k not in nxt or cost + c < nxt[used + k][0]:
                     nxt[used + k] = (cost + c, [*chosen, k - 1])
         best = nxt
-    return best[budget]
+    return best.get(budget)
 
 
-def plan(n: int, together: np.ndarray, max_distance: int) -> list[tuple[list[int], int]]:
-    """``(bits, threshold)`` of the partitions in use.
+def plan(n: int, together: np.ndarray, max_distance: int, block: int = BLOCK) -> list[tuple[list[int], int]]:
+    """``(bits, threshold)`` of the partitions in use. Rows of a bucket beyond ``block`` are copied, which counts.
 
     The thresholds t of m partitions satisfy sum(t + 1) = max_distance + 1, which is the
     generalised pigeonhole bound: were every partition off by more than its t, the whole
@@ -221,16 +224,21 @@ def plan(n: int, together: np.ndarray, max_distance: int) -> list[tuple[list[int
     """
     chance, covariance = differing(together, n)
     best: tuple[float, list[tuple[list[int], int]]] | None = None
-    for m in range(2, max_distance + 2) if max_distance else [2]:
+    for m in range(2, min(BITS, max_distance + 1) + 1) if max_distance else [2]:
         groups = group_bits(together, n, m)
         costs = []
         for g in groups:
             row = [0.0]
-            for t in range(max_distance + 1):
+            alike = within(chance[g], covariance[np.ix_(g, g)], 0)
+            for t in range(min(max_distance + 1, len(g))):
                 probes = 1 + sum(math.comb(len(g), k) for k in range(1, t + 1)) / 2
-                row.append(n * probes * ROW_COST + n * n / 2 * within(chance[g], covariance[np.ix_(g, g)], t) * PAIR_COST)
+                copies = max(1.0, n * probes * alike / block)
+                row.append(n * probes * copies * ROW_COST + n * n / 2 * within(chance[g], covariance[np.ix_(g, g)], t) * PAIR_COST)
             costs.append(row)
-        cost, thresholds = allocate(costs, max_distance + 1)
+        found = allocate(costs, max_distance + 1)
+        if found is None:
+            continue
+        cost, thresholds = found
         if best is None or cost < best[0]:
             best = cost, [(g, t) for g, t in zip(groups, thresholds, strict=True) if t >= 0]
     return best[1]
@@ -307,13 +315,18 @@ def _verify(max_distance: int, names: list[str], max_total: int | None):
             else:
                 for start in at:
                     rows = np.arange(start, start + s)
-                    held = rows[~probe[rows]]
-                    for lo in range(0, len(held), 256):
-                        part = held[lo : lo + 256]
-                        near = np.bitwise_count(fp[part][:, None] ^ fp[rows][None, :]) <= max_distance
-                        i, j = np.nonzero(near)
-                        near[i, j] = surely(part[i], rows[j])
-                        yield span(near, rep[part], rep[rows])
+                    held, asking = rows[~probe[rows]], rows[probe[rows]]
+                    for lo in range(0, len(held), SLICE):
+                        part, there = held[lo : lo + SLICE], np.concatenate([held[lo:], asking])  # each two rows of the index meet once
+                        near = np.bitwise_count(fp[part][:, None] ^ fp[there][None, :]) <= max_distance
+                        found = np.flatnonzero(near)
+                        i, j = found // len(there), found % len(there)
+                        sure = surely(part[i], there[j])
+                        if len(found) <= 4 * len(there):  # few links: as they are
+                            yield rep[part[i[sure]]], rep[there[j[sure]]]
+                        else:
+                            near[i[~sure], j[~sure]] = False
+                            yield span(near, rep[part], rep[there])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -347,7 +360,7 @@ def near_links(distinct: DataFrame, max_distance: int = 3, block: int = BLOCK, m
     With ``max_total``, rows are ``(fp, c1, ..., rep)`` and links must also differ in at most so many bits of all fingerprints.
     """
     n, together = bit_statistics(distinct)
-    parts = plan(n, together, max_distance)
+    parts = plan(n, together, max_distance, block)
     names = [c for c in distinct.columns if c != "rep"]
     entries = distinct.select(*names, "rep").mapInArrow(_entries(parts, names), "key long, " + ", ".join(f"{c} long" for c in names) + ", rep long, probe boolean")
     large = entries.groupBy("key").count().where(F.col("count") > block).select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
@@ -410,16 +423,17 @@ def similar_links(docs: DataFrame, groups: DataFrame, similarity: float, id_col:
         return pa.table({"src": src, "dst": dst})
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    held = rows.join(groups, F.col("id") == F.col("node")).select("component", "id", "t")
+    held = rows.join(bounded(materialize(groups, "groups")), F.col("id") == F.col("node")).select("component", "id", "t")
     held = materialize(held.mapInArrow(sets, "component long, id long, n long, set array<long>").where("n > 0"), "sets")
     large = held.groupBy("component").agg(F.sum("n").alias("n")).where(F.col("n") > block).select("component", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     dealt = (
-        held.join(large, "component", "left")
+        held.join(bounded(materialize(large, "large-groups")), "component", "left")
         .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("own <> other OR blocks = 1")
         .select("component", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "id", "set"))
-    return dealt.groupBy("component", "b1", "b2").applyInArrow(links, "src long, dst long")
+    # dealt by all three, or a group's blocks would come to one task
+    return dealt.repartition("component", "b1", "b2").groupBy("component", "b1", "b2").applyInArrow(links, "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_distance: int = 3,
@@ -461,5 +475,5 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Groups are those of ``near_duplicates`` with ``options``; without any, of ``SIMILAR`` texts.
     """
     groups = near_duplicates(docs, id_col, text_col, **(options or SIMILAR))
-    gone = groups.where("id <> component").select(F.col("id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    gone = materialize(groups.where("id <> component").select(F.col("id").alias(id_col)).distinct(), "near-copies")
+    return docs.join(bounded(gone), id_col, "left_anti")
