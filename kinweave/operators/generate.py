@@ -53,14 +53,15 @@ def unique_emails(people: DataFrame, key: str, local: str, domain: str, second:
     """``email`` and ``bumped`` (whether the first choice was taken).
 
     Four choices in turn: ``local``; ``second``; ``fallback`` with a number of three digits by hash; ``fallback`` without
-    dots and with the key. Of those who choose the same, whoever had it before keeps it, else the smallest key; the others go on.
+    dots and with the key; where even that is taken, a plus goes before the key (local parts have none). Of those who choose the same, whoever had it before keeps it, else the smallest key; the others go on.
     ``second`` defaults to the local part with two digits by hash, ``fallback`` to the local part.
     """
     spun = lambda name, n: spin(seed, F.lit(name), key) % n
     base = F.col(fallback) if fallback else F.col(local)
     choices = [
         F.col(second) if second else F.concat(F.col(local), (10 + spun("second", 90)).cast("string")),
-        F.concat(base, (100 + spun("tail", 900)).cast("string")), F.concat(F.replace(base, F.lit("."), F.lit("")), F.col(key).cast("string"))]
+        F.concat(base, (100 + spun("tail", 900)).cast("string")), F.concat(F.replace(base, F.lit("."), F.lit("")), F.col(key).cast("string")),
+        F.concat(F.replace(base, F.lit("."), F.lit("")), F.lit("+"), F.col(key).cast("string"))]
     at = lambda c: F.concat(c, F.lit("@"), F.col(domain))
     out = people.withColumn("email", at(F.col(local))).withColumn("__held", F.lit(0))
     for i, choice in enumerate(choices):

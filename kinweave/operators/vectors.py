@@ -125,9 +125,9 @@ class CellIndex:
         rows = self._rows(rows)
         self.size = rows.count()
         sample = rows.where(F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(1 << 20)) < min(1 << 20, -(-(FIT_VECTORS << 20) // max(1, self.size)))).toArrow().sort_by("id")
-        x = np.array(sample.column("v").to_pylist(), np.float32).reshape(sample.num_rows, -1)
+        x = np.array(sample.column("v").to_pylist() or [[]], np.float32)[: sample.num_rows]
         k = min(MAX_CELLS, max(1, len(x)), cells or max(1, round(self.size**0.5)))
-        centres = x[np.linspace(0, len(x) - 1, k).astype(int)] if len(x) else np.zeros((1, 1), np.float32)
+        centres = x[np.linspace(0, len(x) - 1, k).astype(int)] if len(x) else x  # no rows, no cells
         for _ in range(rounds if len(x) else 0):
             near = (x @ centres.T).argmax(axis=1)
             sums = np.zeros_like(centres)
@@ -145,8 +145,10 @@ class CellIndex:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
+                if not b.num_rows or not len(centres.value):
+                    continue
                 x = np.array(b.column(1).to_pylist(), np.float32).reshape(b.num_rows, -1)
-                near = np.argsort(-(x @ centres.value.T), axis=1, kind="stable")[:, :cells] if b.num_rows else np.zeros((0, 1), int)
+                near = np.argsort(-(x @ centres.value.T), axis=1, kind="stable")[:, :cells]
                 at = np.repeat(np.arange(b.num_rows), near.shape[1])
                 yield pa.record_batch([pa.array(near.ravel().astype(np.int64)), b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at))], ["cell", "id", "v"])
 

@@ -294,9 +294,10 @@ def asof_attribute(spark, d):
   two AS (SELECT *, CASE WHEN ok1 THEN e1 ELSE concat(second_choice, '@', dm) END AS e2 FROM one),
   kept2 AS (SELECT *, row_number() OVER (PARTITION BY e2 ORDER BY CASE WHEN ok1 THEN 0 ELSE 1 END, k) = 1 AS ok2 FROM two),
   three AS (SELECT *, CASE WHEN ok2 THEN e2 ELSE concat(third, CAST(tail AS VARCHAR), '@', dm) END AS e3 FROM kept2),
-  kept3 AS (SELECT *, row_number() OVER (PARTITION BY e3 ORDER BY CASE WHEN ok2 THEN 0 ELSE 1 END, k) = 1 AS ok3 FROM three)
-  SELECT k AS c_custkey, CASE WHEN ok3 THEN e3 ELSE concat(replace(third, '.', ''), CAST(k AS VARCHAR), '@', dm) END AS email, NOT ok1 AS bumped
-    FROM kept3""")
+  kept3 AS (SELECT *, row_number() OVER (PARTITION BY e3 ORDER BY CASE WHEN ok2 THEN 0 ELSE 1 END, k) = 1 AS ok3 FROM three),
+  four AS (SELECT *, CASE WHEN ok3 THEN e3 ELSE concat(replace(third, '.', ''), CAST(k AS VARCHAR), '@', dm) END AS e4 FROM kept3),
+  kept4 AS (SELECT *, row_number() OVER (PARTITION BY e4 ORDER BY CASE WHEN ok3 THEN 0 ELSE 1 END, k) = 1 AS ok4 FROM four)
+  SELECT k AS c_custkey, CASE WHEN ok4 THEN e4 ELSE concat(replace(third, '.', ''), '+', CAST(k AS VARCHAR), '@', dm) END AS email, NOT ok1 AS bumped FROM kept4""")
 def unique_email(spark, d):
     segment, nation = F.lower("c_mktsegment"), F.col("c_nationkey")
     c = t(spark, d, "customer").select(

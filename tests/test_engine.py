@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kinweave.functions import text as norm
 from kinweave.functions.variants import dob_variant, family_variant, given_variant, osa
-from kinweave.operators import graph, matching, review, tables
+from kinweave.operators import generate, golden, graph, matching, population, profile, publication, release, review, skew, steward, tables, vectors
 from kinweave.operators.components import connected_components
 from kinweave.sources.guests import truth_like
 from kinweave.sources.reference import read_reference, render, statements
@@ -54,8 +54,12 @@ def test_osa_values():
     assert [osa("ca", "abc"), osa("ab", "ba"), osa("", "xy")] == [3, 1, 2]
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_components(spark, seed):
+@pytest.mark.parametrize("seed", range(4))
+def test_components(spark, seed, monkeypatch):
+    """Round by round, and with the rest joined by a task."""
+    from kinweave.operators import components
+
+    monkeypatch.setattr(components, "FINISH", (0, 0, 20, 1 << 14)[seed])
     rng = random.Random(seed)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(40)]
     parent = {}
@@ -216,3 +220,259 @@ def test_entry_module():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 60
+
+
+# --- joins on hot keys -----------------------------------------------------------------------------------
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_spread_joins_are_joins(spark, how):
+    rows = [(None if i % 9 == 0 else 7 if i % 2 else i, i) for i in range(3000)] + [(7, 5)] * 40
+    many = spark.createDataFrame(rows, "k long, id long")
+    few = spark.createDataFrame([(7, "hot"), (7, "twice"), (8, "x"), (None, "null")], "k long, v string")
+    plain = sorted(map(str, many.join(few, "k", how).collect()))
+    assert sorted(map(str, skew.spread_join(many, few, ["k"], ["id"], how).select("k", "id", "v").collect())) == plain
+    assert sorted(map(str, skew.spread_join(many, few, ["k"], ["id"], how, counted=many).select("k", "id", "v").collect())) == plain
+    assert skew.spread_join(many.where("false"), few, ["k"], ["id"], how).collect() == []
+    # the hot key's rows are dealt over more than one task
+    plain_joins = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in plain_joins}
+    try:
+        for k, v in plain_joins.items():
+            spark.conf.set(k, v)
+        dealt = skew.spread_join(many, few, ["k"], ["id"]).where("k = 7 AND v = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(dealt) > 1
+
+
+def test_a_hub_is_dealt_over_tasks(spark, monkeypatch):
+    from kinweave.operators import components
+
+    monkeypatch.setattr(components, "FINISH", 0)
+    edges = spark.createDataFrame([(0, i) for i in range(1, 3000)] + [(i, 9000) for i in range(5000, 8000)], "src long, dst long")
+    got = {r.node: r.component for r in connected_components(edges).collect()}
+    assert set(got.values()) == {0, 5000} and len(got) == 3000 + 3001
+
+
+def test_clusters_must_name_a_shared_folder():
+    from kinweave import runtime
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            master = "spark://somewhere:7077"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        runtime.shared_dir(Session())
+
+
+# --- refusals --------------------------------------------------------------------------------------------
+def test_date_pairs_are_counted_like_listed_ones(spark):
+    rng = random.Random(3)
+    days = [dt.date(rng.choice((1980, 1981)), rng.randint(1, 12), rng.randint(1, 28)) for _ in range(60)] + [dt.date(1980, 3, 4), dt.date(1980, 4, 3)]
+    base = spark.createDataFrame([(str(i), "n", "g", "f", d if i % 7 else None, f"m{i % 2}", None) for i, d in enumerate(days)], "record_key string, name_n string, given_key string, family_name_n string, dob_usable date, email_n string, phone_n string")
+    expect = {}
+    for m in ("m0", "m1"):
+        own = sorted({r.dob_usable for r in base.where(F.col("email_n") == m).collect() if r.dob_usable})
+        expect[m] = sum(not (a.year == b.year and a.month == b.day and a.day == b.month) for i, a in enumerate(own) for b in own[i + 1 :])
+    assert {r.value: r.incompatible_dob_pairs for r in profile.prevalence(base).collect()} == expect
+
+
+def test_emails_are_unique(spark):
+    people = spark.createDataFrame([(1, "ann"), (2, "ann"), (3, "ann2"), (4, "ann"), (5, "ann")] + [(i, "bob") for i in range(10, 400)], "k long, l string").withColumn("dm", F.lit("x"))
+    got = generate.unique_emails(people, "k", "l", "dm").collect()
+    assert len({r.email for r in got}) == len(got) and {r.k: r.email for r in got}[1] == "ann@x" and {r.k: r.email for r in got}[3] == "ann2@x" and [r.bumped for r in got if r.k in (1, 3)] == [False, False]
+
+
+def test_survivorship_rules_are_refused(spark):
+    rules = lambda *rows: spark.createDataFrame(list(rows), "field string, ordering string")
+    with pytest.raises(ValueError, match="several"):
+        golden.survivorship_rules(rules(("full_name", "recent"), ("full_name", "recent")), spark)
+    with pytest.raises(ValueError, match="neither"):
+        golden.survivorship_rules(rules(("full_name", "oldest")), spark)
+    told = {r.field: r.ordering for r in golden.survivorship_rules(rules(("full_name", "recent")), spark).collect()}
+    assert told["full_name"] == "recent" and told["given_name"] == "priority" and set(told) == set(golden.FIELDS)
+
+
+def test_survivors_by_priority_and_by_time(spark):
+    when = dt.datetime
+    rows = [("c", "a", "pos", when(2024, 1, 1), 40, f, "old") for f in ("full_name", "work_email")] + [("c", "b", "sevenrooms", when(2020, 1, 1), 10, f, "first") for f in ("full_name", "work_email")] + [("c", "d", "pos", None, 5, "work_email", "never")]
+    frame = spark.createDataFrame(rows, "customer_id string, record_key string, source_system string, source_updated_at timestamp, source_priority int, field string, value string")
+    assert {r.field: r.value for r in golden.survivors(frame, golden.survivorship_rules(None, spark)).collect()} == {"full_name": "first", "work_email": "old"}
+
+
+def test_events_with_problems_are_refused(spark):
+    schema = "event_id string, source_run_id string, case_id string, applied_case_version long, action string, content_digest string, memberships array<struct<record_key:string,customer_id:string>>"
+    event = lambda e, case, v, d="x", rec="r1": (e, "run", case, v, "MERGE", d, [(rec, "c")])
+    fine = [event("e1", "a", 1), event("e1", "a", 1), event("e2", "a", 2), event("e3", "b", 1, rec="r2")]
+    assert {(r.record_key, r.event_id) for r in review.checked_overrides(spark.createDataFrame(fine, schema)).collect()} == {("r1", "e2"), ("r2", "e3")}
+    for more, problem in ((event("e1", "a", 1, "y"), "other content"), (event("e9", "a", 2), "case version"), (event("e9", "c", 1), "several cases")):
+        with pytest.raises(ValueError, match=problem):
+            review.checked_overrides(spark.createDataFrame([*fine, more], schema))
+    other = [("e9", "run2", "a", 9, "MERGE", "x", [("r1", "z")])]  # another release's case of the same name
+    assert review.checked_overrides(spark.createDataFrame(fine + other, schema)).count() == 3
+
+
+def test_exported_events_must_be_sound(spark):
+    schema = "event_id string, case_id string, source_run_id string, base_case_version int, applied_case_version int, actor string, mode string, proposal struct<proposal_id:string,case_id:string,case_version:int,action:string,groups:array<array<string>>>"
+    make = lambda action, groups, case="c", base=1, applied=2: ("e", "c", "run", base, applied, "me", "manual", ("p", case, base, action, groups))
+    good = publication.export_events(spark.createDataFrame([make("MERGE", [["b", "a"]])], schema)).first()
+    again = publication.export_events(spark.createDataFrame([make("MERGE", [["a", "b"]])], schema)).first()
+    import hashlib
+
+    assert good.memberships == again.memberships and good.content_digest == again.content_digest
+    assert good.memberships[0].customer_id == "steward-" + hashlib.sha256(b'["run",["a","b"]]').hexdigest()
+    for bad, problem in ((make("FLIP", [["a"]]), "no such action"), (make("MERGE", [["a"]], case="d"), "another case"), (make("MERGE", [["a"]], applied=3), "versions"), (make("MERGE", [["a"], []]), "empty group"), (make("MERGE", [["a", "a"]]), "twice"),
+                         (make("MERGE", [["a"], ["b"]]), "one group"), (make("SEPARATE", [["a", "b"]]), "single records"), (make("PARTITION", [["a"], ["b"]]), "several groups")):
+        with pytest.raises(Exception, match=problem):
+            publication.export_events(spark.createDataFrame([bad], schema)).collect()
+
+
+def test_reviewed_links_must_add_up(spark):
+    links = spark.createDataFrame([("a", "x", None, None), ("b", None, "k", "DEFERRED_OVERSIZED")], "record_key string, steward_decision_id string, deferred_case_key string, review_scope string")
+    publication.prove(links, 2, 1, 1, 1)
+    with pytest.raises(ValueError):
+        publication.prove(links, 3, 1, 1, 1)
+    wrong = spark.createDataFrame([("a", "x", "k", "DEFERRED_OVERSIZED")], links.schema)  # deferred and yet resolved
+    with pytest.raises(ValueError):
+        publication.prove(wrong, 1, 1, 1, 1)
+
+
+def test_golden_fields_must_come_from_their_records(spark):
+    over = spark.createDataFrame([("run", "r1", "g", "case", "e1", 2)], "source_run_id string, record_key string, customer_id string, case_id string, event_id string, applied_case_version int")
+    sources = spark.createDataFrame([("r1", "pos", "1", "Ann"), ("r2", "pos", "2", "Bob")], "record_key string, source_system string, source_record_id string, name string")
+    choice = lambda value="Ann", rec="r1", guest="g": spark.createDataFrame([("run", guest, "case", "name", value, rec, "e1")], "source_run_id string, guest_identity string, case_id string, field_name string, field_value string, chosen_record_key string, decision_id string")
+    assert publication.reviewed_fields(choice(), over, sources).first().source_record_id == "1"
+    for bad, problem in ((choice("Eve"), "not its source"), (choice("Bob", "r2"), "not its guest"), (choice(guest="h"), "not its guest")):
+        with pytest.raises(Exception, match=problem):
+            publication.reviewed_fields(bad, over, sources).collect()
+
+
+def test_releases_are_frozen_whole(spark, tmp_path):
+    store = tables.Versions(spark, f"file://{tmp_path}")
+    own = {t: spark.createDataFrame([(t, 1)], "a string, b int") for t in release.FROZEN}
+    names = release.freeze_release(store, own, "run-1")
+    assert names["candidate_pairs"] == "frozen_candidate_pairs_run_1" and release.freeze_release(store, own, "run-1") == names
+    with pytest.raises(ValueError):
+        release.freeze_release(store, own | {"customer_mapping": own["customer_mapping"].withColumn("b", F.lit(2))}, "run-1")
+    with pytest.raises(ValueError, match="other tables"):
+        release.freeze_release(store, {k: v for k, v in own.items() if k != "pair_features"}, "run-2")
+    decisions = spark.createDataFrame([("v1",), ("v2",)], "resolver_version string")
+    with pytest.raises(ValueError):
+        release.resolver_of(decisions)
+    cases = spark.createDataFrame([("a", "a", 3, 2, False)], "component string, case_component string, records long, pairs long, deferred boolean")
+    with pytest.raises(ValueError, match="sources"):
+        release.manifest({"sources": ("s", 0, decisions), "mappings": ("m", 0, decisions.limit(1))}, cases, "run", "v1")
+
+
+def test_versions_survive_a_write_that_broke_off(spark, tmp_path):
+    v = tables.Versions(spark, f"file://{tmp_path}")
+    n = spark.read.parquet(f"{SF}/nation.parquet")
+    with pytest.raises(Exception, match="broke"):
+        v.write("n", n.withColumn("x", F.raise_error(F.lit("broke"))))
+    assert not v.exists("n") and v.write("n", n) == 0 and v.read("n").count() == 25
+    assert v.rewrite("n", lambda t: tables.delete_where(t, F.col("n_nationkey") > 4)) == 1 and v.read("n").count() == 5 and v.read("n", 0).count() == 25
+    with pytest.raises(ValueError):
+        v.publish("m", n, 24)
+    assert not v.exists("m")
+
+
+def test_merges_take_null_keys_as_equal(spark):
+    target = spark.createDataFrame([(None, "a"), (1, "b")], "k long, v string")
+    source = spark.createDataFrame([(None, "c"), (1, "b"), (2, "z"), (2, "d")], "k long, v string")
+    assert {(r.k, r.v, r.change) for r in tables.sync(target, source.where("v <> 'z'"), ["k"], ["v"]).collect()} == {(None, "c", "UPDATE"), (1, "b", "SAME"), (2, "d", "INSERT")}
+    assert {(r.k, r.v) for r in tables.insert_only(target, source, ["k"]).collect()} == {(None, "a"), (1, "b"), (2, "d")}
+
+
+def test_components_that_no_task_can_hold_are_refused(spark):
+    records = spark.createDataFrame([(x, None) for x in "abcd"], "record_key string, dob_usable date")
+    edges = spark.createDataFrame([("a", "b", 0.9), ("b", "c", 0.8), ("c", "d", 0.7)], "left_record_key string, right_record_key string, score double")
+    none = edges.where("false").select("left_record_key", "right_record_key")
+    assert graph.constrained_components(records, edges, none)[0].count() == 4
+    for bound in ({"max_records": 3}, {"max_edges": 2}):
+        with pytest.raises(ValueError, match="beyond"):
+            graph.constrained_components(records, edges, none, **bound)
+
+
+def test_withheld_links_must_have_a_place(spark):
+    links = spark.createDataFrame([("a", "b", "COMPONENT_SIZE_LIMIT", 0.9), ("x", "y", "COMPONENT_SIZE_LIMIT", 0.8)], "left_record_key string, right_record_key string, reason string, match_probability double")
+    members = spark.createDataFrame([("a", "c1"), ("b", "c2")], "record_key string, case_id string")
+    with pytest.raises(ValueError, match="1 withheld"):
+        steward.graph_links(links, members, members.where("false").select("record_key"))
+    late = spark.createDataFrame([("y",)], "record_key string")
+    assert {(r.case_id, r.other_case_id) for r in steward.graph_links(links, members, late).collect()} == {("c1", "c2"), ("c2", "c1")}
+
+
+def test_cases_are_not_formed_from_a_wrong_mapping(spark):
+    schema = "resolution_run_id string, record_key string, customer_id string, provisional_customer_id string, cluster_requires_review boolean"
+    pairs = spark.createDataFrame([("a", "b", "REVIEW")], "left_record_key string, right_record_key string, decision string")
+    good = [("run", "a", "c1", "p1", True), ("run", "b", "c2", None, False)]
+    cases, members = steward.form_cases("run", spark.createDataFrame(good, schema), pairs)
+    assert (cases.count(), members.count()) == (1, 2)
+    for bad in ([*good, ("other", "d", "c", "p", False)], [*good, good[0]], [("run", "a", "", "p", False)], [("run", "a", "c", None, True)], [("run", "a", "c", "p", None)]):
+        with pytest.raises(ValueError, match="mapping"):
+            steward.form_cases("run", spark.createDataFrame(bad, schema), pairs)
+
+
+def test_archives_and_resets_are_proved(spark):
+    live = spark.createDataFrame([(i, f"v{i}") for i in range(50)], "k long, v string")
+    steward.prove_copy(live, live.orderBy(F.desc("k")), ["k"])
+    for other in (live.where("k > 0"), live.withColumn("v", F.when(F.col("k") == 3, "x").otherwise(F.col("v")))):
+        with pytest.raises(ValueError):
+            steward.prove_copy(live, other, ["k"])
+    digest = steward.content_digest(live, ["k"]).first().digest
+    assert steward.reset_states(live, live, digest, ["k"])[1].isEmpty()
+    with pytest.raises(ValueError):
+        steward.reset_states(live.where("k > 0"), live, digest, ["k"])
+
+
+def test_sources_with_answers_are_refused(spark):
+    from kinweave.sources.guests import SCHEMA, snapshot
+
+    guests = spark.createDataFrame([], SCHEMA)
+    assert snapshot(guests).columns[-2:] == ["record_key", "source_hash"]
+    with pytest.raises(ValueError, match="answers"):
+        snapshot(guests.withColumn("truth_person_id", F.lit(1)))
+    with pytest.raises(ValueError, match="missing"):
+        snapshot(guests.drop("company_name"))
+    with pytest.raises(ValueError, match="may not"):
+        steward.adapt_records(guests.withColumn("scenario_id", F.lit(1)))
+
+
+def test_exports_and_pages_are_checked(spark, tmp_path):
+    n = spark.read.parquet(f"{SF}/nation.parquet")
+    assert sum(r.rows for r in tables.export_ordered(n, ["n_nationkey"], f"file://{tmp_path}/a", 25, 10).collect()) == 25
+    for keys, rows in ((["n_nationkey"], 24), (["n_regionkey"], 25)):
+        with pytest.raises(ValueError):
+            tables.export_ordered(n, keys, f"file://{tmp_path}/b{rows}{keys[0]}", rows)
+    with pytest.raises(ValueError):
+        list(tables.pages(n.withColumn("n_nationkey", F.when(F.col("n_nationkey") > 3, F.col("n_nationkey"))), ["n_nationkey"], 10, 25))
+
+
+def test_cell_index(spark):
+    rng = random.Random(1)
+    rows = [(i, [rng.gauss(0, 1) + 6 * (i % 5 == j) for j in range(5)]) for i in range(400)]
+    unit = [(i, [x / sum(y * y for y in v) ** 0.5 for x in v]) for i, v in rows] + [(None, [1.0] * 5), (999, None)]
+    frame = spark.createDataFrame(unit, "vec_id long, embedding array<float>")
+    index, exact = vectors.CellIndex(frame, 10), vectors.knn(frame, frame, 5)
+    assert vectors.recall(index.search(frame, 5, 10), exact) == 1.0 and vectors.recall(index.search(frame, 5, 4, block=16), exact) > 0.9
+    assert index.agrees(frame) and not index.agrees(frame.where("vec_id > 0"))
+    empty = vectors.CellIndex(frame.where("false"))
+    assert empty.search(frame, 5, 1).collect() == [] and index.search(frame.where("false"), 5, 2).collect() == []
+
+
+def test_names_in_other_writing():
+    assert len(population.INITIALS) * len(population.VOWELS) * len(population.FINALS) == 11172
+
+
+def test_all_named_functions_have_a_query_or_a_test():
+    """Each engine query has SQL, but those that a learned model or a random sample decides."""
+    import __spark_entry__ as e
+
+    without = {n for n in e.queries() if n not in e.oracle_sql() and not n.startswith("op") and n != "pipeline"}
+    assert without <= {"learned_model", "name_variants", "constrained_components", "persistent_ids", "steward_cases"}
