@@ -43,9 +43,13 @@ def blocking_keys(base: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
         F.explode(F.array(*[F.struct(F.lit(r).alias("reason"), c.alias("block")) for r, c in keys().items()])).alias("k"),
     ).select("record_key", "source_system", "family_name_n", "initial", "k.reason", "k.block").where("block IS NOT NULL")
     part = lambda size, by: F.when(F.col(size) <= max_block, F.col("block")).when(F.col(by).isNotNull(), F.concat("block", F.lit("#"), F.col(by)))
-    first = _sized(entries, "original_block_size").withColumn("block", part("original_block_size", "family_name_n")).where("block IS NOT NULL")
-    second = _sized(first, "refined").withColumn("block", part("refined", "initial")).where("block IS NOT NULL")
-    return _sized(second.drop("refined", "family_name_n", "initial"), "block_size").select("record_key", "source_system", "reason", "block", "original_block_size", "block_size")
+    first = materialize(_sized(entries, "original_block_size"), "sized-blocks")
+    # what is within the bound stays as it is; a name with the mark in it might be met by a parted block, and goes along
+    plain = (F.col("original_block_size") <= max_block) & ~F.contains("block", F.lit("#"))
+    parted = first.where(~plain).withColumn("block", part("original_block_size", "family_name_n")).where("block IS NOT NULL")
+    second = _sized(parted, "refined").withColumn("block", part("refined", "initial")).where("block IS NOT NULL")
+    columns = ["record_key", "source_system", "reason", "block", "original_block_size", "block_size"]
+    return first.where(plain).withColumn("block_size", F.col("original_block_size")).select(*columns).union(_sized(second.drop("refined", "family_name_n", "initial"), "block_size").select(*columns))
 
 
 def candidate_hits(blocks: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.functions import text as norm
-from kinweave.runtime import materialize
 
 # Role mailboxes, sentinel bounds, source priorities.
 ROLE_MAILBOX = "^(events|info|bookings|reservations|admin|office|reception)@"
@@ -30,10 +29,11 @@ def normalize(snapshot: DataFrame, unicode: bool = True) -> DataFrame:
 
 def default_dates(contacts: DataFrame, least: int = SENTINEL_RECORDS, share: float = SENTINEL_SHARE) -> DataFrame:
     """``(source_system, date_of_birth, records, share)`` of dates a system fills in by default."""
-    counts = contacts.where("date_of_birth IS NOT NULL").groupBy("source_system", "date_of_birth").agg(F.count(F.lit(1)).alias("records"))
-    totals = contacts.groupBy("source_system").agg(F.count(F.lit(1)).alias("source_rows"))
-    rated = counts.join(totals, "source_system").withColumn("share", F.col("records") / F.greatest("source_rows", F.lit(1)))
-    return rated.where((F.col("records") >= least) & (F.col("share") >= share)).drop("source_rows")
+    counts = contacts.groupBy("source_system", "date_of_birth").agg(F.count(F.lit(1)).alias("records"))
+    # of a system there are no more rows now than there are days
+    total = F.sum("records").over(Window.partitionBy("source_system"))
+    rated = counts.withColumn("share", F.col("records") / F.greatest(total, F.lit(1))).where("date_of_birth IS NOT NULL AND source_system IS NOT NULL")
+    return rated.where((F.col("records") >= least) & (F.col("share") >= share))
 
 
 def usable_dates(contacts: DataFrame, defaults: DataFrame, today: str) -> DataFrame:
@@ -86,9 +86,8 @@ def contact_records(base: DataFrame, prevalent: DataFrame) -> DataFrame:
 
 
 def resolved_base(snapshot: DataFrame, today: str = "2026-01-01", unicode: bool = True) -> DataFrame:
-    """Snapshot to ``contact_base``. The normalised snapshot becomes a stage table, so that the source is read once."""
-    contacts = materialize(normalize(snapshot, unicode), "contacts")
-    return usable_dates(contacts, default_dates(contacts), today)
+    """Snapshot to ``contact_base``. The snapshot is scanned twice, once for two of its columns."""
+    return usable_dates(normalize(snapshot, unicode), default_dates(snapshot), today)
 
 
 def latest(df: DataFrame, keys: list[str], order: list) -> DataFrame:

@@ -121,7 +121,9 @@ compared AS (SELECT l, r, {', '.join(_gamma(c, cuts) for c, cuts in matching.COM
 
 # --- stages --------------------------------------------------------------------------------------
 def guests(spark: SparkSession, d: str) -> DataFrame:
-    return snapshot(guest_records(spark, d))
+    """The snapshot; out of fewer files than there are cores it is dealt out, or some would stay idle."""
+    records, cores = guest_records(spark, d), spark.sparkContext.defaultParallelism
+    return snapshot(records.repartition(cores, "source_record_id") if len(records.inputFiles()) < cores else records)
 
 
 def base_of(spark, d) -> DataFrame:
