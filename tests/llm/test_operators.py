@@ -831,3 +831,11 @@ def test_queries_against_sql(spark, name):
     got = QUERIES[name](spark, SF)
     assert sorted(names) == sorted(got.columns)
     assert Counter(tuple(r) for r in got.select(*names).collect()) == Counter(expect.fetchall())
+
+
+def test_secrets_long_slugs_of_words_do_not_take_the_stack(spark):
+    from kinweave.llm.secrets import find_secrets
+
+    texts = {1: "a-b-" * 30_000 + " token=abcdefghijkl", 2: "ab-cd/" * 20_000, 3: "abCd" * 30_000, 4: "x" + "/usr-Abc" * 9_000 + "-12/"}
+    got = {r.id: [(s.kind, s.start, s.end) for s in r.spans] for r in find_secrets(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == {1: [("assign", 120_001, 120_019)], 2: [], 3: [], 4: []}
