@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from kinweave.functions import text as norm
 from kinweave.functions.variants import dob_variant, family_variant, given_variant, osa
-from kinweave.operators import generate, golden, graph, matching, population, profile, publication, release, review, skew, steward, tables, vectors
+from kinweave.operators import blocking, generate, golden, graph, matching, population, profile, publication, release, review, skew, steward, tables, vectors
 from kinweave.operators.components import connected_components
+from kinweave.plans.queries import QUERIES
+from kinweave.runtime import materialize
 from kinweave.sources.guests import truth_like
 from kinweave.sources.reference import read_reference, render, statements
 
@@ -476,3 +478,25 @@ def test_all_named_functions_have_a_query_or_a_test():
 
     without = {n for n in e.queries() if n not in e.oracle_sql() and not n.startswith("op") and n != "pipeline"}
     assert without <= {"learned_model", "name_variants", "constrained_components", "persistent_ids", "steward_cases"}
+
+
+def test_pairs_meet_once_without_a_shuffle_of_pairs(spark):
+    """Oversized blocks that are parted, keys with the parting mark, nulls and equal record keys: the same pairs as from listed blocks."""
+    rng = random.Random(4)
+    some = lambda *v: rng.choice(v)
+    rows = [(f"k{i:04d}", some("pos", "payments"), some("A b", "Bc", "Cd", None), some("X", "Y", "Z#1", None), some("e1", "e1#X", f"m{i // 3}", None), some(f"61{i // 2}", None), some("w", None), None,
+             some("1 st", "2 st#Y", "2 st"), None, some("2000", None), some("1990-01-02", None)) for i in range(400)]
+    made = lambda rows: materialize(spark.createDataFrame(rows, "record_key string, source_system string, given_name_n string, family_name_n string, email_n string, phone_n string, work_email_n string, "
+                                                          "work_phone_n string, home_address_n string, work_address_n string, postcode_n string, dob_usable string"), "given")
+    told = lambda df: sorted(tuple(map(str, r)) for r in df.select("left_record_key", "right_record_key", "candidate_reasons", "candidate_routes", "candidate_scopes").collect())
+    for base in (made(rows), made(rows + [("k0001", "pos", *rows[7][2:]), rows[9]])):
+        assert told(blocking.met_pairs(base, max_block=20)) == told(blocking.candidate_pairs(blocking.candidate_hits(blocking.blocking_keys(base, 20), 20)))
+        found = blocking.met_pairs(base, ["email_n"], max_block=20).join(base.select(F.col("record_key").alias("left_record_key"), F.col("email_n").alias("e")), "left_record_key")
+        assert base.count() > 400 or found.where("NOT e <=> email_n_l").isEmpty()
+
+
+def test_candidate_queries_shuffle_records_only(spark):
+    for name in ("candidate_hits", "candidate_pairs_union", "pair_features"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        dealt = [line for line in plan.splitlines() if "Exchange" in line]
+        assert dealt and not any("record_key" in line.split("[plan_id")[0] for line in dealt), (name, dealt)
