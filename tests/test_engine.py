@@ -500,3 +500,14 @@ def test_candidate_queries_shuffle_records_only(spark):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
         dealt = [line for line in plan.splitlines() if "Exchange" in line]
         assert dealt and not any("record_key" in line.split("[plan_id")[0] for line in dealt), (name, dealt)
+
+
+def test_stage_tables_hold_what_is_read(spark, monkeypatch):
+    from kinweave.plans import resolution
+
+    kept = {}
+    monkeypatch.setattr(resolution, "materialize", lambda df, label: kept.setdefault(label, df) and materialize(df, label))
+    for name, columns in (("golden_profile", resolution.GOLDEN), ("er_flagship_decisions", resolution.RESOLVED)):
+        kept.clear()
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert set(kept["base"].columns) == set(columns) and dict(kept["base"].dtypes)["record_key"] == "binary"
