@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.tokens import Remember, plain_hash
+from kinweave.llm.tokens import Remember, each, lean, plain_hash
 from kinweave.operators.skew import bounded, spread_join
 from kinweave.runtime import materialize
 
@@ -109,7 +109,7 @@ def _segments(shared, bits: int, lengths: list[int], around: int):
 
         for b in batches:
             out: list[list] = [[], [], [], [], []]
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            for doc, text in zip(b.column(0).to_pylist(), each(b.column(1).cast(pa.binary())), strict=True):
                 raw = (text or b"").split()
                 tokens = np.fromiter(map(known.__getitem__, raw), _U, len(raw))
                 tokens = tokens[tokens != 0]
@@ -206,7 +206,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     bits, words = bit_map(test)
     shared = spark.sparkContext.broadcast(words)  # 2 ** MAP_BITS bits at most, whatever the benchmark
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("t"))
-    segments = materialize(rows.mapInArrow(_segments(shared, bits, lengths, longest), "doc long, seg int, tokens array<long>, hashes array<long>, at array<int>"), "segments")
+    segments = materialize(rows.mapInArrow(lean(_segments(shared, bits, lengths, longest)), "doc long, seg int, tokens array<long>, hashes array<long>, at array<int>"), "segments")
     hits = segments.select("doc", "seg", F.explode(F.arrays_zip("hashes", "at")).alias("x")).select("doc", "seg", F.col("x.hashes").alias("hash"), F.col("x.at").alias("doc_at"))
     laid = spread_join(hits, test, ["hash"], ["doc", "seg", "doc_at"])
     laid = materialize(laid.select("doc", "seg", "item", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct(), "laid-items")
@@ -214,7 +214,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         spread_join(laid, tests.select("item", F.col("tokens").alias("theirs")), ["item"], ["doc", "seg", "shift"])
         .join(segments.select("doc", "seg", F.col("tokens").alias("own")), ["doc", "seg"])
         .select("doc", "item", "shift", "theirs", "own")
-        .mapInArrow(_verify(min_tokens, similarity), "doc long, item long, n long, equal long"))
+        .mapInArrow(lean(_verify(min_tokens, similarity)), "doc long, item long, n long, equal long"))
     best = F.max(F.struct("n", "equal"))
     return pairs.groupBy("doc", "item").agg(best.alias("b")).select(
         F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), F.col("b.n").alias("n_tokens"), F.col("b.equal").alias("n_equal"))

@@ -10,7 +10,7 @@ what blanks part: a text without blanks is one word, and a sentence ends at ``.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.tokens import PUNCTUATION
+from kinweave.llm.tokens import PUNCTUATION, TEXTS, each, lean
 
 #: Hashed feature weights as a power of two; the model's size doesn't depend on the input.
 BITS = 16
@@ -144,7 +144,9 @@ def forward_backward(score: np.ndarray, trans: np.ndarray, start: np.ndarray, le
     expected transition counts and the log-likelihood's partition sum."""
     k, n = score.shape
     top = score.max(axis=0)
-    e, a, first = np.exp(score - top), np.exp(trans), np.exp(start)[:, None]
+    e, a, first = score - top, np.exp(trans), np.exp(start)[:, None]
+    del score  # arrays of all words are few: they are most of a worker's memory
+    np.exp(e, out=e)
     before = behind = None
     if not pairs:
         lengths, before, behind = messages(e, a, first, np.asarray(lengths))
@@ -162,9 +164,11 @@ def forward_backward(score: np.ndarray, trans: np.ndarray, start: np.ndarray, le
             nxt = at[:later] + 1
             beta[:, at[:later]] = a @ (e[:, nxt] * beta[:, nxt] / scale[nxt])
         later = len(at)
-    marginal = alpha * beta
     if not pairs:
-        return marginal / marginal.sum(axis=0)
+        alpha *= beta
+        alpha /= alpha.sum(axis=0)
+        return alpha
+    marginal = alpha * beta
     inner = np.ones(n, bool)
     inner[np.cumsum(lengths)[lengths > 0] - 1] = False
     i = np.flatnonzero(inner)
@@ -273,7 +277,7 @@ class Tagger:
             self._learn(tokens)
             return np.fromiter(map(self.tokens.__getitem__, tokens), np.int64, len(tokens))
 
-    def marginals(self, texts: list[str | None], block: int = TAGGED // 4) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def marginals(self, texts: Iterable[str | None], block: int = TAGGED // 4) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per group of texts: (marginals, labels x words; the number of words of each text)."""
         k = len(self.model.labels)
         scores, lengths, counts, size = [], [], [], 0
@@ -282,7 +286,7 @@ class Tagger:
             for lo in range(0, len(tokens), block):
                 codes = self.codes(tokens[lo : lo + block])
                 word, end = codes >= 0, np.where(codes >= 0, codes & 1, codes == -2).astype(bool)
-                scores.append(self.scores[codes[word] >> 1].T.astype(np.float64))
+                scores.append(self.scores[codes[word] >> 1].T)
                 upto = np.cumsum(word)
                 cuts = np.diff(np.concatenate([[0], upto[end]]))
                 if len(cuts):
@@ -303,16 +307,17 @@ class Tagger:
 
     def _run(self, scores, lengths, k):
         n = np.concatenate(lengths).astype(np.int64) if lengths else np.zeros(0, np.int64)
-        score = np.concatenate(scores, axis=1) if scores else np.zeros((k, 0))
-        return forward_backward(score, self.model.transitions, self.model.start, n[n > 0])
+        return forward_backward(
+            np.concatenate(scores, axis=1, dtype=np.float64) if scores else np.zeros((k, 0)), self.model.transitions, self.model.start, n[n > 0])
 
-    def predict(self, texts: list[str | None]) -> Iterator[tuple[str, float, list[float]]]:
+    def predict(self, texts: Iterable[str | None]) -> Iterator[tuple[str, float, list[float]]]:
         """(language, share of the word mass, shares of all) of each text."""
         labels = self.model.labels
         for marginal, counts in self.marginals(texts):
             if len(counts[counts > 0]):
                 ends = np.cumsum(counts[counts > 0])
                 mass = np.add.reduceat(marginal, ends - counts[counts > 0], axis=1) / counts[counts > 0]
+            del marginal
             at = 0
             for c in counts:
                 if not c:
@@ -368,7 +373,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
                 ["id", "lang_pred", "score", "shares"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(run, "id long, lang_pred string, score double, shares map<string,double>")
+    return rows.mapInArrow(lean(run), "id long, lang_pred string, score double, shares map<string,double>")
 
 
 def tag_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -400,7 +405,9 @@ def reject_unidentified(docs: DataFrame, model: Model | None, id_col: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(shared.value) if shared.value else None
         for b in batches:
-            found = tagger.predict(b.column(at).to_pylist()) if tagger else [("und", 0.0, [])] * len(b)
-            yield b.filter(pa.array([lang != "und" and score >= least for lang, score, _ in found], pa.bool_()))
+            found = tagger.predict(each(b.column(at))) if tagger else [("und", 0.0, [])] * len(b)
+            stay = [lang != "und" and score >= least for lang, score, _ in found]
+            for lo in range(0, b.num_rows, TEXTS):
+                yield b.slice(lo, TEXTS).filter(pa.array(stay[lo : lo + TEXTS], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

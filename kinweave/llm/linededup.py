@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinweave.llm.mphf import LineIndex
+from kinweave.llm.tokens import TEXTS, each, lean
 from kinweave.runtime import materialize
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -44,7 +45,7 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             owners, sizes, digests = b.column(0).to_numpy(zero_copy_only=False), [], []
-            for text in b.column(1).cast(pa.binary()).to_pylist():
+            for text in each(b.column(1).cast(pa.binary())):
                 own = {xxhash.xxh3_128_digest(k) for line in (text or b"").split(b"\n") if (k := line_key(line, min_chars)) is not None}
                 sizes.append(len(own))
                 digests += own
@@ -52,7 +53,7 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
             yield pa.record_batch([pa.array(np.repeat(owners, sizes).astype(np.int64)), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], ["id", "h1", "h2"])
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(run, "id long, h1 long, h2 long")
+    return rows.mapInArrow(lean(run), "id long, h1 long, h2 long")
 
 
 def _build(group: pa.Table) -> pa.Table:
@@ -153,19 +154,22 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(at).cast(pa.binary()).to_pylist()
-            lines = [(t or b"").split(b"\n") for t in texts]
-            digests = [[None if (k := line_key(x, min_chars)) is None else xxhash.xxh3_128_digest(k) for x in own] for own in lines]
+            # all digests are looked up together, but texts are held and rewritten few at a time
+            digests = [[None if (k := line_key(x, min_chars)) is None else xxhash.xxh3_128_digest(k) for x in (t or b"").split(b"\n")]
+                       for t in each(b.column(at).cast(pa.binary()))]
             gone = lookup(b.column(len(names)), digests) if lookup else _listed(b.column(len(names)), b.column(len(names) + 1))
-            n_dropped = [0] * len(texts)
-            for i, lose in enumerate(gone):
-                if lose:
-                    kept = [x for x, d in zip(lines[i], digests[i], strict=True) if d is None or d not in lose]
-                    n_dropped[i] = len(lines[i]) - len(kept)
-                    texts[i] = b"\n".join(kept)
-            columns = [b.column(i) for i in range(len(names))]
-            columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.record_batch([*columns, pa.array(map(len, lines), pa.int64()), pa.array(n_dropped, pa.int64())], [*names, "n_lines", "n_dropped"])
+            for lo in range(0, max(1, b.num_rows), TEXTS):
+                part = b.slice(lo, TEXTS)
+                texts, own, lost = part.column(at).cast(pa.binary()).to_pylist(), digests[lo : lo + TEXTS], gone[lo : lo + TEXTS]
+                n_dropped = [0] * len(texts)
+                for i, lose in enumerate(lost):
+                    if lose:
+                        kept = [x for x, d in zip((texts[i] or b"").split(b"\n"), own[i], strict=True) if d is None or d not in lose]
+                        n_dropped[i] = len(own[i]) - len(kept)
+                        texts[i] = b"\n".join(kept)
+                columns = [part.column(i) for i in range(len(names))]
+                columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
+                yield pa.record_batch([*columns, pa.array(map(len, own), pa.int64()), pa.array(n_dropped, pa.int64())], [*names, "n_lines", "n_dropped"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(lean(run), schema)

@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.llm.tokens import each, lean
 from kinweave.operators.components import connected_components
 from kinweave.operators.skew import bounded, spread_join
 from kinweave.runtime import materialize
@@ -119,14 +120,14 @@ def set_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for t in b.column(1).cast(pa.binary()).to_pylist():
+            for t in each(b.column(1).cast(pa.binary())):
                 h = shingle_set(t, shingle, seed)
                 rows.append([*(set_fingerprint(h, k) for k in range(len(names))), xxhash.xxh64_intdigest(h.tobytes(), seed)])
             fps = np.array(rows, np.uint64).reshape(-1, len(names) + 1)
             yield pa.record_batch([b.column(0), *(pa.array(fps[:, k].copy().view(np.int64)) for k in range(fps.shape[1]))], ["id", *names, "digest"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(run, "id long, " + ", ".join(f"{c} long" for c in [*names, "digest"]))
+    return rows.mapInArrow(lean(run), "id long, " + ", ".join(f"{c} long" for c in [*names, "digest"]))
 
 
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -371,7 +372,7 @@ def near_links(distinct: DataFrame, max_distance: int = 3, block: int = BLOCK, m
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), *names, "rep", "probe"))
     return (dealt.repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2")
-            .mapInArrow(_verify(max_distance, names, max_total), "src long, dst long"))
+            .mapInArrow(lean(_verify(max_distance, names, max_total)), "src long, dst long"))
 
 
 def similar_sets(ids: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -424,7 +425,7 @@ def similar_links(docs: DataFrame, groups: DataFrame, similarity: float, id_col:
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     held = rows.join(bounded(materialize(groups, "groups")), F.col("id") == F.col("node")).select("component", "id", "t")
-    held = materialize(held.mapInArrow(sets, "component long, id long, n long, set array<long>").where("n > 0"), "sets")
+    held = materialize(held.mapInArrow(lean(sets), "component long, id long, n long, set array<long>").where("n > 0"), "sets")
     large = held.groupBy("component").agg(F.sum("n").alias("n")).where(F.col("n") > block).select("component", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     dealt = (
         held.join(bounded(materialize(large, "large-groups")), "component", "left")
