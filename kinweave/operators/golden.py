@@ -16,6 +16,8 @@ MAX_RECORDS, MAX_PAIRS = 50, 1225
 PROVISIONAL, PROVISIONAL_LENGTH = "cmp_", 28
 # End of fixed values.
 FIELDS = tuple(RULES)
+#: Fields that a profile names otherwise.
+NAMED = {"dob_usable": "date_of_birth", "home_address": "home_address_json", "work_address": "work_address_json"}
 
 
 def _values() -> dict[str, F.Column]:
@@ -56,6 +58,42 @@ def survivorship_rules(current: DataFrame | None, spark: SparkSession) -> DataFr
     return current.select("field", "ordering").unionByName(default.join(current.select("field"), "field", "left_anti"))
 
 
+def _rank(first: F.Column) -> F.Column:
+    """The smallest is picked: later times are smaller, none at all last."""
+    return F.struct(first.alias("a"), F.coalesce(-F.unix_micros(F.col("source_updated_at")), F.lit((1 << 63) - 1)).alias("b"), F.col("source_priority").alias("c"), F.col("record_key").alias("d"))
+
+
+def customer_rows(mapping: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Contact records with their customer and what they offer for each field."""
+    return contacts.join(mapping.select("record_key", "customer_id"), "record_key").select(
+        "customer_id", "record_key", "source_system", "source_updated_at", "source_priority", *[v.alias(f) for f, v in _values().items()])
+
+
+def customer_summaries(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """A row for each customer of ``customer_rows``: its records, its systems and for each field the struct of the value that survives, null if none does.
+
+    A record is shuffled once, with all its fields, and not once for each field.
+    """
+    ordering = {r.field: r.ordering for r in rules.where(F.col("field").isin(*FIELDS)).collect()}
+    first = {"priority": F.col("source_priority"), "recent": F.lit(0)}
+    held = lambda f: F.struct("record_key", "source_system", "source_updated_at", "source_priority", F.col(f).alias("value"))
+    best = lambda f: F.min_by(held(f), F.when(F.col(f) != "", _rank(first[ordering[f]]))) if f in ordering else F.first(F.when(F.lit(False), held(f)))
+    return rows.repartition("customer_id").groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("source_record_count"), F.array_sort(F.collect_set("source_system")).alias("source_systems"), *[best(f).alias(f) for f in FIELDS])
+
+
+def summary_survivors(summaries: DataFrame) -> DataFrame:
+    """``survivors`` out of summaries."""
+    rows = F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("x")) for f in FIELDS]))
+    return summaries.select("customer_id", rows).where("x IS NOT NULL").select("customer_id", "x.record_key", "x.source_system", "x.source_updated_at", "x.source_priority", "field", "x.value")
+
+
+def summary_profiles(summaries: DataFrame) -> DataFrame:
+    """``golden_profiles`` out of summaries."""
+    wide = summaries.select("customer_id", "source_record_count", "source_systems", *[F.col(f)["value"].alias(f) for f in FIELDS])
+    return wide.withColumn("dob_usable", F.col("dob_usable").cast("date")).withColumnsRenamed(NAMED)
+
+
 def survivors(candidates: DataFrame, rules: DataFrame) -> DataFrame:
     """One value for each field of a customer: by source priority where the field's rule asks for it, then newest, source priority, key.
 
@@ -63,9 +101,7 @@ def survivors(candidates: DataFrame, rules: DataFrame) -> DataFrame:
     records is summed up before it is shuffled.
     """
     ruled = candidates.join(rules, "field")
-    first = F.when(F.col("ordering") == "priority", F.col("source_priority")).otherwise(0)
-    # the smallest is picked: later times are smaller, none at all last
-    rank = F.struct(first.alias("a"), F.coalesce(-F.unix_micros(F.col("source_updated_at")), F.lit((1 << 63) - 1)).alias("b"), F.col("source_priority").alias("c"), F.col("record_key").alias("d"))
+    rank = _rank(F.when(F.col("ordering") == "priority", F.col("source_priority")).otherwise(0))
     best = ruled.groupBy("customer_id", "field").agg(F.min_by(F.struct("record_key", "source_system", "source_updated_at", "source_priority", "value"), rank).alias("x"))
     return best.select("customer_id", "x.record_key", "x.source_system", "x.source_updated_at", "x.source_priority", "field", "x.value")
 
@@ -75,8 +111,7 @@ def golden_profiles(picked: DataFrame, mapping: DataFrame, contacts: DataFrame)
     wide = picked.groupBy("customer_id").agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in FIELDS])
     who = mapping.join(contacts.select("record_key", "source_system"), "record_key").groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("source_record_count"), F.array_sort(F.collect_set("source_system")).alias("source_systems"))
-    named = {"dob_usable": "date_of_birth", "home_address": "home_address_json", "work_address": "work_address_json"}
-    return who.join(wide, "customer_id", "left").withColumn("dob_usable", F.col("dob_usable").cast("date")).withColumnsRenamed(named)
+    return who.join(wide, "customer_id", "left").withColumn("dob_usable", F.col("dob_usable").cast("date")).withColumnsRenamed(NAMED)
 
 
 def touched_components(decisions: DataFrame, refused: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinweave.functions.variants import osa, typo
-from kinweave.operators import blocking, graph, vectors
+from kinweave.operators import blocking, golden, graph, vectors
 from kinweave.plans.resolution import numbered
 from kinweave.runtime import CLEANUP, discard, materialize
 
@@ -103,3 +103,19 @@ def test_vectors_become_a_matrix_without_objects():
     assert len(vectors._matrix(held.slice(3), np.float32)) == 0
     with pytest.raises(ValueError, match="sizes"):
         vectors._matrix(pa.array([[1.0], [1.0, 2.0, 3.0]], pa.list_(pa.float32())), np.float32)
+
+
+def test_a_customer_is_summed_up_in_one_shuffle(spark):
+    columns = ["full_name", "given_name", "family_name", "company_name", *[f"{c}_n" for c in ("personal_email", "personal_phone", "work_email", "work_phone")], *[f"{k}_{c}" for k in ("home", "work") for c in (*golden.ADDRESS.values(), "address_n")]]
+    value = lambda c: F.when(F.xxhash64(F.lit(c), "id") % 3 != 0, F.concat(F.lit(c[:2]), F.col("id") % 5)).when(F.col("id") % 2 == 0, "")
+    contacts = spark.range(60).select(
+        F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("record_key"), F.concat(F.lit("s"), F.col("id") % 3).alias("source_system"), F.when(F.col("id") % 4 > 0, F.timestamp_seconds(F.col("id") % 7)).alias("source_updated_at"),
+        (F.col("id") % 3 * 10).cast("int").alias("source_priority"), F.when(F.col("id") % 2 > 0, F.date_add(F.lit("1990-01-01"), F.col("id").cast("int"))).alias("dob_usable"), *[value(c).alias(c) for c in columns])
+    mapping = contacts.select("record_key", F.concat(F.lit("c"), F.pmod(F.xxhash64("record_key"), F.lit(9))).alias("customer_id"))
+    rules = golden.survivorship_rules(spark.createDataFrame([("company_name", "priority")], "field string, ordering string"), spark)
+    picked = golden.survivors(golden.field_candidates(mapping, contacts), rules)
+    sums = golden.customer_summaries(golden.customer_rows(mapping, contacts), rules)
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert same(picked, golden.summary_survivors(sums)) and same(golden.golden_profiles(picked, mapping, contacts), golden.summary_profiles(sums))
+    rows = materialize(golden.customer_rows(mapping, contacts), "rows")
+    assert golden.customer_summaries(rows, rules)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
