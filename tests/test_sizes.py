@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinweave.functions.variants import osa, typo
-from kinweave.operators import blocking, golden, graph, vectors
+from kinweave.operators import blocking, golden, graph, matching, vectors
 from kinweave.plans.resolution import numbered
 from kinweave.runtime import CLEANUP, discard, materialize
 
@@ -119,3 +119,11 @@ def test_a_customer_is_summed_up_in_one_shuffle(spark):
     assert same(picked, golden.summary_survivors(sums)) and same(golden.golden_profiles(picked, mapping, contacts), golden.summary_profiles(sums))
     rows = materialize(golden.customer_rows(mapping, contacts), "rows")
     assert golden.customer_summaries(rows, rules)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_a_models_sums_are_stage_tables_so_that_their_shuffles_go(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(matching, "materialize", lambda df, label: made.append(label) or materialize(df, label))
+    records = spark.range(40).select(F.col("id").cast("string").alias("record_key"), *[F.concat(F.lit(c), F.col("id") % 9).alias(c) for c in matching.COMPARISONS])
+    matching.fuzzy_u(records, 100)
+    assert made == ["sums"]
